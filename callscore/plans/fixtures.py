@@ -77,6 +77,26 @@ def labelled_text(spark: SparkSession, sf_dir: str) -> DataFrame:
                     label.alias("label"), (F.col("n_chars").cast("double") / F.lit(100.0)).alias("duration_sec"))
 
 
+AUDIO_BASE = "corpus"
+URL_PATH = r"^[a-z]+://[^/]+/([^?#]*)"
+LAST_EXT = r"\.[^./]*$"
+
+
+def labelled_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """labelled_text plus a relative audio path and its resolved form."""
+    from ..operators.cleaning import resolve_path
+    lt = labelled_text(spark, sf_dir)
+    rel = F.concat(F.col("lang"), F.lit("/"), F.col("doc_id").cast("string"), F.lit(".wav"))
+    return lt.withColumn("audio_rel", rel).withColumn("audio_path", resolve_path(AUDIO_BASE, "audio_rel"))
+
+
+def file_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Paths that exist: one per page, from the URL path with its extension swapped for .wav."""
+    pg = table(spark, sf_dir, "pages").select("url")
+    stem = F.regexp_replace(F.regexp_extract("url", URL_PATH, 1), LAST_EXT, "")
+    return pg.select(F.concat(F.lit(AUDIO_BASE + "/"), stem, F.lit(".wav")).alias("path"))
+
+
 def frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Framed signal keyed by (clip_id, frame_no) with a voice flag and level in dB."""
     e = table(spark, sf_dir, "events").select("user_id", "event_id", "ts", "value")
@@ -114,6 +134,10 @@ from events""",
   else case when d.doc_id % 3 = 0 then 'Normal' when d.doc_id % 3 = 1 then 'Non_Fraud' else 'non_fraudulent' end end as label,
   cast(d.n_chars as double) / cast(100 as double) as duration_sec
 from documents d join labels l on d.doc_id = l.doc_id""",
+    "labelled_paths": """select *, case when audio_rel like '/%' then audio_rel else 'corpus/' || audio_rel end as audio_path
+from (select *, lang || '/' || cast(doc_id as varchar) || '.wav' as audio_rel from labelled_text) x""",
+    "listing": """select 'corpus/' || regexp_replace(regexp_extract(url, '^[a-z]+://[^/]+/([^?#]*)', 1), '\.[^./]*$', '')
+  || '.wav' as path from pages""",
     "frames": """select user_id as clip_id, event_id,
   cast(row_number() over (partition by user_id order by ts, event_id) - 1 as int) as frame_no,
   value as x, value > 35 as is_voiced, round(cast(10 as double) * log10(value), 6) as db
