@@ -108,4 +108,4 @@ def untrained_cv_summary(df: DataFrame, probs: Sequence[str] = PROBS, grid=WEIGH
                                                       *[f"{m}_{s}" for m in METRICS for s in ("mean", "std")])
     both = simple.unionByName(best)
     order = F.row_number().over(Window.orderBy(F.desc("f1_mean"), F.asc("cand")))  # two rows
-    return both.withColumn("rank", order).drop("cand")
+    return both.withColumn("rank", order.cast("long")).drop("cand")

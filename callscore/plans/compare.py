@@ -59,11 +59,28 @@ def run_spark(df):
     return list(df.columns), [tuple(r) for r in df.collect()]
 
 
+_DUCK = {"INTEGER": "int", "BIGINT": "bigint", "DOUBLE": "double", "VARCHAR": "string", "BOOLEAN": "boolean",
+         "FLOAT": "float", "SMALLINT": "smallint", "TINYINT": "tinyint", "DATE": "date"}
+
+
+def duck_types(con, sql: str) -> dict:
+    rel = con.sql(sql)
+    return {c: _DUCK.get(str(t), str(t)) for c, t in zip(rel.columns, rel.types)}
+
+
+def spark_types(df) -> dict:
+    return {f.name: f.dataType.simpleString() for f in df.schema.fields}
+
+
 def compare(spark_df, con, sql: str, nd: int = 6) -> dict:
     sc, sr = normalise(*run_spark(spark_df), nd=nd)
     dc, dr = normalise(*run_duck(con, sql), nd=nd)
+    st, dt = spark_types(spark_df), duck_types(con, sql)
+    tdiff = {c: (st[c], dt.get(c)) for c in st if st[c] != dt.get(c)}
     res = {"spark_rows": len(sr), "oracle_rows": len(dr), "schema_match": sc == dc,
            "rows_match": len(sr) == len(dr), "values_match": sr == dr}
+    if tdiff:
+        res["type_diff"] = tdiff
     if not res["values_match"]:
         ss, ds = set(sr), set(dr)
         res["only_spark"] = [r for r in sr if r not in ds][:3]
