@@ -136,7 +136,7 @@ from events""",
 from documents d join labels l on d.doc_id = l.doc_id""",
     "labelled_paths": """select *, case when audio_rel like '/%' then audio_rel else 'corpus/' || audio_rel end as audio_path
 from (select *, lang || '/' || cast(doc_id as varchar) || '.wav' as audio_rel from labelled_text) x""",
-    "listing": """select 'corpus/' || regexp_replace(regexp_extract(url, '^[a-z]+://[^/]+/([^?#]*)', 1), '\.[^./]*$', '')
+    "listing": r"""select 'corpus/' || regexp_replace(regexp_extract(url, '^[a-z]+://[^/]+/([^?#]*)', 1), '\.[^./]*$', '')
   || '.wav' as path from pages""",
     "frames": """select user_id as clip_id, event_id,
   cast(row_number() over (partition by user_id order by ts, event_id) - 1 as int) as frame_no,
