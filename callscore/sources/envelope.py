@@ -36,7 +36,8 @@ PROCESSOR_FIELDS = ("call_id", "chunk_index", "event", "event_time", "transcript
 
 
 def chunk_message(call_id: Column, chunk_index: Column, transcript: Column, start_ts: Column | None = None,
-                  mfcc: Column | None = None, spec: Column | None = None, timing: Column | None = None) -> Column:
+                  mfcc: Column | None = None, spec: Column | None = None, timing: Column | None = None,
+                  audio_b64: Column | None = None) -> Column:
     """The CHUNK payload as JSON text."""
     fields = [call_id.cast("string").alias("call_id"), chunk_index.cast("int").alias("chunk_index"),
               F.lit(CHUNK).alias("event")]
@@ -47,6 +48,8 @@ def chunk_message(call_id: Column, chunk_index: Column, transcript: Column, star
         fields.append(mfcc.alias("mfcc"))
     if spec is not None:
         fields.append(spec.alias("spectrogram"))
+    if audio_b64 is not None:
+        fields.append(audio_b64.alias("audio_b64"))
     if timing is not None:
         fields.append(timing.alias("timing"))
     return F.to_json(F.struct(*fields))
