@@ -109,5 +109,12 @@ def with_quantile_bucket(df: DataFrame, part: Sequence[str], value: str, k: int
         bounds = F.broadcast(bounds)
     cond = [df[p].eqNullSafe(bounds[f"_q_{i}"]) for i, p in enumerate(part)]
     j = df.join(bounds, cond).drop(*[f"_q_{i}" for i in range(len(part))])
-    j = j.withColumn("_qbk", F.size(F.filter("_qb", lambda q: q < F.col(value)))).drop("_qb")
-    return j.drop(*extra)
+    # number of bounds below the value = binary search over the sorted bounds,
+    # as a fixed chain of plain columns (codegen, no per-bound lambda)
+    j = j.withColumn("_qbk", F.lit(0))
+    step = 1 << max(0, (k - 2).bit_length())
+    while step >= 1:
+        nxt = F.col("_qbk") + F.lit(step)
+        j = j.withColumn("_qbk", F.when(F.try_element_at("_qb", nxt) < F.col(value), nxt).otherwise(F.col("_qbk")))
+        step >>= 1
+    return j.drop("_qb", *extra)

@@ -114,9 +114,12 @@ def _transitions(pdf: pd.DataFrame) -> pd.DataFrame:
     rows = []
     if not pos:
         return pd.DataFrame(rows, columns=["clip_id", "b", "s_open", "s_m", "e_open", "e_m", "e_f0", "n_closes"])
-    max_m = min(RING, len(halo))
-    for s_open in (False, True):
-        for s_m in range(0, max_m + 1):
+    if pos[0] == 0:  # first bucket of the clip: the start state is known
+        starts = [(False, 0)]
+    else:
+        starts = [(o, k) for o in (False, True) for k in range(0, min(RING, len(halo)) + 1)]
+    for s_open, s_m in starts:
+        if True:
             m = VadMachine(s_open, halo[len(halo) - s_m:] if s_m else [], NO_F0)
             closes = 0
             for p, x in zip(pos, v):
