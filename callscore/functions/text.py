@@ -82,3 +82,8 @@ def weights_from_name(name) -> Column:
     """Parse ``WeightedAvg(0.5, 0.25, 0.25)`` back into ``array<double>``."""
     inner = F.regexp_extract(_c(name), r"\(([^)]*)\)", 1)
     return F.transform(F.split(inner, ","), lambda s: F.trim(s).cast("double"))
+
+
+def clamp_label(x) -> Column:
+    """P20: integer label clipped into {0, 1}."""
+    return F.greatest(F.lit(0), F.least(F.lit(1), _c(x).cast("int")))

@@ -128,3 +128,19 @@ def ended_calls(events: DataFrame, limit: int = FINAL_CHARS) -> DataFrame:
     ch = number_chunks(events).select("call_id", "chunk_index", "transcript")
     fin = call_final(ch) if limit == FINAL_CHARS else decisions(final_text(ch, limit), "full_text")
     return end_markers(events).select("call_id", "event_id").join(fin, "call_id")
+
+
+SUMMARY_RULE = "=" * 16 + " FINAL CALL SUMMARY " + "=" * 16
+SUMMARY_END = "=" * 52
+
+
+def summary_text(final: DataFrame) -> DataFrame:
+    """The end-of-call summary block as one text column."""
+    f3 = lambda c: F.format_string("%.3f", F.col(c))
+    txt = F.concat(F.lit("\n" + SUMMARY_RULE + "\nCall ID: "), F.col("call_id").cast("string"),
+                   F.lit("\nTotal Segments: "), F.col("n_segments").cast("string"),
+                   F.lit("\n\nFinal Transcript:\n"), F.col("full_text"), F.lit("\n\nFinal Decision: "),
+                   F.col("status"), F.lit("\nProbability="), f3("final_prob"), F.lit("   (bert="), f3("bert_prob"),
+                   F.lit(", mfcc="), f3("mfcc_prob"), F.lit(", spec="), f3("spec_prob"),
+                   F.lit(")\n" + SUMMARY_END + "\n"))
+    return final.select("call_id", txt.alias("summary"))

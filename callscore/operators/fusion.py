@@ -109,3 +109,10 @@ def untrained_cv_summary(df: DataFrame, probs: Sequence[str] = PROBS, grid=WEIGH
     both = simple.unionByName(best)
     order = F.row_number().over(Window.orderBy(F.desc("f1_mean"), F.asc("cand")))  # two rows
     return both.withColumn("rank", order.cast("long")).drop("cand")
+
+
+def best_by(df: DataFrame, group: Sequence[str], metric: str, order_col: str) -> DataFrame:
+    """Per group, the row with the highest ``metric``; ties keep the earliest ``order_col``."""
+    cols = [c for c in df.columns if c not in group]
+    b = df.groupBy(*group).agg(F.max_by(F.struct(*cols), F.struct(F.col(metric), -F.col(order_col))).alias("_b"))
+    return b.select(*group, "_b.*")

@@ -68,6 +68,22 @@ def stand_in_text_model(min_chars: int = 2):
     return make
 
 
+def stand_in_matrix_model():
+    """Loader of the stand-in matrix model: logistic of 10 x the mean cell."""
+    def make():
+        def predict(x: np.ndarray) -> np.ndarray:
+            m = np.asarray(x, dtype=np.float64).reshape(len(x), -1).mean(axis=1)
+            return 1.0 / (1.0 + np.exp(-10.0 * m))
+        return predict
+    return make
+
+
+def matrix_scorer_udf(make_predict, n_cells: int, batch_size: int = BATCH_SIZE):
+    """Batched scorer over flattened matrices of a fixed cell count."""
+    return predict_batch_udf(make_predict, return_type=T.DoubleType(), batch_size=batch_size,
+                             input_tensor_shapes=[[n_cells]])
+
+
 # ------------------------------------------------------------------ U3 / U4
 def text_classifier(text_col: str = "text", label: str = "label_num", weight: str = "weight") -> Pipeline:
     """Tokenise, hash, IDF, class-weighted logistic regression."""
