@@ -17,9 +17,23 @@ from pyspark.sql import functions as F
 from ..session import scratch_path
 
 
+def idempotent_batch_writer(path: str) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` sink that overwrites the folder of its batch id, so a
+    replayed micro-batch (after a failure) rewrites, never duplicates, its rows."""
+    def write(df: DataFrame, batch_id: int) -> None:
+        df.write.mode("overwrite").parquet(f"{path}/batch_id={int(batch_id)}")
+    return write
+
+
+def console_sink(lines: DataFrame, checkpoint: str):
+    """Print the ``line`` column of a stream to the driver console."""
+    return (lines.select("line").writeStream.format("console").option("truncate", False)
+            .option("checkpointLocation", checkpoint).start())
+
+
 def run_waves(spark: SparkSession, messages: DataFrame, build: Callable[[DataFrame], DataFrame],
               output_schema: str, name: str, wave_col: str = "wave", value_col: str = "value",
-              max_files_per_trigger: int | None = None) -> DataFrame:
+              max_files_per_trigger: int | None = None, sink: str = "files") -> DataFrame:
     """``messages`` has a wave number and a JSON text column; ``build`` turns the
     streaming text DataFrame into the output stream. Returns the sink contents."""
     spark.conf.set("spark.sql.streaming.stateStore.providerClass",
@@ -29,12 +43,12 @@ def run_waves(spark: SparkSession, messages: DataFrame, build: Callable[[DataFra
     prev = spark.conf.get("spark.sql.streaming.noDataMicroBatches.enabled", "true")
     spark.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")
     try:
-        return _run(spark, messages, build, output_schema, name, wave_col, value_col, max_files_per_trigger)
+        return _run(spark, messages, build, output_schema, name, wave_col, value_col, max_files_per_trigger, sink)
     finally:
         spark.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", prev)
 
 
-def _run(spark, messages, build, output_schema, name, wave_col, value_col, max_files_per_trigger):
+def _run(spark, messages, build, output_schema, name, wave_col, value_col, max_files_per_trigger, sink):
     root = scratch_path(spark, name)
     inp, ckpt, out = f"{root}/input", f"{root}/checkpoint", f"{root}/output"
     waves = [r[0] for r in messages.select(wave_col).distinct().orderBy(wave_col).collect()]  # wave ids only
@@ -45,9 +59,21 @@ def _run(spark, messages, build, output_schema, name, wave_col, value_col, max_f
         if max_files_per_trigger:
             reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
         stream = build(reader.load(f"{inp}/*"))
-        q = (stream.writeStream.format("parquet").option("checkpointLocation", ckpt).option("path", out)
-             .outputMode("append").trigger(availableNow=True).start())
+        w = stream.writeStream.option("checkpointLocation", ckpt).outputMode("append").trigger(availableNow=True)
+        if sink == "foreachBatch":
+            q = w.foreachBatch(idempotent_batch_writer(out)).start()
+        else:
+            q = w.format("parquet").option("path", out).start()
         q.awaitTermination()
         if q.exception() is not None:
             raise RuntimeError(str(q.exception()))
+    if sink == "foreachBatch":
+        return spark.read.schema(output_schema).option("basePath", out).parquet(f"{out}/batch_id=*") \
+            if _exists(spark, out) else spark.createDataFrame([], output_schema)
     return spark.read.schema(output_schema).parquet(out)
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)

@@ -60,3 +60,11 @@ def test_matrix_means_in_state(spark):
     out = _run(spark, rows, "t_matrix")
     last = [r for r in out if r["kind"] == "running" and r["chunk_index"] == 1][0]
     assert last["mfcc"] == [[2.0, 4.0]] and last["spec"] is None
+
+
+def test_foreach_batch_sink_is_idempotent(spark):
+    build = lambda s: scalls.call_states(env.decode(s))
+    rows = [(0, _chunk("z", 0, "one")), (1, _chunk("z", 1, "two")), (2, _end("z"))]
+    out = run_waves(spark, _msgs(spark, rows), build, scalls.OUTPUT_SCHEMA, "t_feb", sink="foreachBatch").collect()
+    kinds = sorted(r["kind"] for r in out)
+    assert kinds == ["final", "running", "running"]
