@@ -15,7 +15,8 @@ is simulated from all 22 (open, m) start states in parallel (stage A),
 a per-clip pass over the small transition table picks the real start
 state of every bucket (stage B), and each bucket is replayed once from its
 real state to emit segments (stage C). No task sees more than one bucket
-of frames; stage B sees 22 rows per bucket.
+of frames; stage B sees 22 rows per bucket. Groups are walked per
+partition (``grouped.map_groups``), not one Python call per group.
 """
 
 from __future__ import annotations
@@ -26,6 +27,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .grouped import map_groups
+
 # ---- fixed values ----
 RING = 10
 OPEN_ABOVE = 6      # voiced count in the ring that opens (> 6 of 10)
@@ -171,7 +174,7 @@ def voice_segments(frames: DataFrame, clip: str = "clip_id", pos: str = "frame_n
 
     ``pos`` must be a dense 0-based frame number inside each clip."""
     fb = _bucketed(frames, clip, pos, flag, bucket_frames)
-    trans = fb.groupBy("clip_id", "b").applyInPandas(_transitions, TRANSITION_SCHEMA)
-    starts = trans.groupBy("clip_id").applyInPandas(_starts, START_SCHEMA)
+    trans = map_groups(fb, ["clip_id", "b"], ["pos"], _transitions, TRANSITION_SCHEMA)
+    starts = map_groups(trans, ["clip_id"], ["b"], _starts, START_SCHEMA)
     j = fb.join(starts, ["clip_id", "b"])
-    return j.groupBy("clip_id", "b").applyInPandas(_emit, SEGMENT_SCHEMA)
+    return map_groups(j, ["clip_id", "b"], ["pos"], _emit, SEGMENT_SCHEMA)
