@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scoring import stand_in_scores, status
 from ..functions.text import preview, strip_or_empty
-from .prefix import int_bucket, running_totals, time_bucket
+from .prefix import adaptive_running_totals, int_bucket, running_totals
 
 # ---- fixed values ----
 RUNNING_CHARS = 512
@@ -28,7 +28,6 @@ FINAL_CHARS = 2048
 END_EVENT = "CALL_END"
 
 INDEX_BUCKET = 4096      # chunk indexes per prefix bucket
-TIME_BUCKET_S = 86400    # seconds per prefix bucket when ordering by time
 
 
 def pieces(chunks: DataFrame) -> DataFrame:
@@ -110,7 +109,8 @@ def event_kind(event_col: str = "event"):
 def number_chunks(events: DataFrame) -> DataFrame:
     """P3 + W4: drop blank chunks, then number the rest from 0 in call order."""
     ch = events.filter((F.col("event") != END_EVENT) & (F.length(strip_or_empty("transcript")) > 0))
-    ch = running_totals(ch, ["call_id"], ["ts", "event_id"], time_bucket("ts", TIME_BUCKET_S), rank="_r")
+    ch = adaptive_running_totals(ch, ["call_id"], ["ts", "event_id"], F.unix_micros(F.col("ts").cast("timestamp")),
+                                 rank="_r")
     return ch.withColumn("chunk_index", F.col("_r").cast("int")).drop("_r")
 
 

@@ -62,7 +62,7 @@ def per_fold_metrics(long: DataFrame, y: str = "label_num", group: Sequence[str]
     cc = metrics.cell_counts(long, y, metrics.predict("p"), group)
     s = metrics.summary_from_cells(cc, group).select(*group, F.col("accuracy").alias("acc"),
                                                      F.col("f1_weighted").alias("f1"))
-    auc = metrics.roc_auc(long, y, "p", group, bounded_groups=True)
+    auc = metrics.roc_auc(long, y, "p", group)
     return s.join(auc, group)
 
 

@@ -3,8 +3,8 @@
 Every metric is one grouped aggregate with map-side partial aggregation;
 ``group`` columns let the same code evaluate many candidates and folds in a
 single pass. ROC AUC orders the *distinct* scores (after a partial
-aggregate) and uses the two-level prefix sum with approximate-quantile
-buckets, so no group is ever sorted in one task.
+aggregate); a group with more distinct scores than fit one task is split
+into approximate-quantile ranges for a two-level prefix sum.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .prefix import running_totals, with_quantile_bucket
+from .prefix import HOT_ROWS, adaptive_running_totals
 
 # ---- fixed values ----
 CLASSES = (0, 1)
@@ -22,7 +22,6 @@ CLASS_NAMES = ("Non_Fraudulent", "Fraudulent")
 THRESHOLD = 0.5
 LOG_EPS = 1e-15
 SMOOTHING = 0.1
-AUC_BUCKETS = 256
 
 
 def _safe_div(a: Column, b: Column) -> Column:
@@ -117,8 +116,7 @@ def class_report(df: DataFrame, y: str, pred: Column, group: Sequence[str] = (),
     return cls_rows.unionByName(acc).unionByName(macro).unionByName(weighted)
 
 
-def roc_auc(df: DataFrame, y: str, p: str, group: Sequence[str] = (), buckets: int = AUC_BUCKETS,
-            bounded_groups: bool = False) -> DataFrame:
+def roc_auc(df: DataFrame, y: str, p: str, group: Sequence[str] = (), hot_rows: int = HOT_ROWS) -> DataFrame:
     """ROC AUC with average-rank ties, one row per group; null when a
     class is missing.
 
@@ -127,8 +125,9 @@ def roc_auc(df: DataFrame, y: str, p: str, group: Sequence[str] = (), buckets: i
     group = list(group)
     d = df.groupBy(*group, p).agg(F.sum(F.col(y).cast("long")).alias("_pos"),
                                   F.sum((1 - F.col(y)).cast("long")).alias("_neg"))
-    d = with_quantile_bucket(d, group, p, buckets, bounded_groups=bounded_groups)
-    d = running_totals(d, group, [p], F.col("_qbk"), sums={"_cn": F.col("_neg")})
+    # distinct scores in score order; groups above ``hot_rows`` distinct scores
+    # are split by approximate quantiles (see prefix.adaptive_running_totals)
+    d = adaptive_running_totals(d, group, [p], F.col(p), sums={"_cn": F.col("_neg")}, hot_rows=hot_rows)
     contrib = F.col("_pos").cast("double") * (F.col("_cn") - F.col("_neg") + F.col("_neg") * F.lit(0.5))
     agg = d.groupBy(*group).agg(F.sum(contrib).alias("_u"), F.sum("_pos").alias("_P"), F.sum("_neg").alias("_N"))
     auc = F.when((F.col("_P") > 0) & (F.col("_N") > 0),

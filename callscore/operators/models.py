@@ -158,7 +158,7 @@ def cv_summary(preds: DataFrame, label: str = "label_num") -> DataFrame:
     g = ["model", "fold"]
     cc = metrics.cell_counts(preds, label, metrics.predict("p"), g)
     s = metrics.summary_from_cells(cc, g).select(*g, F.col("accuracy").alias("acc"), F.col("f1_weighted").alias("f1"))
-    pf = s.join(metrics.roc_auc(preds, label, "p", g, bounded_groups=True), g)
+    pf = s.join(metrics.roc_auc(preds, label, "p", g), g)
     summ = metrics.fold_summary(pf, ["model"], ("acc", "f1", "auc"))
     from pyspark.sql import Window
     return summ.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("f1_mean"), F.asc("model"))))

@@ -118,3 +118,59 @@ def with_quantile_bucket(df: DataFrame, part: Sequence[str], value: str, k: int
         j = j.withColumn("_qbk", F.when(F.try_element_at("_qb", nxt) < F.col(value), nxt).otherwise(F.col("_qbk")))
         step >>= 1
     return j.drop("_qb", *extra)
+
+
+# ---------------------------------------------------------------- adaptive form
+HOT_ROWS = 1 << 20      # a key larger than this is split; smaller keys fit one task
+
+
+def _one_level(df: DataFrame, part: Sequence[str], order: Sequence[ColLike], sums: dict[str, Column],
+               rank: str | None, count: str | None) -> DataFrame:
+    w = Window.partitionBy(*part).orderBy(*[_c(o) for o in order]) if part else \
+        Window.orderBy(*[_c(o) for o in order])
+    out = df
+    if rank:
+        out = out.withColumn(rank, F.row_number().over(w) - F.lit(1))
+    for k, c in sums.items():
+        out = out.withColumn(k, F.sum(c).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    if count:
+        wa = Window.partitionBy(*part) if part else Window.partitionBy()
+        out = out.withColumn(count, F.count(F.lit(1)).over(wa))
+    return out
+
+
+def adaptive_running_totals(df: DataFrame, part: Sequence[str], order: Sequence[ColLike], value: ColLike,
+                            sums: dict[str, Column] | None = None, rank: str | None = None,
+                            count: str | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """``running_totals`` whose buckets adapt to the data.
+
+    One small aggregate counts rows per key. When no key exceeds ``hot_rows``
+    every key fits one task and a plain window is used (no extra shuffles).
+    Otherwise the hot keys are cut into ``ceil(max_rows / hot_rows)`` ranges
+    by approximate quantiles of ``value`` (a numeric column that is
+    non-decreasing in ``order``); small keys keep a single bucket."""
+    sums = dict(sums or {})
+    part = list(part)
+    v = _c(value)
+    st = (df.groupBy(*part) if part else df.groupBy()).agg(F.count(F.lit(1)).alias("_n"))
+    r = st.agg(F.max("_n").alias("mx"), F.count(F.when(F.col("_n") > hot_rows, 1)).alias("hot")).first()
+    if not r or not r["hot"]:
+        return _one_level(df, part, order, sums, rank, count)
+    k = min(1 << 20, -(-int(r["mx"]) // hot_rows) * 4)
+    d = df.withColumn("_qv", v)
+    if not part:
+        d = d.withColumn("_all", F.lit(0))
+    keys = part or ["_all"]
+    hot = st.filter(F.col("_n") > hot_rows).select(*part) if part else None
+    src = d.join(F.broadcast(hot) if int(r["hot"]) <= 10000 else hot, part, "left_semi") if part else d
+    qs = [i / k for i in range(1, k)]
+    bounds = src.groupBy(*keys).agg(F.percentile_approx("_qv", qs, max(10000, 4 * k)).alias("_qb"))
+    j = d.join(F.broadcast(bounds) if int(r["hot"]) <= 1000 else bounds, keys, "left")
+    j = j.withColumn("_qbk", F.lit(0))
+    step = 1 << max(0, (k - 2).bit_length())
+    while step >= 1:
+        nxt = F.col("_qbk") + F.lit(step)
+        j = j.withColumn("_qbk", F.when(F.try_element_at("_qb", nxt) < F.col("_qv"), nxt).otherwise(F.col("_qbk")))
+        step >>= 1
+    out = running_totals(j.drop("_qb"), part, order, F.col("_qbk"), sums=sums, rank=rank, count=count)
+    return out.drop("_qv", "_qbk", *([] if part else ["_all"]))

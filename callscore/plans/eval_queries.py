@@ -77,7 +77,7 @@ def q_class_report(spark, sf_dir):
 
 
 def q_roc_auc(spark, sf_dir):
-    return _r(metrics.roc_auc(_score_long(spark, sf_dir), "label_num", "p", ["score"], bounded_groups=True), ["auc"])
+    return _r(metrics.roc_auc(_score_long(spark, sf_dir), "label_num", "p", ["score"]), ["auc"])
 
 
 def q_log_loss(spark, sf_dir):

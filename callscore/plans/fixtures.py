@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.prefix import running_totals, time_bucket
+from ..operators.prefix import adaptive_running_totals
 
 DAY = 86400
 
@@ -31,7 +31,8 @@ def call_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value", "props")
     e = e.withColumn("event", F.when(F.col("event_type") == "purchase", "CALL_END").otherwise("CHUNK"))
     is_end = (F.col("event") == "CALL_END").cast("long")
-    e = running_totals(e, ["user_id"], ["ts", "event_id"], time_bucket("ts", DAY), sums={"_ends": is_end})
+    e = adaptive_running_totals(e, ["user_id"], ["ts", "event_id"], F.unix_micros(F.col("ts").cast("timestamp")),
+                                sums={"_ends": is_end})
     e = e.withColumn("session_no", F.col("_ends") - is_end)
     return e.select(
         F.concat(F.lit("call_"), F.col("user_id").cast("string"), F.lit("-"),
@@ -100,7 +101,8 @@ def file_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Framed signal keyed by (clip_id, frame_no) with a voice flag and level in dB."""
     e = table(spark, sf_dir, "events").select("user_id", "event_id", "ts", "value")
-    e = running_totals(e, ["user_id"], ["ts", "event_id"], time_bucket("ts", DAY), rank="frame_no")
+    e = adaptive_running_totals(e, ["user_id"], ["ts", "event_id"], F.unix_micros(F.col("ts").cast("timestamp")),
+                                rank="frame_no")
     return e.select(F.col("user_id").alias("clip_id"), "event_id", F.col("frame_no").cast("int"),
                     F.col("value").alias("x"), (F.col("value") > 35).alias("is_voiced"),
                     F.round(F.lit(10.0) * F.log10("value"), 6).alias("db"))

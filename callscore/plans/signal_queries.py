@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import signal
-from ..operators.prefix import running_totals, time_bucket
+from ..operators.prefix import adaptive_running_totals
 from . import fixtures as fx
 
 R = 6
@@ -19,7 +19,8 @@ def day_series(spark, sf_dir):
     """Per clip and day: position ``t`` (0-based) of each frame in its day series."""
     e = fx.table(spark, sf_dir, "events").select("user_id", "event_id", "ts", "value")
     e = e.withColumn("day", F.date_format(F.to_date("ts"), "yyyy-MM-dd"))
-    e = running_totals(e, ["user_id", "day"], ["ts", "event_id"], time_bucket("ts", 3600), rank="t")
+    e = adaptive_running_totals(e, ["user_id", "day"], ["ts", "event_id"],
+                                F.unix_micros(F.col("ts").cast("timestamp")), rank="t")
     return e.select(F.col("user_id").alias("clip_id"), "day", "event_id", F.col("t").cast("int").alias("t"),
                     F.col("value").alias("x"))
 

@@ -10,7 +10,7 @@ from callscore.functions import arrays as A
 from callscore.functions.scoring import decide, stand_in_text_prob, status
 from callscore.operators import calls, cleaning, metrics, segments, signal, splits
 from callscore.operators.halo import halo_window
-from callscore.operators.prefix import int_bucket, running_totals
+from callscore.operators.prefix import adaptive_running_totals, int_bucket, running_totals
 
 
 def test_ring_six_of_ten_stays_idle_seven_opens():
@@ -112,7 +112,7 @@ def test_auc_matches_pairwise_definition(spark):
     pos = [p for y, p in rows if y]
     neg = [p for y, p in rows if not y]
     want = sum((a > b) + 0.5 * (a == b) for a in pos for b in neg) / (len(pos) * len(neg))
-    got = metrics.roc_auc(df, "y", "p", buckets=4).first()["auc"]
+    got = metrics.roc_auc(df, "y", "p", hot_rows=5).first()["auc"]
     assert got == pytest.approx(want)
 
 
@@ -195,3 +195,24 @@ def test_class_report_rows(spark):
     rep = {r["row"]: r for r in metrics.class_report(df, "y", F.col("pred")).collect()}
     assert rep["Fraudulent"]["recall"] == 0.5 and rep["Non_Fraudulent"]["precision"] == pytest.approx(2 / 3)
     assert rep["accuracy"]["support"] == 0.75 and rep["macro avg"]["support"] == 4.0
+
+
+@pytest.mark.parametrize("hot", [40, 1 << 20])
+def test_adaptive_prefix_equals_window(spark, hot):
+    # key 0 is hot (a third of the rows plus), keys 1-9 small; ties in the bucket value
+    df = spark.range(1200).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 10).alias("k"), "id",
+                                  (F.col("id") / 7).cast("long").alias("t"), (F.col("id") % 5).alias("v"))
+    got = adaptive_running_totals(df, ["k"], ["t", "id"], F.col("t"), sums={"s": F.col("v")}, rank="r", count="n",
+                                  hot_rows=hot)
+    w = Window.partitionBy("k").orderBy("t", "id")
+    want = df.select("k", "id", F.sum("v").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("s"),
+                     (F.row_number().over(w) - 1).alias("r"), F.count(F.lit(1)).over(Window.partitionBy("k")).alias("n"))
+    a = sorted(tuple(r) for r in got.select("k", "id", "s", "r", "n").collect())
+    assert a == sorted(tuple(r) for r in want.collect())
+
+
+def test_adaptive_prefix_global_group(spark):
+    df = spark.range(300).select("id", ((F.col("id") * 17) % 101).cast("double").alias("p"))
+    got = adaptive_running_totals(df, [], ["p", "id"], F.col("p"), rank="r", hot_rows=50)
+    want = df.select("id", (F.row_number().over(Window.orderBy("p", "id")) - 1).alias("r"))
+    assert sorted(tuple(r) for r in got.select("id", "r").collect()) == sorted(tuple(r) for r in want.collect())
