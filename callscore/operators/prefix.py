@@ -139,25 +139,29 @@ def _one_level(df: DataFrame, part: Sequence[str], order: Sequence[ColLike], sum
     return out
 
 
-def adaptive_running_totals(df: DataFrame, part: Sequence[str], order: Sequence[ColLike], value: ColLike,
+def adaptive_running_totals(df: DataFrame, part: Sequence[str], order: Sequence[ColLike], value: ColLike | None,
                             sums: dict[str, Column] | None = None, rank: str | None = None,
-                            count: str | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
+                            count: str | None = None, hot_rows: int = HOT_ROWS,
+                            bucket: Column | None = None) -> DataFrame:
     """``running_totals`` whose buckets adapt to the data.
 
     One small aggregate counts rows per key. When no key exceeds ``hot_rows``
     every key fits one task and a plain window is used (no extra shuffles).
     Otherwise the hot keys are cut into ``ceil(max_rows / hot_rows)`` ranges
     by approximate quantiles of ``value`` (a numeric column that is
-    non-decreasing in ``order``); small keys keep a single bucket."""
+    non-decreasing in ``order``); small keys keep a single bucket. A caller
+    with a uniform monotone bucket of its own (hash digits) passes ``bucket``
+    instead, and it is used for the hot case."""
     sums = dict(sums or {})
     part = list(part)
-    v = _c(value)
     st = (df.groupBy(*part) if part else df.groupBy()).agg(F.count(F.lit(1)).alias("_n"))
     r = st.agg(F.max("_n").alias("mx"), F.count(F.when(F.col("_n") > hot_rows, 1)).alias("hot")).first()
     if not r or not r["hot"]:
         return _one_level(df, part, order, sums, rank, count)
+    if bucket is not None:
+        return running_totals(df, part, order, bucket, sums=sums, rank=rank, count=count)
     k = min(1 << 20, -(-int(r["mx"]) // hot_rows) * 4)
-    d = df.withColumn("_qv", v)
+    d = df.withColumn("_qv", _c(value))
     if not part:
         d = d.withColumn("_all", F.lit(0))
     keys = part or ["_all"]

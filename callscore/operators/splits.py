@@ -3,9 +3,10 @@ weights (W11, W12, A5, A6, J5).
 
 Rows are ordered inside each class by ``md5(id:seed)`` (deterministic and
 replay-safe). With two classes, ``row_number().over(partitionBy(label))``
-would run each class in a single task; instead the rank is computed in two
-levels with buckets taken from the leading hash digits, which are uniform,
-so every window partition is bounded (see ``prefix.running_totals``).
+would run each class in a single task; when a class is larger than one
+task should hold, the rank is computed in two levels with buckets taken
+from the leading hash digits, which are uniform, so every window partition
+is bounded (see ``prefix.adaptive_running_totals``).
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .prefix import hash_bucket, running_totals
+from .prefix import adaptive_running_totals, hash_bucket
 
 # ---- fixed values ----
 SEED = 42
@@ -28,7 +29,8 @@ def hash_key(id_col: str, seed: int = SEED) -> Column:
 def class_ranks(df: DataFrame, label: str, id_col: str, seed: int = SEED, digits: int = HASH_DIGITS) -> DataFrame:
     """Add ``_r`` (0-based rank in the class, hash order) and ``_n`` (class size)."""
     d = df.withColumn("_h", hash_key(id_col, seed))
-    return running_totals(d, [label], ["_h", id_col], hash_bucket("_h", digits), rank="_r", count="_n").drop("_h")
+    return adaptive_running_totals(d, [label], ["_h", id_col], None, rank="_r", count="_n",
+                                   bucket=hash_bucket("_h", digits)).drop("_h")
 
 
 def stratified_split(df: DataFrame, label: str = "label_num", id_col: str = "clip_id", seed: int = SEED) -> DataFrame:
@@ -49,7 +51,7 @@ def kfold(df: DataFrame, label: str = "label_num", id_col: str = "clip_id", k: i
     so no class-offset table is needed; the label must be an integer class id."""
     d = df.withColumn("_h", hash_key(id_col, seed))
     bucket = F.col(label).cast("long") * F.lit(16 ** digits) + hash_bucket("_h", digits)
-    d = running_totals(d, [], [label, "_h", id_col], bucket, rank="_g")
+    d = adaptive_running_totals(d, [], [label, "_h", id_col], None, rank="_g", bucket=bucket)
     return d.withColumn("fold", (F.col("_g") % k).cast("int")).drop("_h", "_g")
 
 

@@ -216,3 +216,15 @@ def test_adaptive_prefix_global_group(spark):
     got = adaptive_running_totals(df, [], ["p", "id"], F.col("p"), rank="r", hot_rows=50)
     want = df.select("id", (F.row_number().over(Window.orderBy("p", "id")) - 1).alias("r"))
     assert sorted(tuple(r) for r in got.select("id", "r").collect()) == sorted(tuple(r) for r in want.collect())
+
+
+def test_split_hot_path_equals_plain(spark):
+    from callscore.operators import prefix
+    df = spark.range(700).select(F.col("id").alias("clip_id"), (F.col("id") % 4 == 0).cast("int").alias("label_num"))
+    plain = sorted(tuple(r) for r in splits.kfold(df).collect())
+    # hot path: hash buckets forced by a tiny threshold
+    d = df.withColumn("_h", splits.hash_key("clip_id"))
+    got = prefix.adaptive_running_totals(d, [], ["label_num", "_h", "clip_id"], None, rank="_g", hot_rows=50,
+                                         bucket=F.col("label_num").cast("long") * 16 + prefix.hash_bucket("_h", 1))
+    got = sorted((r["clip_id"], r["label_num"], int(r["_g"] % 5)) for r in got.collect())
+    assert got == plain
