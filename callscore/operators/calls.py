@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scoring import stand_in_scores, status
 from ..functions.text import preview, strip_or_empty
-from .prefix import adaptive_running_totals, int_bucket, running_totals
+from .prefix import adaptive_running_totals, int_bucket
 
 # ---- fixed values ----
 RUNNING_CHARS = 512
@@ -39,8 +39,8 @@ def with_offsets(p: DataFrame, bucket_width: int = INDEX_BUCKET) -> DataFrame:
     """Add ``pos`` (0-based order in the call) and ``start`` (offset of the
     piece in the space-joined text)."""
     w = F.length("piece") + F.lit(1)
-    p = running_totals(p.withColumn("_w", w), ["call_id"], ["chunk_index"],
-                       int_bucket("chunk_index", bucket_width), sums={"_end": F.col("_w")}, rank="pos")
+    p = adaptive_running_totals(p.withColumn("_w", w), ["call_id"], ["chunk_index"], None,
+                                sums={"_end": F.col("_w")}, rank="pos", bucket=int_bucket("chunk_index", bucket_width))
     return p.withColumn("start", (F.col("_end") - F.col("_w")).cast("long")).drop("_end", "_w")
 
 

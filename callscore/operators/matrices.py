@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .prefix import int_bucket, running_totals
+from .prefix import adaptive_running_totals, int_bucket
 
 ORDER_BUCKET = 4096
 
@@ -42,5 +42,6 @@ def running_elementwise_mean(df: DataFrame, keys: Sequence[str], order: str, m:
     """Per key in ``order``, the mean of all matrices so far, as cells."""
     c = explode_cells(df, [*keys, order], m)
     part = [*keys, "i", "j"]
-    r = running_totals(c, part, [order], int_bucket(order, bucket_width), sums={"_s": F.col("v")}, rank="_r")
+    r = adaptive_running_totals(c, part, [order], None, sums={"_s": F.col("v")}, rank="_r",
+                                bucket=int_bucket(order, bucket_width))
     return r.select(order, *keys, "i", "j", (F.col("_s") / (F.col("_r") + 1)).alias("v"))

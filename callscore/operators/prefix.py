@@ -130,7 +130,7 @@ def _one_level(df: DataFrame, part: Sequence[str], order: Sequence[ColLike], sum
         Window.orderBy(*[_c(o) for o in order])
     out = df
     if rank:
-        out = out.withColumn(rank, F.row_number().over(w) - F.lit(1))
+        out = out.withColumn(rank, (F.row_number().over(w) - F.lit(1)).cast("long"))
     for k, c in sums.items():
         out = out.withColumn(k, F.sum(c).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     if count:
