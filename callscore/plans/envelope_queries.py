@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import calls
 from ..sources import envelope as env
 from . import fixtures as fx
-from .call_queries import _NUMBERED
+from .sqltext import strip_or_empty
 
 
 def _numbered_with_ts(spark, sf_dir):
@@ -59,9 +59,9 @@ QUERIES = {
 }
 
 _ISO = "strftime(ts, '%Y-%m-%dT%H:%M:%SZ')"
-_NTS = ("nt", """select call_id, event_id, ts, value, props, cast(row_number() over (partition by call_id order by ts, event_id) - 1
-  as int) as chunk_index, transcript from call_events where event <> 'CALL_END' and length(""" +
-        _NUMBERED[1].split("length(", 1)[1].rsplit(") > 0", 1)[0] + ") > 0")
+_NTS = ("nt", f"""select call_id, event_id, ts, value, props,
+  cast(row_number() over (partition by call_id order by ts, event_id) - 1 as int) as chunk_index, transcript
+  from call_events where event <> 'CALL_END' and length({strip_or_empty('transcript')}) > 0""")
 _RAW = ("raw", """select event_id as msg_offset, case when event_id % 50 = 0 then props
   when event_id % 50 = 1 then 'not json ' || props when event_id % 50 = 3 then null
   when event_id % 50 = 2 then '{"call_id":"' || call_id || '","chunk_index":"x' || cast(chunk_index as varchar)

@@ -177,10 +177,6 @@ _PF = [("pc", sq.cells("(select *, case when p > 0.5 then 1 else 0 end as pred f
 _CVCOLS = ", ".join(f"cv.{c}" for c in _CV)
 
 
-def _rs(cols, src):
-    return "select " + ", ".join(f"round({c}, 6) as {c}" if c in cols else c for c in src)
-
-
 ORACLE = {
     "stratified_split": fx.oracle(["scored"], "select clip_id, label_num, split from sp",
                                   _S, ("sp", sq.split("s"))),

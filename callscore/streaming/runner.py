@@ -40,12 +40,21 @@ def run_waves(spark: SparkSession, messages: DataFrame, build: Callable[[DataFra
                    "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     # availableNow + processing-time state timeouts would otherwise keep
     # scheduling no-data batches forever; a drained run needs none
-    prev = spark.conf.get("spark.sql.streaming.noDataMicroBatches.enabled", "true")
-    spark.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")
+    # state partitions are fixed by the first run of a checkpoint: size them to
+    # the cluster, not to whatever shuffle width the calling session uses
+    settings = {"spark.sql.streaming.noDataMicroBatches.enabled": "false",
+                "spark.sql.shuffle.partitions": str(max(1, spark.sparkContext.defaultParallelism))}
+    prev = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
     try:
         return _run(spark, messages, build, output_schema, name, wave_col, value_col, max_files_per_trigger, sink)
     finally:
-        spark.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", prev)
+        for k, v in prev.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
 
 
 def _run(spark, messages, build, output_schema, name, wave_col, value_col, max_files_per_trigger, sink):

@@ -228,3 +228,11 @@ def test_split_hot_path_equals_plain(spark):
                                          bucket=F.col("label_num").cast("long") * 16 + prefix.hash_bucket("_h", 1))
     got = sorted((r["clip_id"], r["label_num"], int(r["_g"] % 5)) for r in got.collect())
     assert got == plain
+
+
+def test_splits_partition_the_input(spark):
+    df = spark.range(400).select(F.col("id").alias("clip_id"), (F.col("id") % 5 == 0).cast("int").alias("label_num"))
+    sp = splits.stratified_split(df)
+    parts = [sp.filter(F.col("split") == x).select("clip_id", "label_num") for x in ("train", "val", "test")]
+    union = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    assert df.exceptAll(union).count() == 0 and union.exceptAll(df).count() == 0
