@@ -63,8 +63,10 @@ def per_class(cc: DataFrame, group: Sequence[str] = (), classes: Sequence[int] =
     return cc.select(*group, F.inline(F.array(*rows)))
 
 
-def summary_from_cells(cc: DataFrame, group: Sequence[str] = (), classes: Sequence[int] = CLASSES) -> DataFrame:
-    """accuracy, weighted F1, macro F1 and the binary P/R/F1 of class 1 per group."""
+def summary_from_cells(cc: DataFrame, group: Sequence[str] = (), classes: Sequence[int] = CLASSES,
+                       keep: Sequence[str] = ()) -> DataFrame:
+    """accuracy, weighted F1, macro F1 and the binary P/R/F1 of class 1 per group
+    (``keep`` columns are passed through)."""
     n = sum((F.col(f"c_{a}_{b}") for a in classes for b in classes), F.lit(0))
     correct = sum((F.col(f"c_{c}_{c}") for c in classes), F.lit(0))
     f1s, wsum = [], F.lit(0.0)
@@ -77,7 +79,7 @@ def summary_from_cells(cc: DataFrame, group: Sequence[str] = (), classes: Sequen
         wsum = wsum + sup * f1
     pos = [x for x in f1s if x[0] == classes[-1]][0]
     return cc.select(
-        *group,
+        *group, *keep,
         n.cast("long").alias("n"),
         _safe_div(correct, n).alias("accuracy"),
         _safe_div(wsum, n).alias("f1_weighted"),
@@ -116,23 +118,47 @@ def class_report(df: DataFrame, y: str, pred: Column, group: Sequence[str] = (),
     return cls_rows.unionByName(acc).unionByName(macro).unionByName(weighted)
 
 
-def roc_auc(df: DataFrame, y: str, p: str, group: Sequence[str] = (), hot_rows: int = HOT_ROWS) -> DataFrame:
-    """ROC AUC with average-rank ties, one row per group; null when a
-    class is missing.
+def score_counts(df: DataFrame, y: str, p: str, group: Sequence[str] = ()) -> DataFrame:
+    """(group, p, _pos, _neg): label counts per distinct score (a partial aggregate)."""
+    return df.groupBy(*group, p).agg(F.sum(F.col(y).cast("long")).alias("_pos"),
+                                     F.sum((1 - F.col(y)).cast("long")).alias("_neg"))
 
-    AUC = sum over distinct scores s of pos(s) * (neg(< s) + neg(s) / 2) / (P * N).
-    """
+
+def cells_from_counts(d: DataFrame, p: str, group: Sequence[str] = (), threshold: float = THRESHOLD) -> DataFrame:
+    """Binary cell counts ``c_<actual>_<pred>`` from a score-count table."""
+    hi = F.col(p) > threshold
+    return d.groupBy(*group).agg(
+        F.sum(F.when(hi, 0).otherwise(F.col("_neg"))).alias("c_0_0"), F.sum(F.when(hi, F.col("_neg")).otherwise(0)).alias("c_0_1"),
+        F.sum(F.when(hi, 0).otherwise(F.col("_pos"))).alias("c_1_0"), F.sum(F.when(hi, F.col("_pos")).otherwise(0)).alias("c_1_1"))
+
+
+def auc_from_counts(d: DataFrame, p: str, group: Sequence[str] = (), hot_rows: int = HOT_ROWS,
+                    max_rows: int | None = None, with_cells: bool = False, threshold: float = THRESHOLD) -> DataFrame:
+    """AUC = sum over distinct scores s of pos(s) * (neg(< s) + neg(s) / 2) / (P * N).
+
+    Distinct scores in score order; a group with more than ``hot_rows``
+    distinct scores is split by approximate quantiles (prefix.adaptive_running_totals).
+    ``with_cells`` adds the binary cell counts at ``threshold`` to the same aggregate."""
     group = list(group)
-    d = df.groupBy(*group, p).agg(F.sum(F.col(y).cast("long")).alias("_pos"),
-                                  F.sum((1 - F.col(y)).cast("long")).alias("_neg"))
-    # distinct scores in score order; groups above ``hot_rows`` distinct scores
-    # are split by approximate quantiles (see prefix.adaptive_running_totals)
-    d = adaptive_running_totals(d, group, [p], F.col(p), sums={"_cn": F.col("_neg")}, hot_rows=hot_rows)
+    d = adaptive_running_totals(d, group, [p], F.col(p), sums={"_cn": F.col("_neg")}, hot_rows=hot_rows,
+                                max_rows=max_rows)
     contrib = F.col("_pos").cast("double") * (F.col("_cn") - F.col("_neg") + F.col("_neg") * F.lit(0.5))
-    agg = d.groupBy(*group).agg(F.sum(contrib).alias("_u"), F.sum("_pos").alias("_P"), F.sum("_neg").alias("_N"))
+    hi = F.col(p) > threshold
+    cells = [F.sum(F.when(hi, 0).otherwise(F.col("_neg"))).alias("c_0_0"),
+             F.sum(F.when(hi, F.col("_neg")).otherwise(0)).alias("c_0_1"),
+             F.sum(F.when(hi, 0).otherwise(F.col("_pos"))).alias("c_1_0"),
+             F.sum(F.when(hi, F.col("_pos")).otherwise(0)).alias("c_1_1")] if with_cells else []
+    agg = d.groupBy(*group).agg(F.sum(contrib).alias("_u"), F.sum("_pos").alias("_P"), F.sum("_neg").alias("_N"),
+                                *cells)
     auc = F.when((F.col("_P") > 0) & (F.col("_N") > 0),
                  F.col("_u") / (F.col("_P").cast("double") * F.col("_N").cast("double")))
-    return agg.select(*group, auc.alias("auc"))
+    return agg.select(*group, auc.alias("auc"), *[f"c_{a}_{b}" for a in CLASSES for b in CLASSES if with_cells])
+
+
+def roc_auc(df: DataFrame, y: str, p: str, group: Sequence[str] = (), hot_rows: int = HOT_ROWS,
+            max_rows: int | None = None) -> DataFrame:
+    """ROC AUC with average-rank ties, one row per group; null when a class is missing."""
+    return auc_from_counts(score_counts(df, y, p, group), p, group, hot_rows, max_rows)
 
 
 def log_loss(df: DataFrame, y: str, p: str, group: Sequence[str] = (), eps: float = LOG_EPS,

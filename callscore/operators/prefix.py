@@ -142,7 +142,7 @@ def _one_level(df: DataFrame, part: Sequence[str], order: Sequence[ColLike], sum
 def adaptive_running_totals(df: DataFrame, part: Sequence[str], order: Sequence[ColLike], value: ColLike | None,
                             sums: dict[str, Column] | None = None, rank: str | None = None,
                             count: str | None = None, hot_rows: int = HOT_ROWS,
-                            bucket: Column | None = None) -> DataFrame:
+                            bucket: Column | None = None, max_rows: int | None = None) -> DataFrame:
     """``running_totals`` whose buckets adapt to the data.
 
     One small aggregate counts rows per key. When no key exceeds ``hot_rows``
@@ -151,9 +151,13 @@ def adaptive_running_totals(df: DataFrame, part: Sequence[str], order: Sequence[
     by approximate quantiles of ``value`` (a numeric column that is
     non-decreasing in ``order``); small keys keep a single bucket. A caller
     with a uniform monotone bucket of its own (hash digits) passes ``bucket``
-    instead, and it is used for the hot case."""
+    instead, and it is used for the hot case. ``max_rows`` is an upper bound
+    on the rows of any key that the caller already knows; when it is within
+    ``hot_rows`` no counting pass is needed."""
     sums = dict(sums or {})
     part = list(part)
+    if max_rows is not None and max_rows <= hot_rows:
+        return _one_level(df, part, order, sums, rank, count)
     st = (df.groupBy(*part) if part else df.groupBy()).agg(F.count(F.lit(1)).alias("_n"))
     r = st.agg(F.max("_n").alias("mx"), F.count(F.when(F.col("_n") > hot_rows, 1)).alias("hot")).first()
     if not r or not r["hot"]:

@@ -44,14 +44,14 @@ def stratified_split(df: DataFrame, label: str = "label_num", id_col: str = "cli
 
 
 def kfold(df: DataFrame, label: str = "label_num", id_col: str = "clip_id", k: int = N_FOLDS,
-          seed: int = SEED, digits: int = HASH_DIGITS) -> DataFrame:
+          seed: int = SEED, digits: int = HASH_DIGITS, max_rows: int | None = None) -> DataFrame:
     """fold = (rows in earlier classes + rank in class) mod k.
 
     One global two-level rank over (label, hash) gives exactly that number,
     so no class-offset table is needed; the label must be an integer class id."""
     d = df.withColumn("_h", hash_key(id_col, seed))
     bucket = F.col(label).cast("long") * F.lit(16 ** digits) + hash_bucket("_h", digits)
-    d = adaptive_running_totals(d, [], [label, "_h", id_col], None, rank="_g", bucket=bucket)
+    d = adaptive_running_totals(d, [], [label, "_h", id_col], None, rank="_g", bucket=bucket, max_rows=max_rows)
     return d.withColumn("fold", (F.col("_g") % k).cast("int")).drop("_h", "_g")
 
 
