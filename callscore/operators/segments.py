@@ -8,7 +8,9 @@ segment (trailing silence included) without clearing the ring, so the next
 segment may start inside the previous one. A segment still open at the end
 is not emitted (``flush_open`` changes that).
 
-Scale form. The state after any frame is fully described by
+Scale form. When every clip fits one bucket the machine simply runs once
+per clip (groups walked per partition). Otherwise: the state after any
+frame is fully described by
 (open?, m = ring length) and, when open, the first frame of the segment:
 the ring always holds the last m flags. So each bucket of a clip's frames
 is simulated from all 22 (open, m) start states in parallel (stage A),
@@ -168,11 +170,28 @@ def _emit(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(out, columns=cols)
 
 
+def _whole_clip(pdf: pd.DataFrame) -> pd.DataFrame:
+    pdf = pdf.sort_values("pos")
+    clip = int(pdf["clip_id"].iloc[0])
+    segs = sessionise(pdf["pos"].tolist(), pdf["v"].tolist())
+    return pd.DataFrame([(clip, i, a, b, n) for i, (a, b, n) in enumerate(segs)],
+                        columns=["clip_id", "seg", "f0", "frame_no", "n"])
+
+
 def voice_segments(frames: DataFrame, clip: str = "clip_id", pos: str = "frame_no", flag: str = "is_voiced",
-                   bucket_frames: int = BUCKET_FRAMES) -> DataFrame:
+                   bucket_frames: int = BUCKET_FRAMES, max_frames: int | None = None) -> DataFrame:
     """One row per closed segment (clip_id, seg, f0, frame_no = last frame, n).
 
-    ``pos`` must be a dense 0-based frame number inside each clip."""
+    ``pos`` must be a dense 0-based frame number inside each clip. When every
+    clip fits one bucket (``max_frames``, or one max-position aggregate), the
+    machine runs once per clip; otherwise the three-stage composition runs."""
+    if max_frames is None:
+        r = frames.agg(F.max(pos).alias("mx")).first()
+        max_frames = (int(r["mx"]) + 1) if r and r["mx"] is not None else 0
+    if max_frames <= bucket_frames:
+        f = frames.select(F.col(clip).cast("long").alias("clip_id"), F.col(pos).cast("long").alias("pos"),
+                          F.col(flag).cast("int").alias("v"))
+        return map_groups(f, ["clip_id"], ["pos"], _whole_clip, SEGMENT_SCHEMA)
     fb = _bucketed(frames, clip, pos, flag, bucket_frames)
     trans = map_groups(fb, ["clip_id", "b"], ["pos"], _transitions, TRANSITION_SCHEMA)
     starts = map_groups(trans, ["clip_id"], ["b"], _starts, START_SCHEMA)
