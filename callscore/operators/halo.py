@@ -31,14 +31,14 @@ def halo_window(df: DataFrame, keys: Sequence[str], pos: str, halo: int,
     keys = list(keys)
     b = F.floor(F.col(pos) / F.lit(bucket_rows)).cast("long")
     off = F.col(pos) - b * F.lit(bucket_rows)
-    core = df.withColumn("_hb", b).withColumn("_halo", F.lit(False))
-    parts = [core]
-    if halo > 0:
-        prev = df.filter(off >= bucket_rows - halo).withColumn("_hb", b + 1).withColumn("_halo", F.lit(True))
-        nxt = df.filter((off < halo) & (b > 0)).withColumn("_hb", b - 1).withColumn("_halo", F.lit(True))
-        parts += [prev, nxt]
-    u = parts[0]
-    for p in parts[1:]:
-        u = u.unionByName(p)
+    # one pass: every row emits its own bucket, plus a read-only copy for a
+    # neighbouring bucket when it lies within ``halo`` of the boundary
+    copies = F.array(
+        F.struct(b.alias("_hb"), F.lit(False).alias("_halo"), F.lit(True).alias("_keep")),
+        F.struct((b + 1).alias("_hb"), F.lit(True).alias("_halo"),
+                 ((F.lit(halo) > 0) & (off >= bucket_rows - halo)).alias("_keep")),
+        F.struct((b - 1).alias("_hb"), F.lit(True).alias("_halo"),
+                 ((F.lit(halo) > 0) & (off < halo) & (b > 0)).alias("_keep")))
+    u = df.select("*", F.inline(F.filter(copies, lambda c: c["_keep"]))).drop("_keep")
     w = Window.partitionBy(*keys, "_hb").orderBy(pos)
     return build(u, w).filter(~F.col("_halo")).drop("_hb", "_halo")

@@ -17,6 +17,7 @@ import json
 from collections.abc import Callable, Sequence
 
 import numpy as np
+import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, MultilayerPerceptronClassifier
 from pyspark.ml.feature import HashingTF, IDF, RegexTokenizer, StandardScaler, VectorAssembler
@@ -57,13 +58,10 @@ def stand_in_text_model(min_chars: int = 2):
     stand-in scorer): (len % 101) / 100, 0.5 for short or missing text."""
     def make():
         def predict(texts: np.ndarray) -> np.ndarray:
-            out = np.empty(len(texts), dtype=np.float64)
-            for i, t in enumerate(texts):
-                if t is None or len(str(t).strip()) < min_chars:
-                    out[i] = 0.5
-                else:
-                    out[i] = (len(t) % 101) / 100.0
-            return out
+            s = pd.Series(texts, dtype=object)
+            t = s.fillna("").astype(str)
+            short = s.isna().to_numpy() | (t.str.strip().str.len().to_numpy() < min_chars)
+            return np.where(short, 0.5, (t.str.len().to_numpy() % 101) / 100.0)
         return predict
     return make
 

@@ -101,9 +101,9 @@ def _bucketed(frames: DataFrame, clip: str, pos: str, flag: str, width: int) ->
                       F.col(flag).cast("int").alias("v"))
     b = F.floor(F.col("pos") / F.lit(width)).cast("long")
     off = F.col("pos") - b * F.lit(width)
-    core = f.withColumn("b", b).withColumn("halo", F.lit(False))
-    halo = f.filter(off >= width - RING).withColumn("b", b + 1).withColumn("halo", F.lit(True))
-    return core.unionByName(halo)
+    copies = F.array(F.struct(b.alias("b"), F.lit(False).alias("halo"), F.lit(True).alias("_keep")),
+                     F.struct((b + 1).alias("b"), F.lit(True).alias("halo"), (off >= width - RING).alias("_keep")))
+    return f.select("*", F.inline(F.filter(copies, lambda c: c["_keep"]))).drop("_keep")
 
 
 def _split(pdf: pd.DataFrame):
