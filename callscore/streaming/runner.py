@@ -68,11 +68,12 @@ def _run(spark, messages, build, output_schema, name, wave_col, value_col, max_f
         if max_files_per_trigger:
             reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
         stream = build(reader.load(f"{inp}/*"))
-        w = stream.writeStream.option("checkpointLocation", ckpt).outputMode("append").trigger(availableNow=True)
+        writer = stream.writeStream.option("checkpointLocation", ckpt).outputMode("append") \
+            .trigger(availableNow=True)
         if sink == "foreachBatch":
-            q = w.foreachBatch(idempotent_batch_writer(out)).start()
+            q = writer.foreachBatch(idempotent_batch_writer(out)).start()
         else:
-            q = w.format("parquet").option("path", out).start()
+            q = writer.format("parquet").option("path", out).start()
         q.awaitTermination()
         if q.exception() is not None:
             raise RuntimeError(str(q.exception()))
