@@ -173,6 +173,11 @@ def adaptive_running_totals(df: DataFrame, part: Sequence[str], order: Sequence[
     src = d.join(F.broadcast(hot) if int(r["hot"]) <= 10000 else hot, part, "left_semi") if part else d
     qs = [i / k for i in range(1, k)]
     bounds = src.groupBy(*keys).agg(F.percentile_approx("_qv", qs, max(10000, 4 * k)).alias("_qb"))
+    # approximate bounds may differ if recomputed after an executor loss; a
+    # reliable checkpoint (shared folder) pins one set for every task
+    from ..session import scratch_root
+    scratch_root(df.sparkSession)
+    bounds = bounds.checkpoint(eager=True)
     j = d.join(F.broadcast(bounds) if int(r["hot"]) <= 1000 else bounds, keys, "left")
     j = j.withColumn("_qbk", F.lit(0))
     step = 1 << max(0, (k - 2).bit_length())
