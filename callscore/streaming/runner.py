@@ -16,6 +16,9 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 
+# name -> state-store figures of the last wave of the last run (for reports)
+LAST_STATE: dict[str, dict] = {}
+
 
 def idempotent_batch_writer(path: str) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` sink that overwrites the folder of its batch id, so a
@@ -58,6 +61,7 @@ def run_waves(spark: SparkSession, messages: DataFrame, build: Callable[[DataFra
 
 
 def _run(spark, messages, build, output_schema, name, wave_col, value_col, max_files_per_trigger, sink):
+    LAST_STATE.pop(name, None)
     root = scratch_path(spark, name)
     inp, ckpt, out = f"{root}/input", f"{root}/checkpoint", f"{root}/output"
     waves = [r[0] for r in messages.select(wave_col).distinct().orderBy(wave_col).collect()]  # wave ids only
@@ -77,6 +81,11 @@ def _run(spark, messages, build, output_schema, name, wave_col, value_col, max_f
         q.awaitTermination()
         if q.exception() is not None:
             raise RuntimeError(str(q.exception()))
+        ops = [o for p in (q.recentProgress or []) for o in (p.get("stateOperators") or [])]
+        if ops:
+            last = ops[-len(q.recentProgress[-1].get("stateOperators") or [1]):]
+            LAST_STATE[name] = {"state_rows": sum(int(o.get("numRowsTotal", 0)) for o in last),
+                                "state_bytes": sum(int(o.get("memoryUsedBytes", 0)) for o in last)}
     if sink == "foreachBatch":
         return spark.read.schema(output_schema).option("basePath", out).parquet(f"{out}/batch_id=*") \
             if _exists(spark, out) else spark.createDataFrame([], output_schema)
