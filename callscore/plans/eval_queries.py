@@ -86,10 +86,14 @@ def q_log_loss(spark, sf_dir):
 
 
 def q_score_join(spark, sf_dir):
+    """Three modality score tables aligned by clip id; clips of error events
+    have no spectrogram score (failed audio), so that side is a left join."""
     s = fx.scored(spark, sf_dir)
+    ev = fx.table(spark, sf_dir, "events").select(F.col("event_id").alias("clip_id"), "event_type")
     bert = s.select("clip_id", F.col("p1").alias("bert_prob"))
     mfcc = s.select("clip_id", F.col("p2").alias("mfcc_prob"))
-    spec = s.filter(F.col("clip_id") % 7 != 0).select("clip_id", F.col("p3").alias("spec_prob"))
+    spec = s.join(ev.filter(F.col("event_type") != "error"), "clip_id", "left_semi") \
+        .select("clip_id", F.col("p3").alias("spec_prob"))
     return fusion.score_table(bert, mfcc, spec, s.select("clip_id", "label_num"), how="left")
 
 
@@ -219,8 +223,8 @@ ORACLE = {
       -(ln(q) + ln(1 - q)) / 2 as uni from (select *, least(greatest(p, 1e-15), 1 - 1e-15) as q from lg) a) b
   group by score, label_num) c group by score""", _S, _SF, _LONG),
     "score_join": fx.oracle(["scored"], """select s.clip_id, s.label_num, s.p1 as bert_prob, s.p2 as mfcc_prob,
-  t.p3 as spec_prob from scored s left join (select clip_id, p3 from scored where clip_id % 7 <> 0) t
-  on s.clip_id = t.clip_id"""),
+  t.p3 as spec_prob from scored s left join (select s2.clip_id, s2.p3 from scored s2 join events e
+  on s2.clip_id = e.event_id where e.event_type <> 'error') t on s.clip_id = t.clip_id"""),
     "ensemble_mean": fx.oracle(["scored"], """select clip_id, round(avg(p), 6) as spec_prob, count(*) as n_models from (
   select clip_id, p1 as p from scored union all select clip_id, p2 from scored union all select clip_id, p3 from scored) x
   group by clip_id"""),
