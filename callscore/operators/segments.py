@@ -91,7 +91,7 @@ def sessionise(positions: list[int], flags: list[int], flush_open: bool = False)
 # ------------------------------------------------------------- scale form
 TRANSITION_SCHEMA = ("clip_id long, b long, s_open boolean, s_m int, e_open boolean, e_m int, e_f0 long, "
                      "n_closes long")
-START_SCHEMA = "clip_id long, b long, st_open boolean, st_m int, st_f0 long, seg0 long"
+START_SCHEMA = "clip_id long, b long, st_open boolean, st_m int, st_f0 long, seg0 long, last boolean"
 
 
 def _bucketed(frames: DataFrame, clip: str, pos: str, flag: str, width: int) -> DataFrame:
@@ -140,8 +140,9 @@ def _starts(pdf: pd.DataFrame) -> pd.DataFrame:
     clip = int(pdf["clip_id"].iloc[0])
     open_, m, f0, seg = False, 0, NO_F0, 0
     out = []
-    for b in sorted({int(x) for x in pdf["b"]}):
-        out.append((clip, b, open_, m, f0, seg))
+    buckets = sorted({int(x) for x in pdf["b"]})
+    for b in buckets:
+        out.append((clip, b, open_, m, f0, seg, b == buckets[-1]))
         r = table[(b, open_, m)]
         seg += int(r.n_closes)
         if bool(r.e_open):
@@ -149,10 +150,10 @@ def _starts(pdf: pd.DataFrame) -> pd.DataFrame:
         else:
             f0 = NO_F0
         open_, m = bool(r.e_open), int(r.e_m)
-    return pd.DataFrame(out, columns=["clip_id", "b", "st_open", "st_m", "st_f0", "seg0"])
+    return pd.DataFrame(out, columns=["clip_id", "b", "st_open", "st_m", "st_f0", "seg0", "last"])
 
 
-def _emit(pdf: pd.DataFrame) -> pd.DataFrame:
+def _emit(pdf: pd.DataFrame, flush_open: bool = False) -> pd.DataFrame:
     halo, pos, v = _split(pdf)
     cols = ["clip_id", "seg", "f0", "frame_no", "n"]
     if not pos:
@@ -167,33 +168,38 @@ def _emit(pdf: pd.DataFrame) -> pd.DataFrame:
         if r:
             out.append((clip, seg, r[0], r[1], r[2]))
             seg += 1
+    if flush_open and m.open and bool(pdf["last"].iloc[0]):
+        out.append((clip, seg, m.f0, pos[-1], pos[-1] - m.f0 + 1))
     return pd.DataFrame(out, columns=cols)
 
 
-def _whole_clip(pdf: pd.DataFrame) -> pd.DataFrame:
+def _whole_clip(pdf: pd.DataFrame, flush_open: bool = False) -> pd.DataFrame:
     pdf = pdf.sort_values("pos")
     clip = int(pdf["clip_id"].iloc[0])
-    segs = sessionise(pdf["pos"].tolist(), pdf["v"].tolist())
+    segs = sessionise(pdf["pos"].tolist(), pdf["v"].tolist(), flush_open)
     return pd.DataFrame([(clip, i, a, b, n) for i, (a, b, n) in enumerate(segs)],
                         columns=["clip_id", "seg", "f0", "frame_no", "n"])
 
 
 def voice_segments(frames: DataFrame, clip: str = "clip_id", pos: str = "frame_no", flag: str = "is_voiced",
-                   bucket_frames: int = BUCKET_FRAMES, max_frames: int | None = None) -> DataFrame:
+                   bucket_frames: int = BUCKET_FRAMES, max_frames: int | None = None,
+                   flush_open: bool = False) -> DataFrame:
     """One row per closed segment (clip_id, seg, f0, frame_no = last frame, n).
 
     ``pos`` must be a dense 0-based frame number inside each clip. When every
     clip fits one bucket (``max_frames``, or one max-position aggregate), the
-    machine runs once per clip; otherwise the three-stage composition runs."""
+    machine runs once per clip; otherwise the three-stage composition runs.
+    ``flush_open`` also emits a segment still open at the clip's last frame."""
+    from functools import partial
     if max_frames is None:
         r = frames.agg(F.max(pos).alias("mx")).first()
         max_frames = (int(r["mx"]) + 1) if r and r["mx"] is not None else 0
     if max_frames <= bucket_frames:
         f = frames.select(F.col(clip).cast("long").alias("clip_id"), F.col(pos).cast("long").alias("pos"),
                           F.col(flag).cast("int").alias("v"))
-        return map_groups(f, ["clip_id"], ["pos"], _whole_clip, SEGMENT_SCHEMA)
+        return map_groups(f, ["clip_id"], ["pos"], partial(_whole_clip, flush_open=flush_open), SEGMENT_SCHEMA)
     fb = _bucketed(frames, clip, pos, flag, bucket_frames)
     trans = map_groups(fb, ["clip_id", "b"], ["pos"], _transitions, TRANSITION_SCHEMA)
     starts = map_groups(trans, ["clip_id"], ["b"], _starts, START_SCHEMA)
     j = fb.join(starts, ["clip_id", "b"])
-    return map_groups(j, ["clip_id", "b"], ["pos"], _emit, SEGMENT_SCHEMA)
+    return map_groups(j, ["clip_id", "b"], ["pos"], partial(_emit, flush_open=flush_open), SEGMENT_SCHEMA)

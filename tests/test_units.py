@@ -174,6 +174,13 @@ def test_sessioniser_bucketed_equals_sequential(spark):
     for bw in (13, 64, 1 << 16):
         got = sorted(tuple(r) for r in segments.voice_segments(df, bucket_frames=bw).collect())
         assert got == sorted(want)
+    flushed = []
+    for clip in range(4):
+        fl = [int(r[2]) for r in rows if r[0] == clip]
+        flushed += [(clip, i, *s) for i, s in enumerate(segments.sessionise(list(range(300)), fl, flush_open=True))]
+    for bw in (13, 1 << 16):
+        got = sorted(tuple(r) for r in segments.voice_segments(df, bucket_frames=bw, flush_open=True).collect())
+        assert got == sorted(flushed)
 
 
 def test_split_and_folds_invariants(spark):
