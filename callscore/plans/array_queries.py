@@ -140,9 +140,10 @@ QUERIES = {
 }
 
 # ------------------------------------------------------------------ twins
-_CELLS = ("select vec_id, i, j, round(r[i + 1][j + 1], 6) as v from (select vec_id, r, i, unnest(range(len(r[i + 1]))) "
+# "+ 0.0" turns a rounded -0.0 into 0.0, as Spark's decimal rounding does
+_CELLS = ("select vec_id, i, j, round(r[i + 1][j + 1], 6) + 0.0 as v from (select vec_id, r, i, unnest(range(len(r[i + 1]))) "
           "as j from (select vec_id, r, unnest(range(len(r))) as i from {src}) a) b")
-_CELLS1 = "select vec_id, k, round(y[k + 1], 6) as v from (select vec_id, y, unnest(range(len(y))) as k from {src}) a"
+_CELLS1 = "select vec_id, k, round(y[k + 1], 6) + 0.0 as v from (select vec_id, y, unnest(range(len(y))) as k from {src}) a"
 
 
 def _cells(src):

@@ -86,11 +86,11 @@ ORACLE = {
     "rolling_voiced": fx.oracle(["frames"], """select clip_id, frame_no,
   cast(sum(case when is_voiced then 1 else 0 end) over (partition by clip_id order by frame_no
   rows between 9 preceding and current row) as bigint) as n_voiced from frames"""),
-    "delta": fx.oracle(["frames"], f"select clip_id, frame_no, round({_delta_sql('arr', 8, 'frame_no', 'n', 9, 1)}, 6)"
+    "delta": fx.oracle(["frames"], f"select clip_id, frame_no, round({_delta_sql('arr', 8, 'frame_no', 'n', 9, 1)}, 6) + 0.0"
                                    " as delta from fa", _FN, _DA),
-    "delta2": fx.oracle(["frames"], f"select clip_id, frame_no, round({_delta_sql('arr', 8, 'frame_no', 'n', 9, 2)}, 6)"
+    "delta2": fx.oracle(["frames"], f"select clip_id, frame_no, round({_delta_sql('arr', 8, 'frame_no', 'n', 9, 2)}, 6) + 0.0"
                                     " as delta2 from fa", _FN, _DA),
-    "delta_adaptive": fx.oracle([], f"select clip_id, day, t, width, round({_ADAPT}, 6) as delta from sa", _SD, _SDA),
+    "delta_adaptive": fx.oracle([], f"select clip_id, day, t, width, round({_ADAPT}, 6) + 0.0 as delta from sa", _SD, _SDA),
     "silence_trim": fx.oracle(["frames"], """select f.clip_id, f.frame_no from frames f join (
   select f.clip_id, min(frame_no) filter (where db > mx - 30.0) as lo, max(frame_no) filter (where db > mx - 30.0) as hi
   from frames f join (select clip_id, max(db) as mx from frames group by clip_id) m on f.clip_id = m.clip_id
