@@ -16,6 +16,7 @@ the timeout is evicted with an ``expired`` row.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -48,7 +49,16 @@ def _mean(s, cols, n):
     return (np.asarray(s) / n).reshape(-1, cols).tolist()
 
 
-def process_call(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+def _arm(state: GroupState, ms: int, event_idle_ms: int | None, last_event_ms: int | None) -> None:
+    """Processing-time mode: a duration. Event-time mode: last event + idle limit."""
+    if event_idle_ms is None:
+        state.setTimeoutDuration(ms)
+    elif last_event_ms is not None:
+        state.setTimeoutTimestamp(max(last_event_ms + event_idle_ms, state.getCurrentWatermarkMs() + 1))
+
+
+def process_call(key, pdfs: Iterator[pd.DataFrame], state: GroupState,
+                 event_idle_ms: int | None = None) -> Iterator[pd.DataFrame]:
     call_id = key[0]
     cols = ["kind", "call_id", "chunk_index", "n_segments", "text", "mfcc", "spec"]
     if state.hasTimedOut:
@@ -57,6 +67,10 @@ def process_call(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterat
             n = st[2]
             yield pd.DataFrame([("expired", call_id, None, n, (st[3] or "")[:FINAL_CHARS],
                                  _mean(st[4], st[5], n), _mean(st[6], st[7], n))], columns=cols)
+            if event_idle_ms is not None:  # keep a tombstone so late chunks cannot re-open it
+                state.update((True, st[1], n, None, None, None, None, None))
+                state.setTimeoutTimestamp(state.getCurrentWatermarkMs() + TOMBSTONE_MS)
+                return
         state.remove()
         return
     if state.exists:
@@ -66,6 +80,9 @@ def process_call(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterat
     else:
         closed, last_index, n, text, msum, mcols, ssum, scols = False, -1, 0, "", None, None, None, None
     batch = pd.concat(list(pdfs), ignore_index=True)
+    last_event_ms = None
+    if "event_time" in batch and batch["event_time"].notna().any():
+        last_event_ms = int(pd.to_datetime(batch["event_time"]).max().value // 1_000_000)
     # chunks in index order, end markers after the chunks of the same batch
     batch["_o"] = (batch["kind"] == "end").astype(int)
     batch = batch.sort_values(["_o", "chunk_no"], kind="stable")
@@ -98,22 +115,33 @@ def process_call(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterat
                     _mean(ssum, scols, n)))
     if ended:
         state.update((True, last_index, n, None, None, None, None, None))
-        state.setTimeoutDuration(TOMBSTONE_MS)
+        _arm(state, TOMBSTONE_MS, None if event_idle_ms is None else TOMBSTONE_MS, last_event_ms)
     elif n > 0 or closed:
         state.update((closed, last_index, n, text,
                       None if msum is None else msum.tolist(), mcols,
                       None if ssum is None else ssum.tolist(), scols))
-        state.setTimeoutDuration(TOMBSTONE_MS if closed else IDLE_TIMEOUT_MS)
+        _arm(state, TOMBSTONE_MS if closed else IDLE_TIMEOUT_MS,
+             None if event_idle_ms is None else (TOMBSTONE_MS if closed else event_idle_ms), last_event_ms)
     if out:
         yield pd.DataFrame(out, columns=cols)
 
 
-def call_states(decoded: DataFrame) -> DataFrame:
-    """T1-T4 on a decoded message stream (``sources.envelope.decode``)."""
+def call_states(decoded: DataFrame, watermark: str | None = None, event_idle_ms: int | None = None) -> DataFrame:
+    """T1-T4 on a decoded message stream (``sources.envelope.decode``).
+
+    By default idle calls are evicted after a processing-time timeout. With
+    ``watermark`` (e.g. "10 minutes") and ``event_idle_ms`` the stream gets an
+    event-time watermark and a call expires once the watermark passes its last
+    event plus the idle limit (an ``expired`` row, then a tombstone)."""
     valid, _ = split_valid(decoded)
-    v = valid.select("call_id", "kind", "chunk_no", "transcript", "mfcc", "spectrogram")
-    return v.groupBy("call_id").applyInPandasWithState(
-        process_call, OUTPUT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.ProcessingTimeTimeout)
+    v = valid.select("call_id", "kind", "chunk_no", "transcript", "mfcc", "spectrogram", "event_time")
+    if watermark:
+        v = v.withWatermark("event_time", watermark)
+        fn, timeout = partial(process_call, event_idle_ms=event_idle_ms or IDLE_TIMEOUT_MS), \
+            GroupStateTimeout.EventTimeTimeout
+    else:
+        fn, timeout = process_call, GroupStateTimeout.ProcessingTimeTimeout
+    return v.groupBy("call_id").applyInPandasWithState(fn, OUTPUT_SCHEMA, STATE_SCHEMA, "append", timeout)
 
 
 def with_decisions(rows: DataFrame) -> DataFrame:

@@ -68,3 +68,22 @@ def test_foreach_batch_sink_is_idempotent(spark):
     out = run_waves(spark, _msgs(spark, rows), build, scalls.OUTPUT_SCHEMA, "t_feb", sink="foreachBatch").collect()
     kinds = sorted(r["kind"] for r in out)
     assert kinds == ["final", "running", "running"]
+
+
+def test_event_time_expiry_and_tombstone(spark):
+    def chunk_at(cid, i, t, ts):
+        return (f'{{"call_id":"{cid}","chunk_index":{i},"event":"CHUNK","transcript":"{t}",'
+                f'"start_timestamp":"{ts}"}}')
+    rows = [
+        (0, chunk_at("a", 0, "hi", "2024-01-01T00:00:00Z")),
+        (0, chunk_at("b", 0, "yo", "2024-01-01T00:00:00Z")),
+        (1, chunk_at("b", 1, "still", "2024-01-01T03:00:00Z")),   # moves the watermark past a's idle limit
+        (2, chunk_at("b", 2, "here", "2024-01-01T03:10:00Z")),
+        (3, chunk_at("a", 1, "late", "2024-01-01T03:20:00Z")),    # a already expired: tombstoned
+    ]
+    build = lambda s: scalls.call_states(env.decode(s), watermark="1 minute", event_idle_ms=3600 * 1000)
+    out = run_waves(spark, _msgs(spark, rows), build, scalls.OUTPUT_SCHEMA, "t_event_time").collect()
+    expired = [(r["call_id"], r["text"]) for r in out if r["kind"] == "expired"]
+    assert expired == [("a", "hi")]
+    assert not [r for r in out if r["call_id"] == "a" and r["kind"] == "running" and r["chunk_index"] == 1]
+    assert sorted(r["chunk_index"] for r in out if r["call_id"] == "b" and r["kind"] == "running") == [0, 1, 2]
