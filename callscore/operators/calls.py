@@ -120,7 +120,10 @@ def end_markers(events: DataFrame) -> DataFrame:
 
 def orphan_ends(events: DataFrame) -> DataFrame:
     """End markers of calls that never produced a chunk."""
-    return end_markers(events).join(number_chunks(events).select("call_id"), "call_id", "left_anti")
+    # distinct first: a partial aggregate collapses a hot call's chunks before the shuffle
+    started = events.filter((F.col("event") != END_EVENT) & (F.length(strip_or_empty("transcript")) > 0)) \
+        .select("call_id").distinct()
+    return end_markers(events).join(started, "call_id", "left_anti")
 
 
 def ended_calls(events: DataFrame, limit: int = FINAL_CHARS) -> DataFrame:

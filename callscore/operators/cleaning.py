@@ -52,12 +52,12 @@ def with_labels(df: DataFrame, col: str = "label") -> DataFrame:
 
 def existing(df: DataFrame, listing: DataFrame, path_col: str = "audio_path") -> DataFrame:
     """Keep rows whose file is in the listing (``left_semi``)."""
-    return df.join(listing.select(F.col("path").alias(path_col)), path_col, "left_semi")
+    return df.join(listing.select(F.col("path").alias(path_col)).distinct(), path_col, "left_semi")
 
 
 def missing(df: DataFrame, listing: DataFrame, path_col: str = "audio_path") -> DataFrame:
     """Rows whose file is absent (``left_anti``)."""
-    return df.join(listing.select(F.col("path").alias(path_col)), path_col, "left_anti")
+    return df.join(listing.select(F.col("path").alias(path_col)).distinct(), path_col, "left_anti")
 
 
 def duration_gate(df: DataFrame, col: str = "duration_sec") -> DataFrame:
