@@ -83,43 +83,6 @@ def hash_bucket(hex_col: ColLike, digits: int = 4) -> Column:
     return F.conv(F.substring(_c(hex_col), 1, digits), 16, 10).cast("long")
 
 
-def time_bucket(ts_col: ColLike, seconds: int = 3600) -> Column:
-    """Bucket for a timestamp order key: whole ``seconds`` since the epoch."""
-    return F.floor(F.unix_micros(_c(ts_col).cast("timestamp")) / F.lit(seconds * 1_000_000)).cast("long")
-
-
-def with_quantile_bucket(df: DataFrame, part: Sequence[str], value: str, k: int = 256,
-                         accuracy: int = 10000, bounded_groups: bool = False) -> DataFrame:
-    """Add ``_qbk``: index of the approximate ``k``-quantile range holding ``value``.
-
-    Bounds come from ``percentile_approx`` (a mergeable sketch, one small
-    row per key). The bounds table is broadcast only when the caller knows
-    the number of keys is structurally small (``bounded_groups``); otherwise
-    AQE decides from its runtime size.
-    """
-    part = list(part)
-    extra = []
-    if not part:  # one global group: a constant key keeps it an equi-join
-        df = df.withColumn("_all", F.lit(0))
-        part, extra, bounded_groups = ["_all"], ["_all"], True
-    qs = [i / k for i in range(1, k)]
-    bounds = df.groupBy(*part).agg(F.percentile_approx(value, qs, accuracy).alias("_qb"))
-    bounds = bounds.select(*[F.col(p).alias(f"_q_{i}") for i, p in enumerate(part)], "_qb")
-    if bounded_groups:
-        bounds = F.broadcast(bounds)
-    cond = [df[p].eqNullSafe(bounds[f"_q_{i}"]) for i, p in enumerate(part)]
-    j = df.join(bounds, cond).drop(*[f"_q_{i}" for i in range(len(part))])
-    # number of bounds below the value = binary search over the sorted bounds,
-    # as a fixed chain of plain columns (codegen, no per-bound lambda)
-    j = j.withColumn("_qbk", F.lit(0))
-    step = 1 << max(0, (k - 2).bit_length())
-    while step >= 1:
-        nxt = F.col("_qbk") + F.lit(step)
-        j = j.withColumn("_qbk", F.when(F.try_element_at("_qb", nxt) < F.col(value), nxt).otherwise(F.col("_qbk")))
-        step >>= 1
-    return j.drop("_qb", *extra)
-
-
 # ---------------------------------------------------------------- adaptive form
 HOT_ROWS = 1 << 20      # a key larger than this is split; smaller keys fit one task
 

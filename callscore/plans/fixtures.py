@@ -12,8 +12,6 @@ from pyspark.sql import functions as F
 
 from ..operators.prefix import adaptive_running_totals
 
-DAY = 86400
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

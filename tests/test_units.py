@@ -243,3 +243,21 @@ def test_splits_partition_the_input(spark):
     parts = [sp.filter(F.col("split") == x).select("clip_id", "label_num") for x in ("train", "val", "test")]
     union = parts[0].unionByName(parts[1]).unionByName(parts[2])
     assert df.exceptAll(union).count() == 0 and union.exceptAll(df).count() == 0
+
+
+def test_matrix_reassembly_and_1d_helpers(spark):
+    from callscore.operators import matrices
+    df = spark.createDataFrame([(1, [[1.0, 2.0], [3.0, 4.0]]), (1, [[3.0, 2.0], [1.0, 0.0]])], "k int, m array<array<double>>")
+    mean = matrices.assemble(matrices.elementwise_mean(df, ["k"], "m"), ["k"]).first()["m"]
+    assert mean == [[2.0, 2.0], [2.0, 2.0]]
+    y = spark.createDataFrame([([1.0, 2.0, 3.0],)], "y array<double>")
+    r = y.select(A.pad_or_cut_1d("y", 5).alias("p"), A.pad_or_cut_1d("y", 2).alias("c"),
+                 cleaning.cut_samples("y", sr=1).alias("s")).first()
+    assert r["p"] == [1.0, 2.0, 3.0, 0.0, 0.0] and r["c"] == [1.0, 2.0] and r["s"] == [1.0, 2.0, 3.0]
+
+
+def test_cells_from_counts_match_cell_counts(spark):
+    df = spark.range(300).select((F.col("id") % 3 == 0).cast("int").alias("y"), ((F.col("id") * 7) % 10 / 10.0).alias("p"))
+    a = metrics.cells_from_counts(metrics.score_counts(df, "y", "p"), "p").first()
+    b = metrics.cell_counts(df, "y", metrics.predict("p")).first()
+    assert [a[f"c_{i}_{j}"] for i in (0, 1) for j in (0, 1)] == [b[f"c_{i}_{j}"] for i in (0, 1) for j in (0, 1)]
