@@ -28,6 +28,12 @@ def q_envelope_roundtrip(spark, sf_dir):
                     F.decode(env.unb64("audio_b64"), "UTF-8").alias("payload"))
 
 
+def q_producer_log_lines(spark, sf_dir):
+    ev, ch = _numbered_with_ts(spark, sf_dir)
+    timing = env.timing_map(F.col("value"), F.col("value") * 2, F.col("value") * 3)
+    return ch.select("call_id", "chunk_index", env.producer_log("chunk_index", "transcript", timing).alias("line"))
+
+
 def raw_messages(spark, sf_dir):
     """Delivered message text with a share of broken deliveries (offset = event_id)."""
     ev, ch = _numbered_with_ts(spark, sf_dir)
@@ -56,6 +62,7 @@ def q_quarantine(spark, sf_dir):
 QUERIES = {
     "envelope_roundtrip": q_envelope_roundtrip,
     "quarantine": q_quarantine,
+    "producer_log_lines": q_producer_log_lines,
 }
 
 _ISO = "strftime(ts, '%Y-%m-%dT%H:%M:%SZ')"
@@ -72,7 +79,13 @@ _RAW = ("raw", """select event_id as msg_offset, case when event_id % 50 = 0 the
   when event_id % 50 = 3 then null else '{"call_id":"' || call_id || '","event":"CALL_END"}' end
   from call_events where event = 'CALL_END'""")
 
+_MS = "cast(round({}, 2) as varchar)"
+
 ORACLE = {
+    "producer_log_lines": fx.oracle(["call_events"], "select call_id, chunk_index, 'Chunk ' || cast(chunk_index as varchar)"
+                                    " || ' : Transcript: ' || transcript || chr(10) || 'feature_ms=' || "
+                                    + _MS.format("value") + " || ' | transcribe_ms=' || " + _MS.format("value * 2")
+                                    + " || ' | total_ms=' || " + _MS.format("value * 3") + " as line from nt", _NTS),
     "envelope_roundtrip": fx.oracle(["call_events"], f"""select call_id, 'chunk' as kind, chunk_index, 'CHUNK' as event,
   {_ISO} as start_timestamp, null::varchar as timestamp, transcript, round(value * 3, 2) as total_ms,
   transcript as payload from nt

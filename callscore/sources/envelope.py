@@ -123,3 +123,19 @@ def b64(col) -> Column:
 
 def unb64(col) -> Column:
     return F.unbase64(F.col(col) if isinstance(col, str) else col)
+
+
+def producer_log(chunk_index, transcript, timing) -> Column:
+    """The producer's two-line log for a sent chunk (timings at 2 decimals)."""
+    t = F.col(timing) if isinstance(timing, str) else timing
+    ms = lambda k: t[k].cast("string")
+    return F.concat(F.lit("Chunk "), F.col(chunk_index).cast("string"), F.lit(" : Transcript: "), F.col(transcript),
+                    F.lit("\nfeature_ms="), ms("feature_ms"), F.lit(" | transcribe_ms="), ms("transcribe_ms"),
+                    F.lit(" | total_ms="), ms("total_ms"))
+
+
+def observe_envelope(decoded: DataFrame, name: str = "envelope") -> DataFrame:
+    """A14 on a stream: rows read and quarantined per micro-batch, published in
+    the query progress (``observedMetrics``) without another pass."""
+    return decoded.observe(name, F.count(F.lit(1)).alias("rows"),
+                           F.count(quarantine_reason()).alias("quarantined"))

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..operators.calls import FINAL_CHARS, RUNNING_CHARS
-from ..sources.envelope import split_valid
+from ..sources.envelope import observe_envelope, split_valid
 
 OUTPUT_SCHEMA = ("kind string, call_id string, chunk_index int, n_segments long, text string, "
                  "mfcc array<array<double>>, spec array<array<double>>")
@@ -133,7 +133,7 @@ def call_states(decoded: DataFrame, watermark: str | None = None, event_idle_ms:
     ``watermark`` (e.g. "10 minutes") and ``event_idle_ms`` the stream gets an
     event-time watermark and a call expires once the watermark passes its last
     event plus the idle limit (an ``expired`` row, then a tombstone)."""
-    valid, _ = split_valid(decoded)
+    valid, _ = split_valid(observe_envelope(decoded))
     v = valid.select("call_id", "kind", "chunk_no", "transcript", "mfcc", "spectrogram", "event_time")
     if watermark:
         v = v.withWatermark("event_time", watermark)

@@ -81,17 +81,30 @@ def _run(spark, messages, build, output_schema, name, wave_col, value_col, max_f
         q.awaitTermination()
         if q.exception() is not None:
             raise RuntimeError(str(q.exception()))
+        obs = [p.get("observedMetrics") or {} for p in (q.recentProgress or [])]
         ops = [o for p in (q.recentProgress or []) for o in (p.get("stateOperators") or [])]
         if ops:
             last = ops[-len(q.recentProgress[-1].get("stateOperators") or [1]):]
+            prev = LAST_STATE.get(name, {})
             LAST_STATE[name] = {"state_rows": sum(int(o.get("numRowsTotal", 0)) for o in last),
-                                "state_bytes": sum(int(o.get("memoryUsedBytes", 0)) for o in last)}
+                                "state_bytes": sum(int(o.get("memoryUsedBytes", 0)) for o in last),
+                                "rows_read": prev.get("rows_read", 0) + sum(_metric(m, "rows") for m in obs),
+                                "quarantined": prev.get("quarantined", 0) + sum(_metric(m, "quarantined") for m in obs)}
     if sink == "foreachBatch":
         return spark.read.schema(output_schema).option("basePath", out).parquet(f"{out}/batch_id=*") \
             if _exists(spark, out) else spark.createDataFrame([], output_schema)
     return spark.read.schema(output_schema).parquet(out)
 
 
+def _metric(observed, field: str, name: str = "envelope") -> int:
+    """One counter of an observed-metrics row (a Row per observation name)."""
+    try:
+        r = observed[name]
+        return int(r[field] or 0)
+    except (KeyError, TypeError, ValueError, IndexError):
+        return 0
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)

@@ -87,3 +87,11 @@ def test_event_time_expiry_and_tombstone(spark):
     assert expired == [("a", "hi")]
     assert not [r for r in out if r["call_id"] == "a" and r["kind"] == "running" and r["chunk_index"] == 1]
     assert sorted(r["chunk_index"] for r in out if r["call_id"] == "b" and r["kind"] == "running") == [0, 1, 2]
+
+
+def test_observed_envelope_counters(spark):
+    from callscore.streaming.runner import LAST_STATE
+    rows = [(0, _chunk("q", 0, "a")), (0, "not json"), (1, '{"call_id":"q","chunk_index":"x"}'), (1, _end("q"))]
+    _run(spark, rows, "t_observe")
+    st = LAST_STATE["t_observe"]
+    assert st["rows_read"] == 4 and st["quarantined"] == 2
