@@ -37,6 +37,7 @@ OPEN_ABOVE = 6      # voiced count in the ring that opens (> 6 of 10)
 CLOSE_ABOVE = 6     # unvoiced count in the ring that closes
 
 BUCKET_FRAMES = 1 << 16
+MAX_BUCKETS_PER_CLIP = 200_000   # bounds the per-clip transition table (22 rows per bucket)
 NO_F0 = -1
 
 SEGMENT_SCHEMA = "clip_id long, seg long, f0 long, frame_no long, n long"
@@ -198,6 +199,8 @@ def voice_segments(frames: DataFrame, clip: str = "clip_id", pos: str = "frame_n
         f = frames.select(F.col(clip).cast("long").alias("clip_id"), F.col(pos).cast("long").alias("pos"),
                           F.col(flag).cast("int").alias("v"))
         return map_groups(f, ["clip_id"], ["pos"], partial(_whole_clip, flush_open=flush_open), SEGMENT_SCHEMA)
+    # huge clips get wider buckets so the per-clip pass stays bounded
+    bucket_frames = max(bucket_frames, -(-max_frames // MAX_BUCKETS_PER_CLIP))
     fb = _bucketed(frames, clip, pos, flag, bucket_frames)
     trans = map_groups(fb, ["clip_id", "b"], ["pos"], _transitions, TRANSITION_SCHEMA)
     starts = map_groups(trans, ["clip_id"], ["b"], _starts, START_SCHEMA)
