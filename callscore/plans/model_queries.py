@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.text import clean_text
+from ..functions.text import clean_text, label_num
 from ..operators import calls, fusion, metrics, models, splits
 from ..session import scratch_path
 from . import call_queries
@@ -28,7 +28,7 @@ def q_udf_scoring(spark, sf_dir):
 def q_text_model_eval(spark, sf_dir):
     lt = fx.labelled_text(spark, sf_dir).select("doc_id", "label",
                                                 clean_text("transcription").alias("text"))
-    lt = lt.withColumn("label_num", F.when(F.lower(F.trim("label")).startswith("fraud"), 1).otherwise(0))
+    lt = lt.withColumn("label_num", label_num("label"))
     sp = splits.stratified_split(lt, id_col="doc_id")
     train = models.weighted(sp.filter(F.col("split") == "train"))
     model = models.text_classifier().fit(train)
