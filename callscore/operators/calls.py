@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scoring import stand_in_scores, status
 from ..functions.text import preview, strip_or_empty
-from .prefix import adaptive_running_totals, int_bucket
+from .prefix import HOT_ROWS, adaptive_running_totals, int_bucket
 
 # ---- fixed values ----
 RUNNING_CHARS = 512
@@ -35,12 +35,13 @@ def pieces(chunks: DataFrame) -> DataFrame:
     return chunks.select("call_id", "chunk_index", strip_or_empty("transcript").alias("piece"))
 
 
-def with_offsets(p: DataFrame, bucket_width: int = INDEX_BUCKET) -> DataFrame:
+def with_offsets(p: DataFrame, bucket_width: int = INDEX_BUCKET, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Add ``pos`` (0-based order in the call) and ``start`` (offset of the
     piece in the space-joined text)."""
     w = F.length("piece") + F.lit(1)
     p = adaptive_running_totals(p.withColumn("_w", w), ["call_id"], ["chunk_index"], None,
-                                sums={"_end": F.col("_w")}, rank="pos", bucket=int_bucket("chunk_index", bucket_width))
+                                sums={"_end": F.col("_w")}, rank="pos", bucket=int_bucket("chunk_index", bucket_width),
+                                hot_rows=hot_rows)
     return p.withColumn("start", (F.col("_end") - F.col("_w")).cast("long")).drop("_end", "_w")
 
 
@@ -50,9 +51,10 @@ def _cut(limit: int):
     return F.col("piece").substr(F.lit(1), n)
 
 
-def final_text(chunks: DataFrame, limit: int = FINAL_CHARS) -> DataFrame:
+def final_text(chunks: DataFrame, limit: int = FINAL_CHARS, hot_rows: int = HOT_ROWS,
+               bucket_width: int = INDEX_BUCKET) -> DataFrame:
     """A2 + A3: one row per call with ``n_segments`` and the text cut to ``limit``."""
-    p = with_offsets(pieces(chunks))
+    p = with_offsets(pieces(chunks), bucket_width, hot_rows)
     head = F.when(F.col("start") <= limit, F.struct(F.col("chunk_index").alias("i"), _cut(limit).alias("t")))
     agg = p.groupBy("call_id").agg(F.count(F.lit(1)).alias("n_segments"),
                                    F.collect_list(head).alias("_h"))
@@ -60,9 +62,10 @@ def final_text(chunks: DataFrame, limit: int = FINAL_CHARS) -> DataFrame:
     return agg.select("call_id", "n_segments", F.substring(txt, 1, limit).alias("full_text"))
 
 
-def running_text(chunks: DataFrame, limit: int = RUNNING_CHARS) -> DataFrame:
+def running_text(chunks: DataFrame, limit: int = RUNNING_CHARS, hot_rows: int = HOT_ROWS,
+                 bucket_width: int = INDEX_BUCKET) -> DataFrame:
     """Per chunk, the call's text so far cut to ``limit`` (plus ``n_segments``)."""
-    p = with_offsets(pieces(chunks))
+    p = with_offsets(pieces(chunks), bucket_width, hot_rows)
     w = Window.partitionBy("call_id").orderBy("chunk_index").rowsBetween(Window.unboundedPreceding, 0)
     head = p.filter(F.col("start") <= limit).withColumn("_cut", _cut(limit))
     head = head.withColumn("running_text",

@@ -261,3 +261,13 @@ def test_cells_from_counts_match_cell_counts(spark):
     a = metrics.cells_from_counts(metrics.score_counts(df, "y", "p"), "p").first()
     b = metrics.cell_counts(df, "y", metrics.predict("p")).first()
     assert [a[f"c_{i}_{j}"] for i in (0, 1) for j in (0, 1)] == [b[f"c_{i}_{j}"] for i in (0, 1) for j in (0, 1)]
+
+
+def test_transcripts_hot_call_path_equals_plain(spark):
+    # one call with 400 chunks (hot when the threshold is 50), plus small calls
+    rows = [(1, i, ("w%d " % i) * (i % 4)) for i in range(400)] + [(c, i, "x" * i) for c in range(2, 6) for i in range(5)]
+    df = spark.createDataFrame(rows, "call_id long, chunk_index int, transcript string")
+    for fn, lim in ((calls.final_text, 2048), (calls.running_text, 512)):
+        plain = sorted(tuple(r) for r in fn(df, lim).collect())
+        hot = sorted(tuple(r) for r in fn(df, lim, hot_rows=50, bucket_width=16).collect())
+        assert hot == plain
