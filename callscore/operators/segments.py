@@ -199,8 +199,9 @@ def voice_segments(frames: DataFrame, clip: str = "clip_id", pos: str = "frame_n
         f = frames.select(F.col(clip).cast("long").alias("clip_id"), F.col(pos).cast("long").alias("pos"),
                           F.col(flag).cast("int").alias("v"))
         return map_groups(f, ["clip_id"], ["pos"], partial(_whole_clip, flush_open=flush_open), SEGMENT_SCHEMA)
+    # a bucket must hold at least a full ring (its halo comes from one bucket);
     # huge clips get wider buckets so the per-clip pass stays bounded
-    bucket_frames = max(bucket_frames, -(-max_frames // MAX_BUCKETS_PER_CLIP))
+    bucket_frames = max(bucket_frames, RING, -(-max_frames // MAX_BUCKETS_PER_CLIP))
     fb = _bucketed(frames, clip, pos, flag, bucket_frames)
     trans = map_groups(fb, ["clip_id", "b"], ["pos"], _transitions, TRANSITION_SCHEMA)
     starts = map_groups(trans, ["clip_id"], ["b"], _starts, START_SCHEMA)

@@ -171,7 +171,7 @@ def test_sessioniser_bucketed_equals_sequential(spark):
     for clip in range(4):
         fl = [int(r[2]) for r in rows if r[0] == clip]
         want += [(clip, i, *s) for i, s in enumerate(segments.sessionise(list(range(300)), fl))]
-    for bw in (13, 64, 1 << 16):
+    for bw in (7, 13, 64, 1 << 16):
         got = sorted(tuple(r) for r in segments.voice_segments(df, bucket_frames=bw).collect())
         assert got == sorted(want)
     flushed = []
