@@ -31,8 +31,12 @@ INDEX_BUCKET = 4096      # chunk indexes per prefix bucket
 
 
 def pieces(chunks: DataFrame) -> DataFrame:
-    """(call_id, chunk_index, piece): stripped transcript, null as ""."""
-    return chunks.select("call_id", "chunk_index", strip_or_empty("transcript").alias("piece"))
+    """(call_id, chunk_index, piece): stripped transcript, null as "".
+
+    A redelivered (call_id, chunk_index) counts once, as in the stream (the
+    least text wins, so the choice is deterministic)."""
+    p = chunks.select("call_id", "chunk_index", strip_or_empty("transcript").alias("piece"))
+    return p.groupBy("call_id", "chunk_index").agg(F.min("piece").alias("piece"))
 
 
 def with_offsets(p: DataFrame, bucket_width: int = INDEX_BUCKET, hot_rows: int = HOT_ROWS) -> DataFrame:

@@ -271,3 +271,10 @@ def test_transcripts_hot_call_path_equals_plain(spark):
         plain = sorted(tuple(r) for r in fn(df, lim).collect())
         hot = sorted(tuple(r) for r in fn(df, lim, hot_rows=50, bucket_width=16).collect())
         assert hot == plain
+
+
+def test_redelivered_chunk_counts_once_in_batch(spark):
+    df = spark.createDataFrame([(1, 0, "a"), (1, 1, "b"), (1, 1, "b"), (1, 2, "c")],
+                               "call_id long, chunk_index int, transcript string")
+    r = calls.final_text(df).first()
+    assert r["n_segments"] == 3 and r["full_text"] == "a b c"
