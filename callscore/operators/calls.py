@@ -93,6 +93,11 @@ def call_final(chunks: DataFrame) -> DataFrame:
     return decisions(final_text(chunks), "full_text")
 
 
+def call_final_hot(chunks: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """``call_final`` with an explicit hot-key threshold (calls above it use index ranges)."""
+    return decisions(final_text(chunks, hot_rows=hot_rows), "full_text")
+
+
 def call_running(chunks: DataFrame) -> DataFrame:
     return decisions(running_text(chunks), "running_text")
 

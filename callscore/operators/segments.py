@@ -8,8 +8,8 @@ segment (trailing silence included) without clearing the ring, so the next
 segment may start inside the previous one. A segment still open at the end
 is not emitted (``flush_open`` changes that).
 
-Scale form. When every clip fits one bucket the machine simply runs once
-per clip (groups walked per partition). Otherwise: the state after any
+Scale form. Clips that fit one bucket run the machine in one sequential
+pass per sorted partition. For larger clips: the state after any
 frame is fully described by
 (open?, m = ring length) and, when open, the first frame of the segment:
 the ring always holds the last m flags. So each bucket of a clip's frames
@@ -174,12 +174,44 @@ def _emit(pdf: pd.DataFrame, flush_open: bool = False) -> pd.DataFrame:
     return pd.DataFrame(out, columns=cols)
 
 
-def _whole_clip(pdf: pd.DataFrame, flush_open: bool = False) -> pd.DataFrame:
-    pdf = pdf.sort_values("pos")
-    clip = int(pdf["clip_id"].iloc[0])
-    segs = sessionise(pdf["pos"].tolist(), pdf["v"].tolist(), flush_open)
-    return pd.DataFrame([(clip, i, a, b, n) for i, (a, b, n) in enumerate(segs)],
-                        columns=["clip_id", "seg", "f0", "frame_no", "n"])
+def _sessionise_partitions(it):
+    """Partition sorted by (clip, pos): one loop, the machine resets at each clip
+    boundary and carries across Arrow batches (no per-group Python call)."""
+    clip, m, seg = None, None, 0
+    cols = ["clip_id", "seg", "f0", "frame_no", "n"]
+    for pdf in it:
+        out = []
+        for c, p, v in zip(pdf["clip_id"].tolist(), pdf["pos"].tolist(), pdf["v"].tolist()):
+            if c != clip:
+                clip, m, seg = c, VadMachine(), 0
+            r = m.step(p, v)
+            if r:
+                out.append((c, seg, r[0], r[1], r[2]))
+                seg += 1
+        if out:
+            yield pd.DataFrame(out, columns=cols)
+
+
+def _sessionise_partitions_flush(it):
+    """As ``_sessionise_partitions`` but also emits a segment open at a clip's end."""
+    clip, m, seg, last = None, None, 0, None
+    cols = ["clip_id", "seg", "f0", "frame_no", "n"]
+    for pdf in it:
+        out = []
+        for c, p, v in zip(pdf["clip_id"].tolist(), pdf["pos"].tolist(), pdf["v"].tolist()):
+            if c != clip:
+                if m is not None and m.open:
+                    out.append((clip, seg, m.f0, last, last - m.f0 + 1))
+                clip, m, seg = c, VadMachine(), 0
+            r = m.step(p, v)
+            last = p
+            if r:
+                out.append((c, seg, r[0], r[1], r[2]))
+                seg += 1
+        if out:
+            yield pd.DataFrame(out, columns=cols)
+    if m is not None and m.open:
+        yield pd.DataFrame([(clip, seg, m.f0, last, last - m.f0 + 1)], columns=cols)
 
 
 def voice_segments(frames: DataFrame, clip: str = "clip_id", pos: str = "frame_no", flag: str = "is_voiced",
@@ -187,23 +219,41 @@ def voice_segments(frames: DataFrame, clip: str = "clip_id", pos: str = "frame_n
                    flush_open: bool = False) -> DataFrame:
     """One row per closed segment (clip_id, seg, f0, frame_no = last frame, n).
 
-    ``pos`` must be a dense 0-based frame number inside each clip. When every
-    clip fits one bucket (``max_frames``, or one max-position aggregate), the
-    machine runs once per clip; otherwise the three-stage composition runs.
-    ``flush_open`` also emits a segment still open at the clip's last frame."""
+    ``pos`` must be a dense 0-based frame number inside each clip. Clips that
+    fit one bucket run the machine in one sequential pass per sorted
+    partition; only clips larger than a bucket (found by one per-clip
+    aggregate) take the three-stage composition. ``flush_open`` also emits a
+    segment still open at the clip's last frame."""
     from functools import partial
+
+    from .splits import checked_broadcast
+
+    bucket_frames = max(bucket_frames, RING)
+    f = frames.select(F.col(clip).cast("long").alias("clip_id"), F.col(pos).cast("long").alias("pos"),
+                      F.col(flag).cast("int").alias("v"))
+    sizes = f.groupBy("clip_id").agg((F.max("pos") + 1).alias("_n"))
     if max_frames is None:
-        r = frames.agg(F.max(pos).alias("mx")).first()
-        max_frames = (int(r["mx"]) + 1) if r and r["mx"] is not None else 0
-    if max_frames <= bucket_frames:
-        f = frames.select(F.col(clip).cast("long").alias("clip_id"), F.col(pos).cast("long").alias("pos"),
-                          F.col(flag).cast("int").alias("v"))
-        return map_groups(f, ["clip_id"], ["pos"], partial(_whole_clip, flush_open=flush_open), SEGMENT_SCHEMA)
+        r = sizes.agg(F.max("_n").alias("mx"), F.count(F.when(F.col("_n") > bucket_frames, 1)).alias("big")).first()
+        max_frames, n_big = (int(r["mx"] or 0), int(r["big"] or 0)) if r else (0, 0)
+    else:
+        n_big = 1 if max_frames > bucket_frames else 0
+    run = _sessionise_partitions_flush if flush_open else _sessionise_partitions
+
+    def one_pass(d):
+        return d.repartition("clip_id").sortWithinPartitions("clip_id", "pos").mapInPandas(run, SEGMENT_SCHEMA)
+
+    if n_big == 0:
+        return one_pass(f)
+    big = sizes.filter(F.col("_n") > bucket_frames).select("clip_id")
+    big = checked_broadcast(big)
+    small_out = one_pass(f.join(big, "clip_id", "left_anti"))
+    fb_src = frames.join(big.withColumnRenamed("clip_id", clip), clip, "left_semi")
     # a bucket must hold at least a full ring (its halo comes from one bucket);
     # huge clips get wider buckets so the per-clip pass stays bounded
-    bucket_frames = max(bucket_frames, RING, -(-max_frames // MAX_BUCKETS_PER_CLIP))
-    fb = _bucketed(frames, clip, pos, flag, bucket_frames)
+    bucket_frames = max(bucket_frames, -(-max_frames // MAX_BUCKETS_PER_CLIP))
+    fb = _bucketed(fb_src, clip, pos, flag, bucket_frames)
     trans = map_groups(fb, ["clip_id", "b"], ["pos"], _transitions, TRANSITION_SCHEMA)
     starts = map_groups(trans, ["clip_id"], ["b"], _starts, START_SCHEMA)
     j = fb.join(starts, ["clip_id", "b"])
-    return map_groups(j, ["clip_id", "b"], ["pos"], partial(_emit, flush_open=flush_open), SEGMENT_SCHEMA)
+    big_out = map_groups(j, ["clip_id", "b"], ["pos"], partial(_emit, flush_open=flush_open), SEGMENT_SCHEMA)
+    return small_out.unionByName(big_out)

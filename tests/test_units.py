@@ -278,3 +278,23 @@ def test_redelivered_chunk_counts_once_in_batch(spark):
                                "call_id long, chunk_index int, transcript string")
     r = calls.final_text(df).first()
     assert r["n_segments"] == 3 and r["full_text"] == "a b c"
+
+
+def test_sessioniser_mixed_routing(spark):
+    import random
+    rnd = random.Random(3)
+    rows, lengths = [], {0: 400, 1: 30, 2: 45, 3: 12}
+    for clip, n in lengths.items():
+        v = 0
+        for i in range(n):
+            if rnd.random() < 0.2:
+                v = 1 - v
+            rows.append((clip, i, bool(v)))
+    df = spark.createDataFrame(rows, "clip_id long, frame_no long, is_voiced boolean")
+    for flush in (False, True):
+        want = []
+        for clip, n in lengths.items():
+            fl = [int(r[2]) for r in rows if r[0] == clip]
+            want += [(clip, i, *s) for i, s in enumerate(segments.sessionise(list(range(n)), fl, flush_open=flush))]
+        got = sorted(tuple(r) for r in segments.voice_segments(df, bucket_frames=64, flush_open=flush).collect())
+        assert got == sorted(want)
