@@ -29,6 +29,8 @@ DEFAULT_CONF = {
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # commit only the state changes each batch (large state, frequent commits)
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 

@@ -46,6 +46,7 @@ def run_waves(spark: SparkSession, messages: DataFrame, build: Callable[[DataFra
     # state partitions are fixed by the first run of a checkpoint: size them to
     # the cluster, not to whatever shuffle width the calling session uses
     settings = {"spark.sql.streaming.noDataMicroBatches.enabled": "false",
+                "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
                 "spark.sql.shuffle.partitions": str(max(1, spark.sparkContext.defaultParallelism))}
     prev = {k: spark.conf.get(k, None) for k in settings}
     for k, v in settings.items():
