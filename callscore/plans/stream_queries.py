@@ -16,7 +16,7 @@ from . import call_queries, segment_queries
 from . import fixtures as fx
 
 CHUNK_WAVE = 3        # chunk indexes per arrival wave
-MAX_WAVES = 4         # chunk waves; later chunks share the last one (sorted in-batch)
+MAX_WAVES = 4         # arrival waves per replay; later input shares the last one (sorted in-batch)
 END_WAVE = 1 << 30
 FRAME_WAVE = 25
 
@@ -45,7 +45,8 @@ def event_messages(spark, sf_dir):
     chunks numbered per call, end markers in time order; waves of 8 days."""
     ev = fx.call_events(spark, sf_dir)
     ch = number_chunks(ev)
-    day = F.floor(F.datediff(F.to_date("ts"), F.lit("2024-01-01")) / 8)
+    # 8-day waves, the last one open-ended so the number of restarts stays bounded
+    day = F.least(F.floor(F.datediff(F.to_date("ts"), F.lit("2024-01-01")) / 8), F.lit(MAX_WAVES - 1))
     msgs = ch.select(day.alias("wave"), env.chunk_message(F.col("call_id"), F.col("chunk_index"), F.col("transcript"),
                                                           F.col("ts")).alias("value"))
     ends = calls.end_markers(ev).select(day.alias("wave"), env.end_message(F.col("call_id"), F.col("ts")).alias("value"))
@@ -87,7 +88,7 @@ def q_stream_orphan_ends(spark, sf_dir):
 
 def q_stream_segments(spark, sf_dir):
     fr = fx.frames(spark, sf_dir)
-    msgs = fr.select(F.floor(F.col("frame_no") / FRAME_WAVE).alias("wave"),
+    msgs = fr.select(F.least(F.floor(F.col("frame_no") / FRAME_WAVE), F.lit(MAX_WAVES - 1)).alias("wave"),
                      F.to_json(F.struct("clip_id", "frame_no", "is_voiced")).alias("value"))
     return run_waves(spark, msgs, ssegs.segment_stream, ssegs.SEGMENT_SCHEMA, "stream_segments")
 
