@@ -1,0 +1 @@
+"""Column expressions: text, scoring and array/matrix functions (JVM-side)."""

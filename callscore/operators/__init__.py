@@ -1,0 +1 @@
+"""DataFrame operators and the skew-safe building blocks (prefix, halo, grouped)."""

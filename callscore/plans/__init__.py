@@ -1,0 +1 @@
+"""Fixture views, registered queries, DuckDB twins and the comparison harness."""

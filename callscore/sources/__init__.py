@@ -1,0 +1 @@
+"""Table and message sources/sinks."""

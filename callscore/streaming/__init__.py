@@ -1,0 +1 @@
+"""Structured Streaming: keyed call state, streaming sessioniser, wave replay."""
