@@ -298,3 +298,15 @@ def test_sessioniser_mixed_routing(spark):
             want += [(clip, i, *s) for i, s in enumerate(segments.sessionise(list(range(n)), fl, flush_open=flush))]
         got = sorted(tuple(r) for r in segments.voice_segments(df, bucket_frames=64, flush_open=flush).collect())
         assert got == sorted(want)
+
+
+def test_class_weight_join_and_checked_broadcast(spark):
+    df = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(40)], "clip_id long, label_num int")
+    w = {r["label_num"]: r["weight"] for r in splits.with_class_weight(df).select("label_num", "weight").distinct().collect()}
+    # balanced: n / (k * n_c) -> 40 / (2 * 10) and 40 / (2 * 30)
+    assert w[1] == pytest.approx(2.0) and w[0] == pytest.approx(40 / 60)
+    small = spark.range(5)
+    assert "ResolvedHint" in splits.checked_broadcast(small, 10)._jdf.queryExecution().analyzed().toString() \
+        or "broadcast" in splits.checked_broadcast(small, 10)._jdf.queryExecution().logical().toString().lower()
+    big = spark.range(50)
+    assert splits.checked_broadcast(big, 10) is big
