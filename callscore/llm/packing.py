@@ -146,15 +146,10 @@ def _packer(definition, capacity: int, end_id: int, max_open: int) -> Callable:
         schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("doc_tokens", pa.int64()),
                             ("sequence_id", pa.int64()), ("offset", pa.int64()), ("ids", pa.binary())])
 
-        def docs():
-            for batch in batches:
-                ids, texts = batch.column(0), batch.column(1)
-                for i in range(batch.num_rows):
-                    yield ids[i].as_py(), encode(texts[i].as_py()) + end
-
+        docs = ((doc_id, ids + end) for doc_id, ids in encode.stream(batches))
         first = TaskContext.get().partitionId() << 40
         rows, size = [], 0
-        for row in pack_pieces(docs(), capacity, max_open, first):
+        for row in pack_pieces(docs, capacity, max_open, first):
             rows.append(row)
             size += len(row[6])
             if size >= FLUSH_BYTES:

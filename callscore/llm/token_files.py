@@ -39,7 +39,7 @@ HAS_CHECKSUM = 0x80
 
 #: a file is closed once its ids take this many bytes before compression
 FILE_BYTES = 8 << 20
-LEVEL = 3
+LEVEL = 1
 
 
 def _checksum(raw: bytes) -> int:
@@ -127,13 +127,11 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
         compressor = zstandard.ZstdCompressor(level=LEVEL, write_checksum=True, write_content_size=True)
         row = lambda f: pa.RecordBatch.from_arrays([pa.array([f.close()[:-4]], pa.binary())], ["content"])
         file = _File(compressor)
-        for batch in batches:
-            ids, texts = batch.column(0), batch.column(1)
-            for i in range(batch.num_rows):
-                file.add(ids[i].as_py(), encode(texts[i].as_py()) + end)
-                if file.raw >= file_bytes:
-                    yield row(file)
-                    file = _File(compressor)
+        for doc_id, ids in encode.stream(batches):
+            file.add(doc_id, ids + end)
+            if file.raw >= file_bytes:
+                yield row(file)
+                file = _File(compressor)
         if file.docs:
             yield row(file)
 
