@@ -130,3 +130,86 @@ m AS (
   FROM p LEFT JOIN r ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path))
 SELECT page_id, host, path, rule, coalesce(rule_verdict, '{URL_DEFAULT}') AS verdict FROM m WHERE rank = 1
 """
+
+_quoted = lambda p: "'" + p.replace("'", "''") + "'"
+
+
+def _matches(kind: int, pattern: str, also: str = "true") -> str:
+    """doc_id, kind, run, s, e of all matches, placed by the gaps between them."""
+    p = _quoted(pattern)
+    return f"""SELECT doc_id, {kind} AS kind, run, e - length(run) AS s, e FROM (
+    SELECT doc_id, run, sum(length(gap) + length(run)) OVER (PARTITION BY doc_id ORDER BY i) AS e FROM (
+      SELECT doc_id, unnest(found) AS run, unnest(gaps[1:len(found)]) AS gap, generate_subscripts(found, 1) AS i FROM (
+        SELECT doc_id, regexp_extract_all(text, {p}) AS found, string_split_regex(text, {p}) AS gaps FROM t) WHERE len(found) > 0)) WHERE {also}"""
+
+
+_NAMES = "[" + ", ".join(f"'{k}'" for k in secrets.KINDS) + "]"
+_JOINED = f"string_agg(({_NAMES})[kind + 1] || ':' || CAST(s AS VARCHAR) || ':' || CAST(e AS VARCHAR), ',' ORDER BY s, kind, e)"
+_CLASS = "CASE " + " ".join(f"WHEN regexp_matches(run, {_quoted(p)}) THEN {'NULL' if b is None else round(b * 1_000_000)}" for _, p, b in secrets.CLASSES) + " END"
+_ALLOWED = " OR ".join(f"regexp_matches(run, {_quoted(p)})" for p in secrets.ALLOW)
+
+ORACLE["op6_secret_scan"] = f"""
+WITH t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+base AS (
+  {_matches(0, secrets.ASSIGN, f"length(regexp_extract(run, {_quoted(secrets.ASSIGN)}, 1)) >= {secrets.ASSIGN_VALUE}")}
+  UNION ALL {_matches(1, secrets.ACCESS)}
+  UNION ALL {_matches(2, secrets.HEX)}),
+runs AS (
+  SELECT r.*, {_CLASS} AS least_bits FROM ({_matches(3, secrets.CANDIDATE)}) r
+  WHERE NOT ({_ALLOWED}) AND NOT EXISTS (SELECT 1 FROM base b WHERE b.doc_id = r.doc_id AND b.s < r.e AND b.e > r.s)),
+chars AS (SELECT doc_id, s, k, unnest(string_split(substr(run, k, {secrets.WINDOW}), '')) AS ch FROM (
+  SELECT doc_id, s, run, unnest(range(1, length(run) - {secrets.WINDOW} + 2)) AS k FROM runs WHERE least_bits IS NOT NULL)),
+sums AS (SELECT doc_id, s, k, sum(({list(secrets._CLOG)})[n + 1]) AS total FROM (
+  SELECT doc_id, s, k, ch, count(*) AS n FROM chars GROUP BY ALL) GROUP BY ALL),
+found AS (SELECT r.doc_id, r.kind, r.s, r.e FROM runs r JOIN (SELECT doc_id, s, min(total) AS total FROM sums GROUP BY ALL) m
+  ON r.doc_id = m.doc_id AND r.s = m.s WHERE 4321928 - floor(total / {secrets.WINDOW}) >= least_bits),
+every AS (SELECT doc_id, kind, s, e FROM base UNION ALL SELECT * FROM found)
+SELECT t.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+  sha256(coalesce(base_spans, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM t LEFT JOIN (SELECT doc_id, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access, count(*) FILTER (kind = 2) AS n_hex,
+    {_JOINED.replace(" ORDER BY", " ORDER BY")} AS spans FROM every GROUP BY doc_id) a ON t.doc_id = a.doc_id
+  LEFT JOIN (SELECT doc_id, {_JOINED} AS base_spans FROM base GROUP BY doc_id) b ON t.doc_id = b.doc_id
+"""
+
+
+def _apportioned(name: str, source: str, group: str, item: str) -> str:
+    """CTEs that add ``seats`` to ``source`` (columns ``exact``) as ``mixing.apportion`` does."""
+    return f"""{name}_1 AS (SELECT *, CAST(floor(exact + 0.5) AS BIGINT) AS base, CAST(round(sum(exact) OVER g) AS BIGINT) AS total, count(*) OVER g AS n
+  FROM {source} WINDOW g AS (PARTITION BY {group})),
+{name}_2 AS (SELECT *, total - sum(base) OVER (PARTITION BY {group}) AS gap FROM {name}_1),
+{name}_3 AS (SELECT *, unnest(range(1, CAST(ceil(exact * (abs(gap) + n) / greatest(total, 1)) AS BIGINT) + 2)) AS try FROM {name}_2 WHERE gap <> 0),
+{name}_4 AS (SELECT *, CASE WHEN gap > 0 THEN base + try ELSE base + 1 - try END AS seat FROM {name}_3),
+{name}_5 AS (SELECT *, row_number() OVER (PARTITION BY {group} ORDER BY CASE WHEN gap > 0 THEN -exact / (2 * seat - 1) ELSE exact / (2 * seat - 1) END, {item}, seat) AS rank
+  FROM {name}_4 WHERE seat >= 1),
+{name} AS (SELECT a.*, greatest(base + coalesce(moved, 0), 0) AS seats FROM {name}_2 a LEFT JOIN (
+  SELECT {group}, {item}, sum(sign(gap)) AS moved FROM {name}_5 WHERE rank <= abs(gap) GROUP BY ALL) m USING ({group}, {item}))"""
+
+
+_HEX = lambda h: f"CAST('0x' || substr({h}, 1, 8) AS BIGINT)"
+ORACLE["op9_mixing"] = f"""
+WITH d AS (SELECT doc_id, source, coalesce('s' || source, 'null') AS k,
+    len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS size FROM documents),
+h AS (SELECT *, md5('7:' || coalesce(CAST(doc_id AS VARCHAR), 'null') || ':' || CAST(size AS VARCHAR)) AS h,
+    (SELECT greatest(1, (count(*) + {mixing.SHARD_ROWS} - 1) // {mixing.SHARD_ROWS}) FROM documents) AS shards FROM d),
+b AS (SELECT *, {_HEX("h")} % shards AS shard FROM h),
+ps AS (SELECT k, shard, CAST(sum(size) AS BIGINT) AS z, min(source) AS source FROM b GROUP BY ALL),
+s AS (SELECT k, min(source) AS source, CAST(sum(z) AS BIGINT) AS ss, 0 AS g FROM ps GROUP BY k),
+w AS (SELECT *, ([3.0, 1.0, 2.0])[(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1]::DOUBLE AS weight FROM s),
+r AS (SELECT *, 2.0::DOUBLE * ss AS cap, 2.0::DOUBLE * ss / weight AS ratio FROM w),
+l AS (SELECT *, (1.5::DOUBLE * sum(ss) OVER () - coalesce(sum(cap) OVER up, 0)) / (sum(weight) OVER () - coalesce(sum(weight) OVER up, 0)) AS level
+  FROM r WINDOW up AS (ORDER BY ratio, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+t AS (SELECT k, ss, g, CASE WHEN ratio <= level THEN cap ELSE weight * max(CASE WHEN ratio > level THEN level END) OVER () END AS target FROM l),
+e AS (SELECT *, target / {mixing.BLOCK_WORDS} AS exact FROM t),
+{_apportioned("sources", "e", "g", "k")},
+q AS (SELECT ps.k, ps.shard, ps.z, sources.ss, sources.target, CASE WHEN sources.ss > 0 THEN sources.seats * ps.z / sources.ss ELSE 0.0 END AS exact
+  FROM ps JOIN sources USING (k)),
+{_apportioned("shards", "q", "k", "shard")},
+u AS (SELECT k, shard, ss, target, z, least(seats * {mixing.BLOCK_WORDS}, 2 * z) AS quota,
+    {_HEX("md5('7:' || k || ':' || CAST(shard AS VARCHAR))")} % greatest((z + {mixing.BLOCK_WORDS} - 1) // {mixing.BLOCK_WORDS}, 1) * {mixing.BLOCK_WORDS} AS start FROM shards),
+v AS (SELECT *, CASE WHEN z > 0 THEN quota // z ELSE 0 END AS passes FROM u),
+p AS (SELECT *, sum(size) OVER (PARTITION BY k, shard ORDER BY h, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - size AS begins FROM b),
+j AS (SELECT p.doc_id, p.size, p.begins, v.*, quota - passes * z AS rest FROM p JOIN v USING (k, shard))
+SELECT doc_id, size, ss AS source_size, target, CAST(passes * size
+    + greatest(least(start + rest - begins, size) - greatest(start - begins, 0), 0) + greatest(least(start + rest - z - begins, size), 0) AS BIGINT) AS taken
+FROM j
+"""
