@@ -116,7 +116,10 @@ def mix(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float = 1.
     quota = quota.withColumn("exact", F.when(F.col("source_size") > 0, F.col("blocks") * F.col("shard_size") / F.col("source_size")).otherwise(F.lit(0.0)))
     quota = apportion(quota, ["source_key"], "shard", "exact", "shard_blocks")
 
-    quota_words = F.least(F.col("shard_blocks") * block_words, F.lit(most) * F.col("shard_size"))
+    # a source at its limit is taken whole, without the rounding to blocks
+    limit = F.lit(most) * F.col("shard_size")
+    at_limit = F.col("target") >= F.lit(most) * F.col("source_size")
+    quota_words = F.when(at_limit, limit).otherwise(F.least(F.col("shard_blocks") * block_words, limit))
     quota = quota.withColumn("quota", quota_words).withColumn(
         "_passes", F.when(F.col("shard_size") > 0, F.floor(F.col("quota") / F.col("shard_size"))).otherwise(F.lit(0)).cast("long"))
     quota = quota.withColumn("_rest", F.col("quota") - F.col("_passes") * F.col("shard_size"))

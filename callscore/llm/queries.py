@@ -204,7 +204,7 @@ e AS (SELECT *, target / {mixing.BLOCK_WORDS} AS exact FROM t),
 q AS (SELECT ps.k, ps.shard, ps.z, sources.ss, sources.target, CASE WHEN sources.ss > 0 THEN sources.seats * ps.z / sources.ss ELSE 0.0 END AS exact
   FROM ps JOIN sources USING (k)),
 {_apportioned("shards", "q", "k", "shard")},
-u AS (SELECT k, shard, ss, target, z, least(seats * {mixing.BLOCK_WORDS}, 2 * z) AS quota,
+u AS (SELECT k, shard, ss, target, z, CASE WHEN target >= 2 * ss THEN 2 * z ELSE least(seats * {mixing.BLOCK_WORDS}, 2 * z) END AS quota,
     {_HEX("md5('7:' || k || ':' || CAST(shard AS VARCHAR))")} % greatest((z + {mixing.BLOCK_WORDS} - 1) // {mixing.BLOCK_WORDS}, 1) * {mixing.BLOCK_WORDS} AS start FROM shards),
 v AS (SELECT *, CASE WHEN z > 0 THEN quota // z ELSE 0 END AS passes FROM u),
 p AS (SELECT *, sum(size) OVER (PARTITION BY k, shard ORDER BY h, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - size AS begins FROM b),
