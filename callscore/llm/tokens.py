@@ -22,11 +22,11 @@ from pyspark import Broadcast
 from pyspark.sql import SparkSession
 
 #: words in each of the two generations of a worker's cache
-CACHE_WORDS = 300_000
+CACHE_WORDS = 200_000
 #: longer words are encoded without being kept
 CACHE_WORD_CHARS = 64
 #: characters of text encoded together
-GROUP_CHARS = 12 << 20
+GROUP_CHARS = 3 << 20
 #: largest tokenizer file that is broadcast
 MAX_TOKENIZER_BYTES = 64 << 20
 
