@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,6 +25,17 @@ def ref(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def map_text(df: DataFrame, text: str, run: Callable, added: str, keep_text: bool = True) -> DataFrame:
+    """``mapInArrow`` over all columns of ``df`` and, last, the text; ``run``
+    gives the same columns without that last one and the ``added`` ones (a DDL
+    list). Columns go by number meanwhile, as names may hold any character."""
+    own = [c for c in df.columns if keep_text or c != text]
+    rows = df.select(*[ref(c) for c in own], ref(text).cast("string")).toDF(*[f"c{i}" for i in range(len(own))], "text")
+    names = [a.split()[0] for a in added.split(", ")]
+    schema = rows.drop("text").select("*", *[F.lit(None).cast(a.split()[1]).alias(a.split()[0]) for a in added.split(", ")]).schema
+    return rows.mapInArrow(run, schema).toDF(*own, *names)
+
+
 def lower_az(text: Column) -> Column:
     """Lower-case A-Z and nothing else. ``lower`` has a fast path for ASCII
     texts; other texts go through ``translate``, as ``lower`` would also

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ref, without
+from .common import map_text, ref, without
 
 DIMENSIONS = 1024
 GRAM = 3
@@ -199,10 +199,6 @@ def identify(docs: DataFrame, profiles: Profiles, text: str = "text") -> DataFra
     """
     docs = without(docs, [n for n in OUTPUT if n != text.lower()])
     shared = docs.sparkSession.sparkContext.broadcast(profiles)
-    own = [c for c in docs.columns if c != text]
-    schema = docs.select(*[ref(c) for c in own], F.lit("").cast("string").alias("lang_pred"), F.lit(0.0).alias("score")).schema
-    for name in OUTPUT:
-        schema[name].nullable = True
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
@@ -213,6 +209,6 @@ def identify(docs: DataFrame, profiles: Profiles, text: str = "text") -> DataFra
                 space.learn(np.unique(np.concatenate([f[0] for f in found])))
             pred = [known.predict(space.bundle(*f)) if len(f[0]) else (UNKNOWN, 0.0) for f in found]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array([p for p, _ in pred], pa.string()), pa.array([s for _, s in pred], pa.float64())],
-                                             names=[*own, *OUTPUT])
+                                             names=[*batch.schema.names[:-1], *OUTPUT])
 
-    return docs.select(*[ref(c) for c in own], ref(text).cast("string").alias("_text read")).mapInArrow(run, schema)
+    return map_text(docs, text, run, "lang_pred string, score double", keep_text=False)

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ref, without
+from .common import map_text, ref, without
 
 #: hash buckets of each of the two families
 BUCKETS = 1 << 15
@@ -254,10 +254,8 @@ def score(docs: DataFrame, model: Model, text: str = "text", threshold: float =
     """
     docs = without(docs, [n for n in OUTPUT if n != text.lower()])
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    own = docs.columns
     added = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, quality_score double"
     names = [x.split()[0] for x in added.split(", ")]
-    schema = docs.select(*[ref(c) for c in own], *[F.lit(None).cast(x.split()[1]).alias(x.split()[0]) for x in added.split(", ")]).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         judge = shared.value
@@ -265,9 +263,9 @@ def score(docs: DataFrame, model: Model, text: str = "text", threshold: float =
             texts = [t.as_py() for t in batch.column(batch.num_columns - 1)]
             counts = list(zip(*map(statistics, texts))) or [()] * 5
             arrays = [pa.array(c, pa.int64()) for c in counts] + [pa.array(map(judge.probability, texts), pa.float64())]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *arrays], names=[*own, *names])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *arrays], names=[*batch.schema.names[:-1], *names])
 
-    judged = docs.select(*[ref(c) for c in own], ref(text).cast("string").alias("_judged text")).mapInArrow(run, schema)
+    judged = map_text(docs, text, run, added)
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     judged = judged.withColumn("base_failed", failed)
     return judged.withColumn("kept", ~F.col("base_failed") & (F.col("quality_score") >= threshold))
