@@ -56,32 +56,23 @@ def candidates_long(df: DataFrame, probs: Sequence[str] = PROBS, grid=WEIGHT_GRI
     return df.select(*keep, F.inline(F.array(*items)))
 
 
-def per_fold_metrics(long: DataFrame, y: str = "label_num", group: Sequence[str] = ("cand", "fold"),
-                     max_rows: int | None = None) -> DataFrame:
+def per_fold_metrics(long: DataFrame, y: str = "label_num", group: Sequence[str] = ("cand", "fold")) -> DataFrame:
     """acc, weighted F1 and AUC per candidate and fold, all from one score-count
-    table (the exploded candidate rows are aggregated once).
-
-    ``max_rows`` bounds the rows of one (candidate, fold) group when known."""
+    table (the exploded candidate rows are aggregated once)."""
     group = list(group)
     d = metrics.score_counts(long, y, "p", group)
-    a = metrics.auc_from_counts(d, "p", group, max_rows=max_rows, with_cells=True)
+    a = metrics.auc_from_counts(d, "p", group, with_cells=True)
     s = metrics.summary_from_cells(a, group, keep=["auc"])
     return s.select(*group, F.col("accuracy").alias("acc"), F.col("f1_weighted").alias("f1"), "auc")
 
 
-def _fold_bound(df: DataFrame, k: int) -> int:
-    """Rows of one fold: at most ceil(n / k) + 1 (one counting scan of the input)."""
-    return -(-df.count() // k) + 1
-
-
 def weight_grid_cv(df: DataFrame, probs: Sequence[str] = PROBS, grid=WEIGHT_GRID, y: str = "label_num",
                    id_col: str = "clip_id", folds: DataFrame | None = None) -> DataFrame:
     """U8: every weight triple, 5 stratified folds, mean/std of acc, F1, AUC."""
     src = df.select(id_col, y, *probs)
-    n_fold = _fold_bound(src, 5)
-    f = folds if folds is not None else kfold(src, y, id_col, max_rows=n_fold * 5)
+    f = folds if folds is not None else kfold(src, y, id_col)
     long = candidates_long(f, probs, grid, keep=(y, "fold"))
-    pf = per_fold_metrics(long, y, max_rows=n_fold)
+    pf = per_fold_metrics(long, y)
     summ = metrics.fold_summary(pf, ["cand"], METRICS)
     weights = F.array(*[F.array(*[F.lit(float(x)) for x in w]) for w in grid])
     w = F.element_at(weights, F.col("cand") + 1)
@@ -106,10 +97,9 @@ def untrained_cv_summary(df: DataFrame, probs: Sequence[str] = PROBS, grid=WEIGH
     """U7 (untrained candidates) + X1 + O1: SimpleAvg and the best weighted
     average stacked and ranked by mean F1 (ties keep candidate order)."""
     src = df.select(id_col, y, *probs)
-    n_fold = _fold_bound(src, 5)
-    f = kfold(src, y, id_col, max_rows=n_fold * 5)
+    f = kfold(src, y, id_col)
     long = candidates_long(f, probs, grid, keep=(y, "fold"), with_mean=True)
-    pf = per_fold_metrics(long, y, max_rows=n_fold)
+    pf = per_fold_metrics(long, y)
     summ = metrics.fold_summary(pf, ["cand"], METRICS)
     weights = F.array(*[F.array(*[F.lit(float(x)) for x in w]) for w in grid])
     w = F.element_at(weights, F.col("cand") + 1)

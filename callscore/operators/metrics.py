@@ -11,10 +11,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .prefix import HOT_ROWS, adaptive_running_totals
+from .prefix import score_bucket
 
 # ---- fixed values ----
 CLASSES = (0, 1)
@@ -97,25 +97,22 @@ def class_report(df: DataFrame, y: str, pred: Column, group: Sequence[str] = (),
     As in a report dict turned into a table, the accuracy row repeats the
     accuracy in every column (support included)."""
     cc = cell_counts(df, y, pred, group, classes)
-    pc = per_class(cc, group, classes)
-    name = F.element_at(F.array(*[F.lit(x) for x in names]), F.col("cls") + 1)
-    cls_rows = pc.select(*group, name.alias("row"), "precision", "recall", "f1",
-                         F.col("support").cast("double").alias("support"))
-    s = summary_from_cells(cc, group, classes)
-    acc = s.select(*group, F.lit("accuracy").alias("row"), *[F.col("accuracy").alias(c)
-                                                             for c in ("precision", "recall", "f1", "support")])
-    k = float(len(classes))
-    agg = pc.groupBy(*group).agg(
-        (F.sum("precision") / k).alias("m_p"), (F.sum("recall") / k).alias("m_r"), (F.sum("f1") / k).alias("m_f"),
-        (F.sum(F.col("precision") * F.col("support")) / F.sum("support")).alias("w_p"),
-        (F.sum(F.col("recall") * F.col("support")) / F.sum("support")).alias("w_r"),
-        (F.sum(F.col("f1") * F.col("support")) / F.sum("support")).alias("w_f"),
-        F.sum("support").cast("double").alias("sup"))
-    macro = agg.select(*group, F.lit("macro avg").alias("row"), F.col("m_p").alias("precision"),
-                       F.col("m_r").alias("recall"), F.col("m_f").alias("f1"), F.col("sup").alias("support"))
-    weighted = agg.select(*group, F.lit("weighted avg").alias("row"), F.col("w_p").alias("precision"),
-                          F.col("w_r").alias("recall"), F.col("w_f").alias("f1"), F.col("sup").alias("support"))
-    return cls_rows.unionByName(acc).unionByName(macro).unionByName(weighted)
+    k = F.lit(float(len(classes)))
+    total = lambda xs: sum(xs[1:], xs[0])
+    n = total([F.col(f"c_{a}_{b}") for a in classes for b in classes])
+    row = lambda name, *v: F.struct(F.lit(name).alias("row"), *[x.cast("double").alias(c) for x, c in zip(v, ("precision", "recall", "f1", "support"))])
+    rows, per = [], []
+    for c, name in zip(classes, names):
+        tp = F.col(f"c_{c}_{c}")
+        sup, prd = total([F.col(f"c_{c}_{b}") for b in classes]), total([F.col(f"c_{a}_{c}") for a in classes])
+        per.append((_safe_div(tp, prd), _safe_div(tp, sup), _safe_div(2 * tp, sup + prd), sup))
+        rows.append(row(name, *per[-1]))
+    accuracy = _safe_div(total([F.col(f"c_{c}_{c}") for c in classes]), n)
+    rows.append(row("accuracy", *[accuracy] * 4))
+    rows.append(row("macro avg", *[total([x[i] for x in per]) / k for i in range(3)], n))
+    rows.append(row("weighted avg", *[_safe_div(total([x[i] * x[3] for x in per]), n) for i in range(3)], n))
+    # every row of the report comes from the one row of cell counts
+    return cc.select(*group, F.inline(F.array(*rows)))
 
 
 def score_counts(df: DataFrame, y: str, p: str, group: Sequence[str] = ()) -> DataFrame:
@@ -132,33 +129,35 @@ def cells_from_counts(d: DataFrame, p: str, group: Sequence[str] = (), threshold
         F.sum(F.when(hi, 0).otherwise(F.col("_pos"))).alias("c_1_0"), F.sum(F.when(hi, F.col("_pos")).otherwise(0)).alias("c_1_1"))
 
 
-def auc_from_counts(d: DataFrame, p: str, group: Sequence[str] = (), hot_rows: int = HOT_ROWS,
-                    max_rows: int | None = None, with_cells: bool = False, threshold: float = THRESHOLD) -> DataFrame:
+def auc_from_counts(d: DataFrame, p: str, group: Sequence[str] = (), with_cells: bool = False,
+                    threshold: float = THRESHOLD) -> DataFrame:
     """AUC = sum over distinct scores s of pos(s) * (neg(< s) + neg(s) / 2) / (P * N).
 
-    Distinct scores in score order; a group with more than ``hot_rows``
-    distinct scores is split by approximate quantiles (prefix.adaptive_running_totals).
-    ``with_cells`` adds the binary cell counts at ``threshold`` to the same aggregate."""
+    One pass: inside a (group, score bucket) a window sums the negatives below
+    each score; the buckets' totals, at most a few thousand rows a group, are
+    then summed in score order, and a bucket adds its positives times all
+    negatives of earlier buckets. ``with_cells`` adds the binary cell counts at
+    ``threshold`` to the same aggregates."""
     group = list(group)
-    d = adaptive_running_totals(d, group, [p], F.col(p), sums={"_cn": F.col("_neg")}, hot_rows=hot_rows,
-                                max_rows=max_rows)
-    contrib = F.col("_pos").cast("double") * (F.col("_cn") - F.col("_neg") + F.col("_neg") * F.lit(0.5))
+    d = d.withColumn("_bk", score_bucket(p))
+    below = Window.partitionBy(*group, "_bk").orderBy(p).rowsBetween(Window.unboundedPreceding, -1)
+    inside = F.col("_pos").cast("double") * (F.coalesce(F.sum("_neg").over(below), F.lit(0)) + F.col("_neg") * F.lit(0.5))
     hi = F.col(p) > threshold
-    cells = [F.sum(F.when(hi, 0).otherwise(F.col("_neg"))).alias("c_0_0"),
-             F.sum(F.when(hi, F.col("_neg")).otherwise(0)).alias("c_0_1"),
-             F.sum(F.when(hi, 0).otherwise(F.col("_pos"))).alias("c_1_0"),
-             F.sum(F.when(hi, F.col("_pos")).otherwise(0)).alias("c_1_1")] if with_cells else []
-    agg = d.groupBy(*group).agg(F.sum(contrib).alias("_u"), F.sum("_pos").alias("_P"), F.sum("_neg").alias("_N"),
-                                *cells)
+    cells = {"c_0_0": F.when(hi, 0).otherwise(F.col("_neg")), "c_0_1": F.when(hi, F.col("_neg")).otherwise(0),
+             "c_1_0": F.when(hi, 0).otherwise(F.col("_pos")), "c_1_1": F.when(hi, F.col("_pos")).otherwise(0)} if with_cells else {}
+    local = d.withColumn("_u", inside).groupBy(*group, "_bk").agg(
+        F.sum("_u").alias("_u"), F.sum("_pos").alias("_P"), F.sum("_neg").alias("_N"), *[F.sum(c).alias(k) for k, c in cells.items()])
+    earlier = Window.partitionBy(*group).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
+    local = local.withColumn("_u", F.col("_u") + F.col("_P").cast("double") * F.coalesce(F.sum("_N").over(earlier), F.lit(0)))
+    agg = local.groupBy(*group).agg(F.sum("_u").alias("_u"), F.sum("_P").alias("_P"), F.sum("_N").alias("_N"), *[F.sum(k).alias(k) for k in cells])
     auc = F.when((F.col("_P") > 0) & (F.col("_N") > 0),
                  F.col("_u") / (F.col("_P").cast("double") * F.col("_N").cast("double")))
-    return agg.select(*group, auc.alias("auc"), *[f"c_{a}_{b}" for a in CLASSES for b in CLASSES if with_cells])
+    return agg.select(*group, auc.alias("auc"), *cells)
 
 
-def roc_auc(df: DataFrame, y: str, p: str, group: Sequence[str] = (), hot_rows: int = HOT_ROWS,
-            max_rows: int | None = None) -> DataFrame:
+def roc_auc(df: DataFrame, y: str, p: str, group: Sequence[str] = ()) -> DataFrame:
     """ROC AUC with average-rank ties, one row per group; null when a class is missing."""
-    return auc_from_counts(score_counts(df, y, p, group), p, group, hot_rows, max_rows)
+    return auc_from_counts(score_counts(df, y, p, group), p, group)
 
 
 def log_loss(df: DataFrame, y: str, p: str, group: Sequence[str] = (), eps: float = LOG_EPS,

@@ -1,4 +1,4 @@
-"""Skew-safe running totals and ranks.
+"""Skew-safe running totals and ranks, one plan for every size.
 
 ``row_number()`` or a running ``sum`` over ``partitionBy(key).orderBy(o)``
 puts every row of a key into one task. When one key can hold a third of
@@ -6,14 +6,18 @@ the table that task is the job. The helpers here compute the same numbers
 in two levels:
 
 1. rows are tagged with a bucket that is monotone in the order inside the
-   key (an integer range of the order value, leading hash digits, or
-   approximate quantile bounds), so every (key, bucket) group is bounded;
-2. per (key, bucket) totals form a small table; a window over it gives
-   each bucket the total of all earlier buckets of its key;
-3. the offsets are joined back on (key, bucket) and a window partitioned
-   by (key, bucket) finishes the local running value.
-
-The result equals the one-level window exactly (checked in tests).
+   key (an integer range of the order value, an hour, leading hash digits), so
+   a (key, bucket) group is bounded however large the key is;
+2. per (key, bucket) totals form a small table, made with partial sums
+   before any shuffle; a window over it gives each bucket the total of all
+   earlier buckets of its key;
+3. the totals are joined back on (key, bucket), and a window over the same
+   (key, bucket), which needs no further shuffle, finishes the local running
+   value.
+
+Nothing is counted while a query is being built, and no switch looks at the
+size of the data. Null keys are a key, and null order values come first, as in
+a plain window.
 """
 
 from __future__ import annotations
@@ -25,6 +29,9 @@ from pyspark.sql import functions as F
 
 ColLike = str | Column
 
+_FIRST = -(1 << 63)     # the bucket of null order values
+_FAR = 1e12             # scores beyond are in the outermost buckets
+
 
 def _c(x: ColLike) -> Column:
     return F.col(x) if isinstance(x, str) else x
@@ -32,121 +39,74 @@ def _c(x: ColLike) -> Column:
 
 def running_totals(df: DataFrame, part: Sequence[str], order: Sequence[ColLike], bucket: Column,
                    sums: dict[str, Column] | None = None, rank: str | None = None,
-                   count: str | None = None) -> DataFrame:
+                   count: str | None = None, across: bool = False) -> DataFrame:
     """Add running columns over ``order`` inside ``part``.
 
     ``sums``  name -> numeric column: inclusive running sum (current row included).
     ``rank``  name for the 0-based ``row_number`` (ties broken by ``order``; the
               caller supplies a total order).
     ``count`` name for the number of rows of the key (the group size).
-    ``bucket`` must be non-decreasing in ``order`` within each key.
+    ``bucket`` must be non-decreasing in ``order`` within each key (null for a
+              null order value).
+    ``across`` lets the rank go on from key to key, in the order of ``part``.
     """
     sums = dict(sums or {})
     part = list(part)
-    b = df.withColumn("_bk", bucket)
+    # null-free text forms of the keys, so that one plain equality serves the
+    # join, the aggregate and the windows alike
+    keys = [f"_k{i}" for i in range(len(part))]
+    b = df.withColumn("_bk", F.coalesce(bucket.cast("long"), F.lit(_FIRST)))
+    for k, c in zip(keys, part):
+        b = b.withColumn(k, F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("null")))
     for k, c in sums.items():
         b = b.withColumn(f"_v_{k}", c)
     aggs = [F.count(F.lit(1)).alias("_t__n")] + [F.sum(f"_v_{k}").alias(f"_t_{k}") for k in sums]
-    tot = b.groupBy(*part, "_bk").agg(*aggs)
-    wb = Window.partitionBy(*part).orderBy("_bk") if part else Window.orderBy("_bk")
+    aggs += [F.min(c).alias(f"_p{i}") for i, c in enumerate(part) if across]
+    tot = b.groupBy(*keys, "_bk").agg(*aggs)
+    wb = Window.partitionBy(*keys).orderBy("_bk") if keys else Window.orderBy("_bk")
     wprev = wb.rowsBetween(Window.unboundedPreceding, -1)
     names = ["_n", *sums]
     offs = tot.select(
-        *[F.col(p).alias(f"_p_{i}") for i, p in enumerate(part)],
-        F.col("_bk").alias("_bk2"),
+        *keys, "_bk",
         *[F.coalesce(F.sum(f"_t_{k}").over(wprev), F.lit(0)).alias(f"_o_{k}") for k in names],
         *([F.sum("_t__n").over(wb.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-           .alias("_grp_n")] if count else []),
+           .alias(count)] if count else []),
     )
-    cond = [b[p].eqNullSafe(offs[f"_p_{i}"]) for i, p in enumerate(part)] + [b["_bk"] == offs["_bk2"]]
-    j = b.join(offs, cond).drop(*[f"_p_{i}" for i in range(len(part))], "_bk2")
-    wl = Window.partitionBy(*part, "_bk").orderBy(*[_c(o) for o in order])
+    if across and keys:
+        # one row per key
+        own = [f"_p{i}" for i in range(len(part))]
+        per_key = tot.groupBy(*keys).agg(F.sum("_t__n").alias("_kn"), *[F.min(c).alias(c) for c in own])
+        earlier = Window.orderBy(*own).rowsBetween(Window.unboundedPreceding, -1)
+        per_key = per_key.select(*keys, F.coalesce(F.sum("_kn").over(earlier), F.lit(0)).alias("_ko"))
+        offs = offs.join(per_key, keys).withColumn("_o__n", F.col("_o__n") + F.col("_ko")).drop("_ko")
+    j = b.join(offs, [*keys, "_bk"])
+    wl = Window.partitionBy(*keys, "_bk").orderBy(*[_c(o) for o in order])
     out = j
     if rank:
         out = out.withColumn(rank, F.col("_o__n") + F.row_number().over(wl) - F.lit(1))
     wr = wl.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     for k in sums:
         out = out.withColumn(k, F.col(f"_o_{k}") + F.sum(f"_v_{k}").over(wr))
-    if count:
-        out = out.withColumnRenamed("_grp_n", count)
-    drop = ["_bk", *[f"_v_{k}" for k in sums], *[f"_o_{k}" for k in names]]
-    return out.drop(*drop)
+    return out.drop("_bk", *keys, *[f"_v_{k}" for k in sums], *[f"_o_{k}" for k in names])
 
 
 def int_bucket(order_col: ColLike, width: int) -> Column:
-    """Bucket for a unique integer order key (chunk index, frame number, id)."""
+    """Bucket for an integer order key (chunk index, frame number, id)."""
     return F.floor(_c(order_col) / F.lit(width)).cast("long")
 
 
-def hash_bucket(hex_col: ColLike, digits: int = 4) -> Column:
+def hash_bucket(hex_col: ColLike, digits: int = 3) -> Column:
     """Bucket from the leading hex digits of an md5 order key (uniform)."""
     return F.conv(F.substring(_c(hex_col), 1, digits), 16, 10).cast("long")
 
 
-# ---------------------------------------------------------------- adaptive form
-HOT_ROWS = 1 << 20      # a key larger than this is split; smaller keys fit one task
+def time_bucket(ts: ColLike, seconds: int = 3600) -> Column:
+    """Bucket for a timestamp order key."""
+    return F.floor(F.unix_micros(_c(ts).cast("timestamp")) / F.lit(seconds * 1_000_000)).cast("long")
 
 
-def _one_level(df: DataFrame, part: Sequence[str], order: Sequence[ColLike], sums: dict[str, Column],
-               rank: str | None, count: str | None) -> DataFrame:
-    w = Window.partitionBy(*part).orderBy(*[_c(o) for o in order]) if part else \
-        Window.orderBy(*[_c(o) for o in order])
-    out = df
-    if rank:
-        out = out.withColumn(rank, (F.row_number().over(w) - F.lit(1)).cast("long"))
-    for k, c in sums.items():
-        out = out.withColumn(k, F.sum(c).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    if count:
-        wa = Window.partitionBy(*part) if part else Window.partitionBy()
-        out = out.withColumn(count, F.count(F.lit(1)).over(wa))
-    return out
-
-
-def adaptive_running_totals(df: DataFrame, part: Sequence[str], order: Sequence[ColLike], value: ColLike | None,
-                            sums: dict[str, Column] | None = None, rank: str | None = None,
-                            count: str | None = None, hot_rows: int = HOT_ROWS,
-                            bucket: Column | None = None, max_rows: int | None = None) -> DataFrame:
-    """``running_totals`` whose buckets adapt to the data.
-
-    One small aggregate counts rows per key. When no key exceeds ``hot_rows``
-    every key fits one task and a plain window is used (no extra shuffles).
-    Otherwise the hot keys are cut into ``ceil(max_rows / hot_rows)`` ranges
-    by approximate quantiles of ``value`` (a numeric column that is
-    non-decreasing in ``order``); small keys keep a single bucket. A caller
-    with a uniform monotone bucket of its own (hash digits) passes ``bucket``
-    instead, and it is used for the hot case. ``max_rows`` is an upper bound
-    on the rows of any key that the caller already knows; when it is within
-    ``hot_rows`` no counting pass is needed."""
-    sums = dict(sums or {})
-    part = list(part)
-    if max_rows is not None and max_rows <= hot_rows:
-        return _one_level(df, part, order, sums, rank, count)
-    st = (df.groupBy(*part) if part else df.groupBy()).agg(F.count(F.lit(1)).alias("_n"))
-    r = st.agg(F.max("_n").alias("mx"), F.count(F.when(F.col("_n") > hot_rows, 1)).alias("hot")).first()
-    if not r or not r["hot"]:
-        return _one_level(df, part, order, sums, rank, count)
-    if bucket is not None:
-        return running_totals(df, part, order, bucket, sums=sums, rank=rank, count=count)
-    k = min(1 << 20, -(-int(r["mx"]) // hot_rows) * 4)
-    d = df.withColumn("_qv", _c(value))
-    if not part:
-        d = d.withColumn("_all", F.lit(0))
-    keys = part or ["_all"]
-    hot = st.filter(F.col("_n") > hot_rows).select(*part) if part else None
-    src = d.join(F.broadcast(hot) if int(r["hot"]) <= 10000 else hot, part, "left_semi") if part else d
-    qs = [i / k for i in range(1, k)]
-    bounds = src.groupBy(*keys).agg(F.percentile_approx("_qv", qs, max(10000, 4 * k)).alias("_qb"))
-    # approximate bounds may differ if recomputed after an executor loss; a
-    # reliable checkpoint (shared folder) pins one set for every task
-    from ..session import scratch_root
-    scratch_root(df.sparkSession)
-    bounds = bounds.checkpoint(eager=True)
-    j = d.join(F.broadcast(bounds) if int(r["hot"]) <= 1000 else bounds, keys, "left")
-    j = j.withColumn("_qbk", F.lit(0))
-    step = 1 << max(0, (k - 2).bit_length())
-    while step >= 1:
-        nxt = F.col("_qbk") + F.lit(step)
-        j = j.withColumn("_qbk", F.when(F.try_element_at("_qb", nxt) < F.col("_qv"), nxt).otherwise(F.col("_qbk")))
-        step >>= 1
-    out = running_totals(j.drop("_qb"), part, order, F.col("_qbk"), sums=sums, rank=rank, count=count)
-    return out.drop("_qv", "_qbk", *([] if part else ["_all"]))
+def score_bucket(p: ColLike, per_unit: int = 4096) -> Column:
+    """Bucket for a score, ``per_unit`` to a distance of 1 (probabilities: that
+    many in all). Not-a-number sorts last, as in a window."""
+    x = F.nanvl(_c(p).cast("double"), F.lit(_FAR))
+    return F.floor(F.least(F.greatest(x, F.lit(-_FAR)), F.lit(_FAR)) * F.lit(per_unit)).cast("long")

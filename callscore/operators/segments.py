@@ -8,23 +8,27 @@ segment (trailing silence included) without clearing the ring, so the next
 segment may start inside the previous one. A segment still open at the end
 is not emitted (``flush_open`` changes that).
 
-Scale form. Clips that fit one bucket run the machine in one sequential
-pass per sorted partition. For larger clips: the state after any
-frame is fully described by
-(open?, m = ring length) and, when open, the first frame of the segment:
-the ring always holds the last m flags. So each bucket of a clip's frames
-is simulated from all 22 (open, m) start states in parallel (stage A),
-a per-clip pass over the small transition table picks the real start
-state of every bucket (stage B), and each bucket is replayed once from its
-real state to emit segments (stage C). No task sees more than one bucket
-of frames; stage B sees 22 rows per bucket. Groups are walked per
-partition (``grouped.map_groups``), not one Python call per group.
+Scale form, one plan for every size. After any frame the state is
+(open?, m = ring length) and, when open, the first frame of the segment: the
+ring always holds the last m flags. So a clip is cut into buckets of
+``BUCKET_FRAMES`` frames. The first bucket of every clip is run from the known
+start and emits its segments at once; for most clips that is all. Of a clip
+with more, every bucket is run from all 22 (open, m) start states; what it does
+to each is one small row, and these rows are composed in a tree of fixed depth
+(``SUPER`` buckets at a time), which gives the later buckets their real start
+states; they are run once more from these to emit their segments. No task
+holds more than a bucket of frames or the rows of ``SUPER`` buckets, except
+that the composed rows of one clip, one for 2**28 frames, are walked together.
+
+A run takes its steps from one opening or closing to the next: rolling counts
+of voiced flags say where the next one is.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -37,7 +41,8 @@ OPEN_ABOVE = 6      # voiced count in the ring that opens (> 6 of 10)
 CLOSE_ABOVE = 6     # unvoiced count in the ring that closes
 
 BUCKET_FRAMES = 1 << 16
-MAX_BUCKETS_PER_CLIP = 200_000   # bounds the per-clip transition table (22 rows per bucket)
+SUPER = 4096        # buckets that are composed together
+SHORT = 64          # runs of fewer frames go frame by frame
 NO_F0 = -1
 
 SEGMENT_SCHEMA = "clip_id long, seg long, f0 long, frame_no long, n long"
@@ -72,6 +77,41 @@ class VadMachine:
             return out
         return None
 
+    def run(self, frames: np.ndarray, flags: np.ndarray) -> list[tuple[int, int, int]]:
+        """Feed a run of frames; the (f0, last, n) of every segment that closes.
+        The same as ``step`` frame by frame, but stepping from change to change."""
+        k = len(self.ring)
+        x = np.concatenate([np.asarray(self.ring, dtype=np.int64), flags])
+        n, start, i, out = len(x), 0, k, []      # start: where the ring begins
+        total = np.concatenate([[0], np.cumsum(x)])
+        rolling = total[RING:] - total[:-RING] if n >= RING else np.zeros(0, np.int64)
+        # last frames of full windows that open or close
+        opens = np.flatnonzero(rolling > OPEN_ABOVE) + RING - 1
+        closes = np.flatnonzero(RING - rolling > CLOSE_ABOVE) + RING - 1
+        while i < n:
+            hit = None
+            for j in range(max(i, start), min(start + RING - 1, n)):      # the ring is not full yet
+                voiced = total[j + 1] - total[start]
+                if (j + 1 - start - voiced > CLOSE_ABOVE) if self.open else voiced > OPEN_ABOVE:
+                    hit = j
+                    break
+            if hit is None:
+                full = closes if self.open else opens
+                at = np.searchsorted(full, max(i, start + RING - 1))
+                if at == len(full):
+                    break
+                hit = int(full[at])
+            position = int(frames[hit - k])
+            if self.open:
+                out.append((self.f0, position, position - self.f0 + 1))
+                self.open, self.f0 = False, NO_F0
+            else:
+                self.open, self.f0 = True, position - min(RING, hit + 1 - start) + 1
+                start = hit + 1
+            i = hit + 1
+        self.ring = x[max(start, n - RING):].tolist()
+        return out
+
     def state(self):
         return self.open, list(self.ring), self.f0
 
@@ -90,9 +130,12 @@ def sessionise(positions: list[int], flags: list[int], flush_open: bool = False)
 
 
 # ------------------------------------------------------------- scale form
-TRANSITION_SCHEMA = ("clip_id long, b long, s_open boolean, s_m int, e_open boolean, e_m int, e_f0 long, "
-                     "n_closes long")
-START_SCHEMA = "clip_id long, b long, st_open boolean, st_m int, st_f0 long, seg0 long, last boolean"
+# a bucket's effect on a start state (closes: segments closed; end: its last frame)
+EFFECT_SCHEMA = "clip_id long, b long, s_open boolean, s_m int, e_open boolean, e_m int, e_f0 long, closes long, end long"
+START_SCHEMA = "clip_id long, b long, st_open boolean, st_m int, st_f0 long, seg0 long, flush long"
+_EFFECT = [f.split()[0] for f in EFFECT_SCHEMA.split(", ")]
+_START = [f.split()[0] for f in START_SCHEMA.split(", ")]
+_SEGMENT = ["clip_id", "seg", "f0", "frame_no", "n"]
 
 
 def _bucketed(frames: DataFrame, clip: str, pos: str, flag: str, width: int) -> DataFrame:
@@ -107,153 +150,144 @@ def _bucketed(frames: DataFrame, clip: str, pos: str, flag: str, width: int) ->
     return f.select("*", F.inline(F.filter(copies, lambda c: c["_keep"]))).drop("_keep")
 
 
+def _first_buckets(batches):
+    """Frames sorted by clip and frame, the first bucket of each clip: its closed
+    segments, and a row with ``seg`` -1 - closed segments for one left open.
+    Clips are walked in the sorted partition, without a call per group."""
+    held = None
+
+    def clips(clip, pos, v):
+        starts = np.flatnonzero(np.concatenate([[True], clip[1:] != clip[:-1]]))
+        rows = []
+        for a, e in zip(starts.tolist(), [*starts[1:].tolist(), len(clip)]):
+            c, m = int(clip[a]), VadMachine()
+            if e - a < SHORT:
+                closed = [r for r in map(m.step, pos[a:e].tolist(), v[a:e].tolist()) if r]
+            else:
+                closed = m.run(pos[a:e], v[a:e])
+            rows += [(c, seg, *r) for seg, r in enumerate(closed)]
+            if m.open:
+                rows.append((c, -1 - len(closed), m.f0, int(pos[e - 1]), int(pos[e - 1]) - m.f0 + 1))
+        return pd.DataFrame(rows, columns=_SEGMENT)
+
+    for pdf in batches:
+        now = [pdf[c].to_numpy(np.int64) for c in ("clip_id", "pos", "v")]
+        if held is not None:
+            now = [np.concatenate(x) for x in zip(held, now)]
+        if not len(now[0]):
+            continue
+        other = np.flatnonzero(now[0] != now[0][-1])
+        cut = int(other[-1]) + 1 if len(other) else 0        # the last clip may go on; it has at most a bucket here
+        held = [x[cut:] for x in now]
+        if cut:
+            yield clips(*[x[:cut] for x in now])
+    if held is not None and len(held[0]):
+        yield clips(*held)
+
+
 def _split(pdf: pd.DataFrame):
     pdf = pdf.sort_values("pos")
     h = pdf[pdf["halo"]]
     c = pdf[~pdf["halo"]]
-    return h["v"].tolist(), c["pos"].tolist(), c["v"].tolist()
+    return h["v"].tolist(), c["pos"].to_numpy(np.int64), c["v"].to_numpy(np.int64)
 
 
-def _transitions(pdf: pd.DataFrame) -> pd.DataFrame:
+def _effects(pdf: pd.DataFrame) -> pd.DataFrame:
+    """What a bucket does to each start state it can have."""
     halo, pos, v = _split(pdf)
-    clip, b = int(pdf["clip_id"].iloc[0]), int(pdf["b"].iloc[0])
-    rows = []
-    if not pos:
-        return pd.DataFrame(rows, columns=["clip_id", "b", "s_open", "s_m", "e_open", "e_m", "e_f0", "n_closes"])
-    if pos[0] == 0:  # first bucket of the clip: the start state is known
-        starts = [(False, 0)]
-    else:
-        starts = [(o, k) for o in (False, True) for k in range(0, min(RING, len(halo)) + 1)]
-    for s_open, s_m in starts:
-        if True:
+    clip, b, rows = int(pdf["clip_id"].iloc[0]), int(pdf["b"].iloc[0]), []
+    if len(pos):
+        starts = [(False, 0)] if b == 0 else [(o, k) for o in (False, True) for k in range(min(RING, len(halo)) + 1)]
+        for s_open, s_m in starts:
             m = VadMachine(s_open, halo[len(halo) - s_m:] if s_m else [], NO_F0)
-            closes = 0
-            for p, x in zip(pos, v):
-                if m.step(p, x):
-                    closes += 1
-            rows.append((clip, b, s_open, s_m, m.open, len(m.ring), m.f0 if m.open else NO_F0, closes))
-    return pd.DataFrame(rows, columns=["clip_id", "b", "s_open", "s_m", "e_open", "e_m", "e_f0", "n_closes"])
+            closed = m.run(pos, v)
+            rows.append((clip, b, s_open, s_m, m.open, len(m.ring), m.f0 if m.open else NO_F0, len(closed), int(pos[-1])))
+    return pd.DataFrame(rows, columns=_EFFECT)
 
 
-def _starts(pdf: pd.DataFrame) -> pd.DataFrame:
-    pdf = pdf.sort_values("b")
+def _walk(pdf: pd.DataFrame, open_: bool, m: int, f0: int, seg: int):
+    """Go through effects in bucket order from a start state: yields the state
+    before each bucket, and last (None, the state after all)."""
     table = {(int(r.b), bool(r.s_open), int(r.s_m)): r for r in pdf.itertuples(index=False)}
-    clip = int(pdf["clip_id"].iloc[0])
-    open_, m, f0, seg = False, 0, NO_F0, 0
-    out = []
-    buckets = sorted({int(x) for x in pdf["b"]})
-    for b in buckets:
-        out.append((clip, b, open_, m, f0, seg, b == buckets[-1]))
-        r = table[(b, open_, m)]
-        seg += int(r.n_closes)
-        if bool(r.e_open):
-            f0 = int(r.e_f0) if int(r.e_f0) != NO_F0 else f0
-        else:
-            f0 = NO_F0
-        open_, m = bool(r.e_open), int(r.e_m)
-    return pd.DataFrame(out, columns=["clip_id", "b", "st_open", "st_m", "st_f0", "seg0", "last"])
-
-
-def _emit(pdf: pd.DataFrame, flush_open: bool = False) -> pd.DataFrame:
+    end = -1
+    for b in sorted({k[0] for k in table}):
+        yield b, (open_, m, f0, seg, end)
+        r = table[b, open_, m]
+        seg += int(r.closes)
+        f0 = (int(r.e_f0) if int(r.e_f0) != NO_F0 else f0) if bool(r.e_open) else NO_F0
+        open_, m, end = bool(r.e_open), int(r.e_m), int(r.end)
+    yield None, (open_, m, f0, seg, end)
+
+
+def _compose(pdf: pd.DataFrame) -> pd.DataFrame:
+    """The effect of all buckets of a super-bucket on each start state."""
+    clip, b, first = int(pdf["clip_id"].iloc[0]), int(pdf["super"].iloc[0]), int(pdf["b"].min())
+    rows = []
+    for r in pdf[pdf["b"] == first].itertuples(index=False):
+        for _, (open_, m, f0, seg, end) in _walk(pdf, bool(r.s_open), int(r.s_m), NO_F0, 0):
+            pass
+        rows.append((clip, b, bool(r.s_open), int(r.s_m), open_, m, f0, seg, end))
+    return pd.DataFrame(rows, columns=_EFFECT)
+
+
+def _starts(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Real start state of every bucket of the group, from the group's own
+    start (``g_*`` columns; the clip's beginning without them); the row of the
+    last bucket of a clip left open has the clip's last frame in ``flush``."""
+    clip, out = int(pdf["clip_id"].iloc[0]), []
+    first = pdf.iloc[0]
+    whole = "g_open" not in pdf.columns
+    start = (False, 0, NO_F0, 0) if whole else (bool(first["g_open"]), int(first["g_m"]), int(first["g_f0"]), int(first["g_seg0"]))
+    for b, (open_, m, f0, seg, end) in _walk(pdf, *start):
+        if b is not None:
+            out.append((clip, b, open_, m, f0, seg, None))
+        elif whole and open_:
+            out.append((clip, None, True, m, f0, seg, end))
+    return pd.DataFrame(out, columns=_START)
+
+
+def _emit(pdf: pd.DataFrame) -> pd.DataFrame:
     halo, pos, v = _split(pdf)
-    cols = ["clip_id", "seg", "f0", "frame_no", "n"]
-    if not pos:
-        return pd.DataFrame([], columns=cols)
-    clip = int(pdf["clip_id"].iloc[0])
-    st_m = int(pdf["st_m"].iloc[0])
-    m = VadMachine(bool(pdf["st_open"].iloc[0]), halo[len(halo) - st_m:] if st_m else [], int(pdf["st_f0"].iloc[0]))
-    seg = int(pdf["seg0"].iloc[0])
-    out = []
-    for p, x in zip(pos, v):
-        r = m.step(p, x)
-        if r:
-            out.append((clip, seg, r[0], r[1], r[2]))
-            seg += 1
-    if flush_open and m.open and bool(pdf["last"].iloc[0]):
-        out.append((clip, seg, m.f0, pos[-1], pos[-1] - m.f0 + 1))
-    return pd.DataFrame(out, columns=cols)
-
-
-def _sessionise_partitions(it):
-    """Partition sorted by (clip, pos): one loop, the machine resets at each clip
-    boundary and carries across Arrow batches (no per-group Python call)."""
-    clip, m, seg = None, None, 0
-    cols = ["clip_id", "seg", "f0", "frame_no", "n"]
-    for pdf in it:
-        out = []
-        for c, p, v in zip(pdf["clip_id"].tolist(), pdf["pos"].tolist(), pdf["v"].tolist()):
-            if c != clip:
-                clip, m, seg = c, VadMachine(), 0
-            r = m.step(p, v)
-            if r:
-                out.append((c, seg, r[0], r[1], r[2]))
-                seg += 1
-        if out:
-            yield pd.DataFrame(out, columns=cols)
-
-
-def _sessionise_partitions_flush(it):
-    """As ``_sessionise_partitions`` but also emits a segment open at a clip's end."""
-    clip, m, seg, last = None, None, 0, None
-    cols = ["clip_id", "seg", "f0", "frame_no", "n"]
-    for pdf in it:
-        out = []
-        for c, p, v in zip(pdf["clip_id"].tolist(), pdf["pos"].tolist(), pdf["v"].tolist()):
-            if c != clip:
-                if m is not None and m.open:
-                    out.append((clip, seg, m.f0, last, last - m.f0 + 1))
-                clip, m, seg = c, VadMachine(), 0
-            r = m.step(p, v)
-            last = p
-            if r:
-                out.append((c, seg, r[0], r[1], r[2]))
-                seg += 1
-        if out:
-            yield pd.DataFrame(out, columns=cols)
-    if m is not None and m.open:
-        yield pd.DataFrame([(clip, seg, m.f0, last, last - m.f0 + 1)], columns=cols)
+    rows = []
+    if len(pos):
+        r = pdf.iloc[0]
+        st_m = int(r["st_m"])
+        m = VadMachine(bool(r["st_open"]), halo[len(halo) - st_m:] if st_m else [], int(r["st_f0"]))
+        rows = [(int(r["clip_id"]), int(r["seg0"]) + k, *s) for k, s in enumerate(m.run(pos, v))]
+    return pd.DataFrame(rows, columns=_SEGMENT)
 
 
 def voice_segments(frames: DataFrame, clip: str = "clip_id", pos: str = "frame_no", flag: str = "is_voiced",
-                   bucket_frames: int = BUCKET_FRAMES, max_frames: int | None = None,
-                   flush_open: bool = False) -> DataFrame:
+                   bucket_frames: int = BUCKET_FRAMES, super_buckets: int = SUPER, flush_open: bool = False) -> DataFrame:
     """One row per closed segment (clip_id, seg, f0, frame_no = last frame, n).
 
-    ``pos`` must be a dense 0-based frame number inside each clip. Clips that
-    fit one bucket run the machine in one sequential pass per sorted
-    partition; only clips larger than a bucket (found by one per-clip
-    aggregate) take the three-stage composition. ``flush_open`` also emits a
-    segment still open at the clip's last frame."""
-    from functools import partial
-
-    from .splits import checked_broadcast
-
-    bucket_frames = max(bucket_frames, RING)
-    f = frames.select(F.col(clip).cast("long").alias("clip_id"), F.col(pos).cast("long").alias("pos"),
-                      F.col(flag).cast("int").alias("v"))
-    sizes = f.groupBy("clip_id").agg((F.max("pos") + 1).alias("_n"))
-    if max_frames is None:
-        r = sizes.agg(F.max("_n").alias("mx"), F.count(F.when(F.col("_n") > bucket_frames, 1)).alias("big")).first()
-        max_frames, n_big = (int(r["mx"] or 0), int(r["big"] or 0)) if r else (0, 0)
-    else:
-        n_big = 1 if max_frames > bucket_frames else 0
-    run = _sessionise_partitions_flush if flush_open else _sessionise_partitions
-
-    def one_pass(d):
-        return d.repartition("clip_id").sortWithinPartitions("clip_id", "pos").mapInPandas(run, SEGMENT_SCHEMA)
-
-    if n_big == 0:
-        return one_pass(f)
-    big = sizes.filter(F.col("_n") > bucket_frames).select("clip_id")
-    big = checked_broadcast(big)
-    small_out = one_pass(f.join(big, "clip_id", "left_anti"))
-    fb_src = frames.join(big.withColumnRenamed("clip_id", clip), clip, "left_semi")
-    # a bucket must hold at least a full ring (its halo comes from one bucket);
-    # huge clips get wider buckets so the per-clip pass stays bounded
-    bucket_frames = max(bucket_frames, -(-max_frames // MAX_BUCKETS_PER_CLIP))
-    fb = _bucketed(fb_src, clip, pos, flag, bucket_frames)
-    trans = map_groups(fb, ["clip_id", "b"], ["pos"], _transitions, TRANSITION_SCHEMA)
-    starts = map_groups(trans, ["clip_id"], ["b"], _starts, START_SCHEMA)
-    j = fb.join(starts, ["clip_id", "b"])
-    big_out = map_groups(j, ["clip_id", "b"], ["pos"], partial(_emit, flush_open=flush_open), SEGMENT_SCHEMA)
-    return small_out.unionByName(big_out)
+    ``pos`` must be a dense 0-based frame number inside each clip; rows without
+    a clip or a frame number are left out. ``flush_open`` also emits a segment
+    still open at the clip's last frame."""
+    width = max(bucket_frames, RING)     # a bucket's halo comes from one bucket
+    frames = frames.where(F.col(clip).isNotNull() & F.col(pos).isNotNull())
+    plain = frames.select(F.col(clip).cast("long").alias("clip_id"), F.col(pos).cast("long").alias("pos"), F.col(flag).cast("int").alias("v"))
+    first = (plain.where(F.col("pos") < width).repartition("clip_id").sortWithinPartitions("clip_id", "pos")
+             .mapInPandas(_first_buckets, SEGMENT_SCHEMA))
+    found = first.where("seg >= 0")
+
+    # clips of more than one bucket
+    long_clips = plain.where(F.col("pos") >= width).select("clip_id").distinct()
+    long_frames = frames.join(long_clips.select(F.col("clip_id").alias("_long")), F.col(clip).cast("long") == F.col("_long"), "left_semi")
+    effects = map_groups(_bucketed(long_frames, clip, pos, flag, width), ["clip_id", "b"], ["pos"], _effects, EFFECT_SCHEMA)
+    effects = effects.withColumn("super", F.floor(F.col("b") / F.lit(super_buckets)).cast("long"))
+    supers = map_groups(effects, ["clip_id", "super"], ["b"], _compose, EFFECT_SCHEMA)
+    super_starts = map_groups(supers, ["clip_id"], ["b"], _starts, START_SCHEMA)
+    group = super_starts.where("b is not null").select(
+        "clip_id", F.col("b").alias("super"), F.col("st_open").alias("g_open"), F.col("st_m").alias("g_m"), F.col("st_f0").alias("g_f0"),
+        F.col("seg0").alias("g_seg0"))
+    starts = map_groups(effects.join(group, ["clip_id", "super"]), ["clip_id", "super"], ["b"], _starts, START_SCHEMA).where("b > 0")
+    rest = _bucketed(frames.where(F.col(pos) >= width - RING), clip, pos, flag, width).where("b > 0")
+    found = found.unionByName(map_groups(rest.join(starts, ["clip_id", "b"]), ["clip_id", "b"], ["pos"], _emit, SEGMENT_SCHEMA))
+    if flush_open:
+        short = first.where("seg < 0").join(long_clips, "clip_id", "left_anti").withColumn("seg", -1 - F.col("seg"))
+        left = super_starts.where("flush is not null")
+        left = left.select("clip_id", F.col("seg0").alias("seg"), F.col("st_f0").alias("f0"), F.col("flush").alias("frame_no"),
+                           (F.col("flush") - F.col("st_f0") + 1).alias("n"))
+        found = found.unionByName(short).unionByName(left)
+    return found

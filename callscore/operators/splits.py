@@ -3,10 +3,9 @@ weights (W11, W12, A5, A6, J5).
 
 Rows are ordered inside each class by ``md5(id:seed)`` (deterministic and
 replay-safe). With two classes, ``row_number().over(partitionBy(label))``
-would run each class in a single task; when a class is larger than one
-task should hold, the rank is computed in two levels with buckets taken
-from the leading hash digits, which are uniform, so every window partition
-is bounded (see ``prefix.adaptive_running_totals``).
+would run each class in a single task, so the rank is computed in two levels
+with buckets taken from the leading hash digits, which are uniform (see
+``prefix.running_totals``).
 """
 
 from __future__ import annotations
@@ -14,12 +13,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .prefix import adaptive_running_totals, hash_bucket
+from .prefix import hash_bucket, running_totals
 
 # ---- fixed values ----
 SEED = 42
 N_FOLDS = 5
-HASH_DIGITS = 4          # 65,536 buckets per class
+HASH_DIGITS = 3          # 4,096 buckets per class
 
 
 def hash_key(id_col: str, seed: int = SEED) -> Column:
@@ -29,8 +28,7 @@ def hash_key(id_col: str, seed: int = SEED) -> Column:
 def class_ranks(df: DataFrame, label: str, id_col: str, seed: int = SEED, digits: int = HASH_DIGITS) -> DataFrame:
     """Add ``_r`` (0-based rank in the class, hash order) and ``_n`` (class size)."""
     d = df.withColumn("_h", hash_key(id_col, seed))
-    return adaptive_running_totals(d, [label], ["_h", id_col], None, rank="_r", count="_n",
-                                   bucket=hash_bucket("_h", digits)).drop("_h")
+    return running_totals(d, [label], ["_h", id_col], hash_bucket("_h", digits), rank="_r", count="_n").drop("_h")
 
 
 def stratified_split(df: DataFrame, label: str = "label_num", id_col: str = "clip_id", seed: int = SEED) -> DataFrame:
@@ -44,14 +42,11 @@ def stratified_split(df: DataFrame, label: str = "label_num", id_col: str = "cli
 
 
 def kfold(df: DataFrame, label: str = "label_num", id_col: str = "clip_id", k: int = N_FOLDS,
-          seed: int = SEED, digits: int = HASH_DIGITS, max_rows: int | None = None) -> DataFrame:
-    """fold = (rows in earlier classes + rank in class) mod k.
-
-    One global two-level rank over (label, hash) gives exactly that number,
-    so no class-offset table is needed; the label must be an integer class id."""
+          seed: int = SEED, digits: int = HASH_DIGITS) -> DataFrame:
+    """fold = (rows in earlier classes + rank in class) mod k, classes in
+    label order, a null label before all others."""
     d = df.withColumn("_h", hash_key(id_col, seed))
-    bucket = F.col(label).cast("long") * F.lit(16 ** digits) + hash_bucket("_h", digits)
-    d = adaptive_running_totals(d, [], [label, "_h", id_col], None, rank="_g", bucket=bucket, max_rows=max_rows)
+    d = running_totals(d, [label], ["_h", id_col], hash_bucket("_h", digits), rank="_g", across=True)
     return d.withColumn("fold", (F.col("_g") % k).cast("int")).drop("_h", "_g")
 
 
@@ -74,6 +69,7 @@ def checked_broadcast(small: DataFrame, max_rows: int = 10000) -> DataFrame:
 
 
 def with_class_weight(df: DataFrame, label: str = "label_num", weight_col: str = "weight") -> DataFrame:
-    """Attach the balanced class weight to every row."""
-    cw = class_weights(df, label).select(label, F.col("weight").alias(weight_col))
-    return df.join(checked_broadcast(cw), label)
+    """Attach the balanced class weight to every row; rows without a label
+    are a class of their own and stay."""
+    cw = class_weights(df, label).select(F.col(label).alias("_class"), F.col("weight").alias(weight_col))
+    return df.join(checked_broadcast(cw), F.col(label).eqNullSafe(F.col("_class")), "left").drop("_class")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import signal
-from ..operators.prefix import adaptive_running_totals
+from ..operators.prefix import running_totals, time_bucket
 from . import fixtures as fx
 
 R = 6
@@ -19,9 +19,8 @@ def day_series(spark, sf_dir):
     """Per clip and day: position ``t`` (0-based) of each frame in its day series."""
     e = fx.table(spark, sf_dir, "events").select("user_id", "event_id", "ts", "value")
     e = e.withColumn("day", F.date_format(F.to_date("ts"), "yyyy-MM-dd"))
-    e = adaptive_running_totals(e, ["user_id", "day"], ["ts", "event_id"],
-                                F.unix_micros(F.col("ts").cast("timestamp")), rank="t")
-    return e.select(F.col("user_id").alias("clip_id"), "day", "event_id", F.col("t").cast("int").alias("t"),
+    e = running_totals(e, ["user_id", "day"], ["ts", "event_id"], time_bucket("ts"), rank="t")
+    return e.select(F.col("user_id").alias("clip_id"), "day", "event_id", "t",
                     F.col("value").alias("x"))
 
 
@@ -75,7 +74,7 @@ def _delta_sql(arr: str, halo: int, t: str, n: str, width: int, order: int) -> s
 _FN = ("fn", "select *, count(*) over (partition by clip_id) as n from frames")
 _DA = ("fa", f"select *, {_arr('x', 8)} as arr from fn window w as (partition by clip_id order by frame_no)")
 _SD = ("sd", """select user_id as clip_id, strftime(cast(ts as date), '%Y-%m-%d') as day, event_id, value as x,
-  cast(row_number() over (partition by user_id, cast(ts as date) order by ts, event_id) - 1 as int) as t,
+  row_number() over (partition by user_id, cast(ts as date) order by ts, event_id) - 1 as t,
   count(*) over (partition by user_id, cast(ts as date)) as n from events""")
 _SDA = ("sa", f"""select *, least(9, greatest(3, cast(floor(n / 2) as int) * 2 + 1)) as width, {_arr('x', 8)} as arr
   from sd window w as (partition by clip_id, day order by t)""")
