@@ -52,7 +52,8 @@ def n_rows(m) -> Column:
 
 
 def n_cols(m) -> Column:
-    return F.size(F.element_at(_c(m), 1))
+    """Width of the first row; 0 for a matrix without rows."""
+    return F.coalesce(F.size(F.try_element_at(_c(m), F.lit(1))), F.when(_c(m).isNotNull(), 0))
 
 
 def shape(m) -> Column:
@@ -94,7 +95,8 @@ def power_to_db(m, amin: float = POWER_AMIN, top_db: float = TOP_DB) -> Column:
 
 
 def pad_or_cut_rows(m, n: int, fill: float = 0.0) -> Column:
-    """Pad with constant rows or cut to exactly ``n`` rows."""
+    """Pad with constant rows or cut to exactly ``n`` rows (a matrix
+    without rows has width 0, and so have its padding rows)."""
     zero_row = F.array_repeat(F.lit(fill), n_cols(m))
     return F.slice(F.concat(_c(m), F.array_repeat(zero_row, F.lit(n))), 1, n)
 
@@ -104,9 +106,14 @@ def pad_or_cut_1d(y, n: int, fill: float = 0.0) -> Column:
 
 
 def transpose(m) -> Column:
-    """R6."""
-    return let(m, lambda mm: F.transform(F.sequence(F.lit(1), n_cols(mm)),
-                                         lambda j: F.transform(mm, lambda row: F.element_at(row, j))))
+    """R6. A matrix without rows or columns becomes the empty matrix; a cell
+    that a ragged row lacks is null."""
+    def body(mm):
+        width = n_cols(mm)
+        turned = F.transform(F.sequence(F.lit(1), F.greatest(width, F.lit(1))),
+                             lambda j: F.transform(mm, lambda row: F.try_element_at(row, j)))
+        return F.when(width == 0, F.slice(turned, 1, 0)).otherwise(turned)
+    return let(m, body)
 
 
 def stack_rows(*blocks) -> Column:
@@ -139,13 +146,21 @@ def _resize_rows_bound(mm: Column, out: int) -> Column:
 
 
 def resize(m, rows: int, cols: int) -> Column:
-    """Bilinear resize, rows then columns."""
-    return transpose(_resize_axis(transpose(_resize_axis(m, rows)), cols))
+    """Bilinear resize, rows then columns. A matrix without cells stays
+    empty, as there is nothing to interpolate."""
+    def body(mm):
+        sized = transpose(_resize_axis(transpose(_resize_axis(mm, rows)), cols))
+        return F.when((n_rows(mm) > 0) & (n_cols(mm) > 0), sized).otherwise(F.slice(mm, 1, 0))
+    return let(m, body)
 
 
 def pcm16_roundtrip(y) -> Column:
-    """Quantise to 16-bit PCM (truncation) and back."""
-    return F.transform(_c(y), lambda x: (x * F.lit(PCM_SCALE)).cast("short").cast("double") / F.lit(float(PCM_SCALE)))
+    """Quantise to 16-bit PCM (truncation) and back. Samples beyond full
+    scale are clipped to it; not-a-number becomes silence."""
+    def sample(x):
+        v = F.least(F.greatest(x * F.lit(PCM_SCALE), F.lit(-32768.0)), F.lit(32767.0))
+        return F.when(F.isnan(x), F.lit(0.0)).otherwise(v.cast("short").cast("double") / F.lit(float(PCM_SCALE)))
+    return F.transform(_c(y), sample)
 
 
 def zero_fallback(m, min_cells: int, rows: int, cols: int) -> Column:

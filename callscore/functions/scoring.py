@@ -7,7 +7,7 @@ and final decision can be checked against an SQL twin.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -36,9 +36,10 @@ def stand_in_text_prob(text, min_chars: int = MIN_TEXT_CHARS_LIVE) -> Column:
     return F.when(short, F.lit(NEUTRAL_PRIOR)).otherwise((F.length(t) % 101) / F.lit(100.0))
 
 
-def matrix_prob(m) -> Column:
-    """Stand-in matrix score: logistic of 10 x the mean cell; 0.5 when absent."""
-    flat = F.flatten(_c(m))
+def matrix_prob(m, flat: bool = False) -> Column:
+    """Stand-in matrix score: logistic of 10 x the mean cell; 0.5 when absent.
+    ``flat``: the matrix is one array of cells."""
+    flat = _c(m) if flat else F.flatten(_c(m))
     mean = F.aggregate(flat, F.lit(0.0), lambda a, x: a + x) / F.size(flat)
     return F.when(_c(m).isNull() | (F.size(flat) == 0), F.lit(NEUTRAL_PRIOR)) \
         .otherwise(F.lit(1.0) / (F.lit(1.0) + F.exp(F.lit(-10.0) * mean)))
@@ -65,7 +66,7 @@ def decide(p, threshold: float = THRESHOLD, inclusive: bool = False) -> Column:
     return F.when(_c(p) >= threshold if inclusive else _c(p) > threshold, F.lit(1)).otherwise(F.lit(0))
 
 
-def status(p, threshold: float = THRESHOLD, compat: bool = True) -> Column:
+def status(p, threshold: float = THRESHOLD, compat: bool = False) -> Column:
     """Display status. ``compat`` scores a missing probability as 0.0 -> Normal;
     otherwise a null probability is reported as Unscored."""
     s = F.when(_c(p) > threshold, F.lit(STATUS_POSITIVE)).otherwise(F.lit(STATUS_NEGATIVE))
@@ -80,11 +81,11 @@ def api_label(p) -> Column:
 
 
 def stand_in_scores(text, mfcc=None, spec=None, weights: Sequence[float] = DEFAULT_WEIGHTS,
-                    min_chars: int = MIN_TEXT_CHARS_LIVE) -> dict[str, Column]:
+                    min_chars: int = MIN_TEXT_CHARS_LIVE, flat: bool = False) -> dict[str, Column]:
     """bert/mfcc/spec/final probabilities rounded as the scoring response does."""
     bert = stand_in_text_prob(text, min_chars)
-    mp = matrix_prob(mfcc) if mfcc is not None else F.lit(NEUTRAL_PRIOR)
-    sp = matrix_prob(spec) if spec is not None else F.lit(NEUTRAL_PRIOR)
+    mp = matrix_prob(mfcc, flat) if mfcc is not None else F.lit(NEUTRAL_PRIOR)
+    sp = matrix_prob(spec, flat) if spec is not None else F.lit(NEUTRAL_PRIOR)
     final = fuse([bert, mp, sp], weights)
     return {
         "bert_prob": F.round(bert, SCORE_DECIMALS),
@@ -92,3 +93,34 @@ def stand_in_scores(text, mfcc=None, spec=None, weights: Sequence[float] = DEFAU
         "spec_prob": F.round(sp, SCORE_DECIMALS),
         "final_prob": F.round(final, SCORE_DECIMALS),
     }
+
+
+# A scorer takes the text and the two mean matrices (flat arrays, null when
+# there are none) and gives a struct of SCORE_FIELDS: four probabilities, or
+# nulls and an error text.
+SCORE_FIELDS = ("bert_prob", "mfcc_prob", "spec_prob", "final_prob")
+Scorer = Callable[[Column, Column, Column], Column]
+
+
+def stand_in_scorer(text: Column, mfcc: Column, spec: Column) -> Column:
+    """The deterministic stand-in as a scorer; it never fails."""
+    scores = stand_in_scores(text, mfcc, spec, flat=True)
+    return F.struct(*[scores[f].alias(f) for f in SCORE_FIELDS], F.lit(None).cast("string").alias("error"))
+
+
+def failing_scorer(scorer: Scorer, fails: Callable[[Column], Column], error: str) -> Scorer:
+    """``scorer``, but with ``error`` in place of scores where ``fails(text)`` holds."""
+    def score(text: Column, mfcc: Column, spec: Column) -> Column:
+        s, bad = scorer(text, mfcc, spec), fails(text)
+        return F.struct(*[F.when(~bad, s[f]).alias(f) for f in SCORE_FIELDS], F.when(bad, F.lit(error)).otherwise(s["error"]).alias("error"))
+    return score
+
+
+def score_columns(df, text: str, mfcc: str | None = None, spec: str | None = None, scorer: Scorer = stand_in_scorer, compat: bool = False):
+    """Add the four scores and the display status (Unscored where the scorer
+    reported an error, unless ``compat``)."""
+    empty = F.lit(None).cast("array<double>")
+    out = df.withColumn("_score", scorer(F.col(text), F.col(mfcc) if mfcc else empty, F.col(spec) if spec else empty))
+    out = out.select("*", *[F.col(f"_score.{f}").alias(f) for f in SCORE_FIELDS])
+    final = F.when(F.col("_score.error").isNull(), F.col("final_prob"))
+    return out.withColumn("status", status(final, compat=compat)).drop("_score")

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 # Whitespace that Python's str.strip() removes.
 WS = r"[\t\n\x{0B}\f\r\x{1C}-\x{1F} \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
 # clean_text: printable ASCII range kept, everything else becomes a space.
-NON_PRINTABLE = r"[^\x{20}-\x{7E}]+"
+NON_PRINTABLE = r"[^ -~]+"
 ASCII_WS_RUN = r"\s+"
 # label dictionary keys all agree with the rule "starts with fraud (any case) -> 1".
 FRAUD_PREFIX = "fraud"

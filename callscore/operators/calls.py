@@ -18,14 +18,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.scoring import stand_in_scores, status
+from ..functions.scoring import Scorer, score_columns, stand_in_scorer
 from ..functions.text import preview, strip_or_empty
-from .prefix import HOT_ROWS, adaptive_running_totals, int_bucket
+from .matrices import flat_mean, running_flat_mean
+from .prefix import int_bucket, running_totals, time_bucket
 
 # ---- fixed values ----
 RUNNING_CHARS = 512
 FINAL_CHARS = 2048
 END_EVENT = "CALL_END"
+MODALITIES = ("mfcc", "spectrogram")
 
 INDEX_BUCKET = 4096      # chunk indexes per prefix bucket
 
@@ -39,13 +41,12 @@ def pieces(chunks: DataFrame) -> DataFrame:
     return p.groupBy("call_id", "chunk_index").agg(F.min("piece").alias("piece"))
 
 
-def with_offsets(p: DataFrame, bucket_width: int = INDEX_BUCKET, hot_rows: int = HOT_ROWS) -> DataFrame:
+def with_offsets(p: DataFrame, bucket_width: int = INDEX_BUCKET) -> DataFrame:
     """Add ``pos`` (0-based order in the call) and ``start`` (offset of the
     piece in the space-joined text)."""
     w = F.length("piece") + F.lit(1)
-    p = adaptive_running_totals(p.withColumn("_w", w), ["call_id"], ["chunk_index"], None,
-                                sums={"_end": F.col("_w")}, rank="pos", bucket=int_bucket("chunk_index", bucket_width),
-                                hot_rows=hot_rows)
+    p = running_totals(p.withColumn("_w", w), ["call_id"], ["chunk_index"], int_bucket("chunk_index", bucket_width),
+                       sums={"_end": F.col("_w")}, rank="pos")
     return p.withColumn("start", (F.col("_end") - F.col("_w")).cast("long")).drop("_end", "_w")
 
 
@@ -55,10 +56,9 @@ def _cut(limit: int):
     return F.col("piece").substr(F.lit(1), n)
 
 
-def final_text(chunks: DataFrame, limit: int = FINAL_CHARS, hot_rows: int = HOT_ROWS,
-               bucket_width: int = INDEX_BUCKET) -> DataFrame:
+def final_text(chunks: DataFrame, limit: int = FINAL_CHARS, bucket_width: int = INDEX_BUCKET) -> DataFrame:
     """A2 + A3: one row per call with ``n_segments`` and the text cut to ``limit``."""
-    p = with_offsets(pieces(chunks), bucket_width, hot_rows)
+    p = with_offsets(pieces(chunks), bucket_width)
     head = F.when(F.col("start") <= limit, F.struct(F.col("chunk_index").alias("i"), _cut(limit).alias("t")))
     agg = p.groupBy("call_id").agg(F.count(F.lit(1)).alias("n_segments"),
                                    F.collect_list(head).alias("_h"))
@@ -66,10 +66,9 @@ def final_text(chunks: DataFrame, limit: int = FINAL_CHARS, hot_rows: int = HOT_
     return agg.select("call_id", "n_segments", F.substring(txt, 1, limit).alias("full_text"))
 
 
-def running_text(chunks: DataFrame, limit: int = RUNNING_CHARS, hot_rows: int = HOT_ROWS,
-                 bucket_width: int = INDEX_BUCKET) -> DataFrame:
+def running_text(chunks: DataFrame, limit: int = RUNNING_CHARS, bucket_width: int = INDEX_BUCKET) -> DataFrame:
     """Per chunk, the call's text so far cut to ``limit`` (plus ``n_segments``)."""
-    p = with_offsets(pieces(chunks), bucket_width, hot_rows)
+    p = with_offsets(pieces(chunks), bucket_width)
     w = Window.partitionBy("call_id").orderBy("chunk_index").rowsBetween(Window.unboundedPreceding, 0)
     head = p.filter(F.col("start") <= limit).withColumn("_cut", _cut(limit))
     head = head.withColumn("running_text",
@@ -81,30 +80,49 @@ def running_text(chunks: DataFrame, limit: int = RUNNING_CHARS, hot_rows: int =
     return head.select(*cols).unionByName(tail.select(*cols))
 
 
-def decisions(df: DataFrame, text_col: str, weights=None, compat: bool = True) -> DataFrame:
-    """Stand-in scores and the display status for a text column."""
-    kw = {"weights": weights} if weights else {}
-    sc = stand_in_scores(F.col(text_col), **kw)
-    out = df.select("*", *[c.alias(k) for k, c in sc.items()])
-    return out.withColumn("status", status("final_prob", compat=compat))
+def decisions(df: DataFrame, text_col: str, mfcc: str | None = None, spec: str | None = None,
+              scorer: Scorer = stand_in_scorer, compat: bool = False) -> DataFrame:
+    """The scorer's four probabilities and the display status."""
+    return score_columns(df, text_col, mfcc, spec, scorer, compat)
 
 
-def call_final(chunks: DataFrame) -> DataFrame:
-    return decisions(final_text(chunks), "full_text")
+def _modalities(chunks: DataFrame) -> list[str]:
+    return [m for m in MODALITIES if m in chunks.columns]
 
 
-def call_final_hot(chunks: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """``call_final`` with an explicit hot-key threshold (calls above it use index ranges)."""
-    return decisions(final_text(chunks, hot_rows=hot_rows), "full_text")
+def _one_per_chunk(chunks: DataFrame, m: str) -> DataFrame:
+    """The flat matrix of each (call_id, chunk_index); a redelivered chunk counts once."""
+    flat = chunks.where(F.col(m).isNotNull()).select("call_id", "chunk_index", F.flatten(m).alias(m))
+    return flat.groupBy("call_id", "chunk_index").agg(F.min(m).alias(m))
 
 
-def call_running(chunks: DataFrame) -> DataFrame:
-    return decisions(running_text(chunks), "running_text")
+def call_final(chunks: DataFrame, scorer: Scorer = stand_in_scorer) -> DataFrame:
+    """Final text, mean matrices and decision of every call. ``chunks`` may
+    have the matrices ``mfcc`` and ``spectrogram``."""
+    out, found = final_text(chunks), _modalities(chunks)
+    for m in found:
+        out = out.join(flat_mean(_one_per_chunk(chunks, m), ["call_id"], m, m), "call_id", "left")
+    return decisions(out, "full_text", *[m if m in found else None for m in MODALITIES], scorer=scorer).drop(*found)
+
+
+def call_running(chunks: DataFrame, scorer: Scorer = stand_in_scorer) -> DataFrame:
+    """For every chunk the text and the mean matrices so far, scored."""
+    out, found = running_text(chunks), _modalities(chunks)
+    for m in found:
+        means = running_flat_mean(_one_per_chunk(chunks, m), ["call_id"], "chunk_index", m, m)
+        out = out.join(means, ["call_id", "chunk_index"], "left")
+    return decisions(out, "running_text", *[m if m in found else None for m in MODALITIES], scorer=scorer).drop(*found)
+
+
+def _three_decimals(c: str):
+    """Three decimals, rounded by the exact binary value (0.4945 is a little
+    less and gives 0.494); a missing score is shown as nan."""
+    return F.coalesce(F.format_number(F.col(c), 3), F.lit("nan"))
 
 
 def display_lines(running: DataFrame) -> DataFrame:
     """The console line for a running decision."""
-    f3 = lambda c: F.format_string("%.3f", F.col(c))
+    f3 = _three_decimals
     line = F.concat(F.lit("["), F.col("call_id").cast("string"), F.lit(":"), F.col("chunk_index").cast("string"),
                     F.lit("] Transcript: "), preview("running_text"), F.lit("\n"), F.col("status"),
                     F.lit(" | Prob="), f3("final_prob"), F.lit(" ("), f3("bert_prob"), F.lit(","),
@@ -121,9 +139,7 @@ def event_kind(event_col: str = "event"):
 def number_chunks(events: DataFrame) -> DataFrame:
     """P3 + W4: drop blank chunks, then number the rest from 0 in call order."""
     ch = events.filter((F.col("event") != END_EVENT) & (F.length(strip_or_empty("transcript")) > 0))
-    ch = adaptive_running_totals(ch, ["call_id"], ["ts", "event_id"], F.unix_micros(F.col("ts").cast("timestamp")),
-                                 rank="_r")
-    return ch.withColumn("chunk_index", F.col("_r").cast("int")).drop("_r")
+    return running_totals(ch, ["call_id"], ["ts", "event_id"], time_bucket("ts"), rank="chunk_index")
 
 
 def end_markers(events: DataFrame) -> DataFrame:
@@ -145,13 +161,14 @@ def ended_calls(events: DataFrame, limit: int = FINAL_CHARS) -> DataFrame:
     return end_markers(events).select("call_id", "event_id").join(fin, "call_id")
 
 
-SUMMARY_RULE = "=" * 16 + " FINAL CALL SUMMARY " + "=" * 16
-SUMMARY_END = "=" * 52
+# ---- fixed values ----
+SUMMARY_RULE = "================ FINAL CALL SUMMARY ================"
+SUMMARY_END = "===================================================="
 
 
 def summary_text(final: DataFrame) -> DataFrame:
     """The end-of-call summary block as one text column."""
-    f3 = lambda c: F.format_string("%.3f", F.col(c))
+    f3 = _three_decimals
     txt = F.concat(F.lit("\n" + SUMMARY_RULE + "\nCall ID: "), F.col("call_id").cast("string"),
                    F.lit("\nTotal Segments: "), F.col("n_segments").cast("string"),
                    F.lit("\n\nFinal Transcript:\n"), F.col("full_text"), F.lit("\n\nFinal Decision: "),

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import array_queries, call_queries, envelope_queries, misc_queries, model_queries, eval_queries, segment_queries, signal_queries, stream_queries, text_queries
+from . import array_queries, call_queries, envelope_queries, misc_queries, model_queries, eval_queries, segment_queries, signal_queries, source_queries, stream_queries, text_queries
 
-_MODULES = [call_queries, text_queries, eval_queries, array_queries, signal_queries, segment_queries, stream_queries, envelope_queries, model_queries, misc_queries]
+_MODULES = [call_queries, text_queries, eval_queries, array_queries, signal_queries, segment_queries, stream_queries, envelope_queries, model_queries, misc_queries, source_queries]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

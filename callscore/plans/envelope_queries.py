@@ -15,9 +15,18 @@ def _numbered_with_ts(spark, sf_dir):
     return ev, calls.number_chunks(ev)
 
 
+def _timing():
+    """Stage durations between the times at which a chunk's stages ended: its
+    features ``value`` ms after its start, its transcript 2 * ``value`` ms later."""
+    after = lambda t, ms: F.timestamp_micros(F.unix_micros(t) + (ms * 1000).cast("long"))
+    started = F.col("ts").cast("timestamp")
+    featured = after(started, F.col("value"))
+    return env.timing_between(started, featured, after(featured, F.col("value") * 2))
+
+
 def q_envelope_roundtrip(spark, sf_dir):
     ev, ch = _numbered_with_ts(spark, sf_dir)
-    timing = env.timing_map(F.col("value"), F.col("value") * 2, F.col("value") * 3)
+    timing = _timing()
     payload = env.b64(F.encode("transcript", "UTF-8"))
     chunk_msgs = ch.select(env.chunk_message(F.col("call_id"), F.col("chunk_index"), F.col("transcript"),
                                              F.col("ts"), timing=timing, audio_b64=payload).alias("value"))
@@ -30,7 +39,7 @@ def q_envelope_roundtrip(spark, sf_dir):
 
 def q_producer_log_lines(spark, sf_dir):
     ev, ch = _numbered_with_ts(spark, sf_dir)
-    timing = env.timing_map(F.col("value"), F.col("value") * 2, F.col("value") * 3)
+    timing = _timing()
     return ch.select("call_id", "chunk_index", env.producer_log("chunk_index", "transcript", timing).alias("line"))
 
 
@@ -38,9 +47,10 @@ def raw_messages(spark, sf_dir):
     """Delivered message text with a share of broken deliveries (offset = event_id)."""
     ev, ch = _numbered_with_ts(spark, sf_dir)
     k = F.col("event_id") % 50
+    matrix = F.when(k == 4, "[[1,2],[3]]").when(k == 5, "[[1,2],[3,null]]").when(k == 6, "[[1,2],null]").otherwise("[[1,2],[3,4]]")
     chunk = F.concat(F.lit('{"call_id":"'), F.col("call_id"), F.lit('","chunk_index":'),
                      F.col("chunk_index").cast("string"), F.lit(',"event":"CHUNK","transcript":"'),
-                     F.col("transcript"), F.lit('"}'))
+                     F.col("transcript"), F.lit('","mfcc":'), matrix, F.lit('}'))
     bad_idx = F.concat(F.lit('{"call_id":"'), F.col("call_id"), F.lit('","chunk_index":"x'),
                        F.col("chunk_index").cast("string"), F.lit('","event":"CHUNK","transcript":"'),
                        F.col("transcript"), F.lit('"}'))
@@ -67,32 +77,41 @@ QUERIES = {
 
 _ISO = "strftime(ts, '%Y-%m-%dT%H:%M:%SZ')"
 _NTS = ("nt", f"""select call_id, event_id, ts, value, props,
-  cast(row_number() over (partition by call_id order by ts, event_id) - 1 as int) as chunk_index, transcript
+  row_number() over (partition by call_id order by ts, event_id) - 1 as chunk_index, transcript
   from call_events where event <> 'CALL_END' and length({strip_or_empty('transcript')}) > 0""")
 _RAW = ("raw", """select event_id as msg_offset, case when event_id % 50 = 0 then props
   when event_id % 50 = 1 then 'not json ' || props when event_id % 50 = 3 then null
   when event_id % 50 = 2 then '{"call_id":"' || call_id || '","chunk_index":"x' || cast(chunk_index as varchar)
     || '","event":"CHUNK","transcript":"' || transcript || '"}'
   else '{"call_id":"' || call_id || '","chunk_index":' || cast(chunk_index as varchar)
-    || ',"event":"CHUNK","transcript":"' || transcript || '"}' end as value from nt
+    || ',"event":"CHUNK","transcript":"' || transcript || '","mfcc":' || case event_id % 50 when 4 then '[[1,2],[3]]'
+    when 5 then '[[1,2],[3,null]]' when 6 then '[[1,2],null]' else '[[1,2],[3,4]]' end || '}' end as value from nt
   union all select event_id, case when event_id % 50 = 0 then props when event_id % 50 = 1 then 'not json ' || props
   when event_id % 50 = 3 then null else '{"call_id":"' || call_id || '","event":"CALL_END"}' end
   from call_events where event = 'CALL_END'""")
 
 _MS = "cast(round({}, 2) as varchar)"
+# whole microseconds, as timestamps keep them
+_FEATURE = "cast(trunc(value * 1000) as bigint) / 1000.0"
+_TRANSCRIBE = "cast(trunc(value * 2 * 1000) as bigint) / 1000.0"
+_TOTAL = "(cast(trunc(value * 1000) as bigint) + cast(trunc(value * 2 * 1000) as bigint)) / 1000.0"
 
 ORACLE = {
     "producer_log_lines": fx.oracle(["call_events"], "select call_id, chunk_index, 'Chunk ' || cast(chunk_index as varchar)"
                                     " || ' : Transcript: ' || transcript || chr(10) || 'feature_ms=' || "
-                                    + _MS.format("value") + " || ' | transcribe_ms=' || " + _MS.format("value * 2")
-                                    + " || ' | total_ms=' || " + _MS.format("value * 3") + " as line from nt", _NTS),
-    "envelope_roundtrip": fx.oracle(["call_events"], f"""select call_id, 'chunk' as kind, chunk_index, 'CHUNK' as event,
-  {_ISO} as start_timestamp, null::varchar as timestamp, transcript, round(value * 3, 2) as total_ms,
+                                    + _MS.format(_FEATURE) + " || ' | transcribe_ms=' || " + _MS.format(_TRANSCRIBE)
+                                    + " || ' | total_ms=' || " + _MS.format(_TOTAL) + " as line from nt", _NTS),
+    "envelope_roundtrip": fx.oracle(["call_events"], f"""select call_id, 'chunk' as kind, cast(chunk_index as int) as chunk_index, 'CHUNK' as event,
+  {_ISO} as start_timestamp, null::varchar as timestamp, transcript, round({_TOTAL}, 2) as total_ms,
   transcript as payload from nt
   union all select call_id, 'end', null::int, 'CALL_END', null::varchar, {_ISO}, null::varchar, null::double,
   null::varchar from call_events where event = 'CALL_END'""", _NTS),
     "quarantine": fx.oracle(["call_events"], """select msg_offset, case when j is null or json_extract_string(j, '$.call_id') is null
   then 'no_call_id' when coalesce(json_extract_string(j, '$.event'), '') <> 'CALL_END'
-  and try_cast(json_extract_string(j, '$.chunk_index') as integer) is null then 'bad_index' else 'ok' end as reason
+  and try_cast(json_extract_string(j, '$.chunk_index') as integer) is null then 'bad_index'
+  when coalesce(json_extract_string(j, '$.event'), '') = 'CALL_END' or json_extract(j, '$.mfcc') is null then 'ok'
+  when cast(json_extract(j, '$.mfcc') as varchar) like '%null%' then 'null_matrix'
+  when len(list_distinct(list_transform(from_json(json_extract(j, '$.mfcc'), '["JSON"]'), lambda x: json_array_length(x)))) > 1
+  then 'ragged_matrix' else 'ok' end as reason
   from (select msg_offset, case when json_valid(value) then value end as j from raw) x""", _NTS, _RAW),
 }

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.prefix import adaptive_running_totals
+from ..operators.prefix import running_totals, time_bucket
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,13 +24,25 @@ def chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("text").alias("transcript"))
 
 
+def chunk_matrices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """chunks with two 8 x 8 matrices each, picked from the embeddings by
+    (call, chunk) modulo their number."""
+    c = chunks(spark, sf_dir)
+    m = matrices(spark, sf_dir).select("vec_id", "m")
+    n = m.agg((F.max("vec_id") + 1).alias("_n"))      # one row
+    c = c.crossJoin(F.broadcast(n))
+    for name, a, b in (("mfcc", 31, 1), ("spectrogram", 17, 3)):
+        key = (F.col("call_id") * a + F.col("chunk_index") * b) % F.col("_n")
+        c = c.withColumn("_k", key).join(m.select(F.col("vec_id").alias("_k"), F.col("m").alias(name)), "_k", "left").drop("_k")
+    return c.drop("_n")
+
+
 def call_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Message stream with end markers; each purchase closes the user's session."""
     e = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value", "props")
     e = e.withColumn("event", F.when(F.col("event_type") == "purchase", "CALL_END").otherwise("CHUNK"))
     is_end = (F.col("event") == "CALL_END").cast("long")
-    e = adaptive_running_totals(e, ["user_id"], ["ts", "event_id"], F.unix_micros(F.col("ts").cast("timestamp")),
-                                sums={"_ends": is_end})
+    e = running_totals(e, ["user_id"], ["ts", "event_id"], time_bucket("ts"), sums={"_ends": is_end})
     e = e.withColumn("session_no", F.col("_ends") - is_end)
     return e.select(
         F.concat(F.lit("call_"), F.col("user_id").cast("string"), F.lit("-"),
@@ -63,6 +75,18 @@ def scored_big(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("l_quantity") / F.lit(50.0)).alias("p3"))
 
 
+def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document as an unlabelled transcript row."""
+    d = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "n_chars")
+    return d.select("doc_id", F.col("text").alias("transcription"), "lang",
+                    (F.col("n_chars").cast("double") / F.lit(100.0)).alias("duration_sec"))
+
+
+def text_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """texts plus a relative audio path and its resolved form."""
+    return _with_paths(texts(spark, sf_dir))
+
+
 def labelled_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw labelled rows with messy label spellings, keyed by doc_id."""
     d = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang", "n_chars")
@@ -83,10 +107,13 @@ LAST_EXT = r"\.[^./]*$"
 
 def labelled_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     """labelled_text plus a relative audio path and its resolved form."""
+    return _with_paths(labelled_text(spark, sf_dir))
+
+
+def _with_paths(rows: DataFrame) -> DataFrame:
     from ..operators.cleaning import resolve_path
-    lt = labelled_text(spark, sf_dir)
     rel = F.concat(F.col("lang"), F.lit("/"), F.col("doc_id").cast("string"), F.lit(".wav"))
-    return lt.withColumn("audio_rel", rel).withColumn("audio_path", resolve_path(AUDIO_BASE, "audio_rel"))
+    return rows.withColumn("audio_rel", rel).withColumn("audio_path", resolve_path(AUDIO_BASE, "audio_rel"))
 
 
 def file_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -99,9 +126,8 @@ def file_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Framed signal keyed by (clip_id, frame_no) with a voice flag and level in dB."""
     e = table(spark, sf_dir, "events").select("user_id", "event_id", "ts", "value")
-    e = adaptive_running_totals(e, ["user_id"], ["ts", "event_id"], F.unix_micros(F.col("ts").cast("timestamp")),
-                                rank="frame_no")
-    return e.select(F.col("user_id").alias("clip_id"), "event_id", F.col("frame_no").cast("int"),
+    e = running_totals(e, ["user_id"], ["ts", "event_id"], time_bucket("ts"), rank="frame_no")
+    return e.select(F.col("user_id").alias("clip_id"), "event_id", "frame_no",
                     F.col("value").alias("x"), (F.col("value") > 35).alias("is_voiced"),
                     F.round(F.lit(10.0) * F.log10("value"), 6).alias("db"))
 
@@ -118,6 +144,10 @@ def matrices(spark: SparkSession, sf_dir: str) -> DataFrame:
 SQL = {
     "chunks": """select conv_id as call_id, cast(turn as int) as chunk_index, text as transcript
 from conversations""",
+    "chunk_matrices": """select c.*, a.m as mfcc_m, b.m as spec_m from chunks c
+left join cell_means a on a.vec_id = (c.call_id * 31 + c.chunk_index) % (select max(vec_id) + 1 from embeddings)
+left join cell_means b on b.vec_id = (c.call_id * 17 + c.chunk_index * 3) % (select max(vec_id) + 1 from embeddings)""",
+    "cell_means": "select vec_id, list_avg(cast(embedding as double[])[1:64]) as m from embeddings",
     "call_events": """select concat('call_', user_id, '-', session_no) as call_id, event_id, ts, event,
   case when event = 'CALL_END' or event_type = 'error' then '' else event_type end as transcript, value, props
 from (select *, coalesce(sum(case when event = 'CALL_END' then 1 else 0 end) over (partition by user_id order by ts, event_id
@@ -134,12 +164,16 @@ from events""",
   else case when d.doc_id % 3 = 0 then 'Normal' when d.doc_id % 3 = 1 then 'Non_Fraud' else 'non_fraudulent' end end as label,
   cast(d.n_chars as double) / cast(100 as double) as duration_sec
 from documents d join labels l on d.doc_id = l.doc_id""",
+    "texts": """select doc_id, text as transcription, lang, cast(n_chars as double) / cast(100 as double) as duration_sec
+from documents""",
+    "text_paths": """select *, case when audio_rel like '/%' then audio_rel else 'corpus/' || audio_rel end as audio_path
+from (select *, lang || '/' || cast(doc_id as varchar) || '.wav' as audio_rel from texts) x""",
     "labelled_paths": """select *, case when audio_rel like '/%' then audio_rel else 'corpus/' || audio_rel end as audio_path
 from (select *, lang || '/' || cast(doc_id as varchar) || '.wav' as audio_rel from labelled_text) x""",
     "listing": r"""select 'corpus/' || regexp_replace(regexp_extract(url, '^[a-z]+://[^/]+/([^?#]*)', 1), '\.[^./]*$', '')
   || '.wav' as path from pages""",
     "frames": """select user_id as clip_id, event_id,
-  cast(row_number() over (partition by user_id order by ts, event_id) - 1 as int) as frame_no,
+  row_number() over (partition by user_id order by ts, event_id) - 1 as frame_no,
   value as x, value > 35 as is_voiced, round(cast(10 as double) * log10(value), 6) as db
 from events""",
     "matrices": """select vec_id, label,

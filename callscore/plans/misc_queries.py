@@ -14,7 +14,7 @@ from .text_queries import _clean, _CLEAN, _LAB, LP
 
 
 def q_final_summary_lines(spark, sf_dir):
-    return calls.summary_text(calls.call_final(fx.chunks(spark, sf_dir)))
+    return calls.summary_text(calls.call_final(fx.chunk_matrices(spark, sf_dir)))
 
 
 def q_offline_text_scores(spark, sf_dir):

@@ -39,6 +39,20 @@ def scores(text: str, min_chars: int = 2) -> str:
             f"{fin} as final_prob, case when {fin} > 0.5 then 'FRAUDULENT' else 'Normal' end as status")
 
 
+def matrix_prob(mean_cell: str) -> str:
+    return f"(1.0 / (1.0 + exp(-10.0 * ({mean_cell}))))"
+
+
+def modal_scores(text: str, mfcc: str, spec: str, fails: str = "false") -> str:
+    """As ``scores`` with the mean cells of two matrices; no scores and
+    ``Unscored`` where ``fails``."""
+    tp, mp, sp = text_prob(text), matrix_prob(mfcc), matrix_prob(spec)
+    fin = f"round({fused(tp, mp, sp)}, 4)"
+    one = lambda e, name: f"case when {fails} then null else {e} end as {name}"
+    return ", ".join([one(f"round({tp}, 4)", "bert_prob"), one(f"round({mp}, 4)", "mfcc_prob"), one(f"round({sp}, 4)", "spec_prob"), one(fin, "final_prob"),
+                      f"case when {fails} then 'Unscored' when {fin} > 0.5 then 'FRAUDULENT' else 'Normal' end as status"])
+
+
 # ---------------------------------------------------------------- metrics
 CLASSES = (0, 1)
 

@@ -15,10 +15,9 @@ from ..streaming.runner import run_waves
 from . import call_queries, segment_queries
 from . import fixtures as fx
 
-CHUNK_WAVE = 3        # chunk indexes per arrival wave
-MAX_WAVES = 4         # arrival waves per replay; later input shares the last one (sorted in-batch)
 END_WAVE = 1 << 30
 FRAME_WAVE = 25
+SHUFFLED = 3          # waves over which the disordered streams deal their input
 
 
 def _call_stream(text_stream):
@@ -29,12 +28,21 @@ _OUT = scalls.OUTPUT_SCHEMA + ", bert_prob double, mfcc_prob double, spec_prob d
                               "status string"
 
 
-def chunk_messages(spark, sf_dir):
-    """Chunks of every conversation plus one end marker per call."""
-    ch = fx.chunks(spark, sf_dir)
-    wave = F.least(F.floor(F.col("chunk_index") / CHUNK_WAVE), F.lit(MAX_WAVES - 1))
-    msgs = ch.select(wave.alias("wave"),
-                     env.chunk_message(F.col("call_id"), F.col("chunk_index"), F.col("transcript")).alias("value"))
+def _doubling(position):
+    """Arrival wave of a position: each wave reaches twice as far as the one before."""
+    return F.floor(F.log2(position + 1)).cast("long")
+
+
+def _dealt(*cols):
+    """A wave by hash: neighbours arrive in any order."""
+    return F.pmod(F.xxhash64(*cols), F.lit(SHUFFLED))
+
+
+def chunk_messages(spark, sf_dir, wave=None):
+    """Chunks of every conversation, with their matrices, plus one end marker per call."""
+    ch = fx.chunk_matrices(spark, sf_dir)
+    message = env.chunk_message(F.col("call_id"), F.col("chunk_index"), F.col("transcript"), mfcc=F.col("mfcc"), spec=F.col("spectrogram"))
+    msgs = ch.select((_doubling(F.col("chunk_index")) if wave is None else wave).alias("wave"), message.alias("value"))
     ends = ch.select("call_id").distinct().select(F.lit(END_WAVE).alias("wave"),
                                                   env.end_message(F.col("call_id")).alias("value"))
     return msgs.unionByName(ends)
@@ -42,11 +50,10 @@ def chunk_messages(spark, sf_dir):
 
 def event_messages(spark, sf_dir):
     """The call_events stream as the producer emits it: blank chunks dropped,
-    chunks numbered per call, end markers in time order; waves of 8 days."""
+    chunks numbered per call, end markers in time order; waves of days."""
     ev = fx.call_events(spark, sf_dir)
     ch = number_chunks(ev)
-    # 8-day waves, the last one open-ended so the number of restarts stays bounded
-    day = F.least(F.floor(F.datediff(F.to_date("ts"), F.lit("2024-01-01")) / 8), F.lit(MAX_WAVES - 1))
+    day = _doubling(F.greatest(F.datediff(F.to_date("ts"), F.lit("2024-01-01")), F.lit(0)))
     msgs = ch.select(day.alias("wave"), env.chunk_message(F.col("call_id"), F.col("chunk_index"), F.col("transcript"),
                                                           F.col("ts")).alias("value"))
     ends = calls.end_markers(ev).select(day.alias("wave"), env.end_message(F.col("call_id"), F.col("ts")).alias("value"))
@@ -86,19 +93,38 @@ def q_stream_orphan_ends(spark, sf_dir):
     return out.select("call_id")
 
 
+def q_stream_final_disordered(spark, sf_dir):
+    """Chunks arrive in any order over several restarts, some of them twice."""
+    msgs = chunk_messages(spark, sf_dir, _dealt("call_id", "chunk_index"))
+    again = msgs.where((F.col("wave") < SHUFFLED) & (F.xxhash64("value") % 5 == 0)).withColumn("wave", (F.col("wave") + 1) % SHUFFLED)
+    out = run_waves(spark, msgs.unionByName(again), _call_stream, _OUT, "stream_final_disordered").filter(F.col("kind") == "final")
+    return out.select(F.col("call_id").cast("long").alias("call_id"), "n_segments",
+                      F.col("text").alias("full_text"), *_SCORES)
+
+
+def _frame_messages(spark, sf_dir, wave):
+    return fx.frames(spark, sf_dir).select(wave.alias("wave"), F.to_json(F.struct("clip_id", "frame_no", "is_voiced")).alias("value"))
+
+
 def q_stream_segments(spark, sf_dir):
-    fr = fx.frames(spark, sf_dir)
-    msgs = fr.select(F.least(F.floor(F.col("frame_no") / FRAME_WAVE), F.lit(MAX_WAVES - 1)).alias("wave"),
-                     F.to_json(F.struct("clip_id", "frame_no", "is_voiced")).alias("value"))
+    msgs = _frame_messages(spark, sf_dir, _doubling(F.col("frame_no") / FRAME_WAVE))
     return run_waves(spark, msgs, ssegs.segment_stream, ssegs.SEGMENT_SCHEMA, "stream_segments")
 
 
+def q_stream_segments_disordered(spark, sf_dir):
+    """T5: frames arrive in any order over several restarts."""
+    msgs = _frame_messages(spark, sf_dir, _dealt("clip_id", "frame_no"))
+    return run_waves(spark, msgs, ssegs.segment_stream, ssegs.SEGMENT_SCHEMA, "stream_segments_disordered")
+
+
 QUERIES = {
     "stream_running": q_stream_running,
     "stream_final": q_stream_final,
     "stream_ended_calls": q_stream_ended_calls,
     "stream_orphan_ends": q_stream_orphan_ends,
     "stream_segments": q_stream_segments,
+    "stream_final_disordered": q_stream_final_disordered,
+    "stream_segments_disordered": q_stream_segments_disordered,
 }
 
 _ENDED = call_queries.ORACLE["ended_calls"].replace("select e.call_id, e.event_id, f.n_segments",
@@ -112,4 +138,6 @@ ORACLE = {
     "stream_ended_calls": _ENDED,
     "stream_orphan_ends": _ORPH,
     "stream_segments": segment_queries.ORACLE["voice_segments"],
+    "stream_final_disordered": call_queries.ORACLE["call_final"],
+    "stream_segments_disordered": segment_queries.ORACLE["voice_segments"],
 }

@@ -11,6 +11,7 @@ from . import fixtures as fx
 from .sqltext import clean_text as sql_clean, strip
 
 LP = ["labelled_text", "labelled_paths", "listing"]
+TP = ["texts", "text_paths", "listing"]
 
 
 def _lp(spark, sf_dir):
@@ -23,12 +24,12 @@ def q_label_normalise(spark, sf_dir):
 
 
 def q_clean_text(spark, sf_dir):
-    lt = fx.labelled_text(spark, sf_dir)
+    lt = fx.texts(spark, sf_dir)
     return lt.select("doc_id", clean_text("transcription").alias("transcription_clean"))
 
 
 def q_text_length_filter(spark, sf_dir):
-    lt = fx.labelled_text(spark, sf_dir).select("doc_id", clean_text("transcription").alias("t"))
+    lt = fx.texts(spark, sf_dir).select("doc_id", clean_text("transcription").alias("t"))
     return lt.filter(F.length("t") >= 3).select("doc_id", F.length("t").cast("long").alias("n_chars_clean"))
 
 
@@ -38,17 +39,17 @@ def q_path_resolve(spark, sf_dir):
 
 
 def q_existing_files(spark, sf_dir):
-    lp, ls = _lp(spark, sf_dir)
+    lp, ls = fx.text_paths(spark, sf_dir), fx.file_listing(spark, sf_dir)
     return cleaning.existing(lp, ls).select("doc_id", "audio_path")
 
 
 def q_missing_files(spark, sf_dir):
-    lp, ls = _lp(spark, sf_dir)
+    lp, ls = fx.text_paths(spark, sf_dir), fx.file_listing(spark, sf_dir)
     return cleaning.missing(lp, ls).select("doc_id", "audio_path")
 
 
 def q_duration_gate(spark, sf_dir):
-    return cleaning.duration_gate(fx.labelled_text(spark, sf_dir)).select("doc_id", "duration_sec")
+    return cleaning.duration_gate(fx.texts(spark, sf_dir)).select("doc_id", "duration_sec")
 
 
 def q_audit_counts(spark, sf_dir):
@@ -72,7 +73,14 @@ def q_csv_roundtrip(spark, sf_dir):
     return tables.csv_roundtrip(spark, _clean(spark, sf_dir), "clean_table", tables.CLEAN_SCHEMA)
 
 
+def q_csv_raw_text(spark, sf_dir):
+    """S7 then S5 on raw texts: commas, quotes, backslashes and line breaks come back as they were."""
+    d = fx.texts(spark, sf_dir).select("doc_id", "transcription", "lang")
+    return tables.csv_roundtrip(spark, d, "raw_text", d.schema)
+
+
 QUERIES = {
+    "csv_raw_text": q_csv_raw_text,
     "label_normalise": q_label_normalise,
     "clean_text": q_clean_text,
     "text_length_filter": q_text_length_filter,
@@ -97,21 +105,22 @@ _CLEAN = ("c", f"""select doc_id, 'clean/audio/' || {_OUT} as audio_path_clean,
 ORACLE = {
     "label_normalise": fx.oracle(["labelled_text"], f"""select doc_id, label, {_LNUM} as label_num,
   case when {_LNUM} = 1 then 'Fraudulent' else 'Non_Fraudulent' end as label_clean from labelled_text"""),
-    "clean_text": fx.oracle(["labelled_text"],
-                            f"select doc_id, {sql_clean('transcription')} as transcription_clean from labelled_text"),
-    "text_length_filter": fx.oracle(["labelled_text"], """select doc_id, cast(length(t) as bigint) as n_chars_clean
-  from t where length(t) >= 3""", ("t", f"select doc_id, {sql_clean('transcription')} as t from labelled_text")),
+    "clean_text": fx.oracle(["texts"],
+                            f"select doc_id, {sql_clean('transcription')} as transcription_clean from texts"),
+    "text_length_filter": fx.oracle(["texts"], """select doc_id, cast(length(t) as bigint) as n_chars_clean
+  from t where length(t) >= 3""", ("t", f"select doc_id, {sql_clean('transcription')} as t from texts")),
     "path_resolve": fx.oracle(LP, f"select doc_id, audio_path, {_OUT} as out_path from lab", _LAB),
-    "existing_files": fx.oracle(LP, """select doc_id, audio_path from labelled_paths
+    "existing_files": fx.oracle(TP, """select doc_id, audio_path from text_paths
   where audio_path in (select path from listing)"""),
-    "missing_files": fx.oracle(LP, """select doc_id, audio_path from labelled_paths
+    "missing_files": fx.oracle(TP, """select doc_id, audio_path from text_paths
   where audio_path not in (select path from listing)"""),
-    "duration_gate": fx.oracle(["labelled_text"], """select doc_id, round(least(duration_sec, 30.0), 3) as duration_sec
-  from labelled_text where duration_sec >= 0.5"""),
+    "duration_gate": fx.oracle(["texts"], """select doc_id, round(least(duration_sec, 30.0), 3) as duration_sec
+  from texts where duration_sec >= 0.5"""),
     "audit_counts": fx.oracle(LP, """select count(*) as n_read, count(*) filter (where not e) as n_missing,
   count(*) filter (where e and (duration_sec is null or duration_sec < 0.5)) as n_bad,
   count(*) filter (where e and not (duration_sec is null or duration_sec < 0.5)) as n_kept
   from (select *, audio_path in (select path from listing) as e from labelled_paths) x"""),
     "clean_table": fx.oracle(LP, "select * from c", _LAB, _CLEAN),
+    "csv_raw_text": fx.oracle(["texts"], "select doc_id, transcription, lang from texts"),
     "csv_roundtrip": fx.oracle(LP, "select * from c", _LAB, _CLEAN),
 }

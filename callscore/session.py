@@ -8,7 +8,9 @@ explicit hints on structurally bounded tables (class lists, weight grids).
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -41,26 +43,37 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     if active is not None:
         return active
     b = SparkSession.builder.appName(app)
-    b = b.master(master or os.environ.get("CALLSCORE_MASTER", "local[*]"))
+    master = master or os.environ.get("CALLSCORE_MASTER", "local[*]")
+    b = b.master(master)
     for k, v in DEFAULT_CONF.items():
         b = b.config(k, v)
-    b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions or 8))
+    if shuffle_partitions or _is_local(master):
+        b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions or 8))
     b = b.config("spark.driver.memory", os.environ.get("CALLSCORE_DRIVER_MEMORY", "16g"))
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
 
+def _is_local(master: str) -> bool:
+    """One JVM: the driver's folders are the executors' folders."""
+    return master == "local" or master.startswith("local[")
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and materialised intermediates.
 
     On a cluster this is whatever ``spark.checkpoint.dir`` names (a shared
-    filesystem). Only when it is unset (local tests) do we create one.
+    filesystem), and it must be set. Only a local session gets a folder of
+    this machine when it is unset (tests); the folder goes with the process.
     """
     conf = spark.sparkContext.getConf()
     d = conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not _is_local(spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="callscore-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+        atexit.register(shutil.rmtree, d, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", d)
     if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
         spark.sparkContext.setCheckpointDir(d)

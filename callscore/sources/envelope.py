@@ -63,6 +63,16 @@ def end_message(call_id: Column, ts: Column | None = None) -> Column:
     return F.to_json(F.struct(*fields))
 
 
+def stage_ms(start: Column, end: Column) -> Column:
+    """milliseconds from one timestamp to a later one."""
+    return (F.unix_micros(end.cast("timestamp")) - F.unix_micros(start.cast("timestamp"))) / F.lit(1000.0)
+
+
+def timing_between(started: Column, featured: Column, transcribed: Column) -> Column:
+    """the timing map from the times at which the stages ended."""
+    return timing_map(stage_ms(started, featured), stage_ms(featured, transcribed), stage_ms(started, transcribed))
+
+
 def timing_map(feature_ms: Column, transcribe_ms: Column, total_ms: Column) -> Column:
     """stage durations in ms, rounded to 2 decimals."""
     return F.create_map(F.lit("feature_ms"), F.round(feature_ms, 2), F.lit("transcribe_ms"), F.round(transcribe_ms, 2),
@@ -82,15 +92,32 @@ def decode(raw: DataFrame, value_col: str = "value") -> DataFrame:
                                                        "yyyy-MM-dd'T'HH:mm:ss'Z'")))
 
 
-def quarantine_reason() -> Column:
-    """Q1: why a decoded row cannot be processed (null when it can)."""
+def _holds_null(m: Column) -> Column:
+    return F.exists(m, lambda row: row.isNull() | F.coalesce(F.exists(row, lambda x: x.isNull()), F.lit(False)))
+
+
+def _ragged(m: Column) -> Column:
+    return F.exists(m, lambda row: F.size(row) != F.size(F.try_element_at(m, F.lit(1))))
+
+
+def quarantine_reason(need_matrices: bool = False) -> Column:
+    """Q1, Q10, Q17: why a decoded row cannot be processed (null when it can):
+    no call id, no index, a matrix with a null in it (or, with
+    ``need_matrices``, none at all) or with rows of different lengths."""
+    chunk, null, ragged = F.col("kind") == "chunk", F.lit(False), F.lit(False)
+    for m in ("mfcc", "spectrogram"):
+        m = F.col(m)
+        null = null | F.coalesce(_holds_null(m), F.lit(need_matrices))
+        ragged = ragged | F.coalesce(_ragged(m), F.lit(False))
     return (F.when(F.col("call_id").isNull(), F.lit("no_call_id"))
-             .when((F.col("kind") == "chunk") & F.col("chunk_no").isNull(), F.lit("bad_index")))
+             .when(chunk & F.col("chunk_no").isNull(), F.lit("bad_index"))
+             .when(chunk & null, F.lit("null_matrix"))
+             .when(chunk & ragged, F.lit("ragged_matrix")))
 
 
-def split_valid(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:
+def split_valid(decoded: DataFrame, need_matrices: bool = False) -> tuple[DataFrame, DataFrame]:
     """(valid rows, quarantined rows with a ``reason``)."""
-    r = decoded.withColumn("reason", quarantine_reason())
+    r = decoded.withColumn("reason", quarantine_reason(need_matrices))
     return r.filter(F.col("reason").isNull()).drop("reason"), r.filter(F.col("reason").isNotNull())
 
 

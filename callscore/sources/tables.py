@@ -49,15 +49,29 @@ def with_default(df: DataFrame, name: str, value="") -> DataFrame:
     return df if name in df.columns else df.withColumn(name, F.lit(value))
 
 
+# The dialect that pandas reads and writes: fields with a comma, a quote or a
+# line break are quoted, a quote inside is doubled, a backslash is a plain
+# character, white space stays, an empty unquoted field is null.
+CSV_DIALECT = {
+    "header": "true", "quote": '"', "escape": '"', "multiLine": "true", "lineSep": "\n",
+    "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
+}
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """Header CSV with an explicit schema; empty fields read as empty strings."""
-    r = spark.read.option("header", True).option("emptyValue", "").option("nullValue", None)
+    """Header CSV with an explicit schema. A quoted empty field is an empty
+    string, an unquoted one null; a row that does not fit the schema fails the
+    read instead of losing fields."""
+    # the parser gives this mark for an unquoted empty field, so that a quoted one is told from it
+    r = spark.read.options(**CSV_DIALECT).option("nullValue", "\x00null").option("emptyValue", "").option("mode", "FAILFAST").option("maxCharsPerColumn", -1)
     return (r.schema(schema) if schema is not None else r).csv(path)
 
 
 def write_csv(df: DataFrame, path: str, partition_by: Iterable[str] = ()) -> str:
-    """Overwrite, header, no index column."""
-    w = df.write.mode("overwrite").option("header", True).option("emptyValue", "")
+    """Overwrite, header, no index column. Empty strings are written quoted,
+    nulls as nothing, so both come back as they were."""
+    options = {k: v for k, v in CSV_DIALECT.items() if k != "multiLine"}
+    w = df.write.mode("overwrite").options(**options).option("nullValue", "")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.csv(path)

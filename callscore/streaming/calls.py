@@ -1,16 +1,26 @@
 """Keyed progressive call state on Structured Streaming.
 
-``groupBy(call_id).applyInPandasWithState`` keeps, per call, only:
-the joined transcript cut to 2048 characters (later text can never reach
-the output), the segment count, the last chunk index (redelivered chunks
-are dropped), the running sums of the matrices, and a closed flag that
-acts as a tombstone so a late chunk cannot re-open an ended call.
-State size is constant per call, however long the call runs.
-
-For every chunk a ``running`` row is emitted (text cut to 512); a CALL_END
-emits the ``final`` row (text cut to 2048) and tombstones the call; an end
-marker without state emits an ``orphan_end`` row; a call idle longer than
-the timeout is evicted with an ``expired`` row.
+``groupBy(call_id).applyInPandasWithState`` keeps, per call, the joined
+transcript cut to 2048 characters (later text can never reach the output), the
+segment count, the running sum and count of the matrices of each modality, the
+next expected chunk index, the chunks that came before their turn, the ranges
+of indexes that were given up, and a closed flag that acts as a tombstone.
+
+Nothing is dropped silently, in whatever order chunks arrive:
+
+* the next chunk emits a ``running`` row (text cut to 512, mean matrices so
+  far), and so do chunks that were held back for it;
+* a chunk ahead of its turn is held until the gap closes, the call ends or
+  idles out, or more than ``HOLD_CHUNKS`` wait; then the gap is given up;
+* an index seen before is a redelivery and counts once;
+* a chunk whose gap was given up, or whose call has ended, emits a ``late`` row
+  with its text;
+* a chunk whose matrix differs in shape from the call's emits a
+  ``quarantined`` row, and the call goes on without it.
+
+A CALL_END emits the ``final`` row (text cut to 2048) and tombstones the call;
+an end marker of an unknown call emits an ``orphan_end`` row; a call idle
+longer than the timeout emits an ``expired`` row and is tombstoned too.
 """
 
 from __future__ import annotations
@@ -24,117 +34,198 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from ..functions.arrays import n_cols
+from ..functions.scoring import Scorer, score_columns, stand_in_scorer
 from ..operators.calls import FINAL_CHARS, RUNNING_CHARS
 from ..sources.envelope import observe_envelope, split_valid
 
-OUTPUT_SCHEMA = ("kind string, call_id string, chunk_index int, n_segments long, text string, "
-                 "mfcc array<array<double>>, spec array<array<double>>")
-STATE_SCHEMA = ("closed boolean, last_index int, n long, text string, "
-                "mfcc_sum array<double>, mfcc_cols int, spec_sum array<double>, spec_cols int")
+MODALITIES = ("mfcc", "spec")
+OUTPUT_SCHEMA = ("kind string, call_id string, chunk_index int, n_segments long, text string, mfcc array<double>, mfcc_cols int, "
+                 "spec array<double>, spec_cols int, reason string")
+COLUMNS = [f.split()[0] for f in OUTPUT_SCHEMA.split(", ")]
+STATE_SCHEMA = ("closed boolean, next_index long, n long, text string, "
+                "mfcc_sum array<double>, mfcc_cols int, mfcc_n long, spec_sum array<double>, spec_cols int, spec_n long, "
+                "held_index array<long>, held_text array<string>, held_mfcc array<array<double>>, held_mfcc_cols array<int>, "
+                "held_spec array<array<double>>, held_spec_cols array<int>, skipped_from array<long>, skipped_to array<long>")
 IDLE_TIMEOUT_MS = 30 * 60 * 1000
 TOMBSTONE_MS = 60 * 60 * 1000
+#: chunks of a call that may wait for a gap to close
+HOLD_CHUNKS = 1024
+
+
+class _Call:
+    """A call's state between micro-batches, and the rows that it emits."""
+
+    def __init__(self, call_id: str, state=None):
+        self.call_id, self.out = call_id, []
+        self.closed, self.next, self.n, self.text = False, 0, 0, ""
+        self.sums = {m: (None, None, 0) for m in MODALITIES}     # running sum, width, count
+        self.held: dict[int, tuple] = {}
+        self.skipped: list[list[int]] = []
+        if state is not None:
+            (self.closed, self.next, self.n, text, ms, mc, mn, ss, sc, sn, hi, ht, hm, hmc, hs, hsc, ka, kb) = state
+            self.text = text or ""
+            array = lambda x: None if x is None else np.asarray(x, dtype=np.float64)
+            self.sums = {"mfcc": (array(ms), mc, mn or 0), "spec": (array(ss), sc, sn or 0)}
+            for i, t, m, c, s, d in zip(hi or [], ht or [], hm or [], hmc or [], hs or [], hsc or []):
+                # an empty array stands for a matrix that is not there
+                self.held[i] = (t, (array(m), c) if len(m) else (None, None), (array(s), d) if len(s) else (None, None))
+            self.skipped = [list(x) for x in zip(ka or [], kb or [])]
+
+    def state(self) -> tuple:
+        (ms, mc, mn), (ss, sc, sn) = self.sums["mfcc"], self.sums["spec"]
+        items = sorted(self.held.items())
+        plain = lambda x: [] if x is None else x.tolist()
+        return (self.closed, self.next, self.n, self.text, None if ms is None else ms.tolist(), mc, mn, None if ss is None else ss.tolist(), sc, sn,
+                [i for i, _ in items], [h[0] for _, h in items], [plain(h[1][0]) for _, h in items], [h[1][1] or 0 for _, h in items],
+                [plain(h[2][0]) for _, h in items], [h[2][1] or 0 for _, h in items], [a for a, _ in self.skipped], [b for _, b in self.skipped])
+
+    # ---------------------------------------------------------------- rows
+    def emit(self, kind: str, index=None, text=None, means=(None, None), reason=None, n=None) -> None:
+        cols = [self.sums[m][1] if x is not None else None for m, x in zip(MODALITIES, means)]
+        self.out.append((kind, self.call_id, index, self.n if n is None else n, text, means[0], cols[0], means[1], cols[1], reason))
+
+    def means(self) -> list:
+        return [None if s is None else s / k for s, _, k in (self.sums[m] for m in MODALITIES)]
+
+    def rows(self) -> pd.DataFrame:
+        rows, self.out = self.out, []
+        return pd.DataFrame(rows, columns=COLUMNS)
+
+    # -------------------------------------------------------------- chunks
+    def add(self, index: int, piece: tuple) -> None:
+        """Take a chunk of a batch; ``settle`` processes what is in turn."""
+        if self.closed:
+            self.emit("late", index, piece[0], reason="after_end")
+        elif index < self.next:
+            gap = next((g for g in self.skipped if g[0] <= index <= g[1]), None)
+            if gap is not None:
+                self.skipped.remove(gap)
+                self.skipped += [g for g in ([gap[0], index - 1], [index + 1, gap[1]]) if g[0] <= g[1]]
+                self.emit("late", index, piece[0], reason="gap_given_up")
+        else:
+            self.held.setdefault(index, piece)
+
+    def settle(self, flush: bool = False) -> None:
+        """Process held chunks that are in turn; with ``flush`` (or too many
+        held) give up the gaps before the others."""
+        run: list[tuple[int, tuple]] = []
+        while self.held and (self.next in self.held or flush or len(self.held) > HOLD_CHUNKS):
+            if self.next not in self.held:
+                first = min(self.held)
+                self.skipped.append([self.next, first - 1])
+                self.next = first
+            run.append((self.next, self.held.pop(self.next)))
+            self.next += 1
+        if run:
+            self._process(run)
+
+    def _process(self, run: list[tuple[int, tuple]]) -> None:
+        """Chunks in turn, all at once: sums of matrices by one cumulative sum."""
+        fits = np.ones(len(run), bool)
+        for k, m in enumerate(MODALITIES):
+            total, width, count = self.sums[m]
+            size = None if total is None else len(total)
+            for j, (_, piece) in enumerate(run):
+                cells, cols = piece[1 + k]
+                if cells is None or not fits[j]:
+                    continue
+                if size is None:
+                    size, width = len(cells), cols
+                fits[j] = len(cells) == size and cols == width
+            if total is None and size is not None and any(fits[j] and piece[1 + k][0] is not None for j, (_, piece) in enumerate(run)):
+                self.sums[m] = (np.zeros(size), width, 0)
+        good = [r for r, ok in zip(run, fits) if ok]
+        means = {}
+        for k, m in enumerate(MODALITIES):
+            total, width, count = self.sums[m]
+            if total is None:
+                means[m] = [None] * len(good)
+                continue
+            there = np.array([r[1][1 + k][0] is not None for r in good], bool)
+            cells = np.zeros((len(good), len(total)))
+            for j in np.flatnonzero(there):
+                cells[j] = good[j][1][1 + k][0]
+            sums, counts = total + np.cumsum(cells, axis=0), count + np.cumsum(there)
+            means[m] = [s / c if c else None for s, c in zip(sums, counts)]
+            if len(good):
+                self.sums[m] = (sums[-1], width, int(counts[-1]))
+        at = 0
+        for (index, piece), ok in zip(run, fits):
+            if not ok:
+                self.emit("quarantined", index, piece[0], reason="changed_shape")
+                continue
+            self.text = (piece[0] if self.n == 0 else self.text + " " + piece[0])[:FINAL_CHARS]
+            self.n += 1
+            self.emit("running", index, self.text[:RUNNING_CHARS], [means[m][at] for m in MODALITIES])
+            at += 1
 
-def _flat(m):
-    if m is None:
-        return None, None
-    arr = np.asarray([np.asarray(r, dtype=np.float64) for r in m], dtype=np.float64)
-    if arr.ndim != 2:
-        return None, None
-    return arr.ravel(), arr.shape[1]
-
-
-def _mean(s, cols, n):
-    if s is None or not cols or n == 0:
-        return None
-    return (np.asarray(s) / n).reshape(-1, cols).tolist()
+    def close(self, kind: str) -> None:
+        """The last row of a call; what is left is a tombstone with the ranges of indexes seen."""
+        self.settle(flush=True)
+        self.emit(kind, None, self.text[:FINAL_CHARS], self.means())
+        self.closed, self.text, self.held = True, "", {}
+        self.sums = {m: (None, None, 0) for m in MODALITIES}
 
 
 def _arm(state: GroupState, ms: int, event_idle_ms: int | None, last_event_ms: int | None) -> None:
     """Processing-time mode: a duration. Event-time mode: last event + idle limit."""
     if event_idle_ms is None:
         state.setTimeoutDuration(ms)
-    elif last_event_ms is not None:
-        state.setTimeoutTimestamp(max(last_event_ms + event_idle_ms, state.getCurrentWatermarkMs() + 1))
+    else:
+        at = state.getCurrentWatermarkMs() if last_event_ms is None else last_event_ms
+        state.setTimeoutTimestamp(max(at + ms, state.getCurrentWatermarkMs() + 1))
 
 
 def process_call(key, pdfs: Iterator[pd.DataFrame], state: GroupState,
                  event_idle_ms: int | None = None) -> Iterator[pd.DataFrame]:
-    call_id = key[0]
-    cols = ["kind", "call_id", "chunk_index", "n_segments", "text", "mfcc", "spec"]
     if state.hasTimedOut:
-        st = state.get
-        if st is not None and not st[0]:
-            n = st[2]
-            yield pd.DataFrame([("expired", call_id, None, n, (st[3] or "")[:FINAL_CHARS],
-                                 _mean(st[4], st[5], n), _mean(st[6], st[7], n))], columns=cols)
-            if event_idle_ms is not None:  # keep a tombstone so late chunks cannot re-open it
-                state.update((True, st[1], n, None, None, None, None, None))
-                state.setTimeoutTimestamp(state.getCurrentWatermarkMs() + TOMBSTONE_MS)
-                return
-        state.remove()
+        call = _Call(key[0], state.get)
+        if call.closed:
+            state.remove()      # the tombstone's time is up
+            return
+        call.close("expired")
+        state.update(call.state())
+        _arm(state, TOMBSTONE_MS, event_idle_ms, None)
+        yield call.rows()
         return
-    if state.exists:
-        closed, last_index, n, text, msum, mcols, ssum, scols = state.get
-        msum = None if msum is None else np.asarray(msum, dtype=np.float64)
-        ssum = None if ssum is None else np.asarray(ssum, dtype=np.float64)
-    else:
-        closed, last_index, n, text, msum, mcols, ssum, scols = False, -1, 0, "", None, None, None, None
-    batch = pd.concat(list(pdfs), ignore_index=True)
-    last_event_ms = None
-    if "event_time" in batch and batch["event_time"].notna().any():
-        last_event_ms = int(pd.to_datetime(batch["event_time"]).max().value // 1_000_000)
-    # chunks in index order, end markers after the chunks of the same batch
-    batch["_o"] = (batch["kind"] == "end").astype(int)
-    batch = batch.sort_values(["_o", "chunk_no"], kind="stable")
-    out = []
-    ended = False
-    for r in batch.itertuples(index=False):
-        if r.kind == "end":
-            if closed or ended:
-                continue
-            if n == 0 and not state.exists:
-                out.append(("orphan_end", call_id, None, 0, None, None, None))
-                continue
-            out.append(("final", call_id, None, n, text[:FINAL_CHARS], _mean(msum, mcols, n),
-                        _mean(ssum, scols, n)))
-            ended = True
-            continue
-        if closed or ended or r.chunk_no <= last_index:
-            continue  # tombstoned call or redelivered chunk
-        piece = (r.transcript or "").strip()
-        text = (piece if n == 0 else text + " " + piece)[:FINAL_CHARS]
-        n += 1
-        last_index = int(r.chunk_no)
-        f, c = _flat(r.mfcc)
-        if f is not None:
-            msum, mcols = (f.copy(), c) if msum is None else (msum + f, mcols)
-        f, c = _flat(r.spectrogram)
-        if f is not None:
-            ssum, scols = (f.copy(), c) if ssum is None else (ssum + f, scols)
-        out.append(("running", call_id, last_index, n, text[:RUNNING_CHARS], _mean(msum, mcols, n),
-                    _mean(ssum, scols, n)))
-    if ended:
-        state.update((True, last_index, n, None, None, None, None, None))
-        _arm(state, TOMBSTONE_MS, None if event_idle_ms is None else TOMBSTONE_MS, last_event_ms)
-    elif n > 0 or closed:
-        state.update((closed, last_index, n, text,
-                      None if msum is None else msum.tolist(), mcols,
-                      None if ssum is None else ssum.tolist(), scols))
-        _arm(state, TOMBSTONE_MS if closed else IDLE_TIMEOUT_MS,
-             None if event_idle_ms is None else (TOMBSTONE_MS if closed else event_idle_ms), last_event_ms)
-    if out:
-        yield pd.DataFrame(out, columns=cols)
-
-
-def call_states(decoded: DataFrame, watermark: str | None = None, event_idle_ms: int | None = None) -> DataFrame:
+    call = _Call(key[0], state.get if state.exists else None)
+    ended, last_event_ms = False, None
+    for pdf in pdfs:        # an Arrow batch at a time, however long the call's micro-batch is
+        if pdf["event_time"].notna().any():
+            last_event_ms = max(last_event_ms or 0, int(pd.to_datetime(pdf["event_time"]).max().value // 1_000_000))
+        ended = ended or bool((pdf["kind"] == "end").any())
+        chunks = pdf[pdf["kind"] != "end"]
+        for r in chunks.itertuples(index=False):
+            flat = lambda x, c: (None, None) if x is None or not len(x) else (np.asarray(x, dtype=np.float64), int(c))
+            call.add(int(r.chunk_no), ((r.transcript or "").strip(), flat(r.mfcc, r.mfcc_cols), flat(r.spec, r.spec_cols)))
+        call.settle()
+        if call.out:
+            yield call.rows()
+    if ended and not call.closed:       # after the chunks of the same micro-batch
+        if call.next or call.held:
+            call.close("final")
+        else:
+            call.emit("orphan_end", None, n=0)
+    if call.next or call.held:
+        state.update(call.state())
+        _arm(state, TOMBSTONE_MS if call.closed else (event_idle_ms or IDLE_TIMEOUT_MS), event_idle_ms, last_event_ms)
+    if call.out:
+        yield call.rows()
+
+
+def call_states(decoded: DataFrame, watermark: str | None = None, event_idle_ms: int | None = None,
+                need_matrices: bool = False) -> DataFrame:
     """T1-T4 on a decoded message stream (``sources.envelope.decode``).
 
-    By default idle calls are evicted after a processing-time timeout. With
+    By default idle calls are closed after a processing-time timeout. With
     ``watermark`` (e.g. "10 minutes") and ``event_idle_ms`` the stream gets an
     event-time watermark and a call expires once the watermark passes its last
-    event plus the idle limit (an ``expired`` row, then a tombstone)."""
-    valid, _ = split_valid(observe_envelope(decoded))
-    v = valid.select("call_id", "kind", "chunk_no", "transcript", "mfcc", "spectrogram", "event_time")
+    event plus the idle limit. Either way it leaves an ``expired`` row and a
+    tombstone. Matrices travel as flat arrays and a width."""
+    valid, _ = split_valid(observe_envelope(decoded), need_matrices)
+    v = valid.select("call_id", "kind", "chunk_no", "transcript", F.flatten("mfcc").alias("mfcc"), n_cols("mfcc").alias("mfcc_cols"),
+                     F.flatten("spectrogram").alias("spec"), n_cols("spectrogram").alias("spec_cols"), "event_time")
     if watermark:
         v = v.withWatermark("event_time", watermark)
         fn, timeout = partial(process_call, event_idle_ms=event_idle_ms or IDLE_TIMEOUT_MS), \
@@ -144,9 +235,6 @@ def call_states(decoded: DataFrame, watermark: str | None = None, event_idle_ms:
     return v.groupBy("call_id").applyInPandasWithState(fn, OUTPUT_SCHEMA, STATE_SCHEMA, "append", timeout)
 
 
-def with_decisions(rows: DataFrame) -> DataFrame:
-    """Score the emitted rows (stand-in scorer; any batch scorer UDF fits here)."""
-    from ..functions.scoring import stand_in_scores, status
-    sc = stand_in_scores(F.col("text"), F.col("mfcc"), F.col("spec"))
-    out = rows.select("*", *[c.alias(k) for k, c in sc.items()])
-    return out.withColumn("status", status("final_prob"))
+def with_decisions(rows: DataFrame, scorer: Scorer = stand_in_scorer) -> DataFrame:
+    """Score the emitted rows with ``scorer``."""
+    return score_columns(rows, "text", "mfcc", "spec", scorer)

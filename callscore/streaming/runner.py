@@ -1,8 +1,8 @@
 """Drive a file-stream query through ordered arrival waves.
 
-Each wave's messages are written as new files under the input folder and
-the query is restarted from its checkpoint with ``trigger(availableNow)``,
-so every wave is one or more micro-batches and every restart exercises
+All messages are written once, a folder for each wave. The query is restarted
+from its checkpoint with ``trigger(availableNow)`` on one wave's folder more
+each time, so every wave is one or more micro-batches and every restart exercises
 checkpoint recovery (offsets, state store, sink log). All folders live in
 the shared scratch root (``spark.checkpoint.dir``).
 """
@@ -16,6 +16,9 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 
+# files of a micro-batch: what a trigger takes in at a time, however much has arrived
+MAX_FILES = 64
+
 # name -> state-store figures of the last wave of the last run (for reports)
 LAST_STATE: dict[str, dict] = {}
 
@@ -36,7 +39,7 @@ def console_sink(lines: DataFrame, checkpoint: str):
 
 def run_waves(spark: SparkSession, messages: DataFrame, build: Callable[[DataFrame], DataFrame],
               output_schema: str, name: str, wave_col: str = "wave", value_col: str = "value",
-              max_files_per_trigger: int | None = None, sink: str = "files") -> DataFrame:
+              max_files_per_trigger: int | None = MAX_FILES, sink: str = "files") -> DataFrame:
     """``messages`` has a wave number and a JSON text column; ``build`` turns the
     streaming text DataFrame into the output stream. Returns the sink contents."""
     spark.conf.set("spark.sql.streaming.stateStore.providerClass",
@@ -65,14 +68,14 @@ def _run(spark, messages, build, output_schema, name, wave_col, value_col, max_f
     LAST_STATE.pop(name, None)
     root = scratch_path(spark, name)
     inp, ckpt, out = f"{root}/input", f"{root}/checkpoint", f"{root}/output"
-    waves = [r[0] for r in messages.select(wave_col).distinct().orderBy(wave_col).collect()]  # wave ids only
-    for w in waves:
-        (messages.filter(F.col(wave_col) == w).select(value_col)
-         .write.mode("overwrite").text(f"{inp}/w{int(w):09d}"))
+    (messages.select(F.col(wave_col).cast("long").alias("wave"), F.col(value_col).alias("value"))
+     .write.mode("overwrite").partitionBy("wave").text(inp))
+    waves = [int(r[0]) for r in spark.read.text(inp).select("wave").distinct().orderBy("wave").collect()]  # wave ids only
+    for k in range(1, len(waves) + 1):
         reader = spark.readStream.format("text")
         if max_files_per_trigger:
             reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-        stream = build(reader.load(f"{inp}/*"))
+        stream = build(reader.load(f"{inp}/wave={{{','.join(map(str, waves[:k]))}}}"))
         writer = stream.writeStream.option("checkpointLocation", ckpt).outputMode("append") \
             .trigger(availableNow=True)
         if sink == "foreachBatch":

@@ -1,11 +1,20 @@
 """Streaming voice-segment sessioniser (T5): the W5 state machine as keyed
-state. State per clip is constant: open flag, ring of at most 10 flags,
-segment start, next segment number and the last frame seen."""
+state. Per clip: open flag, ring of at most 10 flags, segment start, next
+segment number, the next frame expected, frames that came before their turn
+and the ranges of frames that were given up.
+
+Frames are processed in frame order, whatever order they arrive in: a frame
+ahead of its turn waits until the gap closes, the clip idles out, or more than
+``HOLD_FRAMES`` wait. A frame that comes when its gap was given up emits a
+row with ``seg`` -1 (f0 and frame_no are the frame's number, n is 0); a frame
+seen before counts once.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -14,34 +23,78 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from ..operators.segments import NO_F0, SEGMENT_SCHEMA, VadMachine
 
 FRAME_SCHEMA = "clip_id long, frame_no long, is_voiced boolean"
-STATE_SCHEMA = "open boolean, ring array<int>, f0 long, seg long, last long"
+STATE_SCHEMA = ("open boolean, ring array<int>, f0 long, seg long, next long, held_frame array<long>, held_flag array<int>, "
+                "skipped_from array<long>, skipped_to array<long>")
 IDLE_TIMEOUT_MS = 30 * 60 * 1000
+HOLD_FRAMES = 65_536
+LATE = -1
+COLUMNS = ["clip_id", "seg", "f0", "frame_no", "n"]
+
+
+class _Clip:
+    def __init__(self, clip, state=None):
+        self.clip, self.out = clip, []
+        self.machine, self.seg, self.next = VadMachine(), 0, 0
+        self.held: dict[int, int] = {}
+        self.skipped: list[list[int]] = []
+        if state is not None:
+            open_, ring, f0, self.seg, self.next, frames, flags, a, b = state
+            self.machine = VadMachine(open_, list(ring or []), f0)
+            self.held = dict(zip(frames or [], flags or []))
+            self.skipped = [list(x) for x in zip(a or [], b or [])]
+
+    def state(self) -> tuple:
+        m, frames = self.machine, sorted(self.held)
+        return (m.open, m.ring, m.f0 if m.open else NO_F0, self.seg, self.next, frames, [self.held[f] for f in frames],
+                [a for a, _ in self.skipped], [b for _, b in self.skipped])
+
+    def add(self, frame: int, flag: int) -> None:
+        if frame >= self.next:
+            self.held.setdefault(frame, flag)
+            return
+        gap = next((g for g in self.skipped if g[0] <= frame <= g[1]), None)
+        if gap is not None:
+            self.skipped.remove(gap)
+            self.skipped += [g for g in ([gap[0], frame - 1], [frame + 1, gap[1]]) if g[0] <= g[1]]
+            self.out.append((self.clip, LATE, frame, frame, 0))
+
+    def settle(self, flush: bool = False) -> None:
+        frames = np.array(sorted(self.held), dtype=np.int64)
+        flags = np.array([self.held[f] for f in frames.tolist()], dtype=np.int64)
+        while len(frames) and (frames[0] == self.next or flush or len(frames) > HOLD_FRAMES):
+            if frames[0] != self.next:
+                self.skipped.append([self.next, int(frames[0]) - 1])
+            # the run of frames without a gap
+            breaks = np.flatnonzero(np.diff(frames) != 1)
+            end = int(breaks[0]) + 1 if len(breaks) else len(frames)
+            for f0, last, n in self.machine.run(frames[:end], flags[:end]):
+                self.out.append((self.clip, self.seg, f0, last, n))
+                self.seg += 1
+            self.next = int(frames[end - 1]) + 1
+            frames, flags = frames[end:], flags[end:]
+        self.held = dict(zip(frames.tolist(), flags.tolist()))
+
+    def rows(self) -> pd.DataFrame:
+        rows, self.out = self.out, []
+        return pd.DataFrame(rows, columns=COLUMNS)
 
 
 def process_clip(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    clip = key[0]
+    clip = _Clip(key[0], state.get if state.exists else None)
     if state.hasTimedOut:
+        clip.settle(flush=True)
         state.remove()
+        if clip.out:
+            yield clip.rows()
         return
-    if state.exists:
-        open_, ring, f0, seg, last = state.get
-        m = VadMachine(open_, list(ring or []), f0)
-    else:
-        m, seg, last = VadMachine(), 0, -1
-    batch = pd.concat(list(pdfs), ignore_index=True).sort_values("frame_no")
-    out = []
-    for p, v in zip(batch["frame_no"].tolist(), batch["is_voiced"].astype(int).tolist()):
-        if p <= last:
-            continue  # redelivered frame
-        last = p
-        r = m.step(p, v)
-        if r:
-            out.append((clip, seg, r[0], r[1], r[2]))
-            seg += 1
-    state.update((m.open, m.ring, m.f0 if m.open else NO_F0, seg, last))
+    for pdf in pdfs:
+        for frame, flag in zip(pdf["frame_no"].tolist(), pdf["is_voiced"].astype(int).tolist()):
+            clip.add(frame, flag)
+        clip.settle()
+        if clip.out:
+            yield clip.rows()
+    state.update(clip.state())
     state.setTimeoutDuration(IDLE_TIMEOUT_MS)
-    if out:
-        yield pd.DataFrame(out, columns=["clip_id", "seg", "f0", "frame_no", "n"])
 
 
 def segment_stream(frames_text: DataFrame) -> DataFrame:

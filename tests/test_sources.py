@@ -45,7 +45,37 @@ def test_csv_roundtrip_partitioned(spark):
 def test_unscored_status_and_helpers(spark):
     df = spark.createDataFrame([(None, " Fraud-ish ", 3.7, "WeightedAvg(0.5, 0.25, 0.25)", "Héllo\tWorld  ")],
                                "p double, label string, x double, name string, t string")
-    r = df.select(status("p", compat=False).alias("u"), status("p").alias("c"), label_num("label").alias("l"),
+    r = df.select(status("p").alias("u"), status("p", compat=True).alias("c"), label_num("label").alias("l"),
                   clamp_label("x").alias("k"), weights_from_name("name").alias("w"), clean_text("t").alias("ct")).first()
     assert r["u"] == "Unscored" and r["c"] == "Normal" and r["l"] == 1 and r["k"] == 1
     assert r["w"] == [0.5, 0.25, 0.25] and r["ct"] == "h llo world"
+
+
+def test_csv_reads_what_pandas_writes(spark, tmp_path):
+    import pandas as pd
+    rows = [(1, 'he said "hi", ok'), (2, "two\nlines, and a \\ backslash\\"), (3, "  spaces  "), (4, ""), (5, None), (6, "a\r\nb"), (7, '"'), (8, "\\\"")]
+    pd.DataFrame(rows, columns=["doc_id", "text"]).to_csv(tmp_path / "p.csv", index=False)
+    schema = spark.createDataFrame([], "doc_id long, text string").schema
+    got = {r["doc_id"]: r["text"] for r in tables.read_csv(spark, str(tmp_path / "p.csv"), schema).collect()}
+    # pandas writes null and the empty string alike
+    assert got == {i: (t or None) if i in (4, 5) else t for i, t in rows}
+    df = spark.createDataFrame(rows, schema)
+    back = {r["doc_id"]: r["text"] for r in tables.csv_roundtrip(spark, df, "dialect", schema).collect()}
+    assert back == dict(rows)
+
+
+def test_scratch_folder_of_a_cluster_must_be_set(monkeypatch):
+    import pytest
+
+    from callscore import session
+
+    class Fake:
+        class conf:
+            get = staticmethod(lambda *a: None)
+
+        class sparkContext:
+            master = "spark://host:7077"
+            getConf = staticmethod(lambda: Fake.conf)
+
+    with pytest.raises(ValueError):
+        session.scratch_root(Fake)

@@ -47,7 +47,7 @@ def test_stream_equals_batch_with_restarts(spark, small_dir):
     from callscore.plans import fixtures as fx
     from callscore.plans import stream_queries as sq
     got = sq.q_stream_running(spark, small_dir)
-    want = calls.call_running(fx.chunks(spark, small_dir))
+    want = calls.call_running(fx.chunk_matrices(spark, small_dir))
     cols = sorted(want.columns)
     a = sorted(tuple(r) for r in got.select(cols).collect())
     b = sorted(tuple(r) for r in want.select(cols).collect())
@@ -59,7 +59,7 @@ def test_matrix_means_in_state(spark):
             (1, '{"call_id":"m","chunk_index":1,"event":"CHUNK","transcript":"y","mfcc":[[3.0,6.0]]}')]
     out = _run(spark, rows, "t_matrix")
     last = [r for r in out if r["kind"] == "running" and r["chunk_index"] == 1][0]
-    assert last["mfcc"] == [[2.0, 4.0]] and last["spec"] is None
+    assert last["mfcc"] == [2.0, 4.0] and last["mfcc_cols"] == 2 and last["spec"] is None
 
 
 def test_foreach_batch_sink_is_idempotent(spark):
@@ -95,3 +95,69 @@ def test_observed_envelope_counters(spark):
     _run(spark, rows, "t_observe")
     st = LAST_STATE["t_observe"]
     assert st["rows_read"] == 4 and st["quarantined"] == 2
+
+
+def test_disorder_redelivery_and_gaps_give_the_batch_result(spark):
+    rows = [(0, _chunk("a", 0, "zero")), (0, _chunk("a", 2, "two")), (0, _chunk("a", 4, "four")),
+            (1, _chunk("a", 2, "two")), (1, _chunk("a", 1, "one")),                # closes the first gap; a redelivery
+            (2, _chunk("a", 0, "zero")), (2, _chunk("a", 5, "five")), (2, _end("a")),      # 3 never came
+            (3, _chunk("a", 3, "three")), (3, _chunk("a", 1, "one"))]
+    out = _run(spark, rows, "t_disorder")
+    running = sorted((r["chunk_index"], r["text"]) for r in out if r["kind"] == "running")
+    assert running == [(0, "zero"), (1, "zero one"), (2, "zero one two"), (4, "zero one two four"), (5, "zero one two four five")]
+    final = [r for r in out if r["kind"] == "final"]
+    assert [(r["text"], r["n_segments"]) for r in final] == [("zero one two four five", 5)]
+    # nothing is silent: what comes after the end is a row
+    assert sorted((r["chunk_index"], r["text"], r["reason"]) for r in out if r["kind"] == "late") == [(1, "one", "after_end"), (3, "three", "after_end")]
+
+
+def test_too_many_waiting_chunks_give_up_the_gap(spark, monkeypatch):
+    monkeypatch.setattr(scalls, "HOLD_CHUNKS", 3)
+    call = scalls._Call("c")
+    none = (None, None)
+    for i in (1, 2, 3, 4, 9):
+        call.add(i, (str(i), none, none))
+        call.settle()
+    assert [r[2] for r in call.out] == [1, 2, 3, 4] and call.skipped == [[0, 0]] and set(call.held) == {9}
+    again = scalls._Call("c", call.state())
+    again.add(0, ("0", none, none))
+    again.add(0, ("0", none, none))
+    again.add(2, ("2", none, none))
+    assert [(r[0], r[2], r[9]) for r in again.out] == [("late", 0, "gap_given_up")] and not again.skipped
+    assert again.state()[:4] == call.state()[:4]
+
+
+def test_means_count_matrices_and_shapes_are_checked(spark):
+    def chunk(i, m):
+        return f'{{"call_id":"m","chunk_index":{i},"event":"CHUNK","transcript":"t{i}"{m}}}'
+    rows = [(0, chunk(0, ',"mfcc":[[2.0,4.0]]')), (0, chunk(1, "")), (0, chunk(2, ',"mfcc":[[1.0],[1.0]]')), (1, chunk(3, ',"mfcc":[[4.0,8.0]]')),
+            (1, chunk(4, ',"mfcc":[[1.0,2.0],[3.0]]')), (1, chunk(5, ',"mfcc":[[1.0,null]]')), (2, chunk(6, ',"mfcc":[[0.0,0.0]],"spectrogram":[[5.0]]')), (2, _end("m"))]
+    out = _run(spark, rows, "t_shapes")
+    got = {r["chunk_index"]: (r["text"], r["mfcc"]) for r in out if r["kind"] == "running"}
+    assert got[0] == ("t0", [2.0, 4.0]) and got[1] == ("t0 t1", [2.0, 4.0]) and got[3] == ("t0 t1 t3", [3.0, 6.0])
+    assert [(r["chunk_index"], r["reason"]) for r in out if r["kind"] == "quarantined"] == [(2, "changed_shape")]
+    final = [r for r in out if r["kind"] == "final"][0]
+    assert final["mfcc"] == [2.0, 4.0] and final["spec"] == [5.0] and final["n_segments"] == 4 and 0 < final["mfcc_prob"] <= 1
+
+
+def test_segments_do_not_depend_on_arrival(spark):
+    import json
+
+    from callscore.operators import segments
+    from callscore.streaming import segments as ssegs
+    flags = [(i // 17) % 2 for i in range(200)]
+    want = segments.sessionise(list(range(200)), flags)
+    rows = [((i * 7) % 3, json.dumps({"clip_id": 1, "frame_no": i, "is_voiced": bool(f)})) for i, f in enumerate(flags)]
+    rows += [(2, rows[k][1]) for k in range(0, 200, 9)]
+    out = run_waves(spark, _msgs(spark, rows), ssegs.segment_stream, ssegs.SEGMENT_SCHEMA, "t_seg").collect()
+    assert sorted((r["seg"], r["f0"], r["frame_no"], r["n"]) for r in out) == [(k, *s) for k, s in enumerate(want)]
+
+
+def test_frames_after_a_gap_was_given_up_are_rows(monkeypatch):
+    from callscore.streaming import segments as ssegs
+    monkeypatch.setattr(ssegs, "HOLD_FRAMES", 4)
+    clip = ssegs._Clip(1)
+    for f in (2, 3, 4, 5, 6, 0):
+        clip.add(f, 0)
+        clip.settle()
+    assert clip.next == 7 and clip.skipped == [[1, 1]] and clip.out == [(1, ssegs.LATE, 0, 0, 0)]

@@ -10,7 +10,7 @@ from callscore.functions import arrays as A
 from callscore.functions.scoring import decide, stand_in_text_prob, status
 from callscore.operators import calls, cleaning, metrics, segments, signal, splits
 from callscore.operators.halo import halo_window
-from callscore.operators.prefix import adaptive_running_totals, int_bucket, running_totals
+from callscore.operators.prefix import int_bucket, running_totals, score_bucket
 
 
 def test_ring_six_of_ten_stays_idle_seven_opens():
@@ -112,7 +112,7 @@ def test_auc_matches_pairwise_definition(spark):
     pos = [p for y, p in rows if y]
     neg = [p for y, p in rows if not y]
     want = sum((a > b) + 0.5 * (a == b) for a in pos for b in neg) / (len(pos) * len(neg))
-    got = metrics.roc_auc(df, "y", "p", hot_rows=5).first()["auc"]
+    got = metrics.roc_auc(df, "y", "p").first()["auc"]
     assert got == pytest.approx(want)
 
 
@@ -204,37 +204,52 @@ def test_class_report_rows(spark):
     assert rep["accuracy"]["support"] == 0.75 and rep["macro avg"]["support"] == 4.0
 
 
-@pytest.mark.parametrize("hot", [40, 1 << 20])
-def test_adaptive_prefix_equals_window(spark, hot):
-    # key 0 is hot (a third of the rows plus), keys 1-9 small; ties in the bucket value
-    df = spark.range(1200).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 10).alias("k"), "id",
-                                  (F.col("id") / 7).cast("long").alias("t"), (F.col("id") % 5).alias("v"))
-    got = adaptive_running_totals(df, ["k"], ["t", "id"], F.col("t"), sums={"s": F.col("v")}, rank="r", count="n",
-                                  hot_rows=hot)
+@pytest.mark.parametrize("width", [1, 13, 1 << 20])
+def test_prefix_keeps_null_keys_and_null_orders(spark, width):
+    # key 0 holds a third of the rows; null keys, null order values, ties in the bucket value
+    df = spark.range(1200).select(
+        F.when(F.col("id") % 3 == 0, 0).when(F.col("id") % 50 == 1, None).otherwise(F.col("id") % 10).alias("k"), "id",
+        F.when(F.col("id") % 20 != 7, (F.col("id") / 7).cast("long")).alias("t"), (F.col("id") % 5).alias("v"))
+    got = running_totals(df, ["k"], ["t", "id"], int_bucket("t", width), sums={"s": F.col("v")}, rank="r", count="n")
     w = Window.partitionBy("k").orderBy("t", "id")
     want = df.select("k", "id", F.sum("v").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("s"),
                      (F.row_number().over(w) - 1).alias("r"), F.count(F.lit(1)).over(Window.partitionBy("k")).alias("n"))
-    a = sorted(tuple(r) for r in got.select("k", "id", "s", "r", "n").collect())
-    assert a == sorted(tuple(r) for r in want.collect())
+    key = lambda r: (r[0] is not None, *[x or 0 for x in r])
+    a = sorted((tuple(r) for r in got.select("k", "id", "s", "r", "n").collect()), key=key)
+    assert len(a) == 1200 and a == sorted((tuple(r) for r in want.collect()), key=key)
 
 
-def test_adaptive_prefix_global_group(spark):
+def test_prefix_without_a_key(spark):
     df = spark.range(300).select("id", ((F.col("id") * 17) % 101).cast("double").alias("p"))
-    got = adaptive_running_totals(df, [], ["p", "id"], F.col("p"), rank="r", hot_rows=50)
+    got = running_totals(df, [], ["p", "id"], score_bucket("p", 1), rank="r")
     want = df.select("id", (F.row_number().over(Window.orderBy("p", "id")) - 1).alias("r"))
     assert sorted(tuple(r) for r in got.select("id", "r").collect()) == sorted(tuple(r) for r in want.collect())
 
 
-def test_split_hot_path_equals_plain(spark):
-    from callscore.operators import prefix
-    df = spark.range(700).select(F.col("id").alias("clip_id"), (F.col("id") % 4 == 0).cast("int").alias("label_num"))
-    plain = sorted(tuple(r) for r in splits.kfold(df).collect())
-    # hot path: hash buckets forced by a tiny threshold
-    d = df.withColumn("_h", splits.hash_key("clip_id"))
-    got = prefix.adaptive_running_totals(d, [], ["label_num", "_h", "clip_id"], None, rank="_g", hot_rows=50,
-                                         bucket=F.col("label_num").cast("long") * 16 + prefix.hash_bucket("_h", 1))
-    got = sorted((r["clip_id"], r["label_num"], int(r["_g"] % 5)) for r in got.collect())
-    assert got == plain
+@pytest.mark.parametrize("digits", [1, 3])
+def test_folds_equal_one_global_numbering(spark, digits):
+    df = spark.range(700).select(F.col("id").alias("clip_id"),
+                                 F.when(F.col("id") % 60 != 0, (F.col("id") % 4 == 0).cast("int")).alias("label_num"))
+    got = splits.kfold(df, digits=digits)
+    w = Window.orderBy("label_num", "_h", "clip_id")
+    want = df.withColumn("_h", splits.hash_key("clip_id")).select(
+        "clip_id", "label_num", ((F.row_number().over(w) - 1) % 5).cast("int").alias("fold"))
+    key = lambda r: r[0]
+    a = sorted((tuple(r) for r in got.select("clip_id", "label_num", "fold").collect()), key=key)
+    assert len(a) == 700 and a == sorted((tuple(r) for r in want.collect()), key=key)
+
+
+def test_auc_over_buckets_equals_pairs(spark):
+    import random
+    rng = random.Random(11)
+    rows = [(g, int(rng.random() < 0.4), rng.choice([rng.random(), 0.5, rng.random() * 8 - 4])) for g in (1, 2) for _ in range(150)]
+    rows += [(3, 1, 0.2), (3, 1, 0.4), (None, 1, 0.9), (None, 0, 0.1), (None, 0, 0.9)]
+    df = spark.createDataFrame(rows, "g int, y int, p double")
+    got = {r["g"]: r["auc"] for r in metrics.roc_auc(df, "y", "p", ["g"]).collect()}
+    for g in (1, 2, None):
+        pos, neg = [[p for k, y, p in rows if k == g and y == c] for c in (1, 0)]
+        assert got[g] == pytest.approx(sum((a > b) + (a == b) / 2 for a in pos for b in neg) / len(pos) / len(neg))
+    assert got[3] is None
 
 
 def test_splits_partition_the_input(spark):
@@ -263,13 +278,13 @@ def test_cells_from_counts_match_cell_counts(spark):
     assert [a[f"c_{i}_{j}"] for i in (0, 1) for j in (0, 1)] == [b[f"c_{i}_{j}"] for i in (0, 1) for j in (0, 1)]
 
 
-def test_transcripts_hot_call_path_equals_plain(spark):
-    # one call with 400 chunks (hot when the threshold is 50), plus small calls
+def test_transcripts_do_not_depend_on_the_bucket_width(spark):
+    # one call with 400 chunks, plus small calls
     rows = [(1, i, ("w%d " % i) * (i % 4)) for i in range(400)] + [(c, i, "x" * i) for c in range(2, 6) for i in range(5)]
     df = spark.createDataFrame(rows, "call_id long, chunk_index int, transcript string")
     for fn, lim in ((calls.final_text, 2048), (calls.running_text, 512)):
         plain = sorted(tuple(r) for r in fn(df, lim).collect())
-        hot = sorted(tuple(r) for r in fn(df, lim, hot_rows=50, bucket_width=16).collect())
+        hot = sorted(tuple(r) for r in fn(df, lim, bucket_width=16).collect())
         assert hot == plain
 
 
@@ -310,3 +325,68 @@ def test_class_weight_join_and_checked_broadcast(spark):
         or "broadcast" in splits.checked_broadcast(small, 10)._jdf.queryExecution().logical().toString().lower()
     big = spark.range(50)
     assert splits.checked_broadcast(big, 10) is big
+
+
+def test_vectorised_run_equals_frame_by_frame():
+    import random
+
+    import numpy as np
+    rng = random.Random(3)
+    for _ in range(200):
+        flags, v = [], 0
+        for _ in range(rng.randrange(1, 300)):
+            v = 1 - v if rng.random() < 0.15 else v
+            flags.append(v)
+        a, b, got, i = segments.VadMachine(), segments.VadMachine(), [], 0
+        while i < len(flags):
+            k = rng.randrange(1, 90)
+            got += a.run(np.arange(i, min(i + k, len(flags))), np.array(flags[i:i + k]))
+            i += k
+        want = [r for r in map(b.step, range(len(flags)), flags) if r]
+        assert got == want and a.state() == b.state()
+
+
+def test_sessioniser_tree_of_buckets(spark):
+    import random
+    rng = random.Random(12)
+    rows, v = [], 0
+    for i in range(700):
+        v = 1 - v if rng.random() < 0.12 else v
+        rows.append((5, i, bool(v)))
+    rows += [(6, i, True) for i in range(9)] + [(None, 1, True), (5, None, True)]
+    df = spark.createDataFrame(rows, "clip_id long, frame_no long, is_voiced boolean")
+    for flush in (False, True):
+        want = []
+        for clip in (5, 6):
+            own = [int(r[2]) for r in rows if r[0] == clip and r[1] is not None]
+            want += [(clip, k, *s) for k, s in enumerate(segments.sessionise(list(range(len(own))), own, flush_open=flush))]
+        got = segments.voice_segments(df, bucket_frames=16, super_buckets=4, flush_open=flush)
+        assert sorted(tuple(r) for r in got.collect()) == sorted(want)
+
+
+def test_arrays_without_cells_and_samples_beyond_full_scale(spark):
+    df = spark.createDataFrame([([], [1.2, -1.2, 0.5, float("nan")]), ([[]], []), (None, None), ([[1.0, 2.0], [3.0]], [0.0])],
+                               "m array<array<double>>, y array<double>")
+    rows = df.select(A.shape("m").alias("shape"), A.transpose("m").alias("t"), A.pad_or_cut_rows("m", 2).alias("p"), A.resize("m", 2, 2).alias("r"),
+                     A.zero_fallback("m", 1, 1, 2).alias("z"), A.pcm16_roundtrip("y").alias("y")).collect()
+    assert [r["shape"] for r in rows] == [[0, 0], [1, 0], [None, None], [2, 2]]
+    assert [r["t"] for r in rows] == [[], [], None, [[1.0, 3.0], [2.0, None]]]
+    assert rows[0]["p"] == [[], []] and rows[0]["r"] == [] and rows[1]["r"] == [] and rows[2]["r"] is None
+    assert rows[0]["z"] == [[0.0, 0.0]]
+    assert rows[0]["y"][0] == rows[0]["y"][0] == 32767 / A.PCM_SCALE and rows[0]["y"][1] == -32768 / A.PCM_SCALE and rows[0]["y"][3] == 0.0
+
+
+def test_class_weights_keep_rows_without_a_label(spark):
+    df = spark.createDataFrame([(1, 0), (2, 0), (3, 1), (4, None)], "clip_id long, label_num int")
+    assert {r["clip_id"]: r["weight"] for r in splits.with_class_weight(df).collect()} == {
+        1: pytest.approx(4 / 6), 2: pytest.approx(4 / 6), 3: pytest.approx(4 / 3), 4: pytest.approx(4 / 3)}
+
+
+def test_flat_means(spark):
+    from callscore.operators import matrices
+    rows = [("a", i, [float(i), 2.0]) for i in range(50)] + [("a", 50, [1.0]), ("a", 51, None), ("b", 0, [4.0, 6.0])]
+    df = spark.createDataFrame(rows, "k string, i long, m array<double>").repartition(4)
+    got = {r["k"]: r["x"] for r in matrices.flat_mean(df, ["k"], "m", "x").collect()}
+    assert got == {"a": [24.5, 2.0], "b": [4.0, 6.0]}
+    run = {(r["k"], r["i"]): r["x"] for r in matrices.running_flat_mean(df.where("i < 50"), ["k"], "i", "m", "x", bucket_width=7).collect()}
+    assert run["a", 9] == [4.5, 2.0] and run["b", 0] == [4.0, 6.0] and len(run) == 51
