@@ -112,7 +112,7 @@ def transpose(m) -> Column:
         width = n_cols(mm)
         turned = F.transform(F.sequence(F.lit(1), F.greatest(width, F.lit(1))),
                              lambda j: F.transform(mm, lambda row: F.try_element_at(row, j)))
-        return F.when(width == 0, F.slice(turned, 1, 0)).otherwise(turned)
+        return F.when(width > 0, turned).when(width == 0, F.slice(turned, 1, 0))
     return let(m, body)
 
 
@@ -150,7 +150,7 @@ def resize(m, rows: int, cols: int) -> Column:
     empty, as there is nothing to interpolate."""
     def body(mm):
         sized = transpose(_resize_axis(transpose(_resize_axis(mm, rows)), cols))
-        return F.when((n_rows(mm) > 0) & (n_cols(mm) > 0), sized).otherwise(F.slice(mm, 1, 0))
+        return F.when((n_rows(mm) > 0) & (n_cols(mm) > 0), sized).when(mm.isNotNull(), F.slice(mm, 1, 0))
     return let(m, body)
 
 
