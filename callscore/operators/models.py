@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import metrics
+from .fusion import per_fold_metrics
 from .splits import with_class_weight
 
 # ---- fixed values (candidate settings) ----
@@ -130,9 +131,15 @@ def cv_predictions(folded: DataFrame, cands: dict[str, Pipeline], label: str = "
     """Out-of-fold class-1 probabilities for every candidate: (model, fold, label, p).
 
     Fits are independent Spark ML jobs; up to ``parallelism`` run at once
-    (as ``CrossValidator(parallelism=...)`` does)."""
+    (as ``CrossValidator(parallelism=...)`` does). The folded input, which every
+    fit reads, and the predictions, which every metric reads, are kept in the
+    shared checkpoint folder."""
     from concurrent.futures import ThreadPoolExecutor
 
+    from ..session import scratch_root
+
+    scratch_root(folded.sparkSession)
+    folded = folded.checkpoint()
     jobs = [(name, f) for name in cands for f in range(k)]
 
     def fit(job):
@@ -148,18 +155,26 @@ def cv_predictions(folded: DataFrame, cands: dict[str, Pipeline], label: str = "
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out
+    return out.checkpoint()
 
 
 def cv_summary(preds: DataFrame, label: str = "label_num") -> DataFrame:
-    """Per model mean/std over folds of accuracy, weighted F1 and AUC, ranked by F1."""
-    g = ["model", "fold"]
-    cc = metrics.cell_counts(preds, label, metrics.predict("p"), g)
-    s = metrics.summary_from_cells(cc, g).select(*g, F.col("accuracy").alias("acc"), F.col("f1_weighted").alias("f1"))
-    pf = s.join(metrics.roc_auc(preds, label, "p", g), g)
-    summ = metrics.fold_summary(pf, ["model"], ("acc", "f1", "auc"))
+    """Per model mean/std over folds of accuracy, weighted F1 and AUC."""
+    return metrics.fold_summary(per_fold_metrics(preds, label, ("model", "fold")), ["model"], ("acc", "f1", "auc"))
+
+
+def ranked(summary: DataFrame, by: str = "f1_mean") -> DataFrame:
+    """O1: one ranking of candidates (a row each), ties by name."""
     from pyspark.sql import Window
-    return summ.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("f1_mean"), F.asc("model"))))
+    return summary.withColumn("rank", F.row_number().over(Window.orderBy(F.desc(by), F.asc("model"))).cast("long"))
+
+
+def logistic_gradient(model, data: DataFrame, feature_cols: Sequence[str], label: str = "label_num") -> DataFrame:
+    """One row with the largest absolute component of the mean gradient of the
+    log loss at a fitted logistic regression; 0 at the optimum."""
+    error = F.col("p") - F.col(label)
+    means = [F.abs(F.avg(error * F.col(c))) for c in feature_cols] + [F.abs(F.avg(error))]
+    return positive_prob(model.transform(data)).agg(F.greatest(*means).alias("gradient"))
 
 
 # ------------------------------------------------------------------ U9 / S12

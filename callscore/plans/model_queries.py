@@ -11,6 +11,7 @@ from ..operators import calls, fusion, metrics, models, splits
 from ..session import scratch_path
 from . import call_queries
 from . import fixtures as fx
+from . import sqltext
 from .eval_queries import _scored
 
 # Check-size training settings for the registered CV query (library defaults
@@ -50,23 +51,25 @@ def q_matrix_model_eval(spark, sf_dir):
                                      F.avg((F.col("prediction") == F.col("label")).cast("double")).alias("accuracy"))
 
 
-def _meta_cv(spark, sf_dir):
-    d = splits.kfold(_scored(spark, sf_dir))
+def _ranking(spark, sf_dir):
+    """Folded scores, trained candidates, and one ranking of all candidates:
+    trained ones, the simple average and the best weighted average."""
+    scores = _scored(spark, sf_dir)
+    d = splits.kfold(scores)
     cands = models.candidates(fusion.PROBS, gbt_settings=CHECK_GBT, mlp_max_iter=CHECK_MLP_ITER)
-    return d, cands, models.cv_summary(models.cv_predictions(d, cands))
+    trained = models.cv_summary(models.cv_predictions(d, cands))
+    untrained = fusion.untrained_cv_summary(scores).drop("rank")
+    return d, cands, models.ranked(trained.unionByName(untrained))
 
 
 def q_meta_model_cv(spark, sf_dir):
-    return _meta_cv(spark, sf_dir)[2]
+    return _ranking(spark, sf_dir)[2]
 
 
 def q_best_meta_model(spark, sf_dir):
     """U9 + S12: the best of trained and untrained candidates, refit and saved."""
-    d, cands, trained = _meta_cv(spark, sf_dir)
-    untrained = fusion.untrained_cv_summary(_scored(spark, sf_dir)).select("model", "f1_mean")
-    allc = trained.select("model", "f1_mean").unionByName(untrained)
-    best = allc.orderBy(F.desc("f1_mean"), F.asc("model")).first()  # one row of a candidate table
-    name = best["model"]
+    d, cands, ranking = _ranking(spark, sf_dir)
+    name = ranking.orderBy("rank").first()["model"]      # one row of a candidate table
     weights = None
     if name.startswith("WeightedAvg"):
         weights = [float(x) for x in name[len("WeightedAvg("):-1].split(",")]
@@ -75,15 +78,42 @@ def q_best_meta_model(spark, sf_dir):
     return models.refit_and_save(spark, d, name, cands, scratch_path(spark, "best_fusion"), weights)
 
 
+def q_logreg_folds(spark, sf_dir):
+    """The logistic fusion model fold by fold: rows and positives held out,
+    the gradient where it stopped (0 at the optimum), and whether accuracy and
+    AUC recomputed from the held-out predictions agree with the metrics."""
+    d = splits.kfold(_scored(spark, sf_dir)).persist()
+    pipeline = models.candidates(fusion.PROBS)["LogReg"]
+    parts = []
+    for f in range(splits.N_FOLDS):
+        train, held = d.filter(F.col("fold") != f), d.filter(F.col("fold") == f)
+        model = pipeline.fit(train)
+        pred = models.positive_prob(model.transform(held)).select(F.lit(f).alias("fold"), "label_num", "p")
+        counts = pred.groupBy("fold").agg(
+            F.count(F.lit(1)).alias("n"), F.sum(F.col("label_num").cast("long")).alias("n_pos"),
+            F.avg(((F.col("p") > 0.5).cast("int") == F.col("label_num")).cast("double")).alias("acc_plain"))
+        own = fusion.per_fold_metrics(pred, "label_num", ("fold",))
+        gradient = models.logistic_gradient(model, train, fusion.PROBS).select(F.lit(f).alias("fold"), F.round("gradient", 3).alias("gradient"))
+        parts.append(counts.join(own, "fold").join(gradient, "fold"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    agree = (F.abs(F.col("acc") - F.col("acc_plain")) < 1e-9) & F.col("auc").between(0.0, 1.0)
+    return out.select("fold", "n", "n_pos", (F.col("gradient") + 0.0).alias("gradient"), agree.alias("agree"))
+
+
 QUERIES = {
     "udf_scoring": q_udf_scoring,
     "text_model_eval": q_text_model_eval,
     "matrix_model_eval": q_matrix_model_eval,
     "meta_model_cv": q_meta_model_cv,
     "best_meta_model": q_best_meta_model,
+    "logreg_folds": q_logreg_folds,
 }
 
 ORACLE = {
+    "logreg_folds": fx.oracle(["scored"], """select cast(fold as int) as fold, count(*) as n, cast(sum(label_num) as bigint) as n_pos,
+  cast(0 as double) as gradient, true as agree from fo group by fold""", ("s", "select clip_id, label_num from scored"), ("fo", sqltext.folds("s"))),
     "udf_scoring": call_queries.ORACLE["call_final"].replace(
         "select call_id, n_segments, full_text, ", "select call_id, bert_prob from (select call_id, ", 1) + ") z",
 }
