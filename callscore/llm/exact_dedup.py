@@ -13,51 +13,22 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import bloom
+from .bloom import FILTER_BITS
 from .common import lower_az, ref, temp_names, without
 
-#: bits of the filter: at most FILTER_BITS / 8 bytes (16 MiB) are broadcast, whatever the input
-FILTER_BITS = 1 << 27
-_BITMAP_BITS = 32768    # of one row that bitmap_construct_agg makes
+#: parts in which a group of copies meets its largest doc_id
+SALTS = 32
 
 OUTPUT = ("keep_id", "group_size", "kept", "text_sha256")
 
 
-def _cells(text: Column, bits: int) -> list[Column]:
-    h = F.xxhash64(text)
-    mask = F.lit(bits - 1)
-    return [h.bitwiseAND(mask), F.shiftrightunsigned(h, 32).bitwiseAND(mask)]
-
-
-def repeated_cells(df: DataFrame, text: Column, bits: int = FILTER_BITS) -> DataFrame:
-    """bucket, bitmap: the filter's cells that at least two rows (or both
-    cells of one row) hit. At most bits / 32768 rows of 4 KiB."""
-    cells = df.select(F.explode(F.array(*_cells(text, bits))).alias("cell"))
-    counted = cells.groupBy("cell").count().where("count > 1")
-    at = counted.select(F.bitmap_bucket_number("cell").alias("bucket"), F.bitmap_bit_position("cell").alias("position"))
-    return at.repartition("bucket").groupBy("bucket").agg(F.bitmap_construct_agg("position").alias("bitmap"))
-
-
-def _is_set(bitmap: str, position: Column) -> Column:
-    byte = F.substring(F.col(bitmap), (F.floor(position / 8) + 1).cast("int"), F.lit(1))
-    value = F.conv(F.hex(byte), 16, 10).cast("int")
-    bit = F.pow(F.lit(2), position % 8).cast("int")
-    return F.coalesce(value.bitwiseAND(bit) != 0, F.lit(False))
-
-
 def possibly_repeated(df: DataFrame, text: Column, flag: str, bits: int = FILTER_BITS) -> DataFrame:
-    """Add the boolean ``flag``: false only for rows whose text occurs once."""
-    if bits < _BITMAP_BITS or bits & (bits - 1):
-        raise ValueError("the filter's bits must be a power of two, at least 32768")
-    seen = repeated_cells(df, text, bits)
-    test = F.lit(True)
-    names = temp_names(df, "cell0", "cell1", "bucket0", "bucket1", "bitmap0", "bitmap1")
-    out = df.select(*[ref(c) for c in df.columns], *[c.alias(n) for c, n in zip(_cells(text, bits), names)])
-    for i in (0, 1):
-        # the filter's size is bounded by its bits, so it may be broadcast
-        one = F.broadcast(seen.select(F.col("bucket").alias(names[2 + i]), F.col("bitmap").alias(names[4 + i])))
-        out = out.join(one, F.bitmap_bucket_number(names[i]) == F.col(names[2 + i]), "left")
-        test = test & _is_set(names[4 + i], F.bitmap_bit_position(names[i]))
-    return out.select(*[ref(c) for c in df.columns], test.alias(flag))
+    """Add the boolean ``flag``: false only for rows whose text occurs once.
+    The filter holds the cells that at least two rows (or both cells of one
+    row) hit."""
+    counted = df.select(F.explode(bloom.cells(F.xxhash64(text), bits)).alias("cell")).groupBy("cell").count()
+    return bloom.possibly_in(df, F.xxhash64(text), bloom.bitmaps(counted.where("count > 1")), flag, bits)
 
 
 def mark_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", bits: int = FILTER_BITS) -> DataFrame:
@@ -72,7 +43,7 @@ def mark_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", b
     output column are replaced. An empty table gives an empty result.
     """
     df = without(df, OUTPUT)
-    norm, flag, row, copy = temp_names(df, "norm", "flag", "row", "copy")
+    norm, flag, row, copy, salt = temp_names(df, "norm", "flag", "row", "copy", "salt")
     hashable = [ref(c) for c, t in df.dtypes if "map<" not in t and "variant" not in t]
     base = df.select(*[ref(c) for c in df.columns], lower_az(F.coalesce(ref(text).cast("string"), F.lit(""))).alias(norm))
     flagged = possibly_repeated(base, F.col(norm), flag, bits).withColumn("text_sha256", F.sha2(F.col(norm), 256)).drop(norm)
@@ -82,9 +53,12 @@ def mark_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", b
         *own, ref(doc_id).alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), F.col("text_sha256"))
 
     maybe = flagged.where(F.col(flag)).withColumn(row, F.xxhash64(*hashable))
+    maybe = maybe.withColumn(salt, F.pmod(F.col(row), F.lit(SALTS)))
     best = F.max(F.struct(ref(doc_id).alias("id"), F.col(row).alias("row")))
     groups = maybe.groupBy("text_sha256").agg(F.count(F.lit(1)).alias("group_size"), best.alias("best"))
-    joined = maybe.join(groups, "text_sha256")
+    # a group may hold a third of all rows: it is joined in SALTS parts
+    groups = groups.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias(salt))
+    joined = maybe.join(groups, ["text_sha256", salt])
     # rows alike in id and content get a number, dealt by a key of their own so that a large group spreads
     same = F.xxhash64("text_sha256", row, ref(doc_id))
     joined = joined.withColumn(copy, F.row_number().over(Window.partitionBy(same).orderBy(F.col(row))))
