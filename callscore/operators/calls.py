@@ -15,7 +15,7 @@ Scale notes
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scoring import Scorer, score_columns, stand_in_scorer
@@ -56,28 +56,31 @@ def _cut(limit: int):
     return F.col("piece").substr(F.lit(1), n)
 
 
-def final_text(chunks: DataFrame, limit: int = FINAL_CHARS, bucket_width: int = INDEX_BUCKET) -> DataFrame:
-    """A2 + A3: one row per call with ``n_segments`` and the text cut to ``limit``."""
-    p = with_offsets(pieces(chunks), bucket_width)
+def _head_text(p: DataFrame, limit: int) -> DataFrame:
+    """Per call ``n_segments`` and the first ``limit`` characters of its text,
+    from the at most limit + 1 pieces that reach into them."""
     head = F.when(F.col("start") <= limit, F.struct(F.col("chunk_index").alias("i"), _cut(limit).alias("t")))
     agg = p.groupBy("call_id").agg(F.count(F.lit(1)).alias("n_segments"),
                                    F.collect_list(head).alias("_h"))
     txt = F.array_join(F.transform(F.array_sort("_h"), lambda s: s["t"]), " ")
-    return agg.select("call_id", "n_segments", F.substring(txt, 1, limit).alias("full_text"))
+    return agg.select("call_id", "n_segments", F.substring(txt, 1, limit).alias("text"))
+
+
+def final_text(chunks: DataFrame, limit: int = FINAL_CHARS, bucket_width: int = INDEX_BUCKET) -> DataFrame:
+    """A2 + A3: one row per call with ``n_segments`` and the text cut to ``limit``."""
+    return _head_text(with_offsets(pieces(chunks), bucket_width), limit).withColumnRenamed("text", "full_text")
 
 
 def running_text(chunks: DataFrame, limit: int = RUNNING_CHARS, bucket_width: int = INDEX_BUCKET) -> DataFrame:
-    """Per chunk, the call's text so far cut to ``limit`` (plus ``n_segments``)."""
+    """Per chunk, the call's text so far cut to ``limit`` (plus ``n_segments``).
+
+    The text so far is the call's settled text up to where the chunk ends, so
+    one small row per call is joined to its chunks."""
     p = with_offsets(pieces(chunks), bucket_width)
-    w = Window.partitionBy("call_id").orderBy("chunk_index").rowsBetween(Window.unboundedPreceding, 0)
-    head = p.filter(F.col("start") <= limit).withColumn("_cut", _cut(limit))
-    head = head.withColumn("running_text",
-                           F.substring(F.array_join(F.collect_list("_cut").over(w), " "), 1, limit))
-    settled = head.groupBy("call_id").agg(F.max_by("running_text", "chunk_index").alias("_settled"))
-    tail = p.filter(F.col("start") > limit).join(settled, "call_id") \
-        .withColumn("running_text", F.col("_settled"))
-    cols = ["call_id", "chunk_index", (F.col("pos") + 1).alias("n_segments"), "running_text"]
-    return head.select(*cols).unionByName(tail.select(*cols))
+    settled = _head_text(p, limit).select("call_id", "text")
+    end = F.least(F.col("start") + F.length("piece"), F.lit(limit)).cast("int")
+    return p.join(settled, "call_id").select("call_id", "chunk_index", (F.col("pos") + 1).alias("n_segments"),
+                                             F.substring(F.col("text"), F.lit(1), end).alias("running_text"))
 
 
 def decisions(df: DataFrame, text_col: str, mfcc: str | None = None, spec: str | None = None,

@@ -63,12 +63,19 @@ def _arr(x: str, halo: int) -> str:
     return "list_value(" + ", ".join(vals) + ")"
 
 
+# weights of the least-squares slope (order 1) and of the second derivative of
+# the local quadratic (order 2), as tables of smoothing filters print them
+_WEIGHTS = {(3, 1): ([-1, 0, 1], 2), (5, 1): ([-2, -1, 0, 1, 2], 10), (7, 1): ([-3, -2, -1, 0, 1, 2, 3], 28),
+            (9, 1): ([-4, -3, -2, -1, 0, 1, 2, 3, 4], 60), (9, 2): ([28, 7, -8, -17, -20, -17, -8, 7, 28], 462)}
+
+
 def _delta_sql(arr: str, halo: int, t: str, n: str, width: int, order: int) -> str:
-    h = (width - 1) // 2
-    s = f"(least(greatest({t}, {h}), {n} - 1 - {h}) - {t})"
-    terms = [f"cast({c!r} as double) * {arr}[{s} + {k + halo + 1}]"
-             for k, c in zip(range(-h, h + 1), signal.delta_coefficients(width, order))]
-    return f"(case when {n} >= {width} then {' + '.join(terms)} else 0.0 end)"
+    """The weighted sum around the nearest frame that has a full window."""
+    half = width // 2
+    weights, scale = _WEIGHTS[width, order]
+    centre = f"(case when {t} < {half} then {half} when {t} > {n} - {half + 1} then {n} - {half + 1} else {t} end - {t} + {halo + 1})"
+    total = " + ".join(f"{w} * {arr}[{centre} + {k - half}]" for k, w in enumerate(weights) if w)
+    return f"(case when {n} >= {width} then ({total}) / cast({scale} as double) else 0.0 end)"
 
 
 _FN = ("fn", "select *, count(*) over (partition by clip_id) as n from frames")
