@@ -13,10 +13,10 @@ import re
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ref, without
+from .common import ref, temp_names, without
 
 #: rules that a broadcast trie may hold; about 1 KB each in a worker
 MAX_RULES = 200_000
@@ -44,7 +44,7 @@ class UrlTrie:
 
     def __init__(self, rules: Sequence[tuple[str, str, str]]):
         if len(rules) > MAX_RULES:
-            raise ValueError(f"{len(rules)} rules are over {MAX_RULES}; judge with parts of them and keep the longest match")
+            raise ValueError(f"{len(rules)} rules are over {MAX_RULES}; use judge_urls_by_table")
         self.root: dict = {}
         for verdict, host, path in rules:
             if verdict not in ("allow", "block"):
@@ -88,7 +88,7 @@ def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str, str]], url: str
     """Every row with host, path, rule (null if none fits) and verdict.
 
     ``rules`` are (verdict, host, path), at most ``MAX_RULES`` of them, so the
-    broadcast trie has a bound. A rule fits its host and all subdomains if the
+    broadcast trie has a bound; ``judge_urls_by_table`` takes any number. A rule fits its host and all subdomains if the
     URL's path starts with the rule's; the rule with the most host labels and
     then the longest path wins, and block wins a tie. Null URLs and those
     without ``://`` have an empty host and path and get ``default``, as does
@@ -116,3 +116,41 @@ def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str, str]], url: str
     judged = kept.withColumn(name, judge(ref(url).cast("string")))
     own = [ref(c) for c in kept.columns if c.lower() not in OUTPUT]
     return judged.select(*own, *[F.col(f"{name}.{n}").alias(n) for n in OUTPUT])
+
+
+def _host(url: Column) -> Column:
+    host = F.regexp_extract(_rest(url), r"^([^/?#]*)", 1)
+    return F.translate(host, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def _rest(url: Column) -> Column:
+    at = F.instr(url, "://")
+    return F.when(at > 0, F.substring(url, at + 3, F.length(url))).otherwise(F.lit(""))
+
+
+def judge_urls_by_table(pages: DataFrame, rules: DataFrame, url: str = "url", default: str = "allow") -> DataFrame:
+    """As ``judge_urls`` for rule tables (verdict, host, path) of any size.
+
+    Each distinct URL meets the rules on the suffixes of its host and the
+    folders of its path, by a join; of the rules that fit the longest is kept,
+    and the verdict goes back to the rows by URL. Nothing is broadcast by
+    hand."""
+    kept = without(pages, [n for n in OUTPUT if n != url.lower()])
+    key, = temp_names(kept, "url_key")
+    kept = kept.withColumn(key, F.coalesce(ref(url).cast("string"), F.lit("")))
+    urls = kept.select(F.col(key).alias("u")).distinct().select(
+        "u", _host(F.col("u")).alias("host"), F.regexp_extract(_rest(F.col("u")), r"^[^/?#]*([^?#]*)", 1).alias("path"))
+    labels, parts = F.split("host", r"\."), F.split("path", "/", -1)
+    suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+    folders = F.transform(F.sequence(F.lit(0), F.size(parts) - 1), lambda i: F.concat_ws("", F.transform(F.slice(parts, F.lit(1), i), lambda p: F.concat(p, F.lit("/")))))
+    keys = urls.select("u", "path", F.explode(suffixes).alias("rule_host"), folders.alias("folders")).select("u", "path", "rule_host", F.explode("folders").alias("folder"))
+    table = rules.select(F.translate(F.col("host"), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz").alias("rule_host"), F.col("path").alias("rule_path"),
+                         F.regexp_extract("path", r"^((?:.*/)?)", 1).alias("folder"), F.concat("host", "path").alias("rule"), F.col("verdict").alias("rule_verdict"))
+    fits = keys.join(table, ["rule_host", "folder"]).where(F.startswith("path", "rule_path"))
+    depth = F.struct(F.size(F.split("rule_host", r"\.")).alias("labels"), F.length("rule_path").alias("length"), (F.col("rule_verdict") == "block").alias("block"),
+                     F.col("rule").alias("rule"), F.col("rule_verdict").alias("verdict"))
+    best = fits.groupBy("u").agg(F.max(depth).alias("best"))
+    judged = urls.join(best, "u", "left").select(F.col("u").alias(key), F.struct("host", "path", F.col("best.rule").alias("rule"),
+                                                 F.coalesce("best.verdict", F.lit(default)).alias("verdict")).alias("judged"))
+    own = [ref(c) for c in kept.columns if c != key and c.lower() not in OUTPUT]
+    return kept.join(judged, key).select(*own, *[F.col(f"judged.{n}").alias(n) for n in OUTPUT])

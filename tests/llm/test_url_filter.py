@@ -52,3 +52,16 @@ def test_rules_are_checked(monkeypatch):
     monkeypatch.setattr(U, "MAX_RULES", 1)
     with pytest.raises(ValueError):
         U.UrlTrie([("allow", "net", "/"), ("block", "org", "/")])
+
+
+def test_rules_in_a_table(spark):
+    rng = random.Random(21)
+    hosts, paths = ["net", "a.net", "b.a.net", "com", "x.com", "org", "NET"], ["", "/", "/e", "/en", "/en/", "/en/a", "/en/a/", "/en//"]
+    rules = list({(h.lower(), p): (rng.choice(["allow", "block"]), h.lower(), p) for h, p in ((rng.choice(hosts), rng.choice(paths)) for _ in range(25))}.values())
+    urls = URLS + [f"http://{rng.choice(['', 'z.', 'b.'])}{rng.choice(hosts)}{rng.choice([*paths, '/en/a/b?c', '/end', '/en/ab'])}" for _ in range(200)]
+    df = spark.createDataFrame([(k, u, "clash") for k, u in enumerate(urls * 2)], "page_id long, url string, host string")
+    table = spark.createDataFrame(rules, "verdict string, host string, path string")
+    got = U.judge_urls_by_table(df, table)
+    assert got.columns == ["page_id", "url", "host", "path", "rule", "verdict"] and got.count() == 2 * len(urls)
+    for r in got.collect():
+        assert (r["host"], r["path"], r["rule"], r["verdict"]) == brute(r["url"], rules), r["url"]
