@@ -23,7 +23,7 @@ from .common import WORD, ref, temp_names, without
 #: words of a block
 BLOCK_WORDS = 64
 #: mean rows of a shard (all sources together)
-SHARD_ROWS = 4096
+SHARD_ROWS = 1024
 OUTPUT = ("size", "source_size", "target", "taken", "passes", "part_from", "part_to", "head_to")
 
 
