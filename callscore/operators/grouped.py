@@ -12,33 +12,57 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
 
+def _starts(pdf: pd.DataFrame, keys: list[str]) -> np.ndarray:
+    """Row numbers at which a group begins (the first row included); nulls are
+    one key."""
+    new = np.zeros(len(pdf), bool)
+    new[0] = True
+    for k in keys:
+        col, null = pdf[k], pdf[k].isna().to_numpy()
+        differs = (col.to_numpy()[1:] != col.to_numpy()[:-1]) & ~(null[1:] & null[:-1])
+        new[1:] |= differs.astype(bool)
+    return np.flatnonzero(new)
+
+
+def _key(pdf: pd.DataFrame, keys: list[str], row: int) -> tuple:
+    return tuple(None if pd.isna(v) else v for v in (pdf[k].iloc[row] for k in keys))
+
+
 def map_groups(df: DataFrame, keys: Sequence[str], order: Sequence[str], fn: Callable[[pd.DataFrame], pd.DataFrame],
                schema: str) -> DataFrame:
     keys = list(keys)
 
     def run(it):
-        carry = None
+        held, held_key = [], None       # parts of the group that may go on in the next batch
         for pdf in it:
-            if carry is not None and len(carry):
-                pdf = pd.concat([carry, pdf], ignore_index=True)
             if pdf.empty:
                 continue
-            last = pdf.iloc[-1]
-            is_last = pd.Series(True, index=pdf.index)
-            for k in keys:
-                is_last &= pdf[k] == last[k]
-            carry = pdf[is_last]
-            done = pdf[~is_last]
-            outs = [fn(g) for _, g in done.groupby(keys, sort=False)] if len(done) else []
+            starts = _starts(pdf, keys).tolist()
+            outs = []
+            for a, b in zip(starts, [*starts[1:], len(pdf)]):
+                key = _key(pdf, keys, a) if a == 0 or b == len(pdf) else None
+                if a == 0 and held and key != held_key:
+                    outs.append(fn(pd.concat(held, ignore_index=True)))
+                    held = []
+                part = pdf.iloc[a:b]
+                if b == len(pdf):
+                    held.append(part)
+                    held_key = key
+                elif a == 0 and held:
+                    outs.append(fn(pd.concat([*held, part], ignore_index=True)))
+                    held = []
+                else:
+                    outs.append(fn(part.reset_index(drop=True)))
             outs = [o for o in outs if len(o)]
             if outs:
                 yield pd.concat(outs, ignore_index=True)
-        if carry is not None and len(carry):
-            out = fn(carry)
+        if held:
+            out = fn(pd.concat(held, ignore_index=True))
             if len(out):
                 yield out
 

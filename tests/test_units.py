@@ -390,3 +390,19 @@ def test_flat_means(spark):
     assert got == {"a": [24.5, 2.0], "b": [4.0, 6.0]}
     run = {(r["k"], r["i"]): r["x"] for r in matrices.running_flat_mean(df.where("i < 50"), ["k"], "i", "m", "x", bucket_width=7).collect()}
     assert run["a", 9] == [4.5, 2.0] and run["b", 0] == [4.0, 6.0] and len(run) == 51
+
+
+def test_map_groups_sees_each_group_once_and_whole(spark):
+    from callscore.operators.grouped import map_groups
+    rows = [(k, i) for k, n in ((1, 30), (2, 1), (3, 7), (None, 12), (4, 25)) for i in range(n)]
+    df = spark.createDataFrame(rows, "k long, i long")
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 5)
+    try:
+        def count(pdf):
+            import pandas as pd
+            return pd.DataFrame([(pdf["k"].iloc[0], len(pdf), bool(pdf["i"].is_monotonic_increasing))], columns=["k", "n", "sorted"])
+        got = map_groups(df, ["k"], ["i"], count, "k long, n long, sorted boolean").collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert sorted((r["k"] or 0, r["n"], r["sorted"]) for r in got) == [(0, 12, True), (1, 30, True), (2, 1, True), (3, 7, True), (4, 25, True)]
