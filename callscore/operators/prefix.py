@@ -48,7 +48,8 @@ def running_totals(df: DataFrame, part: Sequence[str], order: Sequence[ColLike],
     ``count`` name for the number of rows of the key (the group size).
     ``bucket`` must be non-decreasing in ``order`` within each key (null for a
               null order value).
-    ``across`` lets the rank go on from key to key, in the order of ``part``.
+    ``across`` lets rank and sums go on from key to key, in the order of
+              ``part``; the (key, bucket) totals then meet in one window.
     """
     sums = dict(sums or {})
     part = list(part)
@@ -63,7 +64,10 @@ def running_totals(df: DataFrame, part: Sequence[str], order: Sequence[ColLike],
     aggs = [F.count(F.lit(1)).alias("_t__n")] + [F.sum(f"_v_{k}").alias(f"_t_{k}") for k in sums]
     aggs += [F.min(c).alias(f"_p{i}") for i, c in enumerate(part) if across]
     tot = b.groupBy(*keys, "_bk").agg(*aggs)
-    wb = Window.partitionBy(*keys).orderBy("_bk") if keys else Window.orderBy("_bk")
+    if across:      # one row per (key, bucket), in the order of the keys
+        wb = Window.orderBy(*[f"_p{i}" for i in range(len(part))], "_bk")
+    else:
+        wb = Window.partitionBy(*keys).orderBy("_bk") if keys else Window.orderBy("_bk")
     wprev = wb.rowsBetween(Window.unboundedPreceding, -1)
     names = ["_n", *sums]
     offs = tot.select(
@@ -72,13 +76,6 @@ def running_totals(df: DataFrame, part: Sequence[str], order: Sequence[ColLike],
         *([F.sum("_t__n").over(wb.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
            .alias(count)] if count else []),
     )
-    if across and keys:
-        # one row per key
-        own = [f"_p{i}" for i in range(len(part))]
-        per_key = tot.groupBy(*keys).agg(F.sum("_t__n").alias("_kn"), *[F.min(c).alias(c) for c in own])
-        earlier = Window.orderBy(*own).rowsBetween(Window.unboundedPreceding, -1)
-        per_key = per_key.select(*keys, F.coalesce(F.sum("_kn").over(earlier), F.lit(0)).alias("_ko"))
-        offs = offs.join(per_key, keys).withColumn("_o__n", F.col("_o__n") + F.col("_ko")).drop("_ko")
     j = b.join(offs, [*keys, "_bk"])
     wl = Window.partitionBy(*keys, "_bk").orderBy(*[_c(o) for o in order])
     out = j
