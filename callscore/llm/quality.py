@@ -131,43 +131,70 @@ def _descend(value, x: np.ndarray, steps: int, rate: float) -> np.ndarray:
     return x
 
 
+class _Rows:
+    """Sparse rows, one after another. Sums go block by block, so that nothing
+    but the rows themselves is as large as the sample."""
+
+    BLOCK = 128
+
+    def __init__(self, rows: list[tuple[np.ndarray, np.ndarray]]):
+        sizes = np.array([len(at) for at, _ in rows], np.int64)
+        self.starts = np.concatenate([[0], np.cumsum(sizes)])
+        self.at = np.concatenate([r[0] for r in rows]) if rows else np.zeros(0, np.int32)
+        self.x = np.concatenate([r[1] for r in rows]) if rows else np.zeros(0, np.float32)
+
+    def __len__(self) -> int:
+        return len(self.starts) - 1
+
+    def _blocks(self):
+        for r in range(0, len(self), self.BLOCK):
+            end = min(r + self.BLOCK, len(self))
+            a, b = self.starts[r], self.starts[end]
+            yield slice(r, end), self.at[a:b], self.x[a:b], np.repeat(np.arange(end - r), np.diff(self.starts[r:end + 1]))
+
+    def scores(self, w: np.ndarray) -> np.ndarray:
+        return np.concatenate([np.bincount(row, weights=w[at] * x, minlength=rows.stop - rows.start) for rows, at, x, row in self._blocks()] or [np.zeros(0)])
+
+    def back(self, error: np.ndarray) -> np.ndarray:
+        """Sum of the rows, each times its error."""
+        total = np.zeros(2 * BUCKETS)
+        for rows, at, x, row in self._blocks():
+            total += np.bincount(at, weights=x * error[rows][row], minlength=2 * BUCKETS)
+        return total
+
+    def squares(self) -> np.ndarray:
+        total = np.zeros(2 * BUCKETS)
+        for _, at, x, _ in self._blocks():
+            total += np.bincount(at, weights=x.astype(np.float64) ** 2, minlength=2 * BUCKETS)
+        return total
+
+
 def fit_rows(rows: list[tuple[int, np.ndarray, np.ndarray]], l2: float = 1e-3, steps: int = 80) -> Model:
-    """Fit on (label, buckets, values) rows; every ``FOLD``-th calibrates.
-    With labels of one kind only (or none) every text gets that kind's
-    probability (none: 1)."""
+    """Fit on (label, buckets, values) rows; every ``FOLD``-th calibrates. The
+    list is emptied on the way. With labels of one kind only (or none) every
+    text gets that kind's probability (none: 1)."""
     labels = np.array([r[0] for r in rows], float)
     if len(set(labels)) < 2:
         return Model(np.zeros(2 * BUCKETS, np.float32), 0.0, 0.0, 30.0 if not len(labels) or labels[0] else -30.0)
     fold = np.arange(len(rows)) % FOLD == FOLD - 1
     if len(set(labels[fold])) < 2 or len(set(labels[~fold])) < 2:
         fold[:] = False         # too few rows to hold some back
-
-    def matrix(which):
-        part = [rows[i] for i in np.flatnonzero(which)]
-        sizes = np.array([len(r[1]) for r in part], np.int64)
-        row = np.repeat(np.arange(len(part), dtype=np.int32), sizes)
-        return row, np.concatenate([r[1] for r in part]), np.concatenate([r[2] for r in part]), len(part)
-
-    def scores(m, w):
-        row, at, x, n = m
-        return np.bincount(row, weights=w[at] * x, minlength=n)
-
-    train, y = matrix(~fold), labels[~fold]
-    row, at, x, n = train
+    train, held = (_Rows([rows[i][1:] for i in np.flatnonzero(which)]) for which in (~fold, fold))
+    rows.clear()
+    y, n = labels[~fold], len(train)
     # each feature on its own scale, as rare n-grams have small values
-    scale = 1 / np.sqrt(np.bincount(at, weights=x.astype(np.float64) ** 2, minlength=2 * BUCKETS) / n + 1e-7)
-    scaled = (row, at, (x * scale[at]).astype(np.float32), n)
+    scale = 1 / np.sqrt(train.squares() / n + 1e-7)
 
     def gradient(p):
         w, b = p[:-1], p[-1]
-        error = 1 / (1 + np.exp(-np.clip(scores(scaled, w) + b, -30, 30))) - y
-        g = np.bincount(at, weights=scaled[2] * error[row], minlength=2 * BUCKETS) / n + l2 * w
-        return np.append(g, error.mean())
+        error = 1 / (1 + np.exp(-np.clip(train.scores(w * scale) + b, -30, 30))) - y
+        return np.append(train.back(error) * scale / n + l2 * w, error.mean())
 
     p = _descend(gradient, np.zeros(2 * BUCKETS + 1), steps, 0.02)
     model = Model((p[:-1] * scale).astype(np.float32), float(p[-1]))
-    held = matrix(fold) if fold.any() else train
-    z, t = scores(held, model.weights) + model.bias, labels[fold] if fold.any() else y
+    if not fold.any():
+        held = train
+    z, t = held.scores(model.weights) + model.bias, labels[fold] if fold.any() else y
     # Platt's targets keep the curve finite when the held rows are parted without error
     t = np.where(t == 1, (t.sum() + 1) / (t.sum() + 2), 1 / (len(t) - t.sum() + 2))
     middle, spread = z.mean(), z.std() + 1e-9
@@ -204,7 +231,8 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     made = made.groupBy("id").agg(F.min(F.struct("at", "x", "label")).alias("r")).select("id", "r.*")
     rows = [(r["id"], r["label"], np.frombuffer(r["at"], np.int32), np.frombuffer(r["x"], np.float32)) for r in made.toLocalIterator()]
     rows.sort(key=lambda r: (zlib.crc32(str(r[0]).encode()), r[0]))      # the order sets the folds
-    return fit_rows([r[1:] for r in rows])
+    rows[:] = [r[1:] for r in rows]
+    return fit_rows(rows)
 
 
 def repeated_words(words: list[bytes], window: int = 8) -> int:
