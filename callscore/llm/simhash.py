@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from callscore.session import scratch_root
 
+from . import bloom
 from .common import ref, temp_names
 from .components import connected_components
 
@@ -223,17 +224,31 @@ def drop_near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 3, d
     """One row of every class, with the columns of ``docs``: the one with the
     smallest doc_id (null after all others); of several rows with that id the
     one with the smallest hash of all columns; of rows equal in every column
-    one."""
+    one.
+
+    The rows to drop are known by id and hash. A Bloom filter of these, of
+    fixed size, lets all other rows pass straight through; only rows that may
+    be in it are shuffled."""
     scratch_root(docs.sparkSession)
-    row, fp, root, copy = temp_names(docs, "row", "fp", "root", "copy")
+    row, flag, goes, number = temp_names(docs, "row", "flag", "goes", "number")
     hashable = [ref(c) for c, t in docs.dtypes if "map<" not in t and "variant" not in t]
     keyed = docs.select(*[ref(c) for c in docs.columns], F.xxhash64(*hashable).alias(row))
     narrow = keyed.select(ref(doc_id).alias("doc_id"), F.col(row).alias("row"), ref(text).alias("text"))
     marked = fingerprints(narrow, shingle).checkpoint()
     classes = connected_components(near_links(marked.select("fp").distinct(), max_bits))
-    rooted = marked.join(classes.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row"))
-    stays = rooted.groupBy("root").agg(first.alias("s")).select(F.col("s.doc_id").alias(fp), F.col("s.row").alias(root))
-    kept = keyed.join(stays, ref(doc_id).eqNullSafe(F.col(fp)) & (F.col(row) == F.col(root)), "left_semi")
+    counted = marked.groupBy("fp", "doc_id", "row").agg(F.count(F.lit(1)).alias("n"))
+    rooted = counted.join(classes.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")
+    first = rooted.groupBy("root").agg(F.min(order).alias("first"))
+    # rows that go, and rows that stay but are there more than once
+    special = rooted.join(first, "root").withColumn("goes", order != F.col("first")).where("goes or n > 1")
+    special = special.select(F.col("doc_id").alias("special_id"), F.col("row").alias("special_row"), F.col("goes").alias(goes)).distinct().checkpoint()
+    filled = bloom.bitmaps(special.select(F.explode(bloom.cells(F.col("special_row"))).alias("cell")).distinct())
+    flagged = bloom.possibly_in(keyed, F.col(row), filled, flag)
+    same = ref(doc_id).eqNullSafe(F.col("special_id")) & (F.col(row) == F.col("special_row"))
+    maybe = flagged.where(F.col(flag)).join(special, same, "left")
     one = Window.partitionBy(row, ref(doc_id)).orderBy(row)
-    return kept.withColumn(copy, F.row_number().over(one)).where(F.col(copy) == 1).select(*[ref(c) for c in docs.columns])
+    maybe = maybe.where(F.coalesce(~F.col(goes), F.lit(True)))
+    maybe = maybe.withColumn(number, F.row_number().over(one)).where(F.col(goes).isNull() | (F.col(number) == 1))
+    own = [ref(c) for c in docs.columns]
+    return flagged.where(~F.col(flag)).select(*own).unionByName(maybe.select(*own))
