@@ -3,7 +3,6 @@
 import os
 
 import pytest
-from pyspark.sql import functions as F
 
 from callscore.functions.scoring import status
 from callscore.functions.text import clamp_label, clean_text, label_num, weights_from_name

@@ -1,7 +1,5 @@
 """Stream = batch, redelivery, tombstones and restarts for the call processor."""
 
-from pyspark.sql import functions as F
-
 from callscore.operators import calls
 from callscore.sources import envelope as env
 from callscore.streaming import calls as scalls
