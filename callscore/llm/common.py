@@ -7,6 +7,8 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: texts that a Python worker holds as objects at a time
+TEXTS = 512
 #: a word: a run of characters that are none of the six ASCII white-space characters
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -33,7 +35,9 @@ def map_text(df: DataFrame, text: str, run: Callable, added: str, keep_text: boo
     rows = df.select(*[ref(c) for c in own], ref(text).cast("string")).toDF(*[f"c{i}" for i in range(len(own))], "text")
     names = [a.split()[0] for a in added.split(", ")]
     schema = rows.drop("text").select("*", *[F.lit(None).cast(a.split()[1]).alias(a.split()[0]) for a in added.split(", ")]).schema
-    return rows.mapInArrow(run, schema).toDF(*own, *names)
+    # a few hundred texts at a time, however large Spark's batches are
+    small = lambda batches: run(b.slice(k, TEXTS) for b in batches for k in range(0, b.num_rows, TEXTS))
+    return rows.mapInArrow(small, schema).toDF(*own, *names)
 
 
 def lower_az(text: Column) -> Column:
