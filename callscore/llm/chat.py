@@ -8,9 +8,12 @@ marked, and the turns whose spans it touched are no longer under the loss
 mask. Inside its span a turn's text is located by rendering the turn with two
 probe texts and comparing these outputs.
 
-Conversations go through in windows of turns, each beginning with the last
-turns of the one before as context, so a conversation of any length is
-rendered in bounded memory and in time proportional to its length.
+A template that only ever appends, and whose text for a turn depends on few
+turns before it, can say so by an attribute ``local = True``. Its conversations
+go through in windows of turns, each beginning with the last turns of the one
+before as context, in bounded memory and in time proportional to their length.
+Of any other template every prefix is rendered from the first turn on, as it
+may rewrite any turn: exact, in time that grows with the square of the length.
 """
 
 from __future__ import annotations
@@ -29,7 +32,7 @@ from .common import ref
 Turn = tuple[str, str]
 Template = Callable[[list[Turn]], str]
 
-#: turns rendered at a time, and the turns of the window before that are rendered with them
+#: local templates: turns rendered at a time, and the turns of the window before that are rendered with them
 WINDOW, CONTEXT = 64, 4
 TRAINED_ROLE = "assistant"
 
@@ -57,6 +60,9 @@ def inst_template(turns: list[Turn]) -> str:
     return "".join([f"<s>[INST] {escape(role)} [/INST] {escape(text)}</s>\n" for role, text in turns])
 
 
+inst_template.local = True
+
+
 def parse_inst(formatted: str) -> list[Turn]:
     """The turns that ``inst_template`` made the string of."""
     turns, at = [], 0
@@ -109,22 +115,26 @@ def _text_place(template: Template, before: list[Turn], role: str, text: str, ou
 
 def render_window(template: Template, context: list[Turn], turns: list[Turn]) -> tuple[str, list[Span]]:
     """Text that ``turns`` add after ``context``, and a span for each of them
-    (from the beginning of that text). If a turn rewrites the context's own
-    text, the turn is marked, and that text stays as it was."""
+    (from the beginning of that text). A turn that rewrites the context's own
+    text is an error: that text is given out already."""
     before = list(context)
     last = template(before) if before else ""
     base, spans = len(last), []
     for role, text in turns:
         out = template([*before, (role, text)])
         same = _common(last, out)
-        rewrites, cut = same < len(last), max(same - base, 0)
+        if same < base:
+            raise ValueError("the template is declared local, but rewrites turns of the window before")
+        rewrites, cut = same < len(last), same - base
         for s in spans if rewrites else ():
             if s.end > cut:
                 s.start, s.end, s.rewritten = min(s.start, cut), cut, True
+                if s.text_end is not None and s.text_end > cut:
+                    s.text_start = s.text_end = None
         place = _text_place(template, before, role, text, out)
         if place is not None and place[0] < same:
             place = None
-        spans.append(Span(cut, max(len(out) - base, cut), place and place[0] - base, place and place[1] - base, rewrites))
+        spans.append(Span(cut, len(out) - base, place and place[0] - base, place and place[1] - base, rewrites))
         before.append((role, text))
         last = out
     return last[base:], spans
@@ -132,8 +142,10 @@ def render_window(template: Template, context: list[Turn], turns: list[Turn]) ->
 
 def format_turns(template: Template, turns: Iterable[Turn], window: int = WINDOW, context: int = CONTEXT) -> Iterator[tuple[Turn, str, Span]]:
     """(turn, its piece of the formatted conversation, its span there) in
-    order; the pieces joined are the formatted conversation."""
+    order; the pieces joined are the formatted conversation. ``window`` and
+    ``context`` are for templates that are ``local``."""
     offset, before, held = 0, [], []
+    local = getattr(template, "local", False)
 
     def flush():
         nonlocal offset, before, held
@@ -147,7 +159,7 @@ def format_turns(template: Template, turns: Iterable[Turn], window: int = WINDOW
 
     for turn in turns:
         held.append(turn)
-        if len(held) == window:
+        if local and len(held) == window:
             yield from flush()
     if held:
         yield from flush()
@@ -167,10 +179,10 @@ def format_conversations(rows: DataFrame, template: Template = inst_template, wi
     Turns are in the order of ``turn`` (null first), ties by role and text;
     repeated rows are turns of their own. Null roles and texts count as empty;
     rows with a null conv_id are one conversation. Other columns are not read.
-    A conversation is dealt to one task, since its output is one string, and
-    passes through it in windows of ``window`` turns; a template whose text for
-    a turn depends on turns more than ``context`` turns before a window is
-    outside of this operator. No rows, no rows.
+    A conversation is dealt to one task, since its output is one string. With a
+    ``local`` template it passes through it in windows of ``window`` turns, and
+    a turn's text may depend on ``context`` turns before it; with any other it
+    is held whole. No rows, no rows.
     """
     src = rows.select(ref(conv_id).cast("long").alias("conv_id"), ref(turn).alias("turn"), F.coalesce(ref(role).cast("string"), F.lit("")).alias("role"),
                       F.coalesce(ref(text).cast("string"), F.lit("")).alias("text"))

@@ -1,5 +1,7 @@
 import hashlib
 
+import pytest
+
 from callscore.llm import chat
 from callscore.llm.queries import PROBE
 
@@ -58,3 +60,49 @@ def test_format_conversations(spark):
         assert got[c]["loss_chars"] == len(loss) and got[c]["loss_sha256"] == hashlib.sha256(loss.encode()).hexdigest()
         assert got[c]["formatted_chars"] == len(chat.inst_template(turns))
     assert chat.digests(chat.format_conversations(df.where("false"))).count() == 0
+
+
+def last_thought(turns):        # earlier answers lose their thoughts
+    return "".join(f"{r}:{t if k + 1 == len(turns) else t.split('|')[-1]};" for k, (r, t) in enumerate(turns))
+
+
+def count_first(turns):         # every turn rewrites the first one
+    return f"{len(turns)} turns;" + "".join(f"{r}:{t};" for r, t in turns)
+
+
+def test_rewriting_templates_do_not_depend_on_the_window():
+    turns = [("user", "q"), ("assistant", "think|yes"), ("user", "more"), ("assistant", "plain")]
+    got = list(chat.format_turns(last_thought, turns, 2, 1))
+    assert "".join(p for _, p, _ in got) == "user:q;assistant:yes;user:more;assistant:plain;"
+    assert [s.rewritten for _, _, s in got] == [False, True, False, False]
+    for template in (last_thought, count_first):
+        long = [("user", f"q{k}") if k % 2 == 0 else ("assistant", f"t{k}|a{k}") for k in range(150)]
+        whole, want = template(long), list(chat.format_turns(template, long, 1000, 0))
+        for window, context in ((64, 4), (2, 1), (1, 0)):
+            got = list(chat.format_turns(template, long, window, context))
+            assert got == want and "".join(p for _, p, _ in got) == whole
+        for (_, text), piece, s in got:
+            assert whole[s.start:s.end] == piece
+            assert s.text_start is None or whole[s.text_start:s.text_end] == text
+    assert [s.rewritten for _, _, s in want] == [True] * 149 + [False]
+
+
+def test_long_conversations_of_rewriting_templates(spark):
+    def template(turns):
+        return "".join(f"{r}:{t if k + 1 == len(turns) else t.split('|')[-1]};" for k, (r, t) in enumerate(turns))
+
+    rows = [(1, k, ("user", "assistant")[k % 2], f"t{k}|a{k}" if k % 4 == 3 else f"plain {k}") for k in range(131)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = chat.format_conversations(df, template).orderBy("turn_no").collect()
+    assert "".join(r["piece"] for r in got) == template([r[2:] for r in rows])
+    assert [r["rewritten"] for r in got] == [k % 4 == 3 for k in range(131)]
+    assert [r["in_loss"] for r in got] == [k % 4 == 1 for k in range(131)]
+
+
+def test_a_wrongly_declared_template_is_refused():
+    def wrong(turns):
+        return count_first(turns)
+
+    wrong.local = True
+    with pytest.raises(ValueError, match="local"):
+        list(chat.format_turns(wrong, [("user", "a")] * 3, 2, 1))
