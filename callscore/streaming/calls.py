@@ -10,8 +10,10 @@ Nothing is dropped silently, in whatever order chunks arrive:
 
 * the next chunk emits a ``running`` row (text cut to 512, mean matrices so
   far), and so do chunks that were held back for it;
-* a chunk ahead of its turn is held until the gap closes, the call ends or
-  idles out, or more than ``HOLD_CHUNKS`` wait; then the gap is given up;
+* a chunk ahead of its turn is held until the gap closes, or the call ends or
+  idles out; then the gap is given up. However many wait, all are held, so a
+  call's waiting chunks must fit into a task's memory (``HOLD_CHUNKS``, if set,
+  bounds them and gives gaps up earlier);
 * an index seen before is a redelivery and counts once;
 * a chunk whose gap was given up, or whose call has ended, emits a ``late`` row
   with its text;
@@ -49,8 +51,10 @@ STATE_SCHEMA = ("closed boolean, next_index long, n long, text string, "
                 "held_spec array<array<double>>, held_spec_cols array<int>, skipped_from array<long>, skipped_to array<long>")
 IDLE_TIMEOUT_MS = 30 * 60 * 1000
 TOMBSTONE_MS = 60 * 60 * 1000
-#: chunks of a call that may wait for a gap to close
-HOLD_CHUNKS = 1024
+#: chunks of a call that may wait for a gap to close; None: any number
+HOLD_CHUNKS: int | None = None
+#: chunks whose matrices are summed at a time
+RUN_CHUNKS = 8192
 
 
 class _Call:
@@ -109,16 +113,28 @@ class _Call:
     def settle(self, flush: bool = False) -> None:
         """Process held chunks that are in turn; with ``flush`` (or too many
         held) give up the gaps before the others."""
-        run: list[tuple[int, tuple]] = []
-        while self.held and (self.next in self.held or flush or len(self.held) > HOLD_CHUNKS):
-            if self.next not in self.held:
-                first = min(self.held)
+        run = self._in_turn()
+        if self.held and (flush or self._too_many()):
+            for first in sorted(self.held):
+                if first < self.next:       # went with the chunk before it
+                    continue
+                if not (flush or self._too_many()):
+                    break
                 self.skipped.append([self.next, first - 1])
                 self.next = first
+                run += self._in_turn()
+        for k in range(0, len(run), RUN_CHUNKS):
+            self._process(run[k:k + RUN_CHUNKS])
+
+    def _too_many(self) -> bool:
+        return HOLD_CHUNKS is not None and len(self.held) > HOLD_CHUNKS
+
+    def _in_turn(self) -> list[tuple[int, tuple]]:
+        run = []
+        while self.next in self.held:
             run.append((self.next, self.held.pop(self.next)))
             self.next += 1
-        if run:
-            self._process(run)
+        return run
 
     def _process(self, run: list[tuple[int, tuple]]) -> None:
         """Chunks in turn, all at once: sums of matrices by one cumulative sum."""

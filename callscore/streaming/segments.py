@@ -4,10 +4,11 @@ segment number, the next frame expected, frames that came before their turn
 and the ranges of frames that were given up.
 
 Frames are processed in frame order, whatever order they arrive in: a frame
-ahead of its turn waits until the gap closes, the clip idles out, or more than
-``HOLD_FRAMES`` wait. A frame that comes when its gap was given up emits a
-row with ``seg`` -1 (f0 and frame_no are the frame's number, n is 0); a frame
-seen before counts once.
+ahead of its turn waits until the gap closes or the clip idles out. However
+many wait, all are held, so a clip's waiting frames must fit into a task's
+memory (``HOLD_FRAMES``, if set, bounds them and gives gaps up earlier). A frame
+that comes when its gap was given up emits a row with ``seg`` -1 (f0 and
+frame_no are the frame's number, n is 0); a frame seen before counts once.
 """
 
 from __future__ import annotations
@@ -26,7 +27,8 @@ FRAME_SCHEMA = "clip_id long, frame_no long, is_voiced boolean"
 STATE_SCHEMA = ("open boolean, ring array<int>, f0 long, seg long, next long, held_frame array<long>, held_flag array<int>, "
                 "skipped_from array<long>, skipped_to array<long>")
 IDLE_TIMEOUT_MS = 30 * 60 * 1000
-HOLD_FRAMES = 65_536
+#: frames of a clip that may wait for a gap to close; None: any number
+HOLD_FRAMES: int | None = None
 LATE = -1
 COLUMNS = ["clip_id", "seg", "f0", "frame_no", "n"]
 
@@ -59,20 +61,30 @@ class _Clip:
             self.out.append((self.clip, LATE, frame, frame, 0))
 
     def settle(self, flush: bool = False) -> None:
-        frames = np.array(sorted(self.held), dtype=np.int64)
-        flags = np.array([self.held[f] for f in frames.tolist()], dtype=np.int64)
-        while len(frames) and (frames[0] == self.next or flush or len(frames) > HOLD_FRAMES):
-            if frames[0] != self.next:
-                self.skipped.append([self.next, int(frames[0]) - 1])
-            # the run of frames without a gap
-            breaks = np.flatnonzero(np.diff(frames) != 1)
-            end = int(breaks[0]) + 1 if len(breaks) else len(frames)
-            for f0, last, n in self.machine.run(frames[:end], flags[:end]):
+        self._run_in_turn()
+        if self.held and (flush or self._too_many()):
+            for first in sorted(self.held):
+                if first < self.next:       # went with the frame before it
+                    continue
+                if not (flush or self._too_many()):
+                    break
+                self.skipped.append([self.next, first - 1])
+                self.next = first
+                self._run_in_turn()
+
+    def _too_many(self) -> bool:
+        return HOLD_FRAMES is not None and len(self.held) > HOLD_FRAMES
+
+    def _run_in_turn(self) -> None:
+        """The run of frames from the next one on, up to a gap."""
+        first, flags = self.next, []
+        while self.next in self.held:
+            flags.append(self.held.pop(self.next))
+            self.next += 1
+        if flags:
+            for f0, last, n in self.machine.run(np.arange(first, self.next, dtype=np.int64), np.array(flags, dtype=np.int64)):
                 self.out.append((self.clip, self.seg, f0, last, n))
                 self.seg += 1
-            self.next = int(frames[end - 1]) + 1
-            frames, flags = frames[end:], flags[end:]
-        self.held = dict(zip(frames.tolist(), flags.tolist()))
 
     def rows(self) -> pd.DataFrame:
         rows, self.out = self.out, []

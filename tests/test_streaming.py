@@ -159,3 +159,29 @@ def test_frames_after_a_gap_was_given_up_are_rows(monkeypatch):
         clip.add(f, 0)
         clip.settle()
     assert clip.next == 7 and clip.skipped == [[1, 1]] and clip.out == [(1, ssegs.LATE, 0, 0, 0)]
+
+
+def test_any_number_of_waiting_chunks_gives_the_batch_result(spark):
+    n = 3000
+    chunks = spark.createDataFrame([("a", i, f"t{i}") for i in range(n)], "call_id string, chunk_index int, transcript string")
+    want = calls.final_text(chunks).collect()[0]
+    # all but the first chunk wait over a restart, and come in falling order
+    rows = [(0 if i else 1, _chunk("a", i, f"t{i}")) for i in reversed(range(n))] + [(2, _end("a"))]
+    out = _run(spark, rows, "t_many_waiting")
+    assert [(r["n_segments"], r["text"]) for r in out if r["kind"] == "final"] == [(n, want["full_text"])]
+    assert sorted(r["chunk_index"] for r in out if r["kind"] == "running") == list(range(n))
+    assert {r["kind"] for r in out} == {"running", "final"}
+
+
+def test_any_number_of_waiting_frames_gives_the_batch_result():
+    from callscore.operators import segments
+    from callscore.streaming import segments as ssegs
+    flags = [(i // 17) % 2 for i in range(70_000)]
+    clip = ssegs._Clip(1)
+    for i in range(1, len(flags)):
+        clip.add(i, flags[i])
+    clip.settle()
+    clip = ssegs._Clip(1, clip.state())
+    clip.add(0, flags[0])
+    clip.settle()
+    assert [r[1:] for r in clip.out] == [(k, *s) for k, s in enumerate(segments.sessionise(list(range(len(flags))), flags))]
