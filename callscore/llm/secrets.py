@@ -10,8 +10,9 @@ code points, the end is exclusive.
   ``WINDOW`` characters has a Shannon entropy at or above the threshold of the
   run's character class. The window moves one character at a time; the sum of
   c * log2(c) over its character counts is updated from the counts of the
-  character that leaves and the one that enters. Runs on the allow-list and
-  runs that touch a span of another kind give no span.
+  character that leaves and the one that enters. Of a run that touches spans
+  of other kinds, every part outside of them that is long enough is a run of
+  its own. Runs on the allow-list give no span.
 """
 
 from __future__ import annotations
@@ -35,38 +36,57 @@ KINDS = ("assign", "access", "hex", "entropy")
 WINDOW = 20
 CANDIDATE = r"[A-Za-z0-9+/=_-]{20,}"
 #: classes in the order they are tried: pattern of the whole run, least entropy in bits a character
-#: (a window of 20 characters has at most 4.32; prose letters have 3.2 to 3.7). None: never a secret.
+#: (a window of 20 characters has at most 4.32; the tables' prose letters have at most 3.72). None: never a secret.
+#: The README has the recall on random keys.
 CLASSES = (
     ("digits", r"^[0-9=_+/-]+$", None),
-    ("hex", r"^[0-9a-fA-F]+$", 3.25),
-    ("letters", r"^[A-Za-z]+$", 4.15),
-    ("alnum", r"^[A-Za-z0-9]+$", 3.75),
+    ("hex", r"^[0-9a-fA-F]+$", 3.0),
+    ("letters", r"^[A-Za-z]+$", 3.75),
+    ("alnum", r"^[A-Za-z0-9]+$", 3.65),
     ("base64", r"^[A-Za-z0-9+/=_-]+$", 3.85),
 )
-#: runs that match one of these are no secrets
+#: a path segment that looks like a word: up to three capitalised parts and a short number, or capitals, or a number
+_SEGMENT = r"(?:[A-Z]?[a-z]{1,14}(?:[A-Z][a-z]{1,14}){0,2}[0-9]{0,4}|[A-Z]{1,14}|[0-9]{0,8})"
+#: runs that match one of these are no secrets; each is about the whole run, since a key may stand beside any word
 ALLOW = (
     r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",      # identifiers with hyphens
-    r"(?i)example|sample|dummy|placeholder|your[_-]?key|changeme|xxxxx",                   # documentation
-    r"(?i)01234567|abcdefgh|qwertyui",                                                     # keyboard and alphabet runs
-    r"^/?[A-Za-z0-9_]+(?:[/-][A-Za-z]+)+(?:[/-][A-Za-z0-9]{0,8})?/?$",                     # paths and hyphenated words
+    r"(?i)^(?:example|sample|dummy|placeholder|changeme|your|my|test|api|access|key|secret|token|password|x|0123456789|01234567|1234567890|12345678"
+    r"|abcdefghijklmnopqrstuvwxyz|abcdefgh|qwertyuiop|qwertyui|[/_=+-]){1,80}$",            # documentation, keyboard and alphabet runs
+    r"^wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY$",                                         # the key of public documentation
+    rf"^{_SEGMENT}(?:[/_=+-]{_SEGMENT}){{1,30}}(?:[/_=+-][A-Za-z0-9]{{0,8}})?$",            # paths and joined words
 )
 _SCALE = 1_000_000
 #: c * log2(c) for c = 0 .. WINDOW in millionths, so that incremental sums are exact
 _CLOG = [round(c * math.log2(c) * _SCALE) if c else 0 for c in range(WINDOW + 1)]
 
 
-def _running_sums(values: Column) -> Column:
-    """Inclusive running sums of an array in log2(n) passes."""
+def _running(values: Column, combine, none: Column) -> Column:
+    """Inclusive running values of an array in log2(n) passes."""
     steps = F.sequence(F.lit(0), F.ceil(F.log2(F.size(values) + 1)).cast("int"))
 
     def step(acc, k):
         # each pass adds what lies 2^k places before
         gap = F.call_function("shiftleft", F.lit(1), k)
-        return F.transform(acc, lambda x, i: x + F.when(i >= gap, F.get(acc, i - gap)).otherwise(F.lit(0)))
+        return F.transform(acc, lambda x, i: combine(x, F.when(i >= gap, F.get(acc, i - gap)).otherwise(none)))
 
     return F.aggregate(steps, values, step)
 
 
+def _running_sums(values: Column) -> Column:
+    return _running(values, lambda a, b: a + b, F.lit(0))
+
+
+def _outside(run: Column, span: Column, base: Column) -> Column:
+    """array<struct<span, run>>: the parts of a run outside the spans ``base``
+    that are at least a window long."""
+    touching = F.array_sort(F.filter(base, lambda b: (b["start"] < span["end"]) & (b["end"] > span["start"])))
+    ends = _running(F.transform(touching, lambda b: b["end"]), F.greatest, F.lit(0))
+    gaps = F.zip_with(F.concat(F.array(span["start"]), ends), F.concat(F.transform(touching, lambda b: b["start"]), F.array(span["end"])),
+                      lambda a, e: F.struct(a.alias("start"), span["kind"].alias("kind"), e.alias("end")))
+    return F.transform(F.filter(gaps, lambda g: g["end"] - g["start"] >= WINDOW), lambda g: F.struct(
+        g.alias("span"), F.substring(run, g["start"] - span["start"] + 1, g["end"] - g["start"]).alias("run")))
+
+
 def _spans(text: Column, found: Column, pattern: str, kind: int) -> Column:
     """array<struct<start, kind, end>> of the matches ``found`` of ``pattern``:
     the pieces between matches tell where each begins."""
@@ -124,15 +144,16 @@ def scan_secrets(docs: DataFrame, text: str = "text") -> DataFrame:
     are replaced. No rows give no rows.
     """
     docs = without(docs, ("base", "spans"))
-    t, assign, value, access, hexes, runs, base, more = temp_names(docs, "text_", "assign", "value", "access", "hex", "run", "base_", "more")
+    t, assign, value, access, hexes, runs, base, part, more = temp_names(docs, "text_", "assign", "value", "access", "hex", "run", "base_", "part", "more")
     all_of = lambda p, group=0: F.regexp_extract_all(F.col(t), F.lit(p), F.lit(group))
     out = docs.withColumn(t, F.coalesce(ref(text).cast("string"), F.lit("")))
     out = out.withColumns({assign: all_of(ASSIGN), access: all_of(ACCESS), hexes: all_of(HEX), runs: all_of(CANDIDATE)})
     out = out.withColumn(value, F.when(F.size(assign) > 0, all_of(ASSIGN, 1)).otherwise(F.array().cast("array<string>")))
     long_enough = F.filter(_spans(F.col(t), F.col(assign), ASSIGN, 0), lambda s, i: F.length(F.get(F.col(value), i)) >= ASSIGN_VALUE)
     out = out.withColumn(base, F.concat(long_enough, _spans(F.col(t), F.col(access), ACCESS, 1), _spans(F.col(t), F.col(hexes), HEX, 2)))
-    secret = F.filter(F.zip_with(_spans(F.col(t), F.col(runs), CANDIDATE, 3), F.col(runs), lambda s, r: F.struct(s.alias("span"), r.alias("run"))),
-                      lambda x: ~F.exists(F.col(base), lambda b: (b["start"] < x["span"]["end"]) & (b["end"] > x["span"]["start"])) & _is_secret(x["run"]))
+    parts = F.flatten(F.zip_with(_spans(F.col(t), F.col(runs), CANDIDATE, 3), F.col(runs), lambda s, r: _outside(r, s, F.col(base))))
+    out = out.withColumn(part, parts)
+    secret = F.filter(F.col(part), lambda x: _is_secret(x["run"]))
     out = out.withColumn(more, F.transform(secret, lambda x: x["span"]))
     return out.select(*[ref(c) for c in docs.columns], F.array_sort(base).alias("base"), F.array_sort(F.concat(base, more)).alias("spans"))
 
