@@ -4,7 +4,9 @@ Documents are dealt into shards by hash, so that no source, however large, is
 ordered in one task. Inside a (source, shard) the documents in seeded order
 form one stream of words, cut into blocks of equal length. Sources get whole
 numbers of blocks for their targets by highest quotients (weight / 1, 3, 5,
-...), and a source's blocks are apportioned to its shards the same way. A
+...), and a source's blocks are apportioned to its shards the same way. What a
+shard has no words for goes to the source's other shards by the room they have,
+and a source whose target is less than half a block gets it in words. A
 shard takes its quota as whole passes over its stream and, for the rest, a run
 of consecutive blocks from a seeded start (the stream goes on at its
 beginning). As the stream is shuffled by the seed, a run is a random choice of
@@ -80,6 +82,21 @@ def apportion(items: DataFrame, group: list[str], item: str, exact: str, seats:
         *group, item, *keep, F.greatest(F.col("_base") + F.col("_moved"), F.lit(0)).alias(seats))
 
 
+def _fill(quota: DataFrame, limit: Column, most: int, block_words: int) -> DataFrame:
+    """Raise ``quota`` where its sum in a source is below the source's words:
+    the missing words go to the shards by the room they have below ``limit``."""
+    g = Window.partitionBy("source_key")
+    wanted = F.when(F.col("blocks") > 0, F.col("blocks") * block_words).otherwise(F.round("target").cast("long"))
+    wanted = F.least(wanted, (F.lit(most) * F.col("source_size")).cast("long"))
+    q = quota.withColumn("_room", (limit - F.col("quota")).cast("long"))
+    q = q.withColumn("_missing", wanted - F.sum("quota").over(g)).withColumn("_rooms", F.sum("_room").over(g))
+    q = q.withColumn("_upto", F.sum("_room").over(g.orderBy("shard").rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    # whole parts of a running share: they sum to what is missing, and none is above its room
+    upto = lambda x: F.expr(f"cast(_missing as decimal(19, 0)) * cast({x} as decimal(19, 0)) div cast(_rooms as decimal(19, 0))")
+    more = F.when((F.col("_missing") > 0) & (F.col("_rooms") > 0), upto("_upto") - upto("(_upto - _room)")).otherwise(F.lit(0))
+    return q.withColumn("quota", F.col("quota") + more).drop("_room", "_missing", "_rooms", "_upto")
+
+
 def mix(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float = 1.5, most: int = 2, block_words: int = BLOCK_WORDS,
         shard_rows: int = SHARD_ROWS, seed: int = 7, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """Every row of ``docs`` with what the mix takes of it.
@@ -120,7 +137,8 @@ def mix(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float = 1.
     limit = F.lit(most) * F.col("shard_size")
     at_limit = F.col("target") >= F.lit(most) * F.col("source_size")
     quota_words = F.when(at_limit, limit).otherwise(F.least(F.col("shard_blocks") * block_words, limit))
-    quota = quota.withColumn("quota", quota_words).withColumn(
+    quota = _fill(quota.withColumn("quota", quota_words.cast("long")), limit, most, block_words)
+    quota = quota.withColumn(
         "_passes", F.when(F.col("shard_size") > 0, F.floor(F.col("quota") / F.col("shard_size"))).otherwise(F.lit(0)).cast("long"))
     quota = quota.withColumn("_rest", F.col("quota") - F.col("_passes") * F.col("shard_size"))
     start = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), "source_key", F.col("shard").cast("string"))), 1, 8), 16, 10).cast("long")

@@ -184,6 +184,25 @@ def test_mix_meets_targets(spark, shard_rows):
     assert all(again[r["doc_id"], r["text"]] == r["taken"] for r in got if r["doc_id"] is not None and r["doc_id"] != 7)
 
 
+def _taken(df, **how):
+    return {r["source"]: r["words"] for r in mixing.mix(df, weights=(1,), **how).groupBy("source").agg(F.sum("taken").alias("words")).collect()}
+
+
+def test_small_shards_do_not_keep_a_source_below_its_target(spark):
+    df = docs(spark, [(k, " ".join(["w"] * 20), "en", f"s{k % 6}") for k in range(384)])
+    # 64 texts of 20 words in each source, target 1.5 x 1,280 words: 30 blocks
+    for shard_rows in (1024, 16, 1):
+        assert _taken(df, shard_rows=shard_rows) == {f"s{k}": 1920 for k in range(6)}
+    assert all(0 <= r["taken"] <= 2 * r["size"] for r in mixing.mix(df, weights=(1,), shard_rows=1).collect())
+
+
+def test_sources_smaller_than_a_block_get_their_target(spark):
+    df = docs(spark, [(k, "w " * 10, "en", f"s{k % 9}") for k in range(18)])
+    # target 30 words of 20 each; the few that get a block take all there is
+    got = _taken(df, shard_rows=1)
+    assert len(got) == 9 and set(got.values()) == {30, 40}
+
+
 def test_take_is_what_mix_says(spark):
     df = docs(spark, [(k, " ".join(f"w{k}_{i}" + "\n" * (i % 3) for i in range(37 * (k % 9))), "en", "ab"[k % 2]) for k in range(200)])
     mixed = {r["doc_id"]: r for r in mixing.mix(df).collect()}
