@@ -22,7 +22,7 @@ from .common import map_text, ref, without
 #: hash buckets of each of the two families
 BUCKETS = 1 << 15
 #: labelled rows that the classifier is fitted on at most (chosen by hash of their id)
-TRAIN_ROWS = 3000
+TRAIN_ROWS = 6000
 #: every FOLD-th of them calibrates
 FOLD = 5
 #: probability of good quality under which a text is rejected

@@ -112,3 +112,12 @@ def test_identify_edges(spark):
     nothing = langid.learn(empty(docs(spark)))
     assert {r["lang_pred"] for r in langid.identify(docs(spark, rows), nothing).collect()} == {"und"}
     assert langid.identify(empty(docs(spark)), profiles).count() == 0
+
+
+def test_fit_takes_up_to_six_thousand_labels(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(quality, "fit_rows", lambda rows: seen.append(len(rows)))
+    for n, want in ((3980, 3980), (6050, 6000)):
+        rows = spark.range(n).select(F.col("id").alias("doc_id"), F.lit("a few words").alias("text"), (F.col("id") % 2).cast("int").alias("quality"))
+        quality.fit(rows.select("doc_id", "text"), rows.select("doc_id", "quality"))
+        assert seen.pop() == want
