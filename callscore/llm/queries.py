@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from callscore.session import scratch_path
 
-from . import chat, exact_dedup, langid, mixing, packing, quality, secrets, simhash, token_files, url_filter
+from . import chat, exact_dedup, langid, merkle, mixing, packing, quality, secrets, simhash, token_files, url_filter
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -90,8 +90,17 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.join(starts, "file").select("doc_id", (F.col("start") + F.col("file_start")).alias("start"), "n_tokens", "ids_crc32")
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    digest = lambda text: merkle.leaf_digest(F.col("doc_id"), F.col("source"), F.col("lang"), F.col("n_chars"), text)
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string")) % 2 == 0, digest(F.replace("text", F.lit("\n"), F.lit(""))))
+    rows = merkle.manifest(docs, digest(F.col("text")), tampered)
+    siblings = F.array_join(F.transform("path", lambda level: F.concat(level["before"], level["after"])), "")
+    return rows.select("doc_id", "leaf", "subroot", "root", F.sha2(siblings, 256).alias("proof_sha256"), "folded_root", "verified")
+
+
 QUERIES = {f.__name__: f for f in (op1_chat_formatting, op2_exact_dedup, op3_url_filter, op4_simhash, op5_quality_rules, op6_secret_scan, op7_packing,
-                                   op8_language_id, op9_mixing, op10_token_files)}
+                                   op8_language_id, op9_mixing, op10_token_files, op12_merkle_manifest)}
 
 ORACLE: dict[str, str] = {}
 
@@ -213,3 +222,55 @@ SELECT doc_id, size, ss AS source_size, target, CAST(passes * size
     + greatest(least(start + rest - begins, size) - greatest(start - begins, 0), 0) + greatest(least(start + rest - z - begins, size), 0) AS BIGINT) AS taken
 FROM j
 """
+
+_FIELDS = lambda text: "sha256(" + " || ".join(
+    f"coalesce(strlen({c}) || ':' || {c}, '-')" for c in ("CAST(doc_id AS VARCHAR)", "source", "lang", "CAST(n_chars AS VARCHAR)", text)) + ")"
+#: the CRC-32 of a decimal number, digit by digit over half-byte tables that hold the polynomial
+_CRC_TABLE = []
+for _byte in range(256):
+    _crc = _byte
+    for _ in range(8):
+        _crc = _crc >> 1 ^ (0xEDB88320 if _crc & 1 else 0)
+    _CRC_TABLE.append(_crc)
+_CRC = (f"xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))), "
+        f"lambda x, c: xor(x >> 8, ({_CRC_TABLE}::BIGINT[])[(xor(x, c) & 255) + 1])), 4294967295::BIGINT)")
+
+
+def _tree(name: str, leaves: str) -> str:
+    """CTEs ``name`` (grp, level, i, digest of every node), ``name``_top (grp,
+    levels, digest) and ``name``_up (grp, i, level, x, sides): every leaf and version
+    on its way up, from ``leaves`` (grp, i, digest, version)."""
+    return f"""{name} AS (
+  SELECT grp, 0 AS level, i, digest, count(*) OVER (PARTITION BY grp) AS n FROM {leaves}
+  UNION ALL
+  SELECT grp, level + 1, i // 3, sha256(string_agg(digest, '' ORDER BY i)), (any_value(n) + 2) // 3 FROM {name} WHERE n > 1 GROUP BY grp, level, i // 3),
+{name}_top AS (SELECT grp, level AS levels, digest FROM {name} WHERE n = 1),
+{name}_runs AS (SELECT grp, level, i // 3 AS run, list(digest ORDER BY i) AS nodes FROM {name} WHERE n > 1 GROUP BY ALL),
+{name}_up AS (
+  SELECT grp, i, 0 AS level, i AS place, version AS x, '' AS sides FROM {leaves}
+  UNION ALL
+  SELECT u.grp, u.i, u.level + 1, place // 3, sha256(array_to_string(nodes[1:place % 3], '') || x || array_to_string(nodes[place % 3 + 2:], '')),
+    sides || array_to_string(nodes[1:place % 3], '') || array_to_string(nodes[place % 3 + 2:], '')
+  FROM {name}_up u JOIN {name}_runs r ON u.grp = r.grp AND u.level = r.level AND u.place // 3 = r.run)"""
+
+
+ORACLE["op12_merkle_manifest"] = f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, coalesce('s' || source, '') AS grp, {_FIELDS("text")} AS digest,
+    CASE WHEN {_CRC} % 2 = 0 THEN {_FIELDS("replace(text, chr(10), '')")} END AS other FROM documents),
+l AS (SELECT *, coalesce(other, digest) AS version, row_number() OVER (PARTITION BY grp ORDER BY doc_id NULLS FIRST, digest) - 1 AS i FROM d),
+{_tree("t", "l")},
+s AS (SELECT '' AS grp, grp AS name, digest, digest AS version, row_number() OVER (ORDER BY encode(grp)) - 1 AS i FROM t_top),
+{_tree("k", "s")},
+v AS (SELECT l.doc_id, l.grp, l.digest AS leaf, p.digest AS subroot, u.x, u.sides FROM l JOIN t_top p USING (grp)
+  JOIN t_up u ON u.grp = l.grp AND u.i = l.i AND u.level = p.levels),
+vs AS (SELECT '' AS grp, s.i AS home, row_number() OVER () AS i, leaf, subroot, sides, doc_id, x FROM v JOIN s ON s.name = v.grp),
+w AS (
+  SELECT *, 0 AS level, home AS place FROM vs
+  UNION ALL
+  SELECT w.grp, w.home, w.i, leaf, subroot, sides || array_to_string(nodes[1:place % 3], '') || array_to_string(nodes[place % 3 + 2:], ''), doc_id,
+    sha256(array_to_string(nodes[1:place % 3], '') || x || array_to_string(nodes[place % 3 + 2:], '')), w.level + 1, place // 3
+  FROM w JOIN k_runs r ON w.level = r.level AND place // 3 = r.run)
+SELECT doc_id, leaf, subroot, r.digest AS root, sha256(sides) AS proof_sha256, x AS folded_root, x = r.digest AS verified
+FROM w JOIN k_top r ON w.level = r.levels
+"""
