@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from callscore.session import scratch_path
 
-from . import chat, exact_dedup, langid, merkle, mixing, packing, quality, secrets, simhash, token_files, url_filter
+from . import chat, exact_dedup, langid, merkle, mixing, negatives, packing, quality, secrets, simhash, token_files, url_filter
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -99,8 +99,14 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "leaf", "subroot", "root", F.sha2(siblings, 256).alias("proof_sha256"), "folded_root", "verified")
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding", F.col("label").cast("long").alias("label"))
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(rows.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
 QUERIES = {f.__name__: f for f in (op1_chat_formatting, op2_exact_dedup, op3_url_filter, op4_simhash, op5_quality_rules, op6_secret_scan, op7_packing,
-                                   op8_language_id, op9_mixing, op10_token_files, op12_merkle_manifest)}
+                                   op8_language_id, op9_mixing, op10_token_files, op12_merkle_manifest, op13_hard_negatives)}
 
 ORACLE: dict[str, str] = {}
 
@@ -274,3 +280,19 @@ w AS (
 SELECT doc_id, leaf, subroot, r.digest AS root, sha256(sides) AS proof_sha256, x AS folded_root, x = r.digest AS verified
 FROM w JOIN k_top r ON w.level = r.levels
 """
+
+ORACLE["op13_hard_negatives"] = """
+WITH r AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (CAST(label AS BIGINT) + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v, row_number() OVER () AS n
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.n AS a, a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same, CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+  FROM r a JOIN r b ON a.n <> b.n WHERE a.vec_id % 100 = 0),
+p AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY a ORDER BY score DESC, other NULLS LAST) AS place FROM s WHERE same) WHERE place <= 5),
+n AS (
+  SELECT p.anchor_id, p.other AS positive_id, CAST(row_number() OVER (PARTITION BY p.a, p.place ORDER BY s.score DESC, s.other NULLS LAST) AS INTEGER) AS rank,
+    s.other AS negative_id, p.score AS positive_score, s.score AS negative_score
+  FROM p JOIN s ON p.a = s.a AND NOT s.same AND 80 * p.score <= 100 * s.score AND s.score <= p.score)
+SELECT * FROM n WHERE rank <= 5
+"""
