@@ -62,86 +62,100 @@ def _widened(m: np.ndarray, width: int) -> np.ndarray:
     return m if m.shape[1] >= width else np.hstack([m, np.zeros((m.shape[0], width - m.shape[1]))])
 
 
-def _products(rows: np.ndarray, q: np.ndarray) -> np.ndarray:
-    """Exact inner products: in float64 while every partial sum is a whole
-    number below 2^53, else in Python's integers. Both are zero-padded."""
-    width = max(rows.shape[1], q.shape[0])
-    rows = _widened(rows, width)
-    q = np.concatenate([q, np.zeros(width - q.shape[0])])
-    if not rows.size:
-        return np.zeros(len(rows), np.int64)
-    if float(np.abs(rows).max()) * float(np.abs(q).sum()) < _EXACT:
-        return (rows @ q).astype(np.int64)
-    whole = [int(x) for x in q]
-    exact = [sum(int(x) * y for x, y in zip(r, whole)) for r in rows]
-    if any(abs(s) >> 62 for s in exact):
+def _in_floats(rows: np.ndarray, queries: np.ndarray) -> bool:
+    """Every partial sum of their products is a whole number below 2^53."""
+    most = lambda m: float(np.abs(m).max(initial=0))
+    return most(rows) * most(queries) * max(1, rows.shape[1]) < _EXACT
+
+
+def _products(rows: np.ndarray, queries: np.ndarray, in_floats: bool) -> np.ndarray:
+    """Exact inner products of rows and queries: in float64 where that is
+    exact, else in Python's integers."""
+    if in_floats:
+        return rows @ queries.T
+    whole = [[int(x) for x in q] for q in queries]
+    exact = [[sum(int(x) * y for x, y in zip(r, q)) for q in whole] for r in rows]
+    if any(abs(s) >> 62 for row in exact for s in row):
         raise OverflowError("an inner product of scaled vectors is beyond 2^62")
-    return np.array(exact, np.int64)
+    return np.array(exact, np.int64).reshape(len(rows), len(queries))
 
 
-def bounds(low: np.ndarray, high: np.ndarray, q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Least and largest inner product of ``q`` with any point of each box."""
-    up, down = np.maximum(q, 0), np.minimum(q, 0)
-    return _products(low, up) + _products(high, down), _products(high, up) + _products(low, down)
+def bounds(low: np.ndarray, high: np.ndarray, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Least and largest inner product of each query (a row of the results)
+    with any point of each box."""
+    width = max(low.shape[1], queries.shape[1])
+    low, high, queries = _widened(low, width), _widened(high, width), _widened(queries, width)
+    up, down = np.maximum(queries, 0), np.minimum(queries, 0)
+    floats = _in_floats(np.maximum(np.abs(low), np.abs(high)), queries)
+    product = lambda a, b: _products(a, b, floats).T
+    return product(low, up) + product(high, down), product(high, up) + product(low, down)
 
 
 class RTree:
-    """An STR-packed tree over one tile's rows."""
+    """An STR-packed tree over one tile's rows, which are kept in the order of
+    its leaves: every node is a run of rows."""
 
     def __init__(self, vectors: np.ndarray, labels: np.ndarray, ids: np.ndarray, nulls: np.ndarray, leaf_rows: int = LEAF_ROWS):
-        self.low, self.high, self.children, self.rows = [], [], [], []
-        self.vectors, self.labels, self.ids, self.nulls, self.leaf_rows = vectors, labels, ids, nulls, leaf_rows
-        self.root = self._pack(np.arange(len(ids)), 2)
-        self.low, self.high = np.array(self.low), np.array(self.high)
-
-    def _pack(self, rows: np.ndarray, coordinate: int) -> int:
-        node = len(self.rows)
-        self.low.append(self.vectors[rows].min(axis=0))
-        self.high.append(self.vectors[rows].max(axis=0))
+        self.children, self.runs, self.leaf_rows = [], [], leaf_rows
+        order: list[np.ndarray] = []
+        self._pack(vectors, ids, np.arange(len(ids)), 2, order)
+        order = np.concatenate(order)
+        self.vectors, self.labels, self.ids, self.nulls = vectors[order], labels[order], ids[order], nulls[order]
+        self.low = np.array([self.vectors[a:b].min(axis=0) for a, b in self.runs])
+        self.high = np.array([self.vectors[a:b].max(axis=0) for a, b in self.runs])
+
+    def _pack(self, vectors: np.ndarray, ids: np.ndarray, rows: np.ndarray, coordinate: int, order: list) -> int:
+        node, begin = len(self.children), sum(map(len, order))
         self.children.append([])
-        self.rows.append(rows)
-        if len(rows) > self.leaf_rows:
-            width = self.vectors.shape[1]
-            key = self.vectors[rows, coordinate % width] if width else np.zeros(len(rows))
-            ordered = rows[np.lexsort((self.ids[rows], key))]
-            # whole leaves: every slice but the last holds a power of FANOUT of them
-            size = self.leaf_rows
-            while size * FANOUT < len(rows):
-                size *= FANOUT
-            self.children[node] = np.array([self._pack(ordered[i:i + size], coordinate + 1) for i in range(0, len(rows), size)])
+        self.runs.append((begin, begin + len(rows)))
+        if len(rows) <= self.leaf_rows:
+            order.append(rows)
+            return node
+        width = vectors.shape[1]
+        key = vectors[rows, coordinate % width] if width else np.zeros(len(rows))
+        rows = rows[np.lexsort((ids[rows], key))]
+        # whole leaves: every slice but the last holds a power of FANOUT of them
+        size = self.leaf_rows
+        while size * FANOUT < len(rows):
+            size *= FANOUT
+        self.children[node] = [self._pack(vectors, ids, rows[i:i + size], coordinate + 1, order) for i in range(0, len(rows), size)]
         return node
 
-    def search(self, q: np.ndarray, label: int, same: bool, windows: list[tuple[int, int]], k: int) -> list[list[tuple]]:
-        """For each window (least, largest score) its first ``k`` rows of the
-        same label, or of others: (-score, no id, id) in order."""
+    def search(self, queries: np.ndarray, labels: list[int], same: bool, windows: list[list[tuple[int, int]]], k: int) -> Iterator[list[list[tuple]]]:
+        """For each query and each of its windows (least, largest score) the
+        first ``k`` rows of the query's label, or of others: (-score, no id,
+        id) in order."""
+        low, high = bounds(self.low, self.high, queries)
+        width = max(self.vectors.shape[1], queries.shape[1])
+        vectors, queries = _widened(self.vectors, width), _widened(queries, width)
+        floats = _in_floats(vectors, queries)
+        for n, (label, asked) in enumerate(zip(labels, windows)):
+            allowed = self.labels == label if same else self.labels != label
+            yield self._best_first(vectors, queries[n:n + 1], floats, allowed, low[n].tolist(), high[n].tolist(), asked, k)
+
+    def _best_first(self, vectors, q, floats, allowed, low, high, windows, k) -> list[list[tuple]]:
         found: list[list[tuple]] = [[] for _ in windows]
-        floor = [lo for lo, _ in windows]    # of scores that can still enter
-        top = max(hi for _, hi in windows)
-        q = np.concatenate([q, np.zeros(max(0, self.vectors.shape[1] - len(q)))])
-        lows, highs = bounds(self.low[[self.root]], self.high[[self.root]], q)
-        queue = [(-min(int(highs[0]), top), self.root, int(lows[0]), int(highs[0]))]
+        floor = [least for least, _ in windows]    # of scores that can still enter
+        most = [largest for _, largest in windows]
+        top = max(most)
+        queue = [(-min(high[0], top), 0)]
         while queue:
-            _, node, low, high = heapq.heappop(queue)
-            if not any(high >= f and low <= hi for f, (_, hi) in zip(floor, windows)):
+            node = heapq.heappop(queue)[1]
+            if not any(high[node] >= f and low[node] <= m for f, m in zip(floor, most)):
                 continue
-            if len(self.children[node]):
-                inner = self.children[node]
-                lows, highs = bounds(self.low[inner], self.high[inner], q)
-                for child, lo, hi in zip(inner.tolist(), lows.tolist(), highs.tolist()):
-                    heapq.heappush(queue, (-min(hi, top), child, lo, hi))
+            if self.children[node]:
+                for child in self.children[node]:
+                    heapq.heappush(queue, (-min(high[child], top), child))
                 continue
-            rows = self.rows[node]
-            scores = _products(self.vectors[rows], q)
-            fits = (self.labels[rows] == label) == same
-            fits &= (scores >= min(floor)) & (scores <= top)
-            if not fits.any():
+            a, b = self.runs[node]
+            scores = _products(vectors[a:b], q, floats)[:, 0]
+            fits = np.flatnonzero((scores >= min(floor)) & (scores <= top) & allowed[a:b])
+            if not fits.size:
                 continue
-            rows, scores = rows[fits], scores[fits]
-            hits = list(zip((-scores).tolist(), self.nulls[rows].tolist(), self.ids[rows].tolist()))
-            for w, (_, hi) in enumerate(windows):
-                best = found[w]
+            hits = list(zip((-scores[fits]).astype(np.int64).tolist(), self.nulls[a:b][fits].tolist(), self.ids[a:b][fits].tolist()))
+            for w, best in enumerate(found):
                 for hit in hits:
-                    if floor[w] <= -hit[0] <= hi and (len(best) < k or hit < best[-1]):
+                    if floor[w] <= -hit[0] <= most[w] and (len(best) < k or hit < best[-1]):
                         insort(best, hit)
                         if len(best) >= k:
                             del best[k:]
@@ -257,8 +271,8 @@ class _Route:
     def __call__(self, made, part: pa.RecordBatch, _tile: int):
         ids, low, high = made
         out = ([], [], [])
-        for query, vec, windows in zip(part["query"].to_pylist(), part["vec"].to_pylist(), part["windows"].to_pylist()):
-            lows, highs = bounds(low, high, np.array(vec, dtype=float))
+        each = bounds(low, high, _matrix(part["vec"]))
+        for query, lows, highs, windows in zip(part["query"].to_pylist(), *each, part["windows"].to_pylist()):
             if self.best:
                 reached = [int(np.argmax(highs))]
             else:
@@ -282,14 +296,15 @@ class _Search:
     def prepare(held: list[pa.RecordBatch]) -> RTree:
         t = pa.Table.from_batches(held)
         ids = t["id"].combine_chunks()
-        return RTree(_matrix(t["vec"].combine_chunks()), np.array(t["label"].to_pylist(), np.int64), np.array(ids.fill_null(0).to_pylist(), np.int64), np.array(ids.is_null().to_pylist()))
+        return RTree(_matrix(t["vec"].combine_chunks()), t["label"].to_numpy(), np.array(ids.fill_null(0).to_pylist(), np.int64), np.array(ids.is_null().to_pylist()))
 
     def __call__(self, tree: RTree, part: pa.RecordBatch, _tile: int):
         out = ([], [], [], [], [])
-        for query, vec, label, windows in zip(*[part[c].to_pylist() for c in ("query", "vec", "label", "windows")]):
-            q = np.array(vec, dtype=float)
-            found = tree.search(q, label, self.same, [(w["low"], w["high"]) for w in windows], self.k)
-            itself = int(_products(q[None, :], q)[0])
+        queries, asked = _matrix(part["vec"]), [[(w["low"], w["high"]) for w in windows] for windows in part["windows"].to_pylist()]
+        results = tree.search(queries, part["label"].to_pylist(), self.same, asked, self.k)
+        for n, (query, found) in enumerate(zip(part["query"].to_pylist(), results)):
+            q = queries[n:n + 1]
+            itself = int(_products(q, q, _in_floats(q, q))[0, 0])
             for w, hits in enumerate(found):
                 for score, null, i in hits:
                     for column, value in zip(out, (query, w, -score, None if null else i, itself)):

@@ -79,18 +79,18 @@ def test_tree_prunes_and_finds_the_same(spark):
     vectors = (centres[r.integers(0, 40, 4000)] + r.integers(-3, 4, (4000, 8))).astype(float)
     labels, ids = r.integers(0, 4, 4000), r.permutation(4000)
     tree = RTree(vectors, labels, ids, np.zeros(4000, bool), leaf_rows=16)
-    assert sorted(np.concatenate([x for c, x in zip(tree.children, tree.rows) if not len(c)]).tolist()) == list(range(4000))
-    for q, label in zip(vectors[:20], labels[:20].tolist()):
-        scores = (vectors @ q).astype(int)
-        windows = [(-(1 << 63), (1 << 63) - 1), (0, int(scores.max() * 0.9)), (5, 4)]
-        seen = []
-        tree_rows = tree.rows
-        tree.rows = type("Counted", (), {"__getitem__": lambda _, k: (seen.append(k), tree_rows[k])[1]})()
-        found = tree.search(q, label, False, windows, 5)
-        tree.rows = tree_rows
+    leaves = [run for children, run in zip(tree.children, tree.runs) if not children]
+    assert [a for a, _ in leaves[1:]] == [b for _, b in leaves[:-1]] and leaves[0][0] == 0 and leaves[-1][1] == 4000
+    assert sorted(tree.ids.tolist()) == list(range(4000)) and max(b - a for a, b in leaves) == 16
+    queries, asked = vectors[:20], [[(-(1 << 63), (1 << 63) - 1), (0, int((vectors @ q).max() * 0.9)), (5, 4)] for q in vectors[:20]]
+    seen = []
+    tree.runs = type("Counted", (), {"__getitem__": lambda _, n, runs=tree.runs: (seen.append(n), runs[n])[1]})()
+    for q, label, windows, found in zip(queries, labels.tolist(), asked, tree.search(queries, labels[:20].tolist(), False, asked, 5)):
         for (lo, hi), got in zip(windows, found):
-            fits = sorted((-s, False, i) for s, i, la in zip(scores.tolist(), ids.tolist(), labels.tolist()) if la != label and lo <= s <= hi)
+            fits = sorted((-s, False, i) for s, i, la in zip((vectors @ q).astype(int).tolist(), ids.tolist(), labels.tolist()) if la != label and lo <= s <= hi)
             assert got == fits[:5]
-        assert len(seen) < 125     # of 250 leaves and more
-        low, high = negatives.bounds(tree.low, tree.high, q)
-        assert all(low[n] <= scores[x].min() and scores[x].max() <= high[n] for n, x in enumerate(tree.rows))
+        low, high = negatives.bounds(tree.low, tree.high, q[None, :])
+        for n, (a, b) in enumerate(leaves):
+            node = [i for i, c in enumerate(tree.children) if not c][n]
+            assert low[0, node] <= (tree.vectors[a:b] @ q).min() and (tree.vectors[a:b] @ q).max() <= high[0, node]
+    assert len(seen) < 20 * len(leaves) / 2
