@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from callscore.session import scratch_path
 
-from . import chat, exact_dedup, langid, merkle, mixing, negatives, packing, quality, secrets, simhash, token_files, url_filter
+from . import chat, exact_dedup, extract, langid, merkle, mixing, negatives, packing, quality, secrets, simhash, token_files, url_filter
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -90,6 +90,11 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.join(starts, "file").select("doc_id", (F.col("start") + F.col("file_start")).alias("start"), "n_tokens", "ids_crc32")
 
 
+def op11_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return extract.extract_text(pages).select("page_id", "url", "text", "n_chars")
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     digest = lambda text: merkle.leaf_digest(F.col("doc_id"), F.col("source"), F.col("lang"), F.col("n_chars"), text)
@@ -106,7 +111,7 @@ def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_chat_formatting, op2_exact_dedup, op3_url_filter, op4_simhash, op5_quality_rules, op6_secret_scan, op7_packing,
-                                   op8_language_id, op9_mixing, op10_token_files, op12_merkle_manifest, op13_hard_negatives)}
+                                   op8_language_id, op9_mixing, op10_token_files, op11_html_extraction, op12_merkle_manifest, op13_hard_negatives)}
 
 ORACLE: dict[str, str] = {}
 
