@@ -48,8 +48,9 @@ def raw_messages(spark, sf_dir):
     ev, ch = _numbered_with_ts(spark, sf_dir)
     k = F.col("event_id") % 50
     matrix = F.when(k == 4, "[[1,2],[3]]").when(k == 5, "[[1,2],[3,null]]").when(k == 6, "[[1,2],null]").otherwise("[[1,2],[3,4]]")
+    index = F.when(k == 7, -1 - F.col("chunk_index")).otherwise(F.col("chunk_index"))
     chunk = F.concat(F.lit('{"call_id":"'), F.col("call_id"), F.lit('","chunk_index":'),
-                     F.col("chunk_index").cast("string"), F.lit(',"event":"CHUNK","transcript":"'),
+                     index.cast("string"), F.lit(',"event":"CHUNK","transcript":"'),
                      F.col("transcript"), F.lit('","mfcc":'), matrix, F.lit('}'))
     bad_idx = F.concat(F.lit('{"call_id":"'), F.col("call_id"), F.lit('","chunk_index":"x'),
                        F.col("chunk_index").cast("string"), F.lit('","event":"CHUNK","transcript":"'),
@@ -83,7 +84,7 @@ _RAW = ("raw", """select event_id as msg_offset, case when event_id % 50 = 0 the
   when event_id % 50 = 1 then 'not json ' || props when event_id % 50 = 3 then null
   when event_id % 50 = 2 then '{"call_id":"' || call_id || '","chunk_index":"x' || cast(chunk_index as varchar)
     || '","event":"CHUNK","transcript":"' || transcript || '"}'
-  else '{"call_id":"' || call_id || '","chunk_index":' || cast(chunk_index as varchar)
+  else '{"call_id":"' || call_id || '","chunk_index":' || cast(case when event_id % 50 = 7 then -1 - chunk_index else chunk_index end as varchar)
     || ',"event":"CHUNK","transcript":"' || transcript || '","mfcc":' || case event_id % 50 when 4 then '[[1,2],[3]]'
     when 5 then '[[1,2],[3,null]]' when 6 then '[[1,2],null]' else '[[1,2],[3,4]]' end || '}' end as value from nt
   union all select event_id, case when event_id % 50 = 0 then props when event_id % 50 = 1 then 'not json ' || props
@@ -108,7 +109,7 @@ ORACLE = {
   null::varchar from call_events where event = 'CALL_END'""", _NTS),
     "quarantine": fx.oracle(["call_events"], """select msg_offset, case when j is null or json_extract_string(j, '$.call_id') is null
   then 'no_call_id' when coalesce(json_extract_string(j, '$.event'), '') <> 'CALL_END'
-  and try_cast(json_extract_string(j, '$.chunk_index') as integer) is null then 'bad_index'
+  and coalesce(try_cast(json_extract_string(j, '$.chunk_index') as integer), -1) < 0 then 'bad_index'
   when coalesce(json_extract_string(j, '$.event'), '') = 'CALL_END' or json_extract(j, '$.mfcc') is null then 'ok'
   when cast(json_extract(j, '$.mfcc') as varchar) like '%null%' then 'null_matrix'
   when len(list_distinct(list_transform(from_json(json_extract(j, '$.mfcc'), '["JSON"]'), lambda x: json_array_length(x)))) > 1

@@ -102,7 +102,7 @@ def _ragged(m: Column) -> Column:
 
 def quarantine_reason(need_matrices: bool = False) -> Column:
     """Q1, Q10, Q17: why a decoded row cannot be processed (null when it can):
-    no call id, no index, a matrix with a null in it (or, with
+    no call id, no index or one below 0, a matrix with a null in it (or, with
     ``need_matrices``, none at all) or with rows of different lengths."""
     chunk, null, ragged = F.col("kind") == "chunk", F.lit(False), F.lit(False)
     for m in ("mfcc", "spectrogram"):
@@ -110,7 +110,7 @@ def quarantine_reason(need_matrices: bool = False) -> Column:
         null = null | F.coalesce(_holds_null(m), F.lit(need_matrices))
         ragged = ragged | F.coalesce(_ragged(m), F.lit(False))
     return (F.when(F.col("call_id").isNull(), F.lit("no_call_id"))
-             .when(chunk & F.col("chunk_no").isNull(), F.lit("bad_index"))
+             .when(chunk & (F.col("chunk_no").isNull() | (F.col("chunk_no") < 0)), F.lit("bad_index"))
              .when(chunk & null, F.lit("null_matrix"))
              .when(chunk & ragged, F.lit("ragged_matrix")))
 

@@ -1,24 +1,31 @@
 """Keyed progressive call state on Structured Streaming.
 
-``groupBy(call_id).applyInPandasWithState`` keeps, per call, the joined
-transcript cut to 2048 characters (later text can never reach the output), the
-segment count, the running sum and count of the matrices of each modality, the
-next expected chunk index, the chunks that came before their turn, the ranges
-of indexes that were given up, and a closed flag that acts as a tombstone.
-
-Nothing is dropped silently, in whatever order chunks arrive:
-
-* the next chunk emits a ``running`` row (text cut to 512, mean matrices so
-  far), and so do chunks that were held back for it;
-* a chunk ahead of its turn is held until the gap closes, or the call ends or
-  idles out; then the gap is given up. However many wait, all are held, so a
-  call's waiting chunks must fit into a task's memory (``HOLD_CHUNKS``, if set,
-  bounds them and gives gaps up earlier);
+``groupBy(call_id).transformWithStateInPandas`` keeps a call's state by entry:
+
+* ``settled``: the fold of all chunks before the first gap (text cut to 2048
+  characters, as later text can never reach the output; segment count; running
+  sum and count of the matrices of each modality);
+* ``waiting``: one map entry for each chunk after the first gap;
+* ``front``: the fold of the settled and all waiting chunks, so that a chunk
+  that comes in order after a gap costs one step, however long the gap stays;
+* ``head``: the next expected index, the runs of waiting indexes, the call's
+  revision, its timers and a closed flag that acts as a tombstone.
+
+So a lost chunk, or a start in the middle of a call, stops nothing, and nothing
+is dropped silently, in whatever order chunks arrive:
+
+* every chunk emits a ``running`` row (text cut to 512, mean matrices so far)
+  over what has been delivered up to its index. Rows after a gap are
+  ``provisional``; they are emitted at once or after a bounded wait;
+* when a late chunk arrives, it and all later chunks emit rows again, of a
+  higher ``revision``. ``latest`` keeps the last one for each chunk, which
+  equals the batch result over the delivered chunks;
 * an index seen before is a redelivery and counts once;
-* a chunk whose gap was given up, or whose call has ended, emits a ``late`` row
-  with its text;
-* a chunk whose matrix differs in shape from the call's emits a
-  ``quarantined`` row, and the call goes on without it.
+* a chunk whose matrix differs in shape from the first by index of its call
+  emits a ``quarantined`` row and counts in nothing;
+* with ``hold_chunks``, a gap before more waiting chunks than that is given up:
+  they are settled, and a chunk that still comes for it emits a ``late`` row;
+* a chunk whose call has ended emits a ``late`` row with its text.
 
 A CALL_END emits the ``final`` row (text cut to 2048) and tombstones the call;
 an end marker of an unknown call emits an ``orphan_end`` row; a call idle
@@ -28,13 +35,12 @@ longer than the timeout emits an ``expired`` row and is tombstoned too.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import partial
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..functions.arrays import n_cols
 from ..functions.scoring import Scorer, score_columns, stand_in_scorer
@@ -43,195 +49,294 @@ from ..sources.envelope import observe_envelope, split_valid
 
 MODALITIES = ("mfcc", "spec")
 OUTPUT_SCHEMA = ("kind string, call_id string, chunk_index int, n_segments long, text string, mfcc array<double>, mfcc_cols int, "
-                 "spec array<double>, spec_cols int, reason string")
+                 "spec array<double>, spec_cols int, reason string, provisional boolean, revision long")
 COLUMNS = [f.split()[0] for f in OUTPUT_SCHEMA.split(", ")]
-STATE_SCHEMA = ("closed boolean, next_index long, n long, text string, "
-                "mfcc_sum array<double>, mfcc_cols int, mfcc_n long, spec_sum array<double>, spec_cols int, spec_n long, "
-                "held_index array<long>, held_text array<string>, held_mfcc array<array<double>>, held_mfcc_cols array<int>, "
-                "held_spec array<array<double>>, held_spec_cols array<int>, skipped_from array<long>, skipped_to array<long>")
+HEAD_SCHEMA = "closed boolean, next_index long, runs array<long>, skipped array<long>, front_last long, revision long, idle_at long, wait_at long"
+FOLD_SCHEMA = "n long, text string, mfcc_sum array<double>, mfcc_cols int, mfcc_n long, spec_sum array<double>, spec_cols int, spec_n long"
+CHUNK_SCHEMA = "text string, mfcc array<double>, mfcc_cols int, spec array<double>, spec_cols int"
 IDLE_TIMEOUT_MS = 30 * 60 * 1000
 TOMBSTONE_MS = 60 * 60 * 1000
-#: chunks of a call that may wait for a gap to close; None: any number
-HOLD_CHUNKS: int | None = None
-#: chunks whose matrices are summed at a time
-RUN_CHUNKS = 8192
 
 
-class _Call:
-    """A call's state between micro-batches, and the rows that it emits."""
+class Fold:
+    """Chunks folded in index order. A modality's shape is that of the first
+    matrix; (sum, columns, count), with a count of 0 until one is added."""
 
-    def __init__(self, call_id: str, state=None):
-        self.call_id, self.out = call_id, []
-        self.closed, self.next, self.n, self.text = False, 0, 0, ""
-        self.sums = {m: (None, None, 0) for m in MODALITIES}     # running sum, width, count
-        self.held: dict[int, tuple] = {}
-        self.skipped: list[list[int]] = []
+    def __init__(self, state=None):
+        self.n, self.text, self.sums = 0, "", {m: (None, None, 0) for m in MODALITIES}
         if state is not None:
-            (self.closed, self.next, self.n, text, ms, mc, mn, ss, sc, sn, hi, ht, hm, hmc, hs, hsc, ka, kb) = state
-            self.text = text or ""
             array = lambda x: None if x is None else np.asarray(x, dtype=np.float64)
-            self.sums = {"mfcc": (array(ms), mc, mn or 0), "spec": (array(ss), sc, sn or 0)}
-            for i, t, m, c, s, d in zip(hi or [], ht or [], hm or [], hmc or [], hs or [], hsc or []):
-                # an empty array stands for a matrix that is not there
-                self.held[i] = (t, (array(m), c) if len(m) else (None, None), (array(s), d) if len(s) else (None, None))
-            self.skipped = [list(x) for x in zip(ka or [], kb or [])]
+            self.n, self.text = state[0], state[1] or ""
+            self.sums = {m: (array(state[k]), state[k + 1], state[k + 2] or 0) for m, k in (("mfcc", 2), ("spec", 5))}
 
     def state(self) -> tuple:
-        (ms, mc, mn), (ss, sc, sn) = self.sums["mfcc"], self.sums["spec"]
-        items = sorted(self.held.items())
-        plain = lambda x: [] if x is None else x.tolist()
-        return (self.closed, self.next, self.n, self.text, None if ms is None else ms.tolist(), mc, mn, None if ss is None else ss.tolist(), sc, sn,
-                [i for i, _ in items], [h[0] for _, h in items], [plain(h[1][0]) for _, h in items], [h[1][1] or 0 for _, h in items],
-                [plain(h[2][0]) for _, h in items], [h[2][1] or 0 for _, h in items], [a for a, _ in self.skipped], [b for _, b in self.skipped])
+        flat = [x for s, cols, n in self.sums.values() for x in (None if s is None else s.tolist(), cols, n)]
+        return (self.n, self.text, *flat)
+
+    def copy(self) -> "Fold":
+        other = Fold()
+        other.n, other.text, other.sums = self.n, self.text, dict(self.sums)
+        return other
+
+    def add(self, chunk: tuple) -> bool:
+        """Take the next chunk; False if its matrices do not fit the call's."""
+        matrices = dict(zip(MODALITIES, (chunk[1:3], chunk[3:5])))
+        for m, (cells, cols) in matrices.items():
+            if cells is None:
+                continue
+            total, width, _ = self.sums[m]
+            if total is None:
+                self.sums[m] = (np.zeros(len(cells)), cols, 0)
+            elif len(total) != len(cells) or width != cols:
+                return False
+        for m, (cells, cols) in matrices.items():
+            if cells is not None:
+                total, width, count = self.sums[m]
+                self.sums[m] = (total + np.asarray(cells, dtype=np.float64), width, count + 1)
+        self.text = (chunk[0] if self.n == 0 else self.text + " " + chunk[0])[:FINAL_CHARS]
+        self.n += 1
+        return True
+
+    def matrices(self) -> list:
+        """mean, columns of each modality."""
+        return [x for s, cols, n in self.sums.values() for x in ((s / n, cols) if n else (None, None))]
+
+
+def add_index(runs: list[list[int]], i: int) -> bool:
+    """Add ``i`` to sorted runs of indexes; False if it is in one already."""
+    low, high = 0, len(runs)
+    while low < high:
+        mid = (low + high) // 2
+        if runs[mid][1] < i:
+            low = mid + 1
+        else:
+            high = mid
+    if low < len(runs) and runs[low][0] <= i:
+        return False
+    joins_before = low > 0 and runs[low - 1][1] == i - 1
+    joins_after = low < len(runs) and runs[low][0] == i + 1
+    if joins_before and joins_after:
+        runs[low - 1][1] = runs.pop(low)[1]
+    elif joins_before:
+        runs[low - 1][1] = i
+    elif joins_after:
+        runs[low][0] = i
+    else:
+        runs.insert(low, [i, i])
+    return True
+
+
+_pairs = lambda flat: [list(p) for p in zip(flat[::2], flat[1::2])]
+_flat = lambda pairs: [x for p in pairs for x in p]
+
+
+class CallState:
+    """One call while rows of it are handled. ``waiting`` is the map state (or
+    anything with its methods): entries are read and written one by one."""
+
+    def __init__(self, call_id: str, waiting, head=None, settled=None, front=None):
+        self.call_id, self.waiting, self.out = call_id, waiting, []
+        self.closed, self.next, self.runs, self.skipped, self.front_last, self.revision, self.idle_at, self.wait_at = False, 0, [], [], -1, 0, 0, 0
+        if head is not None:
+            (self.closed, self.next, runs, skipped, self.front_last, self.revision, self.idle_at, self.wait_at) = head
+            self.runs, self.skipped = _pairs(runs or []), _pairs(skipped or [])
+        self.settled = Fold(settled)
+        self.front = None if front is None else Fold(front)
 
-    # ---------------------------------------------------------------- rows
-    def emit(self, kind: str, index=None, text=None, means=(None, None), reason=None, n=None) -> None:
-        cols = [self.sums[m][1] if x is not None else None for m, x in zip(MODALITIES, means)]
-        self.out.append((kind, self.call_id, index, self.n if n is None else n, text, means[0], cols[0], means[1], cols[1], reason))
+    def head(self) -> tuple:
+        return (self.closed, self.next, _flat(self.runs), _flat(self.skipped), self.front_last, self.revision, self.idle_at, self.wait_at)
 
-    def means(self) -> list:
-        return [None if s is None else s / k for s, _, k in (self.sums[m] for m in MODALITIES)]
+    @property
+    def seen(self) -> bool:
+        return bool(self.next or self.runs)
+
+    def emit(self, kind: str, index=None, text=None, fold: Fold | None = None, reason=None, provisional=False) -> None:
+        matrices = fold.matrices() if fold is not None else [None] * 4
+        self.out.append((kind, self.call_id, index, fold.n if fold is not None else 0, text, *matrices, reason, provisional, self.revision))
 
     def rows(self) -> pd.DataFrame:
         rows, self.out = self.out, []
         return pd.DataFrame(rows, columns=COLUMNS)
 
     # -------------------------------------------------------------- chunks
-    def add(self, index: int, piece: tuple) -> None:
-        """Take a chunk of a batch; ``settle`` processes what is in turn."""
-        if self.closed:
-            self.emit("late", index, piece[0], reason="after_end")
-        elif index < self.next:
-            gap = next((g for g in self.skipped if g[0] <= index <= g[1]), None)
-            if gap is not None:
-                self.skipped.remove(gap)
-                self.skipped += [g for g in ([gap[0], index - 1], [index + 1, gap[1]]) if g[0] <= g[1]]
-                self.emit("late", index, piece[0], reason="gap_given_up")
-        else:
-            self.held.setdefault(index, piece)
-
-    def settle(self, flush: bool = False) -> None:
-        """Process held chunks that are in turn; with ``flush`` (or too many
-        held) give up the gaps before the others."""
-        run = self._in_turn()
-        if self.held and (flush or self._too_many()):
-            for first in sorted(self.held):
-                if first < self.next:       # went with the chunk before it
-                    continue
-                if not (flush or self._too_many()):
-                    break
-                self.skipped.append([self.next, first - 1])
-                self.next = first
-                run += self._in_turn()
-        for k in range(0, len(run), RUN_CHUNKS):
-            self._process(run[k:k + RUN_CHUNKS])
-
-    def _too_many(self) -> bool:
-        return HOLD_CHUNKS is not None and len(self.held) > HOLD_CHUNKS
-
-    def _in_turn(self) -> list[tuple[int, tuple]]:
-        run = []
-        while self.next in self.held:
-            run.append((self.next, self.held.pop(self.next)))
-            self.next += 1
-        return run
-
-    def _process(self, run: list[tuple[int, tuple]]) -> None:
-        """Chunks in turn, all at once: sums of matrices by one cumulative sum."""
-        fits = np.ones(len(run), bool)
-        for k, m in enumerate(MODALITIES):
-            total, width, count = self.sums[m]
-            size = None if total is None else len(total)
-            for j, (_, piece) in enumerate(run):
-                cells, cols = piece[1 + k]
-                if cells is None or not fits[j]:
-                    continue
-                if size is None:
-                    size, width = len(cells), cols
-                fits[j] = len(cells) == size and cols == width
-            if total is None and size is not None and any(fits[j] and piece[1 + k][0] is not None for j, (_, piece) in enumerate(run)):
-                self.sums[m] = (np.zeros(size), width, 0)
-        good = [r for r, ok in zip(run, fits) if ok]
-        means = {}
-        for k, m in enumerate(MODALITIES):
-            total, width, count = self.sums[m]
-            if total is None:
-                means[m] = [None] * len(good)
-                continue
-            there = np.array([r[1][1 + k][0] is not None for r in good], bool)
-            cells = np.zeros((len(good), len(total)))
-            for j in np.flatnonzero(there):
-                cells[j] = good[j][1][1 + k][0]
-            sums, counts = total + np.cumsum(cells, axis=0), count + np.cumsum(there)
-            means[m] = [s / c if c else None for s, c in zip(sums, counts)]
-            if len(good):
-                self.sums[m] = (sums[-1], width, int(counts[-1]))
-        at = 0
-        for (index, piece), ok in zip(run, fits):
-            if not ok:
-                self.emit("quarantined", index, piece[0], reason="changed_shape")
-                continue
-            self.text = (piece[0] if self.n == 0 else self.text + " " + piece[0])[:FINAL_CHARS]
-            self.n += 1
-            self.emit("running", index, self.text[:RUNNING_CHARS], [means[m][at] for m in MODALITIES])
-            at += 1
+    def take(self, chunks: list[tuple[int, tuple]], hold_chunks: int | None = None, emit_front: bool = True) -> None:
+        """Chunks of a batch, in any order."""
+        self.revision += 1
+        fresh: dict[int, tuple] = {}
+        for i, chunk in chunks:
+            if self.closed:
+                self.emit("late", i, chunk[0], reason="after_end")
+            elif i < self.next:
+                gap = next((g for g in self.skipped if g[0] <= i <= g[1]), None)
+                if gap is not None:
+                    self.skipped.remove(gap)
+                    self.skipped += [g for g in ([gap[0], i - 1], [i + 1, gap[1]]) if g[0] <= g[1]]
+                    self.emit("late", i, chunk[0], reason="gap_given_up")
+            elif i not in fresh and add_index(self.runs, i):
+                fresh[i] = chunk
+        if not fresh:
+            return
+        first = min(fresh)
+        before = self.next
+        self._settle(fresh)
+        while hold_chunks is not None and self.runs and sum(b - a + 1 for a, b in self.runs) > hold_chunks:
+            self._store(fresh)
+            fresh = {}
+            self.skipped.append([self.next, self.runs[0][0] - 1])
+            self.next = self.runs[0][0]
+            self._settle(fresh)
+        self._store(fresh)
+        if not self.runs:
+            self.front, self.front_last = None, -1
+        elif emit_front or self.front is not None:
+            # what came before the front's end, or moved what is settled, changes every row after it
+            anew = self.front is None or self.next != before or first < self.front_last
+            self._advance(fresh, first if self.front is not None else 0, anew)
+
+    def _store(self, fresh: dict[int, tuple]) -> None:
+        """Entries of new chunks that wait."""
+        for i in [i for i in fresh if i >= self.next]:
+            self.waiting.updateValue((i,), fresh[i])
+
+    def _chunk(self, i: int, fresh: dict[int, tuple]) -> tuple:
+        return fresh[i] if i in fresh else self.waiting.getValue((i,))
+
+    def _settle(self, fresh: dict[int, tuple]) -> None:
+        """Fold what is in turn, and emit it for good."""
+        while self.runs and self.runs[0][0] == self.next:
+            a, b = self.runs.pop(0)
+            for i in range(a, b + 1):
+                chunk = self._chunk(i, fresh)
+                self._step(self.settled, i, chunk, provisional=False)
+                if i not in fresh:
+                    self.waiting.removeKey((i,))
+                else:
+                    del fresh[i]
+            self.next = b + 1
+
+    def _step(self, fold: Fold, i: int, chunk: tuple, provisional: bool, emit: bool = True) -> None:
+        fits = fold.add(chunk)
+        if emit and fits:
+            self.emit("running", i, fold.text[:RUNNING_CHARS], fold, provisional=provisional)
+        elif emit:
+            self.emit("quarantined", i, chunk[0], fold, "changed_shape", provisional)
+
+    def _advance(self, fresh: dict[int, tuple], first: int, anew: bool) -> None:
+        """Fold the front up to the last waiting chunk; rows from ``first`` on are emitted."""
+        if anew:
+            self.front, self.front_last = self.settled.copy(), self.next - 1
+        for a, b in self.runs:
+            for i in range(max(a, self.front_last + 1), b + 1):
+                self._step(self.front, i, self._chunk(i, fresh), provisional=True, emit=i >= first)
+                self.front_last = i
+
+    def show_waiting(self) -> None:
+        """The bounded wait is over: rows for all that waits."""
+        self.revision += 1
+        if self.runs and self.front is None:
+            self._advance({}, 0, True)
 
     def close(self, kind: str) -> None:
-        """The last row of a call; what is left is a tombstone with the ranges of indexes seen."""
-        self.settle(flush=True)
-        self.emit(kind, None, self.text[:FINAL_CHARS], self.means())
-        self.closed, self.text, self.held = True, "", {}
-        self.sums = {m: (None, None, 0) for m in MODALITIES}
+        """The last row of a call; what is left is a tombstone."""
+        self.revision += 1
+        self.show_waiting()
+        fold = self.front if self.runs else self.settled
+        self.emit(kind, None, fold.text[:FINAL_CHARS], fold)
+        self.closed, self.runs, self.skipped, self.settled, self.front = True, [], [], Fold(), None
+        self.next = max(self.next, 1)
 
 
-def _arm(state: GroupState, ms: int, event_idle_ms: int | None, last_event_ms: int | None) -> None:
-    """Processing-time mode: a duration. Event-time mode: last event + idle limit."""
-    if event_idle_ms is None:
-        state.setTimeoutDuration(ms)
-    else:
-        at = state.getCurrentWatermarkMs() if last_event_ms is None else last_event_ms
-        state.setTimeoutTimestamp(max(at + ms, state.getCurrentWatermarkMs() + 1))
+class CallProcessor(StatefulProcessor):
+    """The processor of one call's rows and timers. ``wait_ms`` delays the rows
+    after a new gap; 0 emits them at once."""
 
+    def __init__(self, idle_ms: int = IDLE_TIMEOUT_MS, hold_chunks: int | None = None, wait_ms: int = 0, event_time: bool = False):
+        self.idle_ms, self.hold_chunks, self.wait_ms, self.event_time = idle_ms, hold_chunks, wait_ms, event_time
 
-def process_call(key, pdfs: Iterator[pd.DataFrame], state: GroupState,
-                 event_idle_ms: int | None = None) -> Iterator[pd.DataFrame]:
-    if state.hasTimedOut:
-        call = _Call(key[0], state.get)
-        if call.closed:
-            state.remove()      # the tombstone's time is up
-            return
-        call.close("expired")
-        state.update(call.state())
-        _arm(state, TOMBSTONE_MS, event_idle_ms, None)
-        yield call.rows()
-        return
-    call = _Call(key[0], state.get if state.exists else None)
-    ended, last_event_ms = False, None
-    for pdf in pdfs:        # an Arrow batch at a time, however long the call's micro-batch is
-        if pdf["event_time"].notna().any():
-            last_event_ms = max(last_event_ms or 0, int(pd.to_datetime(pdf["event_time"]).max().value // 1_000_000))
-        ended = ended or bool((pdf["kind"] == "end").any())
-        chunks = pdf[pdf["kind"] != "end"]
-        for r in chunks.itertuples(index=False):
-            flat = lambda x, c: (None, None) if x is None or not len(x) else (np.asarray(x, dtype=np.float64), int(c))
-            call.add(int(r.chunk_no), ((r.transcript or "").strip(), flat(r.mfcc, r.mfcc_cols), flat(r.spec, r.spec_cols)))
-        call.settle()
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.head = handle.getValueState("head", HEAD_SCHEMA)
+        self.folds = {name: handle.getValueState(name, FOLD_SCHEMA) for name in ("settled", "front")}
+        self.waiting = handle.getMapState("waiting", "chunk_index long", CHUNK_SCHEMA)
+
+    def _load(self, key) -> CallState:
+        head = self.head.get()
+        if head is None:
+            return CallState(key[0], self.waiting)
+        has_front = bool(head[2]) and head[4] >= 0
+        return CallState(key[0], self.waiting, head, self.folds["settled"].get(), self.folds["front"].get() if has_front else None)
+
+    def _save(self, call: CallState) -> None:
+        self.folds["settled"].update(call.settled.state())
+        if call.front is not None:
+            self.folds["front"].update(call.front.state())
+        self.head.update(call.head())
+
+    def _timer(self, old: int, at: int) -> int:
+        if old != at:
+            if old:
+                self.handle.deleteTimer(old)
+            if at:
+                self.handle.registerTimer(at)
+        return at
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        call = self._load(key)
+        ended, last_event_ms = False, None
+        now = timerValues.getCurrentWatermarkInMs() if self.event_time else timerValues.getCurrentProcessingTimeInMs()
+        for pdf in rows:        # an Arrow batch at a time, however long the call's micro-batch is
+            if self.event_time and pdf["event_time"].notna().any():
+                last_event_ms = max(last_event_ms or 0, int(pd.to_datetime(pdf["event_time"]).max().value // 1_000_000))
+            ended = ended or bool((pdf["kind"] == "end").any())
+            flat = lambda x, c: (None, None) if x is None or not len(x) else ([float(v) for v in x], int(c))
+            chunks = [(int(r.chunk_no), ((r.transcript or "").strip(), *flat(r.mfcc, r.mfcc_cols), *flat(r.spec, r.spec_cols)))
+                      for r in pdf[pdf["kind"] != "end"].itertuples(index=False)]
+            call.take(chunks, self.hold_chunks, emit_front=not self.wait_ms)
+            if call.out:
+                yield call.rows()
+        if ended and not call.closed:       # after the chunks of the same micro-batch
+            if call.seen:
+                self._close(call, "final")
+            else:
+                call.emit("orphan_end")
+        if call.seen:
+            at = (now if last_event_ms is None else last_event_ms) + (TOMBSTONE_MS if call.closed else self.idle_ms)
+            call.idle_at = self._timer(call.idle_at, max(at, now + 1))
+            waits = self.wait_ms and call.runs and call.front is None
+            call.wait_at = self._timer(call.wait_at, (call.wait_at or now + self.wait_ms) if waits else 0)
+            self._save(call)
         if call.out:
             yield call.rows()
-    if ended and not call.closed:       # after the chunks of the same micro-batch
-        if call.next or call.held:
-            call.close("final")
-        else:
-            call.emit("orphan_end", None, n=0)
-    if call.next or call.held:
-        state.update(call.state())
-        _arm(state, TOMBSTONE_MS if call.closed else (event_idle_ms or IDLE_TIMEOUT_MS), event_idle_ms, last_event_ms)
-    if call.out:
-        yield call.rows()
+
+    def _close(self, call: CallState, kind: str) -> None:
+        call.close(kind)
+        self.waiting.clear()
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        call, at = self._load(key), expiredTimerInfo.getExpiryTimeInMs()
+        now = timerValues.getCurrentWatermarkInMs() if self.event_time else timerValues.getCurrentProcessingTimeInMs()
+        if at == call.wait_at and not call.closed:
+            call.wait_at = 0
+            call.show_waiting()
+            self._save(call)
+        elif at == call.idle_at and call.closed:      # the tombstone's time is up
+            self.head.clear()
+            for fold in self.folds.values():
+                fold.clear()
+        elif at == call.idle_at:
+            self._close(call, "expired")
+            call.wait_at = self._timer(call.wait_at, 0)
+            call.idle_at = self._timer(0, now + TOMBSTONE_MS)
+            self._save(call)
+        if call.out:
+            yield call.rows()
+
+    def close(self) -> None:
+        pass
 
 
-def call_states(decoded: DataFrame, watermark: str | None = None, event_idle_ms: int | None = None,
-                need_matrices: bool = False) -> DataFrame:
+def call_states(decoded: DataFrame, watermark: str | None = None, event_idle_ms: int | None = None, need_matrices: bool = False,
+                hold_chunks: int | None = None, wait_ms: int = 0) -> DataFrame:
     """T1-T4 on a decoded message stream (``sources.envelope.decode``).
 
     By default idle calls are closed after a processing-time timeout. With
@@ -244,11 +349,20 @@ def call_states(decoded: DataFrame, watermark: str | None = None, event_idle_ms:
                      F.flatten("spectrogram").alias("spec"), n_cols("spectrogram").alias("spec_cols"), "event_time")
     if watermark:
         v = v.withWatermark("event_time", watermark)
-        fn, timeout = partial(process_call, event_idle_ms=event_idle_ms or IDLE_TIMEOUT_MS), \
-            GroupStateTimeout.EventTimeTimeout
+        processor, mode = CallProcessor(event_idle_ms or IDLE_TIMEOUT_MS, hold_chunks, wait_ms, event_time=True), "eventTime"
     else:
-        fn, timeout = process_call, GroupStateTimeout.ProcessingTimeTimeout
-    return v.groupBy("call_id").applyInPandasWithState(fn, OUTPUT_SCHEMA, STATE_SCHEMA, "append", timeout)
+        processor, mode = CallProcessor(IDLE_TIMEOUT_MS, hold_chunks, wait_ms), "processingTime"
+    return v.groupBy("call_id").transformWithStateInPandas(processor, OUTPUT_SCHEMA, "append", mode)
+
+
+def latest(rows: DataFrame) -> DataFrame:
+    """The last revision of every chunk's ``running`` or ``quarantined`` row;
+    rows of the other kinds as they are (of a call's last rows there is one)."""
+    values = [c for c in rows.columns if c not in ("call_id", "chunk_index")]
+    of_chunks = rows.where(F.col("kind").isin("running", "quarantined"))
+    last = of_chunks.groupBy("call_id", "chunk_index").agg(F.max_by(F.struct(*values), "revision").alias("_r"))
+    last = last.select("call_id", "chunk_index", *[F.col(f"_r.{c}").alias(c) for c in values]).select(*rows.columns)
+    return last.unionByName(rows.where(~F.col("kind").isin("running", "quarantined")))
 
 
 def with_decisions(rows: DataFrame, scorer: Scorer = stand_in_scorer) -> DataFrame:

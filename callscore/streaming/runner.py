@@ -39,9 +39,14 @@ def console_sink(lines: DataFrame, checkpoint: str):
 
 def run_waves(spark: SparkSession, messages: DataFrame, build: Callable[[DataFrame], DataFrame],
               output_schema: str, name: str, wave_col: str = "wave", value_col: str = "value",
-              max_files_per_trigger: int | None = MAX_FILES, sink: str = "files") -> DataFrame:
+              max_files_per_trigger: int | None = MAX_FILES, sink: str | Callable[[DataFrame, int], None] = "files",
+              runs: int | None = None) -> DataFrame | None:
     """``messages`` has a wave number and a JSON text column; ``build`` turns the
-    streaming text DataFrame into the output stream. Returns the sink contents."""
+    streaming text DataFrame into the output stream. Returns the sink contents.
+
+    The query is restarted for every wave, or ``runs`` times in all: then each
+    run takes a share of the waves at once, and the last wave is a run of its own.
+    ``sink`` may be a function for ``foreachBatch``; what it wrote is its caller's."""
     spark.conf.set("spark.sql.streaming.stateStore.providerClass",
                    "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     # availableNow + processing-time state timeouts would otherwise keep
@@ -55,7 +60,7 @@ def run_waves(spark: SparkSession, messages: DataFrame, build: Callable[[DataFra
     for k, v in settings.items():
         spark.conf.set(k, v)
     try:
-        return _run(spark, messages, build, output_schema, name, wave_col, value_col, max_files_per_trigger, sink)
+        return _run(spark, messages, build, output_schema, name, wave_col, value_col, max_files_per_trigger, sink, runs)
     finally:
         for k, v in prev.items():
             if v is None:
@@ -64,21 +69,30 @@ def run_waves(spark: SparkSession, messages: DataFrame, build: Callable[[DataFra
                 spark.conf.set(k, v)
 
 
-def _run(spark, messages, build, output_schema, name, wave_col, value_col, max_files_per_trigger, sink):
+def _stops(waves: int, runs: int | None) -> list[int]:
+    """How many waves have arrived at each run."""
+    if runs is None or runs >= waves:
+        return list(range(1, waves + 1))
+    return sorted({-(-(waves - 1) * k // (runs - 1)) for k in range(1, runs)} | {waves}) if runs > 1 else [waves]
+
+
+def _run(spark, messages, build, output_schema, name, wave_col, value_col, max_files_per_trigger, sink, runs):
     LAST_STATE.pop(name, None)
     root = scratch_path(spark, name)
     inp, ckpt, out = f"{root}/input", f"{root}/checkpoint", f"{root}/output"
     (messages.select(F.col(wave_col).cast("long").alias("wave"), F.col(value_col).alias("value"))
      .write.mode("overwrite").partitionBy("wave").text(inp))
     waves = [int(r[0]) for r in spark.read.text(inp).select("wave").distinct().orderBy("wave").collect()]  # wave ids only
-    for k in range(1, len(waves) + 1):
+    for k in _stops(len(waves), runs):
         reader = spark.readStream.format("text")
         if max_files_per_trigger:
             reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
         stream = build(reader.load(f"{inp}/wave={{{','.join(map(str, waves[:k]))}}}"))
         writer = stream.writeStream.option("checkpointLocation", ckpt).outputMode("append") \
             .trigger(availableNow=True)
-        if sink == "foreachBatch":
+        if callable(sink):
+            q = writer.foreachBatch(sink).start()
+        elif sink == "foreachBatch":
             q = writer.foreachBatch(idempotent_batch_writer(out)).start()
         else:
             q = writer.format("parquet").option("path", out).start()
@@ -94,6 +108,8 @@ def _run(spark, messages, build, output_schema, name, wave_col, value_col, max_f
                                 "state_bytes": sum(int(o.get("memoryUsedBytes", 0)) for o in last),
                                 "rows_read": prev.get("rows_read", 0) + sum(_metric(m, "rows") for m in obs),
                                 "quarantined": prev.get("quarantined", 0) + sum(_metric(m, "quarantined") for m in obs)}
+    if callable(sink):
+        return None
     if sink == "foreachBatch":
         return spark.read.schema(output_schema).option("basePath", out).parquet(f"{out}/batch_id=*") \
             if _exists(spark, out) else spark.createDataFrame([], output_schema)

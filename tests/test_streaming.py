@@ -101,28 +101,125 @@ def test_disorder_redelivery_and_gaps_give_the_batch_result(spark):
             (2, _chunk("a", 0, "zero")), (2, _chunk("a", 5, "five")), (2, _end("a")),      # 3 never came
             (3, _chunk("a", 3, "three")), (3, _chunk("a", 1, "one"))]
     out = _run(spark, rows, "t_disorder")
-    running = sorted((r["chunk_index"], r["text"]) for r in out if r["kind"] == "running")
-    assert running == [(0, "zero"), (1, "zero one"), (2, "zero one two"), (4, "zero one two four"), (5, "zero one two four five")]
+    last = {r["chunk_index"]: r["text"] for r in sorted(out, key=lambda r: r["revision"]) if r["kind"] == "running"}
+    assert last == {0: "zero", 1: "zero one", 2: "zero one two", 4: "zero one two four", 5: "zero one two four five"}
     final = [r for r in out if r["kind"] == "final"]
     assert [(r["text"], r["n_segments"]) for r in final] == [("zero one two four five", 5)]
     # nothing is silent: what comes after the end is a row
     assert sorted((r["chunk_index"], r["text"], r["reason"]) for r in out if r["kind"] == "late") == [(1, "one", "after_end"), (3, "three", "after_end")]
 
 
-def test_too_many_waiting_chunks_give_up_the_gap(spark, monkeypatch):
-    monkeypatch.setattr(scalls, "HOLD_CHUNKS", 3)
-    call = scalls._Call("c")
-    none = (None, None)
+class _Map(dict):
+    """The methods of a map state."""
+
+    def updateValue(self, key, value):
+        self[key] = value
+
+    def getValue(self, key):
+        return self[key]
+
+    def removeKey(self, key):
+        del self[key]
+
+
+def _piece(i, mfcc=None, cols=None):
+    return (str(i), mfcc, cols, None, None)
+
+
+def _again(call):
+    """The call as the next micro-batch finds it."""
+    front = call.front.state() if call.front is not None else None
+    return scalls.CallState(call.call_id, call.waiting, call.head(), call.settled.state(), front)
+
+
+def _latest(rows):
+    """The last row of each chunk, by revision."""
+    found = {}
+    for r in rows:
+        if r[0] in ("running", "quarantined") and (r[2] not in found or found[r[2]][-1] <= r[-1]):
+            found[r[2]] = r
+    return found
+
+
+def test_too_many_waiting_chunks_give_up_the_gap():
+    call = scalls.CallState("c", _Map())
     for i in (1, 2, 3, 4, 9):
-        call.add(i, (str(i), none, none))
-        call.settle()
-    assert [r[2] for r in call.out] == [1, 2, 3, 4] and call.skipped == [[0, 0]] and set(call.held) == {9}
-    again = scalls._Call("c", call.state())
-    again.add(0, ("0", none, none))
-    again.add(0, ("0", none, none))
-    again.add(2, ("2", none, none))
+        call.take([(i, _piece(i))], hold_chunks=3)
+    assert call.skipped == [[0, 0]] and call.next == 5 and list(call.waiting) == [(9,)]
+    assert {i: r[4] for i, r in _latest(call.out).items()} == {1: "1", 2: "1 2", 3: "1 2 3", 4: "1 2 3 4", 9: "1 2 3 4 9"}
+    again = _again(call)
+    again.take([(0, _piece(0)), (0, _piece(0)), (2, _piece(2))], hold_chunks=3)
     assert [(r[0], r[2], r[9]) for r in again.out] == [("late", 0, "gap_given_up")] and not again.skipped
-    assert again.state()[:4] == call.state()[:4]
+
+
+def test_any_arrival_gives_the_rows_of_the_delivered_chunks():
+    """Lost, late and repeated chunks, of two shapes, in random batches: the last rows equal a fold in order."""
+    import random
+    for seed in range(60):
+        r = random.Random(seed)
+        n = r.randint(1, 40)
+        chunk = {i: _piece(i, *r.choice([((1.0 * i, 2.0), 2), ((1.0 * i,), 1), (None, None)])) for i in range(n) if r.random() > 0.1}
+        arrivals = sorted([(i + r.choice([0, 0, 0, r.randint(0, 30)]), i) for i in [*chunk, *r.sample(sorted(chunk), len(chunk) // 4)]])
+        call, out = scalls.CallState("c", _Map()), []
+        while arrivals:
+            k = r.randint(1, 6)
+            call.take([(i, chunk[i]) for _, i in arrivals[:k]])
+            assert set(i for (i,) in call.waiting) == {i for a, b in call.runs for i in range(a, b + 1)} and (call.front is None) == (not call.runs)
+            out, arrivals, call = out + call.out, arrivals[k:], _again(call)
+        fold, got = scalls.Fold(), _latest(out)
+        assert sorted(got) == sorted(chunk)
+        for i in sorted(chunk):
+            fits = fold.add(chunk[i])
+            assert got[i][0] == ("running" if fits else "quarantined") and got[i][3] == fold.n and list(map(str, got[i][5:7])) == list(map(str, fold.matrices()[:2]))
+            assert not fits or got[i][4] == fold.text
+        call.close("final")
+        assert call.out[-1][3:5] == (fold.n, fold.text)
+
+
+def test_a_lost_chunk_costs_one_step_a_chunk_and_one_entry():
+    class Counted(_Map):
+        reads = 0
+
+        def getValue(self, key):
+            Counted.reads += 1
+            return self[key]
+
+    call = scalls.CallState("c", Counted())
+    for i in range(400):
+        if i != 5:
+            call.take([(i, _piece(i))])
+            assert call.out[-1][:4] == ("running", "c", i, i + (i < 5)) and len(call.out) == 1
+            call = _again(call)
+    assert Counted.reads == 0 and len(call.waiting) == 394
+    call.take([(5, _piece(5))])          # late: it and every later chunk are corrected, once
+    assert [r[2] for r in call.out] == list(range(5, 400)) and not call.waiting and all(not r[10] for r in call.out)
+
+
+def test_rows_after_a_gap_wait_when_asked():
+    call = scalls.CallState("c", _Map())
+    call.take([(0, _piece(0)), (2, _piece(2))], emit_front=False)
+    assert [r[2] for r in call.out] == [0] and call.front is None
+    call = _again(call)
+    call.show_waiting()
+    assert [(r[2], r[10]) for r in call.out] == [(2, True)]
+    call.take([(3, _piece(3)), (1, _piece(1))], emit_front=False)
+    assert [(r[2], r[10]) for r in call.out[1:]] == [(1, False), (2, False), (3, False)]
+
+
+def test_timers_show_waiting_rows(spark):
+    """With a wait, rows after a gap come with a timer of a later micro-batch."""
+    build = lambda s: scalls.call_states(env.decode(s), wait_ms=1)
+    rows = [(0, _chunk("w", 0, "a")), (0, _chunk("w", 2, "c")), (1, _chunk("x", 0, "other")), (2, _chunk("x", 1, "other"))]
+    out = run_waves(spark, _msgs(spark, rows), build, scalls.OUTPUT_SCHEMA, "t_wait").collect()
+    assert sorted((r["chunk_index"], r["text"], r["provisional"]) for r in out if r["call_id"] == "w") == [(0, "a", False), (2, "a c", True)]
+
+
+def test_started_in_the_middle_and_negative_indexes(spark):
+    rows = [(0, _chunk("m", 57, "late start")), (0, _chunk("m", -1, "no such index")), (1, _chunk("m", 59, "on")), (2, _chunk("m", 58, "and")), (3, _end("m"))]
+    out = _run(spark, rows, "t_middle")
+    got = {r["chunk_index"]: r["text"] for r in sorted(out, key=lambda r: r["revision"]) if r["kind"] == "running"}
+    assert got == {57: "late start", 58: "late start and", 59: "late start and on"}
+    assert [(r["n_segments"], r["text"]) for r in out if r["kind"] == "final"] == [(3, "late start and on")]
 
 
 def test_means_count_matrices_and_shapes_are_checked(spark):
@@ -169,7 +266,7 @@ def test_any_number_of_waiting_chunks_gives_the_batch_result(spark):
     rows = [(0 if i else 1, _chunk("a", i, f"t{i}")) for i in reversed(range(n))] + [(2, _end("a"))]
     out = _run(spark, rows, "t_many_waiting")
     assert [(r["n_segments"], r["text"]) for r in out if r["kind"] == "final"] == [(n, want["full_text"])]
-    assert sorted(r["chunk_index"] for r in out if r["kind"] == "running") == list(range(n))
+    assert {r["chunk_index"] for r in out if r["kind"] == "running"} == set(range(n))
     assert {r["kind"] for r in out} == {"running", "final"}
 
 
