@@ -138,11 +138,16 @@ _START = [f.split()[0] for f in START_SCHEMA.split(", ")]
 _SEGMENT = ["clip_id", "seg", "f0", "frame_no", "n"]
 
 
+def voiced(flag: str):
+    """1 for a voiced frame, 0 for an unvoiced one and for one without a flag."""
+    return F.coalesce(F.col(flag).cast("int"), F.lit(0))
+
+
 def _bucketed(frames: DataFrame, clip: str, pos: str, flag: str, width: int) -> DataFrame:
     """Frames tagged with bucket ``b``; the last RING frames of each bucket are
     repeated in the next bucket as halo rows."""
     f = frames.select(F.col(clip).cast("long").alias("clip_id"), F.col(pos).cast("long").alias("pos"),
-                      F.col(flag).cast("int").alias("v"))
+                      voiced(flag).alias("v"))
     b = F.floor(F.col("pos") / F.lit(width)).cast("long")
     off = F.col("pos") - b * F.lit(width)
     copies = F.array(F.struct(b.alias("b"), F.lit(False).alias("halo"), F.lit(True).alias("_keep")),
@@ -262,11 +267,11 @@ def voice_segments(frames: DataFrame, clip: str = "clip_id", pos: str = "frame_n
     """One row per closed segment (clip_id, seg, f0, frame_no = last frame, n).
 
     ``pos`` must be a dense 0-based frame number inside each clip; rows without
-    a clip or a frame number are left out. ``flush_open`` also emits a segment
+    a clip or a frame number are left out, and a null flag is unvoiced. ``flush_open`` also emits a segment
     still open at the clip's last frame."""
     width = max(bucket_frames, RING)     # a bucket's halo comes from one bucket
     frames = frames.where(F.col(clip).isNotNull() & F.col(pos).isNotNull())
-    plain = frames.select(F.col(clip).cast("long").alias("clip_id"), F.col(pos).cast("long").alias("pos"), F.col(flag).cast("int").alias("v"))
+    plain = frames.select(F.col(clip).cast("long").alias("clip_id"), F.col(pos).cast("long").alias("pos"), voiced(flag).alias("v"))
     first = (plain.where(F.col("pos") < width).repartition("clip_id").sortWithinPartitions("clip_id", "pos")
              .mapInPandas(_first_buckets, SEGMENT_SCHEMA))
     found = first.where("seg >= 0")

@@ -38,9 +38,10 @@ def delta_coefficients(width: int, order: int) -> list[float]:
 
 def rolling_voiced(frames: DataFrame, keys: Sequence[str] = ("clip_id",), pos: str = "frame_no",
                    flag: str = "is_voiced", ring: int = RING) -> DataFrame:
-    """Voiced frames among the last ``ring`` frames (current included)."""
+    """Voiced frames among the last ``ring`` frames (current included); a
+    null flag is unvoiced."""
     def build(df, w):
-        return df.withColumn("n_voiced", F.sum(F.col(flag).cast("long")).over(w.rowsBetween(-(ring - 1), 0)))
+        return df.withColumn("n_voiced", F.sum(F.coalesce(F.col(flag).cast("long"), F.lit(0))).over(w.rowsBetween(-(ring - 1), 0)))
     return halo_window(frames, keys, pos, ring - 1, build)
 
 

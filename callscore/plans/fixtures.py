@@ -124,11 +124,11 @@ def file_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def frames(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Framed signal keyed by (clip_id, frame_no) with a voice flag and level in dB."""
+    """Framed signal keyed by (clip_id, frame_no) with a voice flag (null now and then) and level in dB."""
     e = table(spark, sf_dir, "events").select("user_id", "event_id", "ts", "value")
     e = running_totals(e, ["user_id"], ["ts", "event_id"], time_bucket("ts"), rank="frame_no")
     return e.select(F.col("user_id").alias("clip_id"), "event_id", "frame_no",
-                    F.col("value").alias("x"), (F.col("value") > 35).alias("is_voiced"),
+                    F.col("value").alias("x"), F.when(F.col("event_id") % 97 != 0, F.col("value") > 35).alias("is_voiced"),
                     F.round(F.lit(10.0) * F.log10("value"), 6).alias("db"))
 
 
@@ -174,7 +174,7 @@ from (select *, lang || '/' || cast(doc_id as varchar) || '.wav' as audio_rel fr
   || '.wav' as path from pages""",
     "frames": """select user_id as clip_id, event_id,
   row_number() over (partition by user_id order by ts, event_id) - 1 as frame_no,
-  value as x, value > 35 as is_voiced, round(cast(10 as double) * log10(value), 6) as db
+  value as x, case when event_id % 97 <> 0 then value > 35 end as is_voiced, round(cast(10 as double) * log10(value), 6) as db
 from events""",
     "matrices": """select vec_id, label,
   list_transform(range(0, 8), lambda i: cast(embedding as double[])[i * 8 + 1 : i * 8 + 8]) as m

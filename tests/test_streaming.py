@@ -1,5 +1,7 @@
 """Stream = batch, redelivery, tombstones and restarts for the call processor."""
 
+import numpy as np
+
 from callscore.operators import calls
 from callscore.sources import envelope as env
 from callscore.streaming import calls as scalls
@@ -248,16 +250,90 @@ def test_segments_do_not_depend_on_arrival(spark):
     assert sorted((r["seg"], r["f0"], r["frame_no"], r["n"]) for r in out) == [(k, *s) for k, s in enumerate(want)]
 
 
+def _frames(*numbers):
+    return np.array(numbers, np.int64)
+
+
 def test_frames_after_a_gap_was_given_up_are_rows(monkeypatch):
     from callscore.streaming import segments as ssegs
     monkeypatch.setattr(ssegs, "HOLD_FRAMES", 4)
     clip = ssegs._Clip(1)
     for f in (2, 3, 4, 5, 6, 0):
-        clip.add(f, 0)
+        clip.add(_frames(f), np.zeros(1, bool))
         clip.settle()
     assert clip.next == 7 and clip.skipped == [[1, 1]] and clip.out == [(1, ssegs.LATE, 0, 0, 0)]
 
 
+def test_a_closed_clip_is_a_tombstone():
+    from callscore.streaming import segments as ssegs
+    clip = ssegs._Clip(1)
+    clip.add(_frames(0, 1, 4), np.ones(3, bool))
+    clip.settle()
+    clip.close()
+    again = ssegs._Clip(1, clip.state())
+    again.add(_frames(5, 2, 1, 5), np.ones(4, bool))
+    again.settle()
+    assert again.closed and again.next == 5 and sorted(r[1:3] for r in again.out) == [(ssegs.LATE, 2), (ssegs.LATE, 5)]
+
+
+def test_ten_million_frames_in_reverse_stay_small():
+    from callscore.operators.segments import VadMachine
+    from callscore.streaming import segments as ssegs
+    n, step = 10_000_000, 500_000
+    flags = np.random.default_rng(1).random(n // 1000) < 0.5
+    flags = np.repeat(flags, 1000)
+    clip, most = ssegs._Clip(1), 0
+    for k in range(n - step, -1, -step):
+        clip = ssegs._Clip(1, clip.state())
+        clip.add(np.arange(k + step - 1, k - 1, -1), flags[k:k + step][::-1])
+        most = max(most, sum(len(x) for x in clip.state() if isinstance(x, bytes)))
+        clip.settle()
+    assert most < 2_000_000 and not len(clip.held) and clip.next == n
+    machine, want = VadMachine(), []
+    for k in range(0, n, step):
+        want += machine.run(np.arange(k, k + step), flags[k:k + step].astype(np.int64))
+    assert [r[2:] for r in clip.out] == want and len(want) > 1000
+
+
+def test_frames_in_random_batches():
+    import random
+
+    from callscore.operators import segments
+    from callscore.streaming import segments as ssegs
+    for seed in range(60):
+        r = random.Random(seed)
+        n = r.randint(1, 400)
+        flags = [r.random() < (0.8 if (i // 30) % 2 else 0.2) for i in range(n)]
+        order = [i for i in range(n)] + [r.randrange(n) for _ in range(n // 5)]
+        order.sort(key=lambda i: i + r.randint(0, 60) if seed % 2 else r.random())
+        clip = ssegs._Clip(1)
+        while order:
+            k = r.randint(1, 50)
+            clip = ssegs._Clip(1, clip.state()) if r.random() < 0.5 and not clip.out else clip
+            clip.add(_frames(*order[:k]), np.array([flags[i] for i in order[:k]]))
+            assert (np.diff(clip.held.first) > clip.held.length[:-1]).all() and clip.held.length.sum() == len(clip.held.flags)
+            clip.settle()
+            order = order[k:]
+        assert [x[2:] for x in clip.out] == segments.sessionise(list(range(n)), [int(f) for f in flags])
+
+
+def test_null_flags_are_unvoiced_in_batch_and_stream(spark):
+    import json
+
+    from callscore.operators import segments, signal
+    from callscore.streaming import segments as ssegs
+    flags = [None if i % 13 == 5 else (i // 17) % 2 == 1 for i in range(200)]
+    want = segments.sessionise(list(range(200)), [int(bool(f)) for f in flags])
+    frames = spark.createDataFrame([(1, i, f) for i, f in enumerate(flags)], "clip_id long, frame_no long, is_voiced boolean")
+    batch = segments.voice_segments(frames, bucket_frames=32).collect()
+    assert sorted((r["seg"], r["f0"], r["frame_no"], r["n"]) for r in batch) == [(k, *s) for k, s in enumerate(want)]
+    rows = [(i % 2, json.dumps({"clip_id": 1, "frame_no": i} | ({} if f is None else {"is_voiced": f}))) for i, f in enumerate(flags)]
+    out = run_waves(spark, _msgs(spark, rows), ssegs.segment_stream, ssegs.SEGMENT_SCHEMA, "t_null_flags").collect()
+    assert sorted((r["seg"], r["f0"], r["frame_no"], r["n"]) for r in out) == [(k, *s) for k, s in enumerate(want)]
+    rolling = {r["frame_no"]: r["n_voiced"] for r in signal.rolling_voiced(frames).collect()}
+    assert rolling == {i: sum(bool(f) for f in flags[max(0, i - 9):i + 1]) for i in range(200)}
+
+
 def test_any_number_of_waiting_chunks_gives_the_batch_result(spark):
     n = 3000
     chunks = spark.createDataFrame([("a", i, f"t{i}") for i in range(n)], "call_id string, chunk_index int, transcript string")
@@ -275,10 +351,9 @@ def test_any_number_of_waiting_frames_gives_the_batch_result():
     from callscore.streaming import segments as ssegs
     flags = [(i // 17) % 2 for i in range(70_000)]
     clip = ssegs._Clip(1)
-    for i in range(1, len(flags)):
-        clip.add(i, flags[i])
+    clip.add(np.arange(1, len(flags)), np.array(flags[1:], bool))
     clip.settle()
     clip = ssegs._Clip(1, clip.state())
-    clip.add(0, flags[0])
+    clip.add(_frames(0), np.array(flags[:1], bool))
     clip.settle()
     assert [r[1:] for r in clip.out] == [(k, *s) for k, s in enumerate(segments.sessionise(list(range(len(flags))), flags))]
