@@ -174,9 +174,16 @@ base AS (
   {_matches(0, secrets.ASSIGN, f"length(regexp_extract(run, {_quoted(secrets.ASSIGN)}, 1)) >= {secrets.ASSIGN_VALUE}")}
   UNION ALL {_matches(1, secrets.ACCESS)}
   UNION ALL {_matches(2, secrets.HEX)}),
-runs AS (
-  SELECT r.*, {_CLASS} AS least_bits FROM ({_matches(3, secrets.CANDIDATE)}) r
-  WHERE NOT ({_ALLOWED}) AND NOT EXISTS (SELECT 1 FROM base b WHERE b.doc_id = r.doc_id AND b.s < r.e AND b.e > r.s)),
+whole AS ({_matches(3, secrets.CANDIDATE)}),
+begins AS (
+  SELECT doc_id, kind, run, s, e, s AS p FROM whole
+  UNION SELECT w.doc_id, w.kind, w.run, w.s, w.e, b.e FROM whole w JOIN base b ON b.doc_id = w.doc_id AND b.e > w.s AND b.e < w.e),
+pieces AS (
+  SELECT doc_id, kind, substr(run, p - s + 1, pe - p) AS run, p AS s, pe AS e FROM (
+    SELECT g.*, least(e, coalesce((SELECT min(b.s) FROM base b WHERE b.doc_id = g.doc_id AND b.s >= g.p), e)) AS pe FROM begins g
+    WHERE NOT EXISTS (SELECT 1 FROM base b WHERE b.doc_id = g.doc_id AND b.s <= g.p AND b.e > g.p))
+  WHERE pe - p >= {secrets.WINDOW}),
+runs AS (SELECT *, {_CLASS} AS least_bits FROM pieces WHERE NOT ({_ALLOWED})),
 chars AS (SELECT doc_id, s, k, unnest(string_split(substr(run, k, {secrets.WINDOW}), '')) AS ch FROM (
   SELECT doc_id, s, run, unnest(range(1, length(run) - {secrets.WINDOW} + 2)) AS k FROM runs WHERE least_bits IS NOT NULL)),
 sums AS (SELECT doc_id, s, k, sum(({list(secrets._CLOG)})[n + 1]) AS total FROM (

@@ -22,6 +22,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from callscore.functions.arrays import let
+
 from .common import ref, temp_names, without
 
 # ---- fixed values ----
@@ -35,6 +37,8 @@ KINDS = ("assign", "access", "hex", "entropy")
 #: candidate runs of the entropy scan; at least one window long
 WINDOW = 20
 CANDIDATE = r"[A-Za-z0-9+/=_-]{20,}"
+#: characters of the pieces of a long run, two levels
+BLOCKS = (65_536, 256)
 #: classes in the order they are tried: pattern of the whole run, least entropy in bits a character
 #: (a window of 20 characters has at most 4.32; the tables' prose letters have at most 3.72). None: never a secret.
 #: The README has the recall on random keys.
@@ -76,15 +80,32 @@ def _running_sums(values: Column) -> Column:
     return _running(values, lambda a, b: a + b, F.lit(0))
 
 
-def _outside(run: Column, span: Column, base: Column) -> Column:
-    """array<struct<span, run>>: the parts of a run outside the spans ``base``
-    that are at least a window long."""
-    touching = F.array_sort(F.filter(base, lambda b: (b["start"] < span["end"]) & (b["end"] > span["start"])))
-    ends = _running(F.transform(touching, lambda b: b["end"]), F.greatest, F.lit(0))
-    gaps = F.zip_with(F.concat(F.array(span["start"]), ends), F.concat(F.transform(touching, lambda b: b["start"]), F.array(span["end"])),
-                      lambda a, e: F.struct(a.alias("start"), span["kind"].alias("kind"), e.alias("end")))
-    return F.transform(F.filter(gaps, lambda g: g["end"] - g["start"] >= WINDOW), lambda g: F.struct(
-        g.alias("span"), F.substring(run, g["start"] - span["start"] + 1, g["end"] - g["start"]).alias("run")))
+def _outside(runs: Column, spans: Column, base: Column) -> Column:
+    """array<struct<span, run>>: the parts of the runs (with their ``spans``)
+    outside the spans ``base`` that are at least a window long. All borders are
+    sorted and counted in one sweep: between two borders the text is inside a
+    run or not, and inside so many spans."""
+    border = lambda at, run, span, begun: F.struct(at.alias("at"), F.lit(run).alias("run"), F.lit(span).alias("base"), F.lit(begun).alias("begun"))
+    borders = F.array_sort(F.concat(
+        F.transform(spans, lambda s: border(s["start"], 1, 0, 1)), F.transform(spans, lambda s: border(s["end"], -1, 0, 0)),
+        F.transform(base, lambda s: border(s["start"], 0, 1, 0)), F.transform(base, lambda s: border(s["end"], 0, -1, 0))))
+    add = lambda a, b: F.struct(a["at"].alias("at"), *[(a[f] + b[f]).alias(f) for f in ("run", "base", "begun")])
+
+    def parts(b):
+        counted = _running(b, add, border(F.lit(0), 0, 0, 0))
+        # the last border ends a run or a span, so nothing is inside a run after it
+        found = F.transform(counted, lambda c, i: F.struct(c["at"].alias("start"), F.get(b, i + 1)["at"].alias("end"), c["run"].alias("run"), c["base"].alias("base"), (c["begun"] - 1).alias("k")))
+        return F.filter(found, lambda f: (f["run"] == 1) & (f["base"] == 0) & (f["end"] - f["start"] >= WINDOW))
+
+    def texts(own, at, found):
+        return F.transform(found, lambda f: F.struct(
+            F.struct(f["start"].alias("start"), F.get(at, f["k"])["kind"].alias("kind"), f["end"].alias("end")).alias("span"),
+            F.substring(F.get(own, f["k"]), f["start"] - F.get(at, f["k"])["start"] + 1, f["end"] - f["start"]).alias("run")))
+
+    empty = F.array().cast("array<struct<span:struct<start:int,kind:int,end:int>,run:string>>")
+    # bound once: an expression inside a lambda would be computed for every element
+    cut = let(runs, lambda own: let(spans, lambda at: let(borders, lambda b: let(parts(b), lambda found: texts(own, at, found)))))
+    return F.when(F.size(runs) == 0, empty).otherwise(cut)
 
 
 def _spans(text: Column, found: Column, pattern: str, kind: int) -> Column:
@@ -98,6 +119,19 @@ def _spans(text: Column, found: Column, pattern: str, kind: int) -> Column:
     return F.when(F.size(found) == 0, empty).otherwise(spans)
 
 
+def _blocks(run: Column, size: int) -> Column:
+    """Overlapping pieces of a run; each window of it lies in one whole."""
+    starts = F.sequence(F.lit(0), F.greatest(F.length(run) - WINDOW, F.lit(0)), F.lit(size))
+    return F.transform(starts, lambda k: F.substring(run, k + 1, F.lit(size + WINDOW - 1)))
+
+
+def largest_entropy(run: Column) -> Column:
+    """``window_entropy`` of a run of any length, piece by piece: to find a
+    character costs its place in the string."""
+    pieces = F.flatten(F.transform(_blocks(run, BLOCKS[0]), lambda b: _blocks(b, BLOCKS[1])))
+    return F.array_max(F.transform(pieces, window_entropy))
+
+
 def window_entropy(run: Column) -> Column:
     """Largest entropy, in millionths of a bit a character, of any window of
     ``WINDOW`` characters of ``run`` (at least that long)."""
@@ -130,7 +164,7 @@ def _is_secret(run: Column) -> Column:
     allowed = F.lit(False)
     for pattern in ALLOW:
         allowed = allowed | run.rlike(pattern)
-    return F.coalesce(~allowed & (F.when(~allowed, window_entropy(run)) >= threshold), F.lit(False))
+    return F.coalesce(~allowed & (F.when(~allowed, largest_entropy(run)) >= threshold), F.lit(False))
 
 
 def scan_secrets(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -139,7 +173,8 @@ def scan_secrets(docs: DataFrame, text: str = "text") -> DataFrame:
     three fixed kinds, ``spans`` also the entropy spans.
 
     Null texts count as empty, and empty texts have empty arrays. Texts of any
-    length are scanned whole, in time about proportional to their length.
+    length are scanned whole, in time about proportional to their length (the
+    spans of a text are sorted and counted, which adds the logarithm of their number).
     Repeated rows are scanned one by one. Columns called ``base`` or ``spans``
     are replaced. No rows give no rows.
     """
@@ -151,7 +186,7 @@ def scan_secrets(docs: DataFrame, text: str = "text") -> DataFrame:
     out = out.withColumn(value, F.when(F.size(assign) > 0, all_of(ASSIGN, 1)).otherwise(F.array().cast("array<string>")))
     long_enough = F.filter(_spans(F.col(t), F.col(assign), ASSIGN, 0), lambda s, i: F.length(F.get(F.col(value), i)) >= ASSIGN_VALUE)
     out = out.withColumn(base, F.concat(long_enough, _spans(F.col(t), F.col(access), ACCESS, 1), _spans(F.col(t), F.col(hexes), HEX, 2)))
-    parts = F.flatten(F.zip_with(_spans(F.col(t), F.col(runs), CANDIDATE, 3), F.col(runs), lambda s, r: _outside(r, s, F.col(base))))
+    parts = _outside(F.col(runs), _spans(F.col(t), F.col(runs), CANDIDATE, 3), F.col(base))
     out = out.withColumn(part, parts)
     secret = F.filter(F.col(part), lambda x: _is_secret(x["run"]))
     out = out.withColumn(more, F.transform(secret, lambda x: x["span"]))
