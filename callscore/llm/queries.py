@@ -179,7 +179,7 @@ begins AS (
   SELECT doc_id, kind, run, s, e, s AS p FROM whole
   UNION SELECT w.doc_id, w.kind, w.run, w.s, w.e, b.e FROM whole w JOIN base b ON b.doc_id = w.doc_id AND b.e > w.s AND b.e < w.e),
 pieces AS (
-  SELECT doc_id, kind, substr(run, p - s + 1, pe - p) AS run, p AS s, pe AS e FROM (
+  SELECT doc_id, kind, substr(run, CAST(p - s + 1 AS BIGINT), CAST(pe - p AS BIGINT)) AS run, p AS s, pe AS e FROM (
     SELECT g.*, least(e, coalesce((SELECT min(b.s) FROM base b WHERE b.doc_id = g.doc_id AND b.s >= g.p), e)) AS pe FROM begins g
     WHERE NOT EXISTS (SELECT 1 FROM base b WHERE b.doc_id = g.doc_id AND b.s <= g.p AND b.e > g.p))
   WHERE pe - p >= {secrets.WINDOW}),
