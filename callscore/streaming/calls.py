@@ -2,14 +2,14 @@
 
 ``groupBy(call_id).transformWithStateInPandas`` keeps a call's state by entry:
 
-* ``settled``: the fold of all chunks before the first gap (text cut to 2048
+* ``head``: the next expected index, the runs of waiting indexes, the call's
+  revision, its timers and a closed flag that acts as a tombstone, and with it
+  ``settled``: the fold of all chunks before the first gap (text cut to 2048
   characters, as later text can never reach the output; segment count; running
   sum and count of the matrices of each modality);
 * ``waiting``: one map entry for each chunk after the first gap;
 * ``front``: the fold of the settled and all waiting chunks, so that a chunk
-  that comes in order after a gap costs one step, however long the gap stays;
-* ``head``: the next expected index, the runs of waiting indexes, the call's
-  revision, its timers and a closed flag that acts as a tombstone.
+  that comes in order after a gap costs one step, however long the gap stays.
 
 So a lost chunk, or a start in the middle of a call, stops nothing, and nothing
 is dropped silently, in whatever order chunks arrive:
@@ -51,7 +51,8 @@ MODALITIES = ("mfcc", "spec")
 OUTPUT_SCHEMA = ("kind string, call_id string, chunk_index int, n_segments long, text string, mfcc array<double>, mfcc_cols int, "
                  "spec array<double>, spec_cols int, reason string, provisional boolean, revision long")
 COLUMNS = [f.split()[0] for f in OUTPUT_SCHEMA.split(", ")]
-HEAD_SCHEMA = "closed boolean, next_index long, runs array<long>, skipped array<long>, front_last long, revision long, idle_at long, wait_at long"
+HEAD_SCHEMA = "closed boolean, next_index long, runs array<long>, skipped array<long>, front_last long, revision long, last_at long, idle_at long, wait_at long"
+HEAD_FIELDS = 9
 FOLD_SCHEMA = "n long, text string, mfcc_sum array<double>, mfcc_cols int, mfcc_n long, spec_sum array<double>, spec_cols int, spec_n long"
 CHUNK_SCHEMA = "text string, mfcc array<double>, mfcc_cols int, spec array<double>, spec_cols int"
 IDLE_TIMEOUT_MS = 30 * 60 * 1000
@@ -136,15 +137,15 @@ class CallState:
 
     def __init__(self, call_id: str, waiting, head=None, settled=None, front=None):
         self.call_id, self.waiting, self.out = call_id, waiting, []
-        self.closed, self.next, self.runs, self.skipped, self.front_last, self.revision, self.idle_at, self.wait_at = False, 0, [], [], -1, 0, 0, 0
+        self.closed, self.next, self.runs, self.skipped, self.front_last, self.revision, self.last_at, self.idle_at, self.wait_at = False, 0, [], [], -1, 0, 0, 0, 0
         if head is not None:
-            (self.closed, self.next, runs, skipped, self.front_last, self.revision, self.idle_at, self.wait_at) = head
+            (self.closed, self.next, runs, skipped, self.front_last, self.revision, self.last_at, self.idle_at, self.wait_at) = head
             self.runs, self.skipped = _pairs(runs or []), _pairs(skipped or [])
         self.settled = Fold(settled)
         self.front = None if front is None else Fold(front)
 
     def head(self) -> tuple:
-        return (self.closed, self.next, _flat(self.runs), _flat(self.skipped), self.front_last, self.revision, self.idle_at, self.wait_at)
+        return (self.closed, self.next, _flat(self.runs), _flat(self.skipped), self.front_last, self.revision, self.last_at, self.idle_at, self.wait_at)
 
     @property
     def seen(self) -> bool:
@@ -255,22 +256,23 @@ class CallProcessor(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.head = handle.getValueState("head", HEAD_SCHEMA)
-        self.folds = {name: handle.getValueState(name, FOLD_SCHEMA) for name in ("settled", "front")}
+        # head and settled change together, so they are one entry
+        self.head = handle.getValueState("head", f"{HEAD_SCHEMA}, {FOLD_SCHEMA}")
+        self.front = handle.getValueState("front", FOLD_SCHEMA)
         self.waiting = handle.getMapState("waiting", "chunk_index long", CHUNK_SCHEMA)
 
     def _load(self, key) -> CallState:
-        head = self.head.get()
-        if head is None:
+        state = self.head.get()
+        if state is None:
             return CallState(key[0], self.waiting)
+        head, settled = state[:HEAD_FIELDS], state[HEAD_FIELDS:]
         has_front = bool(head[2]) and head[4] >= 0
-        return CallState(key[0], self.waiting, head, self.folds["settled"].get(), self.folds["front"].get() if has_front else None)
+        return CallState(key[0], self.waiting, head, settled, self.front.get() if has_front else None)
 
     def _save(self, call: CallState) -> None:
-        self.folds["settled"].update(call.settled.state())
         if call.front is not None:
-            self.folds["front"].update(call.front.state())
-        self.head.update(call.head())
+            self.front.update(call.front.state())
+        self.head.update((*call.head(), *call.settled.state()))
 
     def _timer(self, old: int, at: int) -> int:
         if old != at:
@@ -300,14 +302,18 @@ class CallProcessor(StatefulProcessor):
             else:
                 call.emit("orphan_end")
         if call.seen:
-            at = (now if last_event_ms is None else last_event_ms) + (TOMBSTONE_MS if call.closed else self.idle_ms)
-            call.idle_at = self._timer(call.idle_at, max(at, now + 1))
+            call.last_at = max(call.last_at, now if last_event_ms is None else last_event_ms)
+            # one timer a call: it looks at the last event when it fires, so that rows need not move it
+            call.idle_at = call.idle_at or self._timer(0, max(self._due(call), now + 1))
             waits = self.wait_ms and call.runs and call.front is None
             call.wait_at = self._timer(call.wait_at, (call.wait_at or now + self.wait_ms) if waits else 0)
             self._save(call)
         if call.out:
             yield call.rows()
 
+    def _due(self, call: CallState) -> int:
+        return call.last_at + (TOMBSTONE_MS if call.closed else self.idle_ms)
+
     def _close(self, call: CallState, kind: str) -> None:
         call.close(kind)
         self.waiting.clear()
@@ -319,14 +325,16 @@ class CallProcessor(StatefulProcessor):
             call.wait_at = 0
             call.show_waiting()
             self._save(call)
+        elif at == call.idle_at and at < self._due(call):
+            call.idle_at = self._timer(0, self._due(call))
+            self._save(call)
         elif at == call.idle_at and call.closed:      # the tombstone's time is up
             self.head.clear()
-            for fold in self.folds.values():
-                fold.clear()
+            self.front.clear()
         elif at == call.idle_at:
             self._close(call, "expired")
-            call.wait_at = self._timer(call.wait_at, 0)
-            call.idle_at = self._timer(0, now + TOMBSTONE_MS)
+            call.wait_at, call.last_at = self._timer(call.wait_at, 0), max(now, at)
+            call.idle_at = self._timer(0, self._due(call))
             self._save(call)
         if call.out:
             yield call.rows()
