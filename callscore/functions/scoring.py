@@ -116,11 +116,13 @@ def failing_scorer(scorer: Scorer, fails: Callable[[Column], Column], error: str
     return score
 
 
-def score_columns(df, text: str, mfcc: str | None = None, spec: str | None = None, scorer: Scorer = stand_in_scorer, compat: bool = False):
+def score_columns(df, text: str, mfcc: str | None = None, spec: str | None = None, scorer: Scorer = stand_in_scorer, compat: bool = False,
+                  error: str | None = None):
     """Add the four scores and the display status (Unscored where the scorer
-    reported an error, unless ``compat``)."""
+    reported an error, unless ``compat``), and the error text as column ``error``."""
     empty = F.lit(None).cast("array<double>")
     out = df.withColumn("_score", scorer(F.col(text), F.col(mfcc) if mfcc else empty, F.col(spec) if spec else empty))
     out = out.select("*", *[F.col(f"_score.{f}").alias(f) for f in SCORE_FIELDS])
     final = F.when(F.col("_score.error").isNull(), F.col("final_prob"))
-    return out.withColumn("status", status(final, compat=compat)).drop("_score")
+    out = out.withColumn("status", status(final, compat=compat))
+    return (out.withColumn(error, F.col("_score.error")) if error else out).drop("_score")

@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.text import clean_text, label_num
-from ..operators import calls, fusion, metrics, models, splits
+from ..operators import calls, fusion, metrics, models, scorer, splits
 from ..session import scratch_path
 from . import call_queries
 from . import fixtures as fx
@@ -26,6 +26,12 @@ def q_udf_scoring(spark, sf_dir):
     return fin.select("call_id", F.round(score("full_text"), 4).alias("bert_prob"))
 
 
+def q_scorer_failures(spark, sf_dir):
+    """A model that raises on every batch with a planted text; only these rows are Unscored."""
+    score = scorer.resilient_scorer(scorer.stand_in_model(lambda text: len(text) % 7 == 0))
+    return calls.call_final(fx.chunk_matrices(spark, sf_dir), score).drop("full_text")
+
+
 def q_text_model_eval(spark, sf_dir):
     lt = fx.labelled_text(spark, sf_dir).select("doc_id", "label",
                                                 clean_text("transcription").alias("text"))
@@ -104,6 +110,7 @@ def q_logreg_folds(spark, sf_dir):
 
 QUERIES = {
     "udf_scoring": q_udf_scoring,
+    "scorer_failures": q_scorer_failures,
     "text_model_eval": q_text_model_eval,
     "matrix_model_eval": q_matrix_model_eval,
     "meta_model_cv": q_meta_model_cv,
@@ -112,6 +119,7 @@ QUERIES = {
 }
 
 ORACLE = {
+    "scorer_failures": call_queries.ORACLE["call_unscored"],
     "logreg_folds": fx.oracle(["scored"], """select cast(fold as int) as fold, count(*) as n, cast(sum(label_num) as bigint) as n_pos,
   cast(0 as double) as gradient, true as agree from fo group by fold""", ("s", "select clip_id, label_num from scored"), ("fo", sqltext.folds("s"))),
     "udf_scoring": call_queries.ORACLE["call_final"].replace(
