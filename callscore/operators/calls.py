@@ -36,7 +36,7 @@ def pieces(chunks: DataFrame) -> DataFrame:
     """(call_id, chunk_index, piece): stripped transcript, null as "".
 
     A redelivered (call_id, chunk_index) counts once, as in the stream (the
-    least text wins, so the choice is deterministic)."""
+    delivery with the least text, so the choice is deterministic)."""
     p = chunks.select("call_id", "chunk_index", strip_or_empty("transcript").alias("piece"))
     return p.groupBy("call_id", "chunk_index").agg(F.min("piece").alias("piece"))
 
@@ -94,9 +94,12 @@ def _modalities(chunks: DataFrame) -> list[str]:
 
 
 def _one_per_chunk(chunks: DataFrame, m: str) -> DataFrame:
-    """The flat matrix of each (call_id, chunk_index); a redelivered chunk counts once."""
-    flat = chunks.where(F.col(m).isNotNull()).select("call_id", "chunk_index", F.flatten(m).alias(m))
-    return flat.groupBy("call_id", "chunk_index").agg(F.min(m).alias(m))
+    """The flat matrix of each (call_id, chunk_index). A redelivered chunk
+    counts once and whole: all its values are those of the delivery with the
+    least text, and of equal texts of the one whose matrices hash least."""
+    whole = F.struct(strip_or_empty("transcript").alias("piece"), F.xxhash64(*_modalities(chunks)).alias("h"))
+    one = chunks.groupBy("call_id", "chunk_index").agg(F.min_by(F.flatten(m), whole).alias(m))
+    return one.where(F.col(m).isNotNull())
 
 
 def call_final(chunks: DataFrame, scorer: Scorer = stand_in_scorer) -> DataFrame:

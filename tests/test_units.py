@@ -406,3 +406,15 @@ def test_map_groups_sees_each_group_once_and_whole(spark):
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
     assert sorted((r["k"] or 0, r["n"], r["sorted"]) for r in got) == [(0, 12, True), (1, 30, True), (2, 1, True), (3, 7, True), (4, 25, True)]
+
+
+def test_a_redelivered_chunk_counts_whole(spark):
+    """Text and both matrices of a chunk come from one delivery."""
+    from callscore.operators import calls
+    rows = [("a", 0, "b", [[1.0]], [[9.0]]), ("a", 0, "a", [[5.0]], [[2.0]]), ("a", 1, "x", [[7.0]], None), ("a", 1, "x", [[3.0]], [[4.0]]),
+            ("a", 2, "m", [[8.0]], [[8.0]]), ("a", 2, "l", None, [[6.0]])]
+    df = spark.createDataFrame(rows, "call_id string, chunk_index int, transcript string, mfcc array<array<double>>, spectrogram array<array<double>>")
+    m, s = ({r["chunk_index"]: r[c] for r in calls._one_per_chunk(df, c).collect()} for c in ("mfcc", "spectrogram"))
+    assert (m[0], s[0]) == ([5.0], [2.0]) and (m.get(2), s[2]) == (None, [6.0])
+    assert (m[1], s.get(1)) in (([7.0], None), ([3.0], [4.0]))
+    assert calls.final_text(df).first()["full_text"] == "a x l"
