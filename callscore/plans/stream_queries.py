@@ -9,17 +9,20 @@ from pyspark.sql import functions as F
 from ..operators import calls
 from ..operators.calls import number_chunks
 from ..sources import envelope as env
+from ..sources import message_log
 from ..streaming import calls as scalls
 from ..streaming import segments as ssegs
 from ..session import scratch_path
 from ..streaming.merge import MergingTable
-from ..streaming.runner import run_waves
+from ..streaming.runner import run_waves, stream_settings
 from . import call_queries, segment_queries
 from . import fixtures as fx
 
 END_WAVE = 1 << 30
 FRAME_WAVE = 25
 RUNS = 3              # starts of the query over the waves of a chunk stream
+JOINED = 2            # chunks of every call before the log is joined
+LOG_PARTITIONS = 4
 SHUFFLED = 3          # waves over which the disordered streams deal their input
 
 
@@ -63,11 +66,15 @@ def event_messages(spark, sf_dir):
     return msgs.unionByName(ends)
 
 
+def _by_row():
+    """The call stream with ``row_kind``: a chunk's running row may become a quarantined one and back, both are its row."""
+    of_chunk = F.col("kind").isin("running", "quarantined")
+    return lambda s: _call_stream(s).withColumn("row_kind", F.when(of_chunk, "chunk").otherwise(F.col("kind")))
+
+
 def merged_calls(spark, messages, name, runs=RUNS):
     """The stream's rows merged by (kind, call, chunk): corrections replace what they correct."""
-    # a chunk's running row may become a quarantined one and back: both are the row of the chunk
-    of_chunk = F.col("kind").isin("running", "quarantined")
-    build = lambda s: _call_stream(s).withColumn("row_kind", F.when(of_chunk, "chunk").otherwise(F.col("kind")))
+    build = _by_row()
     schema = _OUT + ", row_kind string"
     table = MergingTable(spark, scratch_path(spark, f"{name}-table"), schema, ["row_kind", "call_id", "chunk_index"], "revision")
     run_waves(spark, messages, build, schema, name, sink=table.writer(), runs=runs)
@@ -133,6 +140,41 @@ def q_stream_progress(spark, sf_dir):
     return out.select(F.col("call_id").cast("long").alias("call_id"), "chunk_index", "n_segments", F.col("text").alias("running_text"), *_SCORES)
 
 
+def q_stream_from_latest(spark, sf_dir):
+    """A message log is joined at its latest message, after the first two chunks of every call; what comes later is
+    scored from there, over a restart after which every third chunk comes late."""
+    ch = chunk_messages(spark, sf_dir, F.col("chunk_index")).where(F.col("wave") < END_WAVE)
+    msgs = ch.withColumn("key", F.get_json_object("value", "$.call_id"))
+    late = F.col("wave") % 3 == 0
+    out = joined_at_latest(spark, msgs, "stream_from_latest", [F.col("wave") < JOINED, (F.col("wave") >= JOINED) & ~late, (F.col("wave") >= JOINED) & late])
+    out = out.where(F.col("kind") == "running")
+    return out.select(F.col("call_id").cast("long").alias("call_id"), "chunk_index", "n_segments", F.col("text").alias("running_text"), *_SCORES)
+
+
+def joined_at_latest(spark, messages, name, parts, partitions=LOG_PARTITIONS):
+    """Append the first part to a log, join it at the latest message, and append the others one by one, each to a
+    query that is started from the checkpoint; the rows merged by chunk."""
+    root = scratch_path(spark, name)
+    messages = messages.persist()
+    build, schema = _by_row(), _OUT + ", row_kind string"
+    table = MergingTable(spark, f"{root}/table", schema, ["row_kind", "call_id", "chunk_index"], "revision")
+    try:
+        message_log.append(messages.where(parts[0]), f"{root}/log", ["wave", "value"], partitions)
+        with stream_settings(spark):
+            for part in parts[1:]:
+                stream = build(message_log.stream(spark, f"{root}/log", partitions))
+                q = stream.writeStream.option("checkpointLocation", f"{root}/checkpoint").outputMode("append").foreachBatch(table.writer()).start()
+                try:
+                    q.processAllAvailable()      # the start is settled before more comes
+                    message_log.append(messages.where(part), f"{root}/log", ["wave", "value"], partitions)
+                    q.processAllAvailable()
+                finally:
+                    q.stop()
+    finally:
+        messages.unpersist()
+    return table.read()
+
+
 def _frame_messages(spark, sf_dir, wave):
     return fx.frames(spark, sf_dir).select(wave.alias("wave"), F.to_json(F.struct("clip_id", "frame_no", "is_voiced")).alias("value"))
 
@@ -157,6 +199,7 @@ QUERIES = {
     "stream_final_disordered": q_stream_final_disordered,
     "stream_segments_disordered": q_stream_segments_disordered,
     "stream_progress": q_stream_progress,
+    "stream_from_latest": q_stream_from_latest,
 }
 
 _ENDED = call_queries.ORACLE["ended_calls"].replace("select e.call_id, e.event_id, f.n_segments",
@@ -166,8 +209,11 @@ _ORPH = call_queries.ORACLE["orphan_ends"].replace("select e.call_id, e.event_id
 
 _DELIVERED = call_queries.ORACLE["call_running"].replace("from conversations\n", f"from conversations where not {_undelivered('conv_id', 'turn')}\n", 1)
 
+_JOINED = call_queries.ORACLE["call_running"].replace("from conversations\n", f"from conversations where turn >= {JOINED}\n", 1)
+
 ORACLE = {
     "stream_progress": _DELIVERED,
+    "stream_from_latest": _JOINED,
     "stream_running": call_queries.ORACLE["call_running"],
     "stream_final": call_queries.ORACLE["call_final"],
     "stream_ended_calls": _ENDED,

@@ -10,6 +10,7 @@ the shared scratch root (``spark.checkpoint.dir``).
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,6 +48,13 @@ def run_waves(spark: SparkSession, messages: DataFrame, build: Callable[[DataFra
     The query is restarted for every wave, or ``runs`` times in all: then each
     run takes a share of the waves at once, and the last wave is a run of its own.
     ``sink`` may be a function for ``foreachBatch``; what it wrote is its caller's."""
+    with stream_settings(spark):
+        return _run(spark, messages, build, output_schema, name, wave_col, value_col, max_files_per_trigger, sink, runs)
+
+
+@contextmanager
+def stream_settings(spark: SparkSession):
+    """Session settings while stream queries run."""
     spark.conf.set("spark.sql.streaming.stateStore.providerClass",
                    "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     # availableNow + processing-time state timeouts would otherwise keep
@@ -60,7 +68,7 @@ def run_waves(spark: SparkSession, messages: DataFrame, build: Callable[[DataFra
     for k, v in settings.items():
         spark.conf.set(k, v)
     try:
-        return _run(spark, messages, build, output_schema, name, wave_col, value_col, max_files_per_trigger, sink, runs)
+        yield
     finally:
         for k, v in prev.items():
             if v is None:
