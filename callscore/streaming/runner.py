@@ -88,7 +88,9 @@ def _run(spark, messages, build, output_schema, name, wave_col, value_col, max_f
     LAST_STATE.pop(name, None)
     root = scratch_path(spark, name)
     inp, ckpt, out = f"{root}/input", f"{root}/checkpoint", f"{root}/output"
-    (messages.select(F.col(wave_col).cast("long").alias("wave"), F.col(value_col).alias("value"))
+    # a wave is a few files for each core, however many partitions the messages come in: every micro-batch visits all states
+    files = 2 * max(1, spark.sparkContext.defaultParallelism)
+    (messages.select(F.col(wave_col).cast("long").alias("wave"), F.col(value_col).alias("value")).coalesce(files)
      .write.mode("overwrite").partitionBy("wave").text(inp))
     waves = [int(r[0]) for r in spark.read.text(inp).select("wave").distinct().orderBy("wave").collect()]  # wave ids only
     for k in _stops(len(waves), runs):
