@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scoring import Scorer, score_columns, stand_in_scorer
 from ..functions.text import preview, strip_or_empty
-from .matrices import flat_mean, running_flat_mean
+from . import folds
 from .prefix import int_bucket, running_totals, time_bucket
 
 # ---- fixed values ----
@@ -93,33 +93,39 @@ def _modalities(chunks: DataFrame) -> list[str]:
     return [m for m in MODALITIES if m in chunks.columns]
 
 
-def _one_per_chunk(chunks: DataFrame, m: str) -> DataFrame:
-    """The flat matrix of each (call_id, chunk_index). A redelivered chunk
-    counts once and whole: all its values are those of the delivery with the
-    least text, and of equal texts of the one whose matrices hash least."""
-    whole = F.struct(strip_or_empty("transcript").alias("piece"), F.xxhash64(*_modalities(chunks)).alias("h"))
-    one = chunks.groupBy("call_id", "chunk_index").agg(F.min_by(F.flatten(m), whole).alias(m))
-    return one.where(F.col(m).isNotNull())
+def _fold_args(chunks: DataFrame) -> tuple:
+    return ["call_id"], "chunk_index", strip_or_empty("transcript"), {m: m for m in _modalities(chunks)}
 
 
-def call_final(chunks: DataFrame, scorer: Scorer = stand_in_scorer) -> DataFrame:
+def call_final(chunks: DataFrame, scorer: Scorer = stand_in_scorer, bucket_width: int = INDEX_BUCKET) -> DataFrame:
     """Final text, mean matrices and decision of every call. ``chunks`` may
-    have the matrices ``mfcc`` and ``spectrogram``."""
-    out, found = final_text(chunks), _modalities(chunks)
-    for m in found:
-        out = out.join(flat_mean(_one_per_chunk(chunks, m), ["call_id"], m, m), "call_id", "left")
+    have the matrices ``mfcc`` and ``spectrogram``; a chunk whose matrix has
+    another shape than its call's first counts in nothing (``changed_shapes``),
+    and a call is there if any of its chunks counts."""
+    found = _modalities(chunks)
+    if not found:
+        return decisions(final_text(chunks, bucket_width=bucket_width), "full_text", scorer=scorer)
+    out = folds.final(chunks, *_fold_args(chunks), FINAL_CHARS, bucket_width)
+    out = out.withColumnsRenamed({"n": "n_segments", "text": "full_text"})
     return decisions(out, "full_text", *[m if m in found else None for m in MODALITIES], scorer=scorer).drop(*found)
 
 
-def call_running(chunks: DataFrame, scorer: Scorer = stand_in_scorer) -> DataFrame:
-    """For every chunk the text and the mean matrices so far, scored."""
-    out, found = running_text(chunks), _modalities(chunks)
-    for m in found:
-        means = running_flat_mean(_one_per_chunk(chunks, m), ["call_id"], "chunk_index", m, m)
-        out = out.join(means, ["call_id", "chunk_index"], "left")
+def call_running(chunks: DataFrame, scorer: Scorer = stand_in_scorer, bucket_width: int = INDEX_BUCKET) -> DataFrame:
+    """For every chunk that counts the text and the mean matrices so far, scored."""
+    found = _modalities(chunks)
+    if not found:
+        return decisions(running_text(chunks, bucket_width=bucket_width), "running_text", scorer=scorer)
+    out = folds.running(chunks, *_fold_args(chunks), RUNNING_CHARS, bucket_width).drop(*[f"{m}_cols" for m in found])
+    out = out.withColumnsRenamed({"n": "n_segments", "text": "running_text"})
     return decisions(out, "running_text", *[m if m in found else None for m in MODALITIES], scorer=scorer).drop(*found)
 
 
+def changed_shapes(chunks: DataFrame) -> DataFrame:
+    """The chunks that count in nothing: (call_id, chunk_index, text, reason), as
+    the stream's ``quarantined`` rows."""
+    return folds.misfits(chunks, *_fold_args(chunks)).withColumn("reason", F.lit("changed_shape"))
+
+
 def _three_decimals(c: str):
     """Three decimals, rounded by the exact binary value (0.4945 is a little
     less and gives 0.494); a missing score is shown as nan."""

@@ -1,24 +1,19 @@
 """Element-wise matrix aggregates.
 
-Matrices are exploded to (i, j, v) cells inside the same stage and summed
-with a grouped aggregate, so the map side already reduces every key to one
-partial sum per cell: a hot key costs one cell table, not its rows. The
-running form uses the skew-safe two-level prefix sum per cell.
+For the mean, matrices are exploded to (i, j, v) cells inside the same stage
+and summed with a grouped aggregate, so the map side already reduces every key
+to one partial sum per cell: a hot key costs one cell table, not its rows. The
+running form folds whole arrays (``folds``).
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .prefix import int_bucket, running_totals
-
-ORDER_BUCKET = 4096
-MAX_HELD = 4096         # sums that a task holds before it hands them on
+from . import folds
 
 
 def explode_cells(df: DataFrame, keep: Sequence[str], m: str) -> DataFrame:
@@ -34,57 +29,6 @@ def assemble(cells: DataFrame, keys: Sequence[str], out: str = "m") -> DataFrame
     return m.select(*keys, F.transform("_m", lambda s: s["_row"]).alias(out))
 
 
-def _partial_sums(keys: Sequence[str], m: str, schema) -> Callable:
-    """Per task and key the sum and count of flat matrices, in Arrow batches."""
-    fields = [f.name for f in schema.fields][:len(keys)]
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: dict[tuple, list] = {}
-
-        def out():
-            return pd.DataFrame([(*k, s.tolist(), n) for k, (s, n) in held.items()], columns=[*fields, "_s", "_cn"])
-
-        for pdf in batches:
-            for row in pdf.itertuples(index=False):
-                x = np.asarray(row[-1], dtype=np.float64)
-                k = (*row[:-1], len(x))
-                if k in held:
-                    held[k][0] += x
-                    held[k][1] += 1
-                else:
-                    held[k] = [x.copy(), 1]
-            if len(held) >= MAX_HELD:
-                yield out()
-                held.clear()
-        if held:
-            yield out()
-
-    return run
-
-
-def flat_mean(df: DataFrame, keys: Sequence[str], m: str, out: str) -> DataFrame:
-    """A1 for wide matrices: keys and the mean of the flat matrices ``m``, one
-    row for a key. Tasks sum their own rows, so a key is shuffled as one array
-    a task, whatever its rows. Nulls do not count; of a key with matrices of
-    different sizes the most frequent size is averaged (the smaller of equals)."""
-    src = df.where(F.col(m).isNotNull()).select(*keys, m)
-    schema = src.select(*keys, F.lit(0).alias("_w"), F.col(m).cast("array<double>").alias("_s"), F.lit(0).cast("long").alias("_cn")).schema
-    parts = src.mapInPandas(_partial_sums([*keys, "_w"], m, schema), schema)
-    add = lambda acc, x: F.when(F.size(acc) == 0, x).otherwise(F.zip_with(acc, x, lambda a, b: a + b))
-    sized = parts.groupBy(*keys, "_w").agg(F.sum("_cn").alias("_cn"), F.collect_list("_s").alias("_l"))
-    total = F.aggregate(F.array_sort("_l"), F.array().cast("array<double>"), add)
-    sized = sized.select(*keys, F.struct("_cn", (-F.col("_w")).alias("_w"), F.transform(total, lambda x: x / F.col("_cn")).alias("_m")).alias("_b"))
-    return sized.groupBy(*keys).agg(F.max("_b")["_m"].alias(out))
-
-
-def running_flat_mean(df: DataFrame, keys: Sequence[str], order: str, m: str, out: str, bucket_width: int = ORDER_BUCKET) -> DataFrame:
-    """W2 as flat arrays: keys, order and the mean of all matrices so far."""
-    cells = df.select(*keys, order, F.posexplode(m).alias("_i", "_v"))
-    r = running_totals(cells, [*keys, "_i"], [order], int_bucket(order, bucket_width), sums={"_s": F.col("_v")}, rank="_r")
-    r = r.groupBy(*keys, order).agg(F.array_sort(F.collect_list(F.struct("_i", (F.col("_s") / (F.col("_r") + 1)).alias("_v")))).alias("_m"))
-    return r.select(*keys, order, F.transform("_m", lambda c: c["_v"]).alias(out))
-
-
 def elementwise_mean(df: DataFrame, keys: Sequence[str], m: str) -> DataFrame:
     """A1: mean matrix per key, as cells (keys, i, j, v)."""
     c = explode_cells(df, list(keys), m)
@@ -92,9 +36,10 @@ def elementwise_mean(df: DataFrame, keys: Sequence[str], m: str) -> DataFrame:
 
 
 def running_elementwise_mean(df: DataFrame, keys: Sequence[str], order: str, m: str,
-                             bucket_width: int = ORDER_BUCKET) -> DataFrame:
-    """Per key in ``order``, the mean of all matrices so far, as cells."""
-    c = explode_cells(df, [*keys, order], m)
-    part = [*keys, "i", "j"]
-    r = running_totals(c, part, [order], int_bucket(order, bucket_width), sums={"_s": F.col("v")}, rank="_r")
-    return r.select(order, *keys, "i", "j", (F.col("_s") / (F.col("_r") + 1)).alias("v"))
+                             bucket_width: int = folds.WIDTH) -> DataFrame:
+    """Per key in ``order``, the mean of all matrices so far, as cells. Matrices
+    are shuffled whole; they become cells after the last shuffle."""
+    src = df.where(F.size(F.flatten(m)) > 0)
+    r = folds.running(src, keys, order, F.lit(""), {"_m": m}, 0, bucket_width)
+    cells = r.select(order, *keys, "_m_cols", F.posexplode("_m").alias("_p", "v"))
+    return cells.select(order, *keys, F.floor(F.col("_p") / F.col("_m_cols")).cast("int").alias("i"), (F.col("_p") % F.col("_m_cols")).alias("j"), "v")

@@ -82,13 +82,11 @@ class Fold:
     def add(self, chunk: tuple) -> bool:
         """Take the next chunk; False if its matrices do not fit the call's."""
         matrices = dict(zip(MODALITIES, (chunk[1:3], chunk[3:5])))
-        for m, (cells, cols) in matrices.items():
-            if cells is None:
-                continue
-            total, width, _ = self.sums[m]
-            if total is None:
+        for m, (cells, cols) in matrices.items():       # a chunk that does not count sets a shape, too
+            if cells is not None and self.sums[m][0] is None:
                 self.sums[m] = (np.zeros(len(cells)), cols, 0)
-            elif len(total) != len(cells) or width != cols:
+        for m, (cells, cols) in matrices.items():
+            if cells is not None and (len(self.sums[m][0]) != len(cells) or self.sums[m][1] != cols):
                 return False
         for m, (cells, cols) in matrices.items():
             if cells is not None:

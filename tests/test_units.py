@@ -382,16 +382,6 @@ def test_class_weights_keep_rows_without_a_label(spark):
         1: pytest.approx(4 / 6), 2: pytest.approx(4 / 6), 3: pytest.approx(4 / 3), 4: pytest.approx(4 / 3)}
 
 
-def test_flat_means(spark):
-    from callscore.operators import matrices
-    rows = [("a", i, [float(i), 2.0]) for i in range(50)] + [("a", 50, [1.0]), ("a", 51, None), ("b", 0, [4.0, 6.0])]
-    df = spark.createDataFrame(rows, "k string, i long, m array<double>").repartition(4)
-    got = {r["k"]: r["x"] for r in matrices.flat_mean(df, ["k"], "m", "x").collect()}
-    assert got == {"a": [24.5, 2.0], "b": [4.0, 6.0]}
-    run = {(r["k"], r["i"]): r["x"] for r in matrices.running_flat_mean(df.where("i < 50"), ["k"], "i", "m", "x", bucket_width=7).collect()}
-    assert run["a", 9] == [4.5, 2.0] and run["b", 0] == [4.0, 6.0] and len(run) == 51
-
-
 def test_map_groups_sees_each_group_once_and_whole(spark):
     from callscore.operators.grouped import map_groups
     rows = [(k, i) for k, n in ((1, 30), (2, 1), (3, 7), (None, 12), (4, 25)) for i in range(n)]
