@@ -61,7 +61,7 @@ def apportion(items: DataFrame, group: list[str], item: str, exact: str, seats:
 
     Rounding every ``exact`` share is the right apportionment of the rounded
     sum; the few seats too many or too few are then taken or given in the order
-    of their quotients. An item can gain or lose at most
+    of their quotients (of equal ones the first by ``item``). An item can gain or lose at most
     exact * (difference + items) / total + 1 of them, so that many quotients
     an item are ranked: a small multiple of the number of items."""
     g = Window.partitionBy(*group)
