@@ -17,12 +17,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_text, ref, without
+from callscore.session import scratch_root
+
+from .common import map_text, ref, temp_names, without
 
 DIMENSIONS = 1024
 GRAM = 3
 SEED = 20240229
-#: languages that may be learned; their prototypes are all that comes to the driver
+#: languages whose prototypes are on the driver, or broadcast, at a time
 MAX_LANGUAGES = 1000
 #: n-gram vectors made at a time
 ROWS = 4096
@@ -142,26 +144,36 @@ class Profiles:
     dimensions: int = DIMENSIONS
     seed: int = SEED
 
-    def predict(self, vector: np.ndarray) -> tuple[str, float]:
+    def nearest(self, vector: np.ndarray) -> tuple[str | None, float | None]:
+        """The language with the largest cosine, the first of equals, and the cosine."""
         length = float(np.linalg.norm(vector))
         if not len(self.languages) or not length:
-            return UNKNOWN, 0.0
+            return None, None
         cosines = self.prototypes @ (vector / length)
         best = int(np.argmax(cosines))
-        return self.languages[best], float(min(max(cosines[best], 0.0), 1.0))
+        return self.languages[best], float(cosines[best])
+
+    def predict(self, vector: np.ndarray) -> tuple[str, float]:
+        found, cosine = self.nearest(vector)
+        return (UNKNOWN, 0.0) if found is None else (found, min(max(cosine, 0.0), 1.0))
 
 
-def learn(docs: DataFrame, text: str = "text", lang: str = "lang", dimensions: int = DIMENSIONS, seed: int = SEED) -> Profiles:
-    """Prototypes from every whole text that has a language and a letter.
+def sums(docs: DataFrame, text: str = "text", lang: str = "lang", dimensions: int = DIMENSIONS, seed: int = SEED) -> DataFrame:
+    """lang, place, total: the bundle of every language, from every whole text
+    that has a language and a letter.
 
     Each task adds up its texts' n-gram counts by language and hands on one
     vector of whole numbers for each; Spark sums them, so the result does not
-    depend on how rows were dealt. The driver gets one prototype a language,
-    of at most ``MAX_LANGUAGES``."""
+    depend on how rows were dealt."""
     src = docs.select(ref(lang).cast("string").alias("lang"), ref(text).cast("string").alias("text")).dropna()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        space, sums = Space(dimensions, seed), {}
+        space, held = Space(dimensions, seed), {}
+
+        def out() -> Iterator[pa.RecordBatch]:
+            for name, total in held.items():
+                yield pa.RecordBatch.from_pydict({"lang": [name] * dimensions, "place": np.arange(dimensions, dtype=np.int32), "total": total})
+
         for batch in batches:
             by_lang: dict[str, list] = {}
             for i in range(batch.num_rows):
@@ -169,24 +181,87 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang", dimensions: i
             for name, found in by_lang.items():
                 codes, inverse = np.unique(np.concatenate([f[0] for f in found]), return_inverse=True)
                 counts = np.bincount(inverse, weights=np.concatenate([f[1] for f in found]), minlength=len(codes))
-                sums[name] = sums.get(name, 0) + np.rint(space.bundle(codes, counts)).astype(np.int64)
-                if len(sums) > MAX_LANGUAGES:
-                    raise ValueError(f"over {MAX_LANGUAGES} languages")
-        for name, total in sums.items():
-            yield pa.RecordBatch.from_pydict({"lang": [name] * dimensions, "place": np.arange(dimensions, dtype=np.int32), "total": total})
+                held[name] = held.get(name, 0) + np.rint(space.bundle(codes, counts)).astype(np.int64)
+                if len(held) > MAX_LANGUAGES:
+                    yield from out()
+                    held.clear()
+        yield from out()
 
     parts = src.mapInArrow(run, "lang string, place int, total long")
-    summed = parts.groupBy("lang", "place").agg(F.sum("total").alias("total"))
+    return parts.groupBy("lang", "place").agg(F.sum("total").alias("total"))
+
+
+def _profiles(summed: DataFrame, dimensions: int, seed: int) -> Profiles:
     table: dict[str, np.ndarray] = {}
     for r in summed.toLocalIterator():
         table.setdefault(r["lang"], np.zeros(dimensions))[r["place"]] = r["total"]
         if len(table) > MAX_LANGUAGES:
-            raise ValueError(f"over {MAX_LANGUAGES} languages")
+            raise ValueError(f"over {MAX_LANGUAGES} languages at a time; classify() takes any number")
     names = sorted(n for n, v in table.items() if v.any())
     rows = np.array([table[n] / np.linalg.norm(table[n]) for n in names]).reshape(len(names), dimensions)
     return Profiles(names, rows, dimensions, seed)
 
 
+def learn(docs: DataFrame, text: str = "text", lang: str = "lang", dimensions: int = DIMENSIONS, seed: int = SEED) -> Profiles:
+    """The prototypes of at most ``MAX_LANGUAGES`` languages, on the driver."""
+    return _profiles(sums(docs, text, lang, dimensions, seed), dimensions, seed)
+
+
+def _vectors(batch: pa.RecordBatch, space: _Cached) -> list[np.ndarray | None]:
+    """The vectors of the texts in the last column; None without a letter."""
+    found = [grams(t.as_py()) for t in batch.column(batch.num_columns - 1)]
+    if found and len(space.known) < space.LIMIT:
+        space.learn(np.unique(np.concatenate([f[0] for f in found])))
+    return [space.bundle(*f) if len(f[0]) else None for f in found]
+
+
+def classify(docs: DataFrame, learn_from: DataFrame, text: str = "text", lang: str = "lang", dimensions: int = DIMENSIONS, seed: int = SEED) -> DataFrame:
+    """``identify`` with what ``learn_from`` teaches, for any number of languages.
+
+    Up to ``MAX_LANGUAGES`` are one broadcast and one pass. More are cut into
+    blocks of at most that many by hash; each block is one broadcast and one
+    pass over the texts, which keep the best language so far, so the result is
+    that of all prototypes at once."""
+    scratch_root(docs.sparkSession)
+    summed = sums(learn_from, text, lang, dimensions, seed).checkpoint()
+    blocks = 1
+    while True:
+        block = F.pmod(F.xxhash64("lang"), F.lit(blocks))
+        largest = summed.where("place = 0").groupBy(block.alias("block")).count().agg(F.max("count")).first()[0]
+        if (largest or 0) <= MAX_LANGUAGES:
+            break
+        blocks *= 2
+    if blocks == 1:
+        return identify(docs, _profiles(summed, dimensions, seed), text)
+    docs = without(docs, [n for n in OUTPUT if n != text.lower()])
+    name, cosine, new, more = temp_names(docs, "name", "cosine", "new", "more")
+    rows = docs.withColumn(name, F.lit(None).cast("string")).withColumn(cosine, F.lit(None).cast("double"))
+    for b in range(blocks):
+        rows = _better(rows, _profiles(summed.where(block == b), dimensions, seed), text, name, cosine, new, more).checkpoint()
+    own = [ref(c) for c in docs.columns if c != text]
+    clamped = F.greatest(F.least(F.coalesce(cosine, F.lit(0.0)), F.lit(1.0)), F.lit(0.0))
+    return rows.select(*own, F.coalesce(name, F.lit(UNKNOWN)).alias("lang_pred"), clamped.alias("score"))
+
+
+def _better(rows: DataFrame, profiles: Profiles, text: str, name: str, cosine: str, new: str, more: str) -> DataFrame:
+    """One block: ``name`` and ``cosine`` of the better of what they were and
+    the block's best; of equal cosines the first by code point."""
+    shared = rows.sparkSession.sparkContext.broadcast(profiles)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = shared.value
+        space = _Cached(known.dimensions, known.seed)
+        for batch in batches:
+            found = [(None, None) if v is None else known.nearest(v) for v in _vectors(batch, space)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array([n for n, _ in found], pa.string()), pa.array([c for _, c in found], pa.float64())],
+                                             names=[*batch.schema.names[:-1], new, more])
+
+    judged = map_text(rows, text, run, f"{new} string, {more} double")
+    takes = F.col(more).isNotNull() & (F.col(cosine).isNull() | (F.col(more) > F.col(cosine)) | ((F.col(more) == F.col(cosine)) & (F.col(new) < F.col(name))))
+    keep = [ref(c) for c in rows.columns if c not in (name, cosine)]
+    return judged.select(*keep, F.when(takes, F.col(new)).otherwise(F.col(name)).alias(name), F.when(takes, F.col(more)).otherwise(F.col(cosine)).alias(cosine))
+
+
 def identify(docs: DataFrame, profiles: Profiles, text: str = "text") -> DataFrame:
     """Every row without its text, with lang_pred (``und`` for a null text or
     one without letters, or if nothing was learned) and score (the cosine, 0
@@ -204,10 +279,7 @@ def identify(docs: DataFrame, profiles: Profiles, text: str = "text") -> DataFra
         known = shared.value
         space = _Cached(known.dimensions, known.seed)
         for batch in batches:
-            found = [grams(t.as_py()) for t in batch.column(batch.num_columns - 1)]
-            if found and len(space.known) < space.LIMIT:
-                space.learn(np.unique(np.concatenate([f[0] for f in found])))
-            pred = [known.predict(space.bundle(*f)) if len(f[0]) else (UNKNOWN, 0.0) for f in found]
+            pred = [(UNKNOWN, 0.0) if v is None else known.predict(v) for v in _vectors(batch, space)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array([p for p, _ in pred], pa.string()), pa.array([s for _, s in pred], pa.float64())],
                                              names=[*batch.schema.names[:-1], *OUTPUT])
 

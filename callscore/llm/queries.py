@@ -72,8 +72,7 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     fold = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 4
-    profiles = langid.learn(docs.where(fold != 2))
-    return langid.identify(docs.select("doc_id", "text"), profiles).select(
+    return langid.classify(docs.select("doc_id", "text"), docs.where(fold != 2)).select(
         "doc_id", (fold == 2).alias("held_out"), "lang_pred", "score")
 
 

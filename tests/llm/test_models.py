@@ -114,6 +114,22 @@ def test_identify_edges(spark):
     assert langid.identify(empty(docs(spark)), profiles).count() == 0
 
 
+def test_any_number_of_languages(spark, monkeypatch):
+    """Blocks of languages give what all prototypes at once give."""
+    rng = random.Random(8)
+    rows = [(i, " ".join("".join(rng.choice("abcdefgh"[k % 4:k % 4 + 5]) for _ in range(4)) for _ in range(30)), f"l{k:02d}", "a")
+            for i, k in enumerate(k for k in range(11) for _ in range(4))]
+    df = docs(spark, [*rows, (100, None, "l01", "a"), (101, "123", None, "a"), (102, "abcd bcde", None, "a")])
+    want = sorted((r["doc_id"], r["lang_pred"], r["score"]) for r in langid.identify(df, langid.learn(df)).collect())
+    monkeypatch.setattr(langid, "MAX_LANGUAGES", 3)
+    with pytest.raises(ValueError):
+        langid.learn(df)
+    out = langid.classify(clashing(df), df)
+    got = sorted((r["doc_id"], r["lang_pred"], r["score"]) for r in out.collect())
+    assert [g[:2] for g in got] == [w[:2] for w in want] and np.allclose([g[2] for g in got], [w[2] for w in want]) and "text" not in out.columns
+    assert langid.classify(empty(df), df).count() == 0 and {r["lang_pred"] for r in langid.classify(df, empty(df)).collect()} == {"und"}
+
+
 def test_fit_takes_up_to_six_thousand_labels(spark, monkeypatch):
     seen = []
     monkeypatch.setattr(quality, "fit_rows", lambda rows: seen.append(len(rows)))
