@@ -1,6 +1,6 @@
 """Keyed progressive call state on Structured Streaming.
 
-``groupBy(call_id).transformWithStateInPandas`` keeps a call's state by entry:
+``groupBy(call_id).transformWithState`` keeps a call's state by entry:
 
 * ``head``: the next expected index, the runs of waiting indexes, the call's
   revision, its timers and a closed flag that acts as a tombstone, and with it
@@ -35,10 +35,11 @@ longer than the timeout emits an ``expired`` row and is tombstoned too.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from datetime import datetime, timedelta, timezone
+from itertools import batched
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -50,13 +51,16 @@ from ..sources.envelope import observe_envelope, split_valid
 MODALITIES = ("mfcc", "spec")
 OUTPUT_SCHEMA = ("kind string, call_id string, chunk_index int, n_segments long, text string, mfcc array<double>, mfcc_cols int, "
                  "spec array<double>, spec_cols int, reason string, provisional boolean, revision long")
-COLUMNS = [f.split()[0] for f in OUTPUT_SCHEMA.split(", ")]
+OUT_ROW = Row(*[f.split()[0] for f in OUTPUT_SCHEMA.split(", ")])
 HEAD_SCHEMA = "closed boolean, next_index long, runs array<long>, skipped array<long>, front_last long, revision long, last_at long, idle_at long, wait_at long"
 HEAD_FIELDS = 9
-FOLD_SCHEMA = "n long, text string, mfcc_sum array<double>, mfcc_cols int, mfcc_n long, spec_sum array<double>, spec_cols int, spec_n long"
+# sums are the bytes of doubles: arrays are converted cell by cell on each way
+FOLD_SCHEMA = "n long, text string, mfcc_sum binary, mfcc_cols int, mfcc_n long, spec_sum binary, spec_cols int, spec_n long"
 CHUNK_SCHEMA = "text string, mfcc array<double>, mfcc_cols int, spec array<double>, spec_cols int"
+TAKE_ROWS = 10_000      # rows of a call folded at a time
 IDLE_TIMEOUT_MS = 30 * 60 * 1000
 TOMBSTONE_MS = 60 * 60 * 1000
+EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
 
 
 class Fold:
@@ -66,12 +70,12 @@ class Fold:
     def __init__(self, state=None):
         self.n, self.text, self.sums = 0, "", {m: (None, None, 0) for m in MODALITIES}
         if state is not None:
-            array = lambda x: None if x is None else np.asarray(x, dtype=np.float64)
+            array = lambda x: None if x is None else np.frombuffer(bytes(x), dtype=np.float64)
             self.n, self.text = state[0], state[1] or ""
             self.sums = {m: (array(state[k]), state[k + 1], state[k + 2] or 0) for m, k in (("mfcc", 2), ("spec", 5))}
 
     def state(self) -> tuple:
-        flat = [x for s, cols, n in self.sums.values() for x in (None if s is None else s.tolist(), cols, n)]
+        flat = [x for s, cols, n in self.sums.values() for x in (None if s is None else s.tobytes(), cols, n)]
         return (self.n, self.text, *flat)
 
     def copy(self) -> "Fold":
@@ -153,9 +157,9 @@ class CallState:
         matrices = fold.matrices() if fold is not None else [None] * 4
         self.out.append((kind, self.call_id, index, fold.n if fold is not None else 0, text, *matrices, reason, provisional, self.revision))
 
-    def rows(self) -> pd.DataFrame:
+    def rows(self) -> Iterator[Row]:
         rows, self.out = self.out, []
-        return pd.DataFrame(rows, columns=COLUMNS)
+        return (OUT_ROW(*r) for r in rows)
 
     # -------------------------------------------------------------- chunks
     def take(self, chunks: list[tuple[int, tuple]], hold_chunks: int | None = None, emit_front: bool = True) -> None:
@@ -245,6 +249,15 @@ class CallState:
         self.next = max(self.next, 1)
 
 
+def _millis(t: datetime) -> int:
+    return (t - EPOCH) // timedelta(milliseconds=1)
+
+
+def _chunk(r: Row) -> tuple:
+    flat = lambda x, c: (x, c) if x else (None, None)
+    return ((r.transcript or "").strip(), *flat(r.mfcc, r.mfcc_cols), *flat(r.spec, r.spec_cols))
+
+
 class CallProcessor(StatefulProcessor):
     """The processor of one call's rows and timers. ``wait_ms`` delays the rows
     after a new gap; 0 emits them at once."""
@@ -280,20 +293,16 @@ class CallProcessor(StatefulProcessor):
                 self.handle.registerTimer(at)
         return at
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         call = self._load(key)
         ended, last_event_ms = False, None
         now = timerValues.getCurrentWatermarkInMs() if self.event_time else timerValues.getCurrentProcessingTimeInMs()
-        for pdf in rows:        # an Arrow batch at a time, however long the call's micro-batch is
-            if self.event_time and pdf["event_time"].notna().any():
-                last_event_ms = max(last_event_ms or 0, int(pd.to_datetime(pdf["event_time"]).max().value // 1_000_000))
-            ended = ended or bool((pdf["kind"] == "end").any())
-            flat = lambda x, c: (None, None) if x is None or not len(x) else ([float(v) for v in x], int(c))
-            chunks = [(int(r.chunk_no), ((r.transcript or "").strip(), *flat(r.mfcc, r.mfcc_cols), *flat(r.spec, r.spec_cols)))
-                      for r in pdf[pdf["kind"] != "end"].itertuples(index=False)]
-            call.take(chunks, self.hold_chunks, emit_front=not self.wait_ms)
-            if call.out:
-                yield call.rows()
+        for some in batched(rows, TAKE_ROWS):       # however long the call's micro-batch is
+            if self.event_time:
+                last_event_ms = max((x for x in (last_event_ms, *(_millis(r.event_time) for r in some if r.event_time is not None)) if x is not None), default=None)
+            ended = ended or any(r.kind == "end" for r in some)
+            call.take([(r.chunk_no, _chunk(r)) for r in some if r.kind != "end"], self.hold_chunks, emit_front=not self.wait_ms)
+            yield from call.rows()
         if ended and not call.closed:       # after the chunks of the same micro-batch
             if call.seen:
                 self._close(call, "final")
@@ -306,17 +315,18 @@ class CallProcessor(StatefulProcessor):
             waits = self.wait_ms and call.runs and call.front is None
             call.wait_at = self._timer(call.wait_at, (call.wait_at or now + self.wait_ms) if waits else 0)
             self._save(call)
-        if call.out:
-            yield call.rows()
+        yield from call.rows()
 
     def _due(self, call: CallState) -> int:
         return call.last_at + (TOMBSTONE_MS if call.closed else self.idle_ms)
 
     def _close(self, call: CallState, kind: str) -> None:
+        waits = bool(call.runs)
         call.close(kind)
-        self.waiting.clear()
+        if waits:       # every access to the state is a message to the JVM
+            self.waiting.clear()
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         call, at = self._load(key), expiredTimerInfo.getExpiryTimeInMs()
         now = timerValues.getCurrentWatermarkInMs() if self.event_time else timerValues.getCurrentProcessingTimeInMs()
         if at == call.wait_at and not call.closed:
@@ -334,8 +344,7 @@ class CallProcessor(StatefulProcessor):
             call.wait_at, call.last_at = self._timer(call.wait_at, 0), max(now, at)
             call.idle_at = self._timer(0, self._due(call))
             self._save(call)
-        if call.out:
-            yield call.rows()
+        yield from call.rows()
 
     def close(self) -> None:
         pass
@@ -352,13 +361,13 @@ def call_states(decoded: DataFrame, watermark: str | None = None, event_idle_ms:
     tombstone. Matrices travel as flat arrays and a width."""
     valid, _ = split_valid(observe_envelope(decoded), need_matrices)
     v = valid.select("call_id", "kind", "chunk_no", "transcript", F.flatten("mfcc").alias("mfcc"), n_cols("mfcc").alias("mfcc_cols"),
-                     F.flatten("spectrogram").alias("spec"), n_cols("spectrogram").alias("spec_cols"), "event_time")
+                     F.flatten("spectrogram").alias("spec"), n_cols("spectrogram").alias("spec_cols"), *(["event_time"] if watermark else []))
     if watermark:
         v = v.withWatermark("event_time", watermark)
         processor, mode = CallProcessor(event_idle_ms or IDLE_TIMEOUT_MS, hold_chunks, wait_ms, event_time=True), "eventTime"
     else:
         processor, mode = CallProcessor(IDLE_TIMEOUT_MS, hold_chunks, wait_ms), "processingTime"
-    return v.groupBy("call_id").transformWithStateInPandas(processor, OUTPUT_SCHEMA, "append", mode)
+    return v.groupBy("call_id").transformWithState(processor, OUTPUT_SCHEMA, "append", mode)
 
 
 def latest(rows: DataFrame) -> DataFrame:
