@@ -97,6 +97,15 @@ def _fold_args(chunks: DataFrame) -> tuple:
     return ["call_id"], "chunk_index", strip_or_empty("transcript"), {m: m for m in _modalities(chunks)}
 
 
+def _one_per_chunk(chunks: DataFrame, m: str) -> DataFrame:
+    """The flat matrix of each (call_id, chunk_index). A redelivered chunk
+    counts once and whole, as in the folds: all its values are those of the
+    delivery with the least text, and of equal texts of the one whose matrices hash least."""
+    whole = F.struct(strip_or_empty("transcript").alias("piece"), F.xxhash64(*_modalities(chunks)).alias("h"))
+    one = chunks.groupBy("call_id", "chunk_index").agg(F.min_by(F.flatten(m), whole).alias(m))
+    return one.where(F.col(m).isNotNull())
+
+
 def call_final(chunks: DataFrame, scorer: Scorer = stand_in_scorer, bucket_width: int = INDEX_BUCKET) -> DataFrame:
     """Final text, mean matrices and decision of every call. ``chunks`` may
     have the matrices ``mfcc`` and ``spectrogram``; a chunk whose matrix has
