@@ -5,6 +5,9 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from pyspark.ml.classification import GBTClassifier
+from pyspark.ml.feature import VectorAssembler
+
 from callscore.operators import fusion, models, splits
 from callscore.plans import model_queries
 from callscore.plans.eval_queries import _scored
@@ -56,3 +59,39 @@ def test_text_and_matrix_models(spark, small_dir):
     assert t["n"] > 0 and all(0 <= t[c] <= 1 for c in ("accuracy", "f1_weighted", "auc"))
     parts = {r["split"]: r for r in model_queries.q_matrix_model_eval(spark, small_dir).collect()}
     assert set(parts) == {"val", "test"} and all(r["n"] > 0 and 0 <= r["accuracy"] <= 1 for r in parts.values())
+
+
+def _few_values(spark, n):
+    """Rows of a few values a feature: these are their own bins."""
+    return spark.range(n).select(*[(F.floor(F.rand(k) * 6)).cast("double").alias(c) for k, c in enumerate("abc")], F.rand(9).alias("r")).select(
+        "a", "b", "c", F.when(F.col("r") * 12 < F.col("a") + F.abs(F.col("b") - 2), 1).otherwise(0).alias("label_num"))
+
+
+def test_counted_trees_equal_trees_of_rows(spark):
+    """All rows drawn: the same probabilities as Spark's trees over the rows themselves."""
+    rows = _few_values(spark, 3000).persist()
+    counted = models.CountedGBT(["a", "b", "c"], "label_num", 12, 0.3, 3, 1.0)
+    features = VectorAssembler(inputCols=["a", "b", "c"], outputCol="features").transform(rows)
+    plain = GBTClassifier(labelCol="label_num", maxIter=12, stepSize=0.3, maxDepth=3, seed=42).fit(features)
+    got, want = ([r["p"] for r in models.positive_prob(m.transform(features)).orderBy("a", "b", "c", "label_num").select("p").collect()]
+                 for m in (counted.fit(features), plain))
+    assert got == pytest.approx(want, abs=1e-9) and len(set(got)) > 20
+    rows.unpersist()
+
+
+def test_counted_trees_draw_rows(spark):
+    """A cell's draws are those of its rows: binomial, each iteration its own."""
+    drawn = spark.range(300).select(F.lit(1000).alias("n"), "id").select(models._drawn(0.9, 40, 1)("n", "id").alias("d")).collect()
+    flat = [x for r in drawn for x in r["d"]]
+    mean = sum(flat) / len(flat)
+    assert mean == pytest.approx(900, abs=1) and sum((x - mean) ** 2 for x in flat) / len(flat) == pytest.approx(90, rel=0.1)
+    assert len({tuple(r["d"]) for r in drawn}) == 300
+
+
+def test_trees_see_cells_not_rows(spark, monkeypatch):
+    """What the trees are fitted on does not grow with the rows."""
+    seen, fit = [], models.DecisionTreeRegressor.fit
+    monkeypatch.setattr(models.DecisionTreeRegressor, "fit", lambda self, data: (seen.append(data.count()), fit(self, data))[1])
+    data = _few_values(spark, 20000)
+    models.candidates(["a", "b", "c"], gbt_settings={"GBT": (2, 0.1, 3, 0.9)})["GBT"].fit(data)
+    assert len(seen) == 2 and max(seen) <= 2 * 6 ** 3
