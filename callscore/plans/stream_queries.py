@@ -117,8 +117,9 @@ def q_stream_orphan_ends(spark, sf_dir):
 def q_stream_final_disordered(spark, sf_dir):
     """Chunks arrive in any order over several restarts, some of them twice."""
     msgs = chunk_messages(spark, sf_dir, _dealt("call_id", "chunk_index"))
-    again = msgs.where((F.col("wave") < SHUFFLED) & (F.xxhash64("value") % 5 == 0)).withColumn("wave", (F.col("wave") + 1) % SHUFFLED)
-    out = run_waves(spark, msgs.unionByName(again), _call_stream, _OUT, "stream_final_disordered").filter(F.col("kind") == "final")
+    again = (F.col("wave") < SHUFFLED) & (F.xxhash64("value") % 5 == 0)
+    waves = F.when(again, F.array("wave", (F.col("wave") + 1) % SHUFFLED)).otherwise(F.array("wave"))
+    out = run_waves(spark, msgs.select(F.explode(waves).alias("wave"), "value"), _call_stream, _OUT, "stream_final_disordered").filter(F.col("kind") == "final")
     return out.select(F.col("call_id").cast("long").alias("call_id"), "n_segments",
                       F.col("text").alias("full_text"), *_SCORES)
 

@@ -3,13 +3,13 @@
 ``groupBy(call_id).transformWithState`` keeps a call's state by entry:
 
 * ``head``: the next expected index, the runs of waiting indexes, the call's
-  revision, its timers and a closed flag that acts as a tombstone, and with it
+  revision, its timers and a closed flag that acts as a tombstone; with it
   ``settled``: the fold of all chunks before the first gap (text cut to 2048
   characters, as later text can never reach the output; segment count; running
-  sum and count of the matrices of each modality);
-* ``waiting``: one map entry for each chunk after the first gap;
-* ``front``: the fold of the settled and all waiting chunks, so that a chunk
-  that comes in order after a gap costs one step, however long the gap stays.
+  sum and count of the matrices of each modality); and, while chunks wait,
+  ``front``: the fold of the settled and all waiting chunks, so that a chunk
+  that comes in order after a gap costs one step, however long the gap stays;
+* ``waiting``: one map entry for each chunk after the first gap.
 
 So a lost chunk, or a start in the middle of a call, stops nothing, and nothing
 is dropped silently, in whatever order chunks arrive:
@@ -56,13 +56,19 @@ HEAD_SCHEMA = "closed boolean, next_index long, runs array<long>, skipped array<
 HEAD_FIELDS = 9
 # sums are the bytes of doubles: arrays are converted cell by cell on each way
 FOLD_SCHEMA = "n long, text string, mfcc_sum binary, mfcc_cols int, mfcc_n long, spec_sum binary, spec_cols int, spec_n long"
-CHUNK_SCHEMA = "text string, mfcc array<double>, mfcc_cols int, spec array<double>, spec_cols int"
+FRONT_SCHEMA = ", ".join(f"front_{f}" for f in FOLD_SCHEMA.split(", "))
+FOLD_FIELDS = len(FOLD_SCHEMA.split(", "))
+CHUNK_SCHEMA = "text string, mfcc binary, mfcc_cols int, spec binary, spec_cols int"
 TAKE_ROWS = 10_000      # rows of a call folded at a time
 IDLE_TIMEOUT_MS = 30 * 60 * 1000
 TOMBSTONE_MS = 60 * 60 * 1000
 EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
 
 
+_bytes = lambda x: None if x is None else np.asarray(x, dtype=np.float64).tobytes()
+_array = lambda x: None if x is None else np.frombuffer(bytes(x), dtype=np.float64)
+
+
 class Fold:
     """Chunks folded in index order. A modality's shape is that of the first
     matrix; (sum, columns, count), with a count of 0 until one is added."""
@@ -70,12 +76,11 @@ class Fold:
     def __init__(self, state=None):
         self.n, self.text, self.sums = 0, "", {m: (None, None, 0) for m in MODALITIES}
         if state is not None:
-            array = lambda x: None if x is None else np.frombuffer(bytes(x), dtype=np.float64)
             self.n, self.text = state[0], state[1] or ""
-            self.sums = {m: (array(state[k]), state[k + 1], state[k + 2] or 0) for m, k in (("mfcc", 2), ("spec", 5))}
+            self.sums = {m: (_array(state[k]), state[k + 1], state[k + 2] or 0) for m, k in (("mfcc", 2), ("spec", 5))}
 
     def state(self) -> tuple:
-        flat = [x for s, cols, n in self.sums.values() for x in (None if s is None else s.tobytes(), cols, n)]
+        flat = [x for s, cols, n in self.sums.values() for x in (_bytes(s), cols, n)]
         return (self.n, self.text, *flat)
 
     def copy(self) -> "Fold":
@@ -199,10 +204,14 @@ class CallState:
     def _store(self, fresh: dict[int, tuple]) -> None:
         """Entries of new chunks that wait."""
         for i in [i for i in fresh if i >= self.next]:
-            self.waiting.updateValue((i,), fresh[i])
+            text, mfcc, mfcc_cols, spec, spec_cols = fresh[i]
+            self.waiting.updateValue((i,), (text, _bytes(mfcc), mfcc_cols, _bytes(spec), spec_cols))
 
     def _chunk(self, i: int, fresh: dict[int, tuple]) -> tuple:
-        return fresh[i] if i in fresh else self.waiting.getValue((i,))
+        if i in fresh:
+            return fresh[i]
+        text, mfcc, mfcc_cols, spec, spec_cols = self.waiting.getValue((i,))
+        return (text, _array(mfcc), mfcc_cols, _array(spec), spec_cols)
 
     def _settle(self, fresh: dict[int, tuple]) -> None:
         """Fold what is in turn, and emit it for good."""
@@ -267,23 +276,20 @@ class CallProcessor(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        # head and settled change together, so they are one entry
-        self.head = handle.getValueState("head", f"{HEAD_SCHEMA}, {FOLD_SCHEMA}")
-        self.front = handle.getValueState("front", FOLD_SCHEMA)
+        # head, settled and front change together, so they are one entry
+        self.head = handle.getValueState("head", f"{HEAD_SCHEMA}, {FOLD_SCHEMA}, {FRONT_SCHEMA}")
         self.waiting = handle.getMapState("waiting", "chunk_index long", CHUNK_SCHEMA)
 
     def _load(self, key) -> CallState:
         state = self.head.get()
         if state is None:
             return CallState(key[0], self.waiting)
-        head, settled = state[:HEAD_FIELDS], state[HEAD_FIELDS:]
-        has_front = bool(head[2]) and head[4] >= 0
-        return CallState(key[0], self.waiting, head, settled, self.front.get() if has_front else None)
+        head, settled, front = state[:HEAD_FIELDS], state[HEAD_FIELDS:-FOLD_FIELDS], state[-FOLD_FIELDS:]
+        return CallState(key[0], self.waiting, head, settled, None if front[0] is None else front)
 
     def _save(self, call: CallState) -> None:
-        if call.front is not None:
-            self.front.update(call.front.state())
-        self.head.update((*call.head(), *call.settled.state()))
+        front = call.front.state() if call.front is not None else (None,) * FOLD_FIELDS
+        self.head.update((*call.head(), *call.settled.state(), *front))
 
     def _timer(self, old: int, at: int) -> int:
         if old != at:
@@ -338,7 +344,6 @@ class CallProcessor(StatefulProcessor):
             self._save(call)
         elif at == call.idle_at and call.closed:      # the tombstone's time is up
             self.head.clear()
-            self.front.clear()
         elif at == call.idle_at:
             self._close(call, "expired")
             call.wait_at, call.last_at = self._timer(call.wait_at, 0), max(now, at)

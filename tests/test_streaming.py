@@ -390,3 +390,41 @@ def test_a_call_costs_few_messages_and_no_frames():
     out = list(p.handleInputRows(("a",), iter([at("a", "end", None, None, None, None, None, None), at("a", "chunk", 2, " t2 ", None, None, None, None)]), times))
     assert [(r.kind, r.chunk_index, r.text) for r in out] == [("running", 2, "t0 t1 t2"), ("final", None, "t0 t1 t2")]
     assert p.head.sent == ["get", "update"] * 2 and p.handle.sent == ["registerTimer"] and not p.front.sent and not p.waiting.sent
+
+
+def test_a_call_with_a_gap_is_read_and_written_as_one_entry():
+    """Besides its waiting chunks: one message each way a micro-batch, the front with it."""
+    from pyspark.sql import Row
+
+    class Value:
+        kept, messages = None, 0
+
+        def get(self):
+            Value.messages += 1
+            return self.kept
+
+        def update(self, new):
+            Value.messages += 1
+            self.kept = new
+
+    class Handle:
+        getValueState = staticmethod(lambda name, schema: Value())
+        getMapState = staticmethod(lambda name, keys, values: _Map())
+        registerTimer = deleteTimer = staticmethod(lambda at: None)
+
+    class Timers:
+        getCurrentProcessingTimeInMs = staticmethod(lambda: 1000)
+
+    def batch(i):
+        row = Row(kind="chunk", chunk_no=i, transcript=str(i), mfcc=[1.0 * i, 2.0], mfcc_cols=2, spec=None, spec_cols=None)
+        return list(processor.handleInputRows(("c",), iter([row]), Timers))
+
+    processor = scalls.CallProcessor()
+    processor.init(Handle)
+    assert [(r.chunk_index, r.text, r.provisional) for r in batch(2)] == [(2, "2", True)]
+    assert [(r.chunk_index, r.text, r.provisional) for r in batch(3)] == [(3, "2 3", True)]
+    assert Value.messages == 4 and set(processor.waiting) == {(2,), (3,)}
+    assert [(r.chunk_index, r.text, r.provisional) for r in batch(1)] == [(1, "1", True), (2, "1 2", True), (3, "1 2 3", True)]
+    last = batch(0)
+    assert [(r.chunk_index, r.text, r.provisional) for r in last] == [(0, "0", False), (1, "0 1", False), (2, "0 1 2", False), (3, "0 1 2 3", False)]
+    assert list(last[-1].mfcc) == [1.5, 2.0] and Value.messages == 8 and not processor.waiting
