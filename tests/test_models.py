@@ -95,3 +95,29 @@ def test_trees_see_cells_not_rows(spark, monkeypatch):
     data = _few_values(spark, 20000)
     models.candidates(["a", "b", "c"], gbt_settings={"GBT": (2, 0.1, 3, 0.9)})["GBT"].fit(data)
     assert len(seen) == 2 and max(seen) <= 2 * 6 ** 3
+
+
+def _iterations(cands):
+    """Iterations a candidate trains for, by name."""
+    last = {name: p.getStages()[-1] for name, p in cands.items()}
+    return {name: s.iters if isinstance(s, models.CountedGBT) else s.getMaxIter() for name, s in last.items()}
+
+
+def _without_fits(monkeypatch):
+    """Every candidate predicts one of the features; what was to be fitted is kept."""
+    seen = []
+
+    def predicted(folded, cands, label="label_num", **_):
+        seen.append(cands)
+        return folded.select(F.explode(F.array(*[F.lit(c) for c in cands])).alias("model"), "fold", label, F.col("bert_prob").alias("p"))
+
+    monkeypatch.setattr(models, "cv_predictions", predicted)
+    return seen
+
+
+def test_best_model_trains_whole(spark, small_dir, monkeypatch):
+    """The candidates compared and the one refit train for the reference's iterations."""
+    seen = _without_fits(monkeypatch)
+    monkeypatch.setattr(models, "refit_and_save", lambda spark, data, name, cands, path, weights=None: seen.append(cands))
+    model_queries.q_best_meta_model(spark, small_dir)
+    assert [_iterations(c) for c in seen] == [{"LogReg": 500, "MLP": 1000, "GBT_a": 400, "GBT_b": 1000}] * 2
