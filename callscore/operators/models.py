@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from . import metrics
+from . import metrics, trees
 from .fusion import per_fold_metrics
 from .splits import with_class_weight
 
@@ -44,6 +44,7 @@ GBT_SETTINGS = {                       # name -> (iterations, step size, depth,
 }
 TREE_BINS = 32                         # bins of a feature in boosted trees
 MARGIN_TREES = 10                      # trees between two stored margins
+TASK_DRAWS = 1 << 26                   # draws (cells x iterations) that one task holds, 1 to 4 bytes each
 TEXT_FEATURES = 1 << 18
 BATCH_SIZE = 512
 
@@ -119,7 +120,7 @@ def _drawn(rate: float, iters: int, seed: int):
     probability ``rate``. The draws of a cell depend on the seed and its key only."""
     @F.pandas_udf("array<long>")
     def draw(n: pd.Series, key: pd.Series) -> pd.Series:
-        return pd.Series([np.random.default_rng([seed, k & (2**64 - 1)]).binomial(c, rate, iters) for c, k in zip(n, key)])
+        return pd.Series([trees.draws(c, k, rate, iters, seed) for c, k in zip(n, key)])
     return draw
 
 
@@ -128,6 +129,17 @@ def cells(data: DataFrame, bins: Sequence[str], label: str) -> DataFrame:
     return data.groupBy(*bins, label).agg(F.count(F.lit(1)).alias("n"))
 
 
+def _categories(data: DataFrame, col: str) -> int:
+    """How many categories Spark's trees take a column to have; -1: it is numeric."""
+    attr = data.schema[col].metadata.get("ml_attr", {})
+    known = {"nominal": len(attr.get("vals", [])) or attr.get("num_vals", -1), "binary": 2}
+    return known.get(attr.get("type"), -1)
+
+
+_NODE = ("id", "prediction", "impurity", "impurityStats", "rawCount", "gain", "leftChild", "rightChild", "split")
+_SPLIT = ("featureIndex", "leftCategoriesOrThreshold", "numCategories")
+
+
 class CountedGBT(Estimator):
     """Gradient-boosted trees for a 0/1 label on binned features, log loss.
 
@@ -135,7 +147,11 @@ class CountedGBT(Estimator):
     have the same margin, so every iteration works on counted cells: at most
     2 * TREE_BINS ** features of them and never more than rows, however many
     rows there are. An iteration takes each row with probability ``subsample``:
-    of a cell's n rows it takes a binomial draw, as row by row."""
+    of a cell's n rows it takes a binomial draw, as row by row.
+
+    Counting the rows is a job over all of them. More than ``MARGIN_TREES`` trees
+    on at most ``TASK_DRAWS`` draws are then grown in one task (``trees.boosted``);
+    otherwise every tree is a few jobs over the cells. Both give the same trees."""
 
     def __init__(self, bins: Sequence[str], label: str, iters: int, step: float, depth: int, subsample: float, seed: int = SEED):
         super().__init__()
@@ -146,35 +162,70 @@ class CountedGBT(Estimator):
 
         spark = dataset.sparkSession
         scratch_root(spark)
-        key = F.xxhash64(*self.bins, self.label)
-        counted = cells(dataset, self.bins, self.label).withColumn("_drawn", _drawn(self.subsample, self.iters, self.seed)("n", key))
+        counted = cells(dataset, self.bins, self.label).withColumn("_key", F.xxhash64(*self.bins, self.label)).checkpoint()
+        if self.iters > MARGIN_TREES and counted.count() * self.iters <= TASK_DRAWS:
+            return self._saved_model(spark, self._grown(counted))
+        counted = counted.withColumn("_drawn", _drawn(self.subsample, self.iters, self.seed)("n", "_key"))
         sign = F.when(F.col(self.label) == 1, 1.0).when(F.col(self.label) == 0, -1.0)
         data = VectorAssembler(inputCols=self.bins, outputCol="features").transform(counted).select(
             "features", "_drawn", sign.alias("_y"), F.lit(0.0).alias("_margin")).checkpoint()
-        tree = DecisionTreeRegressor(labelCol="_residual", weightCol="_weight", predictionCol="_tree", maxDepth=self.depth, maxBins=TREE_BINS, seed=self.seed)
-        trees = []
+        tree, grown = self._tree(), []
         for i in range(self.iters):
             # the first tree is fitted to the labels, the next ones to the negative gradient
             residual = F.col("_y") if i == 0 else 4 * F.col("_y") / (1 + F.exp(2 * F.col("_y") * F.col("_margin")))
             drawn = data.select("features", residual.alias("_residual"), F.col("_drawn")[i].cast("double").alias("_weight"))
             drawn = drawn.where("_weight > 0").persist()        # a fit reads its rows several times
-            trees.append(tree.fit(drawn))
+            grown.append(tree.fit(drawn))
             drawn.unpersist()
-            data = trees[-1].transform(data).withColumn("_margin", F.col("_margin") + self._weight(i) * F.col("_tree")).drop("_tree")
+            data = grown[-1].transform(data).withColumn("_margin", F.col("_margin") + self._weight(i) * F.col("_tree")).drop("_tree")
             if i % MARGIN_TREES == MARGIN_TREES - 1 and i + 1 < self.iters:
                 data = data.checkpoint()
-        return self._model(spark, trees)
+        return self._model(spark, grown)
+
+    def _tree(self) -> DecisionTreeRegressor:
+        return DecisionTreeRegressor(labelCol="_residual", weightCol="_weight", predictionCol="_tree", maxDepth=self.depth, maxBins=TREE_BINS, seed=self.seed)
+
+    def _grown(self, counted: DataFrame) -> DataFrame:
+        """All trees grown in one task, as rows of Spark ML's saved form."""
+        bins, label, args = self.bins, self.label, (self.iters, self.step, self.depth, self.subsample, self.seed)
+        arity = [_categories(counted, c) for c in bins]
+
+        def grow(batches):
+            c = pd.concat(list(batches))
+            if c[[*bins, label]].isna().any(axis=None) or not c[label].isin([0, 1]).all():
+                raise ValueError("bins must not be null, labels must be 0 or 1")
+            rows = list(trees.boosted(c[bins].to_numpy(np.float64).T, c[label].to_numpy(), c["n"].to_numpy(), c["_key"].to_numpy(), arity, *args))
+            yield pd.DataFrame({"treeID": [i for i, _ in rows], "nodeData": [dict(zip(_NODE, (*n[:-1], dict(zip(_SPLIT, n[-1]))))) for _, n in rows]})
+
+        return counted.repartition(1).mapInPandas(grow, trees.NODES)
+
+    def _saved_model(self, spark: SparkSession, nodes: DataFrame) -> GBTClassificationModel:
+        """The model read from its saved form: that of one tree, with all nodes in place."""
+        from ..session import scratch_path
+
+        one, whole = scratch_path(spark, "gbt_form"), scratch_path(spark, "gbt")
+        row = VectorAssembler(inputCols=self.bins, outputCol="features").transform(
+            spark.createDataFrame([(*[0.0] * len(self.bins), 0.0, 1.0)], [*self.bins, "_residual", "_weight"]))
+        self._model(spark, [self._tree().fit(row)]).write().save(one)
+        nodes.write.parquet(f"{whole}/data")
+        form = json.loads(spark.read.text(f"{one}/metadata").first()[0]) | {"numTrees": self.iters}
+        spark.createDataFrame([(json.dumps(form),)], "value string").coalesce(1).write.text(f"{whole}/metadata")
+        of_one = spark.read.parquet(f"{one}/treesMetadata")
+        tree, text, weight = of_one.columns
+        of_all = of_one.select(F.explode(F.sequence(F.lit(0), F.lit(self.iters - 1))).alias(tree), text)
+        of_all.withColumn(weight, F.when(F.col(tree) == 0, self._weight(0)).otherwise(self._weight(1))).write.parquet(f"{whole}/treesMetadata")
+        return GBTClassificationModel.load(whole)
 
     def _weight(self, i: int) -> float:
         return 1.0 if i == 0 else self.step
 
-    def _model(self, spark: SparkSession, trees: list) -> GBTClassificationModel:
+    def _model(self, spark: SparkSession, grown: list) -> GBTClassificationModel:
         """The trees as Spark ML's own model, which predicts, saves and loads."""
         sc = spark.sparkContext
         jvm = sc._jvm
-        parts = sc._gateway.new_array(jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, len(trees))
-        weights = sc._gateway.new_array(jvm.double, len(trees))
-        for i, t in enumerate(trees):
+        parts = sc._gateway.new_array(jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, len(grown))
+        weights = sc._gateway.new_array(jvm.double, len(grown))
+        for i, t in enumerate(grown):
             parts[i], weights[i] = t._java_obj, self._weight(i)
         return GBTClassificationModel(jvm.org.apache.spark.ml.classification.GBTClassificationModel(self.uid, parts, weights))
 

@@ -121,3 +121,39 @@ def test_best_model_trains_whole(spark, small_dir, monkeypatch):
     monkeypatch.setattr(models, "refit_and_save", lambda spark, data, name, cands, path, weights=None: seen.append(cands))
     model_queries.q_best_meta_model(spark, small_dir)
     assert [_iterations(c) for c in seen] == [{"LogReg": 500, "MLP": 1000, "GBT_a": 400, "GBT_b": 1000}] * 2
+
+
+@pytest.mark.parametrize("binned", [False, True])
+def test_trees_of_one_task_equal_trees_of_jobs(spark, monkeypatch, binned, tmp_path):
+    """The same draws and trees whether grown in one task or by a job a level: nodes, thresholds or categories, and predictions."""
+    data = _few_values(spark, 4000).select(*[(F.col(c) / 7 if binned else F.col(c)).alias(c) for c in "abc"], "label_num").persist()
+    fit = models.candidates(["a", "b", "c"], gbt_settings={"GBT": (14, 0.3, 3, 0.7)})["GBT"] if binned else \
+        models.Pipeline(stages=[VectorAssembler(inputCols=["a", "b", "c"], outputCol="features"), models.CountedGBT(["a", "b", "c"], "label_num", 14, 0.3, 3, 0.7)])
+    found = []
+    for most in (1 << 26, 0):
+        monkeypatch.setattr(models, "TASK_DRAWS", most)
+        gbt = fit.fit(data)
+        gbt.write().save(f"{tmp_path}/{most}")
+        again = models.PipelineModel.load(f"{tmp_path}/{most}")
+        found.append((gbt.stages[-1], [r["p"] for r in models.positive_prob(again.transform(data)).orderBy("a", "b", "c", "label_num").select("p").collect()]))
+    (one, p), (jobs, q) = found
+    assert p == pytest.approx(q, abs=1e-9) and len(set(p)) > 20
+    assert one.getNumTrees == jobs.getNumTrees == 14 and one.treeWeights == jobs.treeWeights
+    assert [t.numNodes for t in one.trees] == [t.numNodes for t in jobs.trees] and one.numFeatures == jobs.numFeatures
+    assert one.featureImportances.toArray().tolist() == pytest.approx(jobs.featureImportances.toArray().tolist(), abs=1e-9)
+    data.unpersist()
+
+
+def test_many_trees_are_few_jobs(spark, monkeypatch):
+    """Hundreds of trees on a bounded number of cells: Spark's own trees are fitted for the form of a saved model only."""
+    seen, fit = [], models.DecisionTreeRegressor.fit
+    monkeypatch.setattr(models.DecisionTreeRegressor, "fit", lambda self, data: (seen.append(data.count()), fit(self, data))[1])
+    model = models.candidates(["a", "b", "c"], gbt_settings={"GBT": (300, 0.03, 3, 0.9)})["GBT"].fit(_few_values(spark, 3000))
+    assert model.stages[-1].getNumTrees == 300 and seen == [1]
+
+
+def test_cross_validation_trains_whole(spark, small_dir, monkeypatch):
+    """Every candidate of the cross-validation trains for the reference's iterations."""
+    seen = _without_fits(monkeypatch)
+    names = {r["model"] for r in model_queries.q_meta_model_cv(spark, small_dir).collect()}
+    assert [_iterations(c) for c in seen] == [{"LogReg": 500, "MLP": 1000, "GBT_a": 400, "GBT_b": 1000}] and set(seen[0]) < names
