@@ -44,7 +44,7 @@ GBT_SETTINGS = {                       # name -> (iterations, step size, depth,
 }
 TREE_BINS = 32                         # bins of a feature in boosted trees
 MARGIN_TREES = 10                      # trees between two stored margins
-TASK_DRAWS = 1 << 26                   # draws (cells x iterations) that one task holds, 1 to 4 bytes each
+TASK_DRAWS = 1 << 26                   # draws (cells x iterations) that one task holds, of 1, 2 or 4 bytes
 TEXT_FEATURES = 1 << 18
 BATCH_SIZE = 512
 
@@ -136,10 +136,6 @@ def _categories(data: DataFrame, col: str) -> int:
     return known.get(attr.get("type"), -1)
 
 
-_NODE = ("id", "prediction", "impurity", "impurityStats", "rawCount", "gain", "leftChild", "rightChild", "split")
-_SPLIT = ("featureIndex", "leftCategoriesOrThreshold", "numCategories")
-
-
 class CountedGBT(Estimator):
     """Gradient-boosted trees for a 0/1 label on binned features, log loss.
 
@@ -150,8 +146,9 @@ class CountedGBT(Estimator):
     of a cell's n rows it takes a binomial draw, as row by row.
 
     Counting the rows is a job over all of them. More than ``MARGIN_TREES`` trees
-    on at most ``TASK_DRAWS`` draws are then grown in one task (``trees.boosted``);
-    otherwise every tree is a few jobs over the cells. Both give the same trees."""
+    on at most ``TASK_DRAWS`` draws are then grown in one task (``trees.boosted``),
+    so that a tree is not a few jobs of its own; otherwise, and where a column has
+    more than ``TREE_BINS`` values, it is. Both give the same trees."""
 
     def __init__(self, bins: Sequence[str], label: str, iters: int, step: float, depth: int, subsample: float, seed: int = SEED):
         super().__init__()
@@ -163,7 +160,8 @@ class CountedGBT(Estimator):
         spark = dataset.sparkSession
         scratch_root(spark)
         counted = cells(dataset, self.bins, self.label).withColumn("_key", F.xxhash64(*self.bins, self.label)).checkpoint()
-        if self.iters > MARGIN_TREES and counted.count() * self.iters <= TASK_DRAWS:
+        n, *bins = counted.agg(F.count(F.lit(1)), *[F.count_distinct(c) for c in self.bins]).first()
+        if self.iters > MARGIN_TREES and n * self.iters <= TASK_DRAWS and max(bins) <= TREE_BINS:
             return self._saved_model(spark, self._grown(counted))
         counted = counted.withColumn("_drawn", _drawn(self.subsample, self.iters, self.seed)("n", "_key"))
         sign = F.when(F.col(self.label) == 1, 1.0).when(F.col(self.label) == 0, -1.0)
@@ -195,7 +193,7 @@ class CountedGBT(Estimator):
             if c[[*bins, label]].isna().any(axis=None) or not c[label].isin([0, 1]).all():
                 raise ValueError("bins must not be null, labels must be 0 or 1")
             rows = list(trees.boosted(c[bins].to_numpy(np.float64).T, c[label].to_numpy(), c["n"].to_numpy(), c["_key"].to_numpy(), arity, *args))
-            yield pd.DataFrame({"treeID": [i for i, _ in rows], "nodeData": [dict(zip(_NODE, (*n[:-1], dict(zip(_SPLIT, n[-1]))))) for _, n in rows]})
+            yield pd.DataFrame({"treeID": [i for i, _ in rows], "nodeData": [n for _, n in rows]})
 
         return counted.repartition(1).mapInPandas(grow, trees.NODES)
 

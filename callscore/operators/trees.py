@@ -16,6 +16,8 @@ EPSILON = 2.0 ** -52           # a child of less impurity is a leaf
 NODES = ("treeID int, nodeData struct<id: int, prediction: double, impurity: double, impurityStats: array<double>, rawCount: bigint, "
          "gain: double, leftChild: int, rightChild: int, split: struct<featureIndex: int, leftCategoriesOrThreshold: array<double>, "
          "numCategories: int>>")
+FIELDS = ("id", "prediction", "impurity", "impurityStats", "rawCount", "gain", "leftChild", "rightChild", "split")
+SPLIT = ("featureIndex", "leftCategoriesOrThreshold", "numCategories")
 
 
 def draws(n: int, key: int, rate: float, iters: int, seed: int) -> np.ndarray:
@@ -98,4 +100,4 @@ def boosted(cells: np.ndarray, label: np.ndarray, n: np.ndarray, key: np.ndarray
         nodes, out = grow(codes, values, arity, drawn[:, i].astype(np.float64), residual, depth)
         margin += (1.0 if i == 0 else step) * out
         for node in nodes:
-            yield i, node
+            yield i, dict(zip(FIELDS, (*node[:-1], dict(zip(SPLIT, node[-1])))))
